@@ -29,12 +29,15 @@ def point_in_interval_join(points: DataFrame, ts: str, intervals: DataFrame, sta
     ``how='left'`` points without an interval are kept with nulls.
     """
     keys = keys or []
-    iv = intervals.withColumn("__b", F.explode(month_buckets(F.col(start), F.col(end))))
-    pt = points.withColumn("__b", F.trunc(F.to_date(F.col(ts)), "month"))
-    cond = [pt["__b"] == iv["__b"]] + [pt[k] == iv[k] for k in keys]
-    cond.append((F.col(start) <= F.col(ts)) & (F.col(end) >= F.col(ts)))
-    j = pt.join(iv.drop(*keys), cond, how)
-    return j.drop("__b")
+    iv = intervals.select(*[F.col(c).alias(f"__ik_{c}") if c in keys else F.col(c) for c in intervals.columns],
+                          F.explode(month_buckets(F.col(start), F.col(end))).alias("__ib"))
+    pt = points.withColumn("__pb", F.trunc(F.to_date(F.col(ts)), "month"))
+    cond = F.col("__pb") == F.col("__ib")
+    for k in keys:
+        cond = cond & (F.col(k) == F.col(f"__ik_{k}"))
+    cond = cond & (F.col(start) <= F.col(ts)) & (F.col(end) >= F.col(ts))
+    j = pt.join(iv, cond, how)
+    return j.drop("__pb", "__ib", *[f"__ik_{k}" for k in keys])
 
 
 def overlap_join(left: DataFrame, l_start: str, l_end: str, right: DataFrame, r_start: str, r_end: str,
