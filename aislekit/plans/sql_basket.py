@@ -19,14 +19,14 @@ elig AS (
    OR (p.promotion_scope = 'product' AND EXISTS (SELECT 1 FROM lines l WHERE l.transaction_id = h.transaction_id AND CAST(l.product_id AS VARCHAR) = p.promotion_target_id))
    OR (p.promotion_scope = 'category' AND EXISTS (SELECT 1 FROM lines l WHERE l.transaction_id = h.transaction_id AND l.category = p.promotion_target_id))
    OR (p.promotion_scope = 'bundle' AND EXISTS (SELECT 1 FROM vb WHERE vb.transaction_id = h.transaction_id AND CAST(vb.bundle_id AS VARCHAR) = p.promotion_target_id)))),
-pl AS (
+plines AS (
  SELECT e.transaction_id, e.promotion_id, l.product_id, CAST(l.unit_price * l.quantity AS DECIMAL(38,6)) AS line_total
  FROM elig e JOIN lines l ON l.transaction_id = e.transaction_id
  WHERE (e.promotion_scope = 'product' AND CAST(l.product_id AS VARCHAR) = e.promotion_target_id)
     OR (e.promotion_scope = 'category' AND l.category = e.promotion_target_id)
     OR (e.promotion_scope = 'bundle' AND EXISTS (SELECT 1 FROM bundle_items bi WHERE CAST(bi.bundle_id AS VARCHAR) = e.promotion_target_id AND bi.product_id = l.product_id))),
 pa AS (SELECT transaction_id, promotion_id, sum(line_total) AS elig_subtotal, max(product_id) AS last_pid,
-       arg_min(line_total, product_id) AS first_total FROM pl GROUP BY 1, 2),
+       arg_min(line_total, product_id) AS first_total FROM plines GROUP BY 1, 2),
 bp AS (
  SELECT transaction_id, bt, bundle_price FROM (
   SELECT e.transaction_id, e.promotion_target_id AS bt, CAST(b.bundle_price AS DECIMAL(18,2)) AS bundle_price,
@@ -53,9 +53,9 @@ disc AS (
      ELSE 0 END AS DECIMAL(38,6)), 2) AS DECIMAL(18,2)), 0) AS discount
  FROM dz),
 alloc0 AS (
- SELECT pl.transaction_id, pl.promotion_id, pl.product_id, d.discount, d.last_pid,
-   CASE WHEN pl.product_id = d.last_pid THEN NULL ELSE CAST(round(CAST(d.discount * pl.line_total / d.elig_subtotal AS DECIMAL(38,6)), 2) AS DECIMAL(18,2)) END AS share
- FROM pl JOIN disc d USING (transaction_id, promotion_id)),
+ SELECT plines.transaction_id, plines.promotion_id, plines.product_id, d.discount, d.last_pid,
+   CASE WHEN plines.product_id = d.last_pid THEN NULL ELSE CAST(round(CAST(d.discount * plines.line_total / d.elig_subtotal AS DECIMAL(38,6)), 2) AS DECIMAL(18,2)) END AS share
+ FROM plines JOIN disc d USING (transaction_id, promotion_id)),
 alloc AS (
  SELECT transaction_id, promotion_id, product_id,
    CAST(CASE WHEN discount <= 0 THEN 0 WHEN product_id = last_pid
