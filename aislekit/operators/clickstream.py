@@ -164,21 +164,22 @@ def session_starts(events: DataFrame) -> DataFrame:
                                                           F.count(F.lit(1)).alias("events"))
 
 
-def session_gaps(events: DataFrame, cap_hours: float = 24 * 60) -> DataFrame:
-    """Hours since the customer's previous session (capped at 60
-    days) and a band: short (< 1 day), weekly (< 8 days), long."""
+def session_gaps(events: DataFrame, cap_hours: int = 24 * 60) -> DataFrame:
+    """Whole seconds since the customer's previous session (capped at
+    60 days) and a band: short (< 1 day), weekly (< 8 days), long.  The gap
+    is exact integer arithmetic on microseconds."""
     s = session_starts(events)
     n = neighbour(s, ["customer_id"], ["session_start", "session_id"], ["session_start"], "prev")
-    hours = (F.unix_micros(F.col("session_start").cast("timestamp")) - F.unix_micros(F.col("prev_session_start").cast("timestamp"))) / 3.6e9
-    g = F.when(F.col("prev_session_start").isNotNull(), F.least(hours, F.lit(cap_hours)))
-    return n.select("customer_id", "session_id", F.round(g, 6).alias("gap_hours"),
-                    F.when(g.isNull(), None).when(g < 24, "short").when(g < 24 * 8, "weekly").otherwise("long").alias("gap_band"))
+    us = F.unix_micros(F.col("session_start").cast("timestamp")) - F.unix_micros(F.col("prev_session_start").cast("timestamp"))
+    g = F.when(F.col("prev_session_start").isNotNull(), F.least(F.floor(us / 1000000).cast("long"), F.lit(cap_hours * 3600)))
+    return n.select("customer_id", "session_id", g.alias("gap_seconds"),
+                    F.when(g.isNull(), None).when(g < 86400, "short").when(g < 86400 * 8, "weekly").otherwise("long").alias("gap_band"))
 
 
 def inactive_gap_summary(gaps: DataFrame, customers: DataFrame) -> DataFrame:
     """Log-normal summary of inactive days by segment: mean and sample
     std of log(days) over gaps of at least one day."""
-    d = gaps.where(F.col("gap_hours") >= 24).select("customer_id", F.log(F.col("gap_hours") / 24).alias("__l"))
+    d = gaps.where(F.col("gap_seconds") >= 86400).select("customer_id", F.log(F.col("gap_seconds") / 86400).alias("__l"))
     return (d.join(customers.select("customer_id", "customer_segment"), "customer_id")
             .groupBy("customer_segment").agg(F.round(F.avg("__l"), 6).alias("log_mean"), F.round(F.stddev_samp("__l"), 6).alias("log_std"),
                                              F.count(F.lit(1)).alias("gaps")))

@@ -117,10 +117,10 @@ def k14(t):
 
 
 _STARTS = "SELECT customer_id, session_id, min(event_timestamp) AS session_start FROM clickstreams GROUP BY 1, 2"
-_GAPS = f"""SELECT customer_id, session_id, CASE WHEN ps IS NOT NULL THEN round(least((epoch_us(session_start) - epoch_us(ps)) / 3.6e9, 1440.0), 6) END AS gap_hours,
-  CASE WHEN ps IS NULL THEN NULL WHEN least((epoch_us(session_start) - epoch_us(ps)) / 3.6e9, 1440.0) < 24 THEN 'short'
-       WHEN least((epoch_us(session_start) - epoch_us(ps)) / 3.6e9, 1440.0) < 192 THEN 'weekly' ELSE 'long' END AS gap_band
-FROM (SELECT *, lag(session_start) OVER (PARTITION BY customer_id ORDER BY session_start, session_id) AS ps FROM ({_STARTS}))"""
+_GAPS = f"""SELECT customer_id, session_id, g AS gap_seconds,
+  CASE WHEN g IS NULL THEN NULL WHEN g < 86400 THEN 'short' WHEN g < 86400 * 8 THEN 'weekly' ELSE 'long' END AS gap_band
+FROM (SELECT *, CASE WHEN ps IS NOT NULL THEN least((epoch_us(session_start) - epoch_us(ps)) // 1000000, 5184000) END AS g
+      FROM (SELECT *, lag(session_start) OVER (PARTITION BY customer_id ORDER BY session_start, session_id) AS ps FROM ({_STARTS})))"""
 
 
 @query("k15_session_gap", CS, _GAPS)
@@ -130,8 +130,8 @@ def k15(t):
 
 
 @query("k16_inactive_gap", ("clickstreams", "customers"), f"""
-SELECT c.customer_segment, round(avg(ln(g.gap_hours / 24)), 6) AS log_mean, round(stddev_samp(ln(g.gap_hours / 24)), 6) AS log_std, count(*) AS gaps
-FROM ({_GAPS}) g JOIN customers c USING (customer_id) WHERE g.gap_hours >= 24 GROUP BY 1""")
+SELECT c.customer_segment, round(avg(ln(g.gap_seconds / 86400)), 6) AS log_mean, round(stddev_samp(ln(g.gap_seconds / 86400)), 6) AS log_std, count(*) AS gaps
+FROM ({_GAPS}) g JOIN customers c USING (customer_id) WHERE g.gap_seconds >= 86400 GROUP BY 1""")
 def k16(t):
     """Log-normal summary of inactive days by segment."""
     return K.inactive_gap_summary(K.session_gaps(t.view("clickstreams")), t.view("customers"))
