@@ -36,10 +36,19 @@ BOT_EVENTS = [("Home View", 10), ("Search View", 25), ("Category View", 20), ("P
 MID_FUNNEL_EVENTS = ["Product View", "Add to Cart", "Cart View", "Checkout Start"]
 
 
+def arith_u_sql(key_sql: str, seed: int) -> str:
+    """SQL text of the ``arith`` draw (same integers as ``draw``)."""
+    h1 = f"((({key_sql}) % {MOD}) * 2654435761 + {seed * 7919}) % {MOD}"
+    return f"((({h1}) * ({h1}) + {seed * 104729 + 12345}) % {MOD}) / {MOD}.0"
+
+
 def draw(key: Column, seed: int, mode: str = "xxhash") -> Column:
-    """Uniform [0, 1) from (key, seed)."""
+    """Uniform [0, 1) from (key, seed).  ``arith``: a linear step then a
+    quadratic mixing step modulo a prime (all values < 2^63, so no
+    overflow), reproducible in SQL."""
     if mode == "arith":
-        h = F.pmod(F.pmod(key.cast("long"), F.lit(MOD)) * F.lit(2654435761) + F.lit(seed * 7919), F.lit(MOD))
+        h1 = F.pmod(F.pmod(key.cast("long"), F.lit(MOD)) * F.lit(2654435761) + F.lit(seed * 7919), F.lit(MOD))
+        h = F.pmod(h1 * h1 + F.lit(seed * 104729 + 12345), F.lit(MOD))
     else:
         h = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(MOD))
     return h.cast("double") / MOD
@@ -184,7 +193,7 @@ def detect(df: DataFrame, rules: list[tuple[str, object]]) -> DataFrame:
 def plan_sql(table: str, steps: list[Step], key: str, columns: list[str], seed0: int = 100) -> tuple[dict, str]:
     """Oracle: the same step list written as DuckDB CTEs (arith draws)."""
     def u(seed: int) -> str:
-        return f"((({key} % {MOD}) * 2654435761 + {seed * 7919}) % {MOD}) / {MOD}.0"
+        return arith_u_sql(key, seed)
 
     def add(cond: str, label: str) -> str:
         return (f"CASE WHEN coalesce({cond}, false) AND len(list_distinct(error_types)) < {MAX_ERRORS_PER_ROW} "

@@ -47,7 +47,9 @@ def _assign(t):
     return C.ab_split(a, F.col("is_ab_test"), 50, 50, seed=17, mode="arith")
 
 
-_U = "((((campaign_id * 1000003 + customer_id) % 1000003) * 2654435761 + 134623) % 1000003) / 1000003.0"
+from aislekit.operators.faults import arith_u_sql  # noqa: E402
+
+_U = arith_u_sql("campaign_id * 1000003 + customer_id", 17)
 ASSIGN_SQL = f"""
 WITH a AS (SELECT k.campaign_id, c.customer_id, k.is_ab_test, k.start_date FROM customers c JOIN campaigns k ON c.customer_segment = k.target_segment
   WHERE c.signup_date <= k.start_date AND {_CONSENT_SQL}),

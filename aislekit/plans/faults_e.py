@@ -17,7 +17,7 @@ MODE = "arith"  # oracle-reproducible draws in the registered queries
 
 
 def _u_sql(key: str, seed: int) -> str:
-    return f"((({key} % {E.MOD}) * 2654435761 + {seed * 7919}) % {E.MOD}) / {E.MOD}.0"
+    return E.arith_u_sql(key, seed)
 
 
 @query("e01_add_error", ("customers",), f"""

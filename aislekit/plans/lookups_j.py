@@ -256,12 +256,12 @@ def j25(t):
 WITH r AS (SELECT * FROM stores WHERE store_type <> 'Online'),
 ba AS (SELECT store_id, area, row_number() OVER (PARTITION BY area ORDER BY store_id) AS pos, count(*) OVER (PARTITION BY area) AS n FROM r),
 al AS (SELECT store_id, row_number() OVER (ORDER BY store_id) AS pos FROM r),
-c AS (SELECT customer_id, area, (customer_id * 2654435761 + 7) % 1000003 AS h FROM customers)
+c AS (SELECT customer_id, area, ((customer_id % 1000003) * 2654435761 + 7) % 1000003 AS h FROM customers)
 SELECT c.customer_id, coalesce((SELECT ba.store_id FROM ba WHERE ba.area = c.area AND ba.pos = c.h % ba.n + 1),
   (SELECT al.store_id FROM al WHERE al.pos = c.h % (SELECT count(*) FROM r) + 1)) AS store_id FROM c""")
 def j26(t):
     """One store per customer: in the home area, else any retail store, by hash rank."""
-    key = (F.col("customer_id") * 2654435761 + 7) % 1000003
+    key = (F.pmod(F.col("customer_id"), F.lit(1000003)) * 2654435761 + 7) % 1000003
     return J.pick_store(t.view("customers"), t.view("stores"), rank_key=key)
 
 
