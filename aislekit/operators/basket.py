@@ -145,11 +145,8 @@ def promotion_discounts(lines: DataFrame, headers: DataFrame, eligible: DataFram
     cent-exact allocation over the lines it applies to.
 
     Returns (per promotion: transaction_id, promotion_id, ..., discount;
-    per line: transaction_id, promotion_id, product_id, allocated).
-    Allocation: each line but the last (highest product id) gets
-    round(D x line / eligible subtotal, 2); the last takes D minus the
-    others, so shares always sum to D.  All aggregates are grouped, not
-    windowed, so one large cart is combined map-side.
+    the promotion lines it covers, for ``allocate``).  All aggregates are
+    grouped, not windowed, so one large cart is combined map-side.
     """
     pl = promotion_lines(lines, eligible, bundle_items)
     keys = ["transaction_id", "promotion_id"]
@@ -183,7 +180,13 @@ def promotion_discounts(lines: DataFrame, headers: DataFrame, eligible: DataFram
                  F.when(F.col("bundle_price").isNull(), F.lit(0)).otherwise(F.greatest(sub - F.col("bundle_price"), F.lit(0))))
            .otherwise(F.lit(0)))
     per_promo = e.withColumn("discount", F.coalesce(money(raw), F.lit(0).cast(MONEY))).withColumn("viable", viable)
-    # allocation: non-last lines rounded by share, last line the remainder
+    return per_promo, pl
+
+
+def allocate(per_promo: DataFrame, pl: DataFrame) -> DataFrame:
+    """Non-last lines get round(D x line / eligible subtotal, 2); the
+    last line (highest product id) takes D minus the others."""
+    keys = ["transaction_id", "promotion_id"]
     d = per_promo.select(*keys, "discount", "elig_subtotal", "last_pid")
     pl2 = pl.select(*keys, "product_id", "line_total").join(d, keys)
     share = money(F.col("discount") * F.col("line_total") / F.col("elig_subtotal"))
@@ -194,7 +197,7 @@ def promotion_discounts(lines: DataFrame, headers: DataFrame, eligible: DataFram
                      F.when(F.col("discount") <= 0, F.lit(0).cast(MONEY))
                      .when(F.col("product_id") == F.col("last_pid"), (F.col("discount") - F.col("__others")).cast(MONEY))
                      .otherwise(F.col("__share")).alias("allocated")))
-    return per_promo, alloc
+    return alloc
 
 
 def promotion_cover(eligible: DataFrame, lines: DataFrame, bundle_items: DataFrame) -> DataFrame:
@@ -302,15 +305,18 @@ def item_lines(lines: DataFrame, alloc: DataFrame, selected: DataFrame) -> DataF
 
 
 def _cut(df: DataFrame, materialize: bool) -> DataFrame:
-    """Cut lineage after a stage: a reliable checkpoint in the session's
-    shared checkpoint folder, so later stages plan against a scan and a
-    lost executor never recomputes the chain."""
+    """Cut lineage after a stage: the stage is written once as parquet in
+    the cluster's shared folder (``spark.checkpoint.dir``) and read back, so
+    later stages plan against a scan, the stage is computed by one job
+    (an RDD checkpoint would compute it twice), and a lost executor never
+    recomputes the chain."""
     if not materialize:
         return df
-    from aislekit.session import ensure_checkpoint_dir
+    from aislekit.sources.io import shared_path
 
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = shared_path(df.sparkSession, "stages")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def price_baskets(lines: DataFrame, headers: DataFrame, promotions: DataFrame, bundle_items: DataFrame,
@@ -324,9 +330,11 @@ def price_baskets(lines: DataFrame, headers: DataFrame, promotions: DataFrame, b
     (each is far smaller than the lines), which keeps every later plan
     small and restartable.
     """
+    lines = _cut(lines, materialize)
     elig = _cut(eligible_promotions(lines, headers, promotions, bundle_items), materialize)
-    per_promo, alloc = promotion_discounts(lines, headers, elig, bundle_items, bundle_pricings)
-    per_promo, alloc = _cut(per_promo, materialize), _cut(alloc, materialize)
+    per_promo, plines = promotion_discounts(lines, headers, elig, bundle_items, bundle_pricings)
+    per_promo = _cut(per_promo, materialize)
+    alloc = _cut(allocate(per_promo, plines), materialize)
     covers = promotion_cover(elig, lines, bundle_items)
     selected = _cut(resolve_stack(per_promo, covers), materialize)
     items = item_lines(lines, alloc, selected)
