@@ -138,3 +138,18 @@ def test_profile_of_empty_table(spark):
 def test_money_rounds_half_up(spark):
     r = spark.range(1).select(B.money(F.lit(Decimal("2.675")))).collect()[0][0]
     assert r == Decimal("2.68")
+
+
+def test_streamed_row_checks_equal_batch(spark, tables):
+    from aislekit.operators.checks import row_check_counts
+    from aislekit.sources.io import shared_path
+    from aislekit.streaming import stream_row_checks
+
+    cust = tables.view("customers")
+    src, sink, chk = shared_path(spark, "src"), shared_path(spark, "sink"), shared_path(spark, "chk")
+    cust.repartition(3).write.parquet(src)
+    q = stream_row_checks(spark, src, cust.schema, "customers", sink, chk)
+    q.awaitTermination()
+    got = spark.read.parquet(sink).groupBy("check_name").agg(F.sum("failed").alias("f")).collect()
+    want = row_check_counts(cust, "customers").collect()
+    assert {r.check_name: r.f for r in got} == {r.check_name: r.failed for r in want}
