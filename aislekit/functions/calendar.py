@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-__all__ = ["time_of_day", "day_type", "pay_cycle", "seasonal_dimension", "overlaps_any",
+__all__ = ["time_of_day", "day_type", "pay_cycle", "seasonal_dimension", "overlaps_any", "campaign_progress_boost",
            "safe_window_end", "SEASONAL_DATES"]
 
 # Seasonal events by type and calendar date.
@@ -66,3 +66,8 @@ def overlaps_any(windows: Column, start: Column, end: Column,
 def safe_window_end(start: Column, end: Column, limit: Column) -> Column:
     """end = min(end, limit); if that falls before start, end = start."""
     return F.greatest(start, F.least(end, limit))
+
+
+def campaign_progress_boost(progress: Column) -> Column:
+    """F22 (one campaign): < 0.2 -> 1.3, < 0.8 -> 1.5, else 0.8."""
+    return F.when(progress < 0.2, 1.3).when(progress < 0.8, 1.5).when(progress.isNotNull(), 0.8)

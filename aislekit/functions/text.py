@@ -9,7 +9,7 @@ __all__ = ["slugify", "parse_net_content", "parse_pack_quantity", "discount_code
            "bundle_quantity", "search_terms", "normalise_pack_size", "normalise_unit",
            "normalise_case", "normalise_separators", "canonical_descriptors",
            "scraped_name_normalise", "product_name", "rating_sentiment", "typo_fold",
-           "map_tokens", "DESCRIPTOR_SYNONYMS"]
+           "map_tokens", "DESCRIPTOR_SYNONYMS", "NAME_PATTERNS", "render_name_pattern", "default_folds"]
 
 
 def slugify(text: Column) -> Column:
@@ -212,3 +212,35 @@ def typo_fold(text: Column, folds: dict[str, str] | None = None) -> Column:
         return F.when(rep.isNotNull(), F.concat(rep, tail)).otherwise(w)
 
     return F.array_join(F.transform(toks, fold), " ")
+
+
+# How scraped listings write brand and product.
+NAME_PATTERNS = [
+    "{brand} {product}",
+    "{product}",
+    "{product} - {brand}",
+    "{brand} - {product}",
+    "{product} ({brand})",
+    "{brand} ({product})",
+    "{product} | {brand}",
+    "[{brand}] {product}",
+    "{product} [{brand}]",
+]
+
+
+def render_name_pattern(index: Column, brand: Column, product: Column) -> Column:
+    """Listing name in the ``index``-th pattern (input for F39)."""
+    expr = None
+    for i, p in enumerate(NAME_PATTERNS):
+        pre, rest = p.split("{", 1)[0], p
+        parts = []
+        for tok in rest.replace("}", "{").split("{"):
+            if tok == "brand":
+                parts.append(brand)
+            elif tok == "product":
+                parts.append(product)
+            elif tok:
+                parts.append(F.lit(tok))
+        v = F.concat(*parts)
+        expr = F.when(index == i, v) if expr is None else expr.when(index == i, v)
+    return expr

@@ -118,3 +118,38 @@ def age_at(dob: Column, when: Column) -> Column:
     w, d = F.to_date(when), F.to_date(dob)
     before = (F.month(w) < F.month(d)) | ((F.month(w) == F.month(d)) & (F.dayofmonth(w) < F.dayofmonth(d)))
     return (F.year(w) - F.year(d) - F.when(before, 1).otherwise(0)).cast("int")
+
+
+def competitor_price_history(scrapes: DataFrame, products: DataFrame, promo_ratio: float = 0.9) -> DataFrame:
+    """Per (competitor, product, weekly batch) the last scraped price
+    (latest update wins, grouped, no window), the promotion flag (price
+    under ``promo_ratio`` x own price) and the price index against our own
+    price."""
+    batch = F.to_date(F.date_trunc("week", F.col("update_timestamp")))
+    last = scrapes.groupBy("competitor", "product_id", batch.alias("batch_week")).agg(
+        F.max("update_timestamp").alias("update_timestamp"),
+        F.max_by("scraped_price", F.struct("update_timestamp", "scraped_price")).alias("scraped_price"))
+    own = products.select("product_id", F.col("selling_price").alias("__own"))
+    j = last.join(own, "product_id", "left")
+    return j.select("competitor", "product_id", "batch_week", "update_timestamp", "scraped_price",
+                    (F.col("scraped_price") < F.col("__own") * promo_ratio).alias("has_active_promo"),
+                    F.round(F.try_divide(F.col("scraped_price").cast("double"), F.col("__own").cast("double")), 4).alias("price_index"))
+
+
+# Signup weight per calendar month.
+SEASONAL_PEAK_MONTHS = {1: 0.5, 2: 0.6, 3: 0.7, 4: 0.8, 5: 0.9, 6: 1.0, 7: 1.1, 8: 1.2, 9: 1.3, 10: 1.4, 11: 1.8, 12: 2.0}
+
+
+def monthly_signup_index(customers: DataFrame) -> DataFrame:
+    """Observed share of signups per calendar month against the month
+    weight's share -> (month, signups, observed_share, expected_share, index)."""
+    tot_w = sum(SEASONAL_PEAK_MONTHS.values())
+    w = F.create_map(*[x for k, v in SEASONAL_PEAK_MONTHS.items() for x in (F.lit(k), F.lit(v / tot_w))])
+    c = customers.where(F.col("signup_date").isNotNull())
+    g = c.groupBy(F.month("signup_date").alias("month")).agg(F.count(F.lit(1)).alias("signups"))
+    n = c.agg(F.count(F.lit(1)).alias("__n"))
+    j = g.crossJoin(n)  # n is one row
+    obs = F.col("signups") / F.col("__n")
+    exp_ = F.element_at(w, F.col("month"))
+    return j.select("month", "signups", F.round(obs, 6).alias("observed_share"), F.round(exp_, 6).alias("expected_share"),
+                    F.round(obs / exp_, 4).alias("signup_index"))

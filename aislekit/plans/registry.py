@@ -35,6 +35,7 @@ _MODULES = (
     "aislekit.plans.clickstream_k",
     "aislekit.plans.faults_e",
     "aislekit.plans.sources_s",
+    "aislekit.plans.extended",
 )
 
 
