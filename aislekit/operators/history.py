@@ -146,9 +146,9 @@ def monthly_signup_index(customers: DataFrame) -> DataFrame:
     tot_w = sum(SEASONAL_PEAK_MONTHS.values())
     w = F.create_map(*[x for k, v in SEASONAL_PEAK_MONTHS.items() for x in (F.lit(k), F.lit(v / tot_w))])
     c = customers.where(F.col("signup_date").isNotNull())
+    from pyspark.sql import Window
     g = c.groupBy(F.month("signup_date").alias("month")).agg(F.count(F.lit(1)).alias("signups"))
-    n = c.agg(F.count(F.lit(1)).alias("__n"))
-    j = g.crossJoin(n)  # n is one row
+    j = g.withColumn("__n", F.sum("signups").over(Window.partitionBy()))  # 12 grouped rows
     obs = F.col("signups") / F.col("__n")
     exp_ = F.element_at(w, F.col("month"))
     return j.select("month", "signups", F.round(obs, 6).alias("observed_share"), F.round(exp_, 6).alias("expected_share"),

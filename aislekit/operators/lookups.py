@@ -124,16 +124,30 @@ def eligible_for_customer(promotions: DataFrame, treatment_pairs: DataFrame) ->
     return linked.select("customer_id", "promotion_id").unionByName(glob.select("customer_id", "promotion_id"))
 
 
-def page_promotions(events: DataFrame, promotions: DataFrame, bundle_items: DataFrame) -> DataFrame:
+def bounded(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most
+    max_rows + 1 rows)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def page_promotions(events: DataFrame, promotions: DataFrame, bundle_items: DataFrame,
+                    max_broadcast_rows: int = 10000) -> DataFrame:
     """Promotions relevant on each page, one equi join per scope
     (cart by page type, category by the viewed product's category,
     product by product, bundle by membership), then a union."""
     p = promotions.select("promotion_id", "promotion_scope", "promotion_target_id")
     e = events.select("event_id", "event_type", F.col("product_id").cast("string").alias("__pid"),
                       F.col("category").alias("__cat"))
-    # cart promotions apply to the cart pages: an equi join on the page group
-    cart = (e.where(F.col("event_type").isin("Cart View", "Checkout Start")).withColumn("__g", F.lit("cart"))
-            .join(p.where(F.col("promotion_scope") == "cart").select("promotion_id", F.lit("cart").alias("__g")), "__g"))
+    # cart-scope promotions apply to every cart page, so the pairing is the
+    # result itself.  The promotion side is broadcast only after its size is
+    # checked; past the bound both sides are partitioned and paired block by
+    # block (no single task holds either side).
+    cart_p = p.where(F.col("promotion_scope") == "cart").select("promotion_id")
+    cart_e = e.where(F.col("event_type").isin("Cart View", "Checkout Start"))
+    if bounded(cart_p, max_broadcast_rows):
+        cart = cart_e.join(F.broadcast(cart_p), how="cross")
+    else:
+        cart = cart_e.crossJoin(cart_p)
     cat = e.where(F.col("event_type").isin("Category View", "Product View")).join(
         p.where(F.col("promotion_scope") == "category"), F.col("__cat") == F.col("promotion_target_id"))
     prod = e.where(F.col("event_type") == "Product View").join(

@@ -156,9 +156,9 @@ def k18(t):
     ts = F.col("event_timestamp")
     g = c.groupBy(fx.day_type(ts).alias("day_type"), fx.pay_cycle(ts).alias("pay_cycle"), fx.time_of_day(ts).alias("time_of_day")) \
         .agg(F.count(F.lit(1)).alias("events"))
-    tot = c.agg(F.count(F.lit(1)).alias("__t"))
-    return g.crossJoin(tot).select("day_type", "pay_cycle", "time_of_day", "events",  # tot is one row
-                                   F.round(F.col("events") / F.col("__t"), 6).alias("share"))
+    from pyspark.sql import Window
+    tot = F.sum("events").over(Window.partitionBy())  # over the grouped result: at most 2 x 3 x 6 rows
+    return g.select("day_type", "pay_cycle", "time_of_day", "events", F.round(F.col("events") / tot, 6).alias("share"))
 
 
 @query("k20_session_flags", ("clickstreams", "campaign_exposures", "campaigns"), f"""

@@ -251,9 +251,9 @@ SELECT promotion_id, e.event_type, n AS times_seen, round(least(0.03 +
 FROM promotions, (VALUES ('Product View'), ('Cart View'), ('Category View')) e(event_type), (VALUES (1), (3)) s(n)""")
 def f23(t):
     """Engagement score of each promotion on three pages after 1 and 3 views."""
-    pages = t.spark.createDataFrame([("Product View",), ("Cart View",), ("Category View",)], "event_type string")
-    seen = t.spark.createDataFrame([(1,), (3,)], "times_seen int")
-    p = t.view("promotions").crossJoin(F.broadcast(pages)).crossJoin(F.broadcast(seen))  # 6 fixed rows
+    p = (t.view("promotions")
+         .withColumn("event_type", F.explode(F.array(F.lit("Product View"), F.lit("Cart View"), F.lit("Category View"))))
+         .withColumn("times_seen", F.explode(F.array(F.lit(1), F.lit(3)))))
     s = fx.engagement_score(F.col("promotion_scope"), F.col("promotion_mechanic"), F.col("promotion_value"),
                             F.col("event_type"), F.col("times_seen"))
     return p.select("promotion_id", "event_type", F.col("times_seen").alias("n"), F.round(s, 6).alias("score")) \
