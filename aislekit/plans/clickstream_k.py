@@ -23,7 +23,7 @@ LEFT JOIN (SELECT customer_id, cart_epoch AS ep, list(pid ORDER BY pid) AS items
    SELECT customer_id, cart_epoch, CAST(product_id AS VARCHAR) AS pid, unnest(range(CAST(n AS BIGINT))) AS _i FROM (
      SELECT customer_id, cart_epoch, product_id, sum(s) AS n FROM k WHERE event_type IN ('Add to Cart', 'Remove from Cart') GROUP BY 1, 2, 3) WHERE n > 0)
    GROUP BY 1, 2) i USING (customer_id, ep)"""
-ENR_SQL = """SELECT k.event_id, k.session_id, k.customer_id, k.event_type, k.event_timestamp, k.product_id, p.product_name, p.category,
+ENR_SQL = """SELECT k.event_id, k.session_id, k.customer_id, k.event_type, k.event_timestamp, k.product_id, p.product_name, p.category, k.scroll_depth,
   row_number() OVER (PARTITION BY k.session_id ORDER BY k.event_timestamp, k.event_id) AS event_order,
   CASE WHEN count(*) OVER (PARTITION BY k.session_id) = 1 THEN 1 ELSE 0 END AS bounce_flag, k.cart_size,
   coalesce(pi.purchased_items, CAST([] AS VARCHAR[])) AS purchased_items,

@@ -36,6 +36,7 @@ _MODULES = (
     "aislekit.plans.faults_e",
     "aislekit.plans.sources_s",
     "aislekit.plans.extended",
+    "aislekit.plans.click_faults_e",
 )
 
 

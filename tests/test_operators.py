@@ -153,3 +153,27 @@ def test_streamed_row_checks_equal_batch(spark, tables):
     got = spark.read.parquet(sink).groupBy("check_name").agg(F.sum("failed").alias("f")).collect()
     want = row_check_counts(cust, "customers").collect()
     assert {r.check_name: r.f for r in got} == {r.check_name: r.failed for r in want}
+
+
+def test_dirty_clickstream_properties(tables):
+    from aislekit.operators import click_faults as CF
+    from aislekit.operators.clickstream import enrich_clickstream
+
+    e = enrich_clickstream(tables.view("clickstreams"), tables.view("products"))
+    d = CF.dirty_clickstream(e, "arith").cache()
+    labels = F.col("error_types")
+    copies = F.array_contains(labels, "duplicate event") | F.array_contains(labels, "bot traffic") | F.array_contains(labels, "orphan session")
+    base = d.where(~copies)
+    # every input event comes out exactly once (plus marked copies)
+    assert base.count() == e.count() == base.select("event_id").distinct().count()
+    # labels stay under the cap on the corrupted originals
+    assert base.where(F.size(F.array_distinct(labels)) > 4).count() == 0
+    # bot sessions hold 5-20 events; orphan sessions have no landing event
+    bots = d.where(F.array_contains(labels, "bot traffic")).groupBy("session_id").count()
+    assert bots.where((F.col("count") < 5) | (F.col("count") > 20)).count() == 0
+    orph = d.where(F.array_contains(labels, "orphan session"))
+    assert orph.where(F.col("event_type") == "Home View").count() == 0
+    # clean-profile sessions never get corrupted originals
+    b = CF.with_budget(e, "arith").select("event_id", "__budget")
+    zero = base.join(b.where(F.col("__budget") == 0), "event_id")
+    assert zero.where(F.size(labels) > 0).count() == 0
