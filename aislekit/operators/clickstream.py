@@ -235,3 +235,81 @@ def enrich_clickstream(events: DataFrame, products: DataFrame) -> DataFrame:
     items = purchased_items(r)
     return (r.join(items, "event_id", "left")
             .withColumn("purchased_items", F.coalesce("purchased_items", F.array().cast("array<string>"))))
+
+
+# Static edge multipliers (treatment, then segment).
+TREATMENT_EDGES = [("Product View", "Add to Cart", 1.1), ("Cart View", "Checkout Start", 1.1), ("Checkout Start", "Payment Attempt", 1.1)]
+SEGMENT_EDGES = {
+    "High Spenders": [("Product View", "Add to Cart", 1.1), ("Cart View", "Checkout Start", 1.1)],
+    "Budget Shoppers": [("Product View", "Add to Cart", 0.9), ("Cart View", "Checkout Start", 0.9), ("Product View", "Search View", 1.1)],
+    "Churn Risk Customers": [("Product View", "Add to Cart", 0.85), ("Cart View", "Checkout Start", 0.85)],
+}
+# Mission multiplier per next event.
+MISSION_TRANSITION_MULTIPLIERS = {
+    "Quick Top Up": {"Add to Cart": 1.2},
+    "Regular Buy": {"Search View": 1.3, "Add to Cart": 1.1, "Checkout Start": 1.1},
+    "Bulk Buy": {"Add to Cart": 1.5, "Checkout Start": 1.3},
+    "Browsing": {"Search View": 1.2, "Category View": 1.4, "Product View": 1.5, "Add to Cart": 0.6},
+}
+
+
+def static_modifiers(spark) -> DataFrame:
+    """K07 table: (segment, has_treatment, from, to, multiplier) for the
+    named edges (segment null = any)."""
+    rows = []
+    for a, b, m in TREATMENT_EDGES:
+        rows.append((None, True, a, b, m))
+    for seg, edges in SEGMENT_EDGES.items():
+        for a, b, m in edges:
+            rows.append((seg, None, a, b, m))
+    return spark.createDataFrame(rows, "segment string, has_treatment boolean, from_event string, to_event string, multiplier double")
+
+
+def modified_transitions(groups: DataFrame) -> DataFrame:
+    """The transition table adjusted for each observed (segment,
+    has_treatment) group and renormalised per from-event.
+    ``groups``: distinct (customer_segment, has_treatment)."""
+    spark = groups.sparkSession
+    base = transition_table(spark)
+    g = groups.select(F.col("customer_segment").alias("segment"), "has_treatment").distinct()
+    gb = g.join(F.broadcast(base), how="cross")  # groups (<= 10) x the fixed 40-row table
+    mods = static_modifiers(spark)
+    tm = mods.where(F.col("has_treatment").isNotNull()).select("from_event", "to_event", F.col("multiplier").alias("__tm"))
+    sm = mods.where(F.col("segment").isNotNull()).select("segment", "from_event", "to_event", F.col("multiplier").alias("__sm"))
+    j = (gb.join(F.broadcast(tm), ["from_event", "to_event"], "left").join(F.broadcast(sm), ["segment", "from_event", "to_event"], "left"))
+    p = (F.col("probability") * F.when(F.col("has_treatment"), F.coalesce("__tm", F.lit(1.0))).otherwise(1.0)
+         * F.coalesce("__sm", F.lit(1.0)))
+    from pyspark.sql import Window
+    w = Window.partitionBy("segment", "has_treatment", "from_event")  # <= 6 rows each
+    return j.select("segment", "has_treatment", "from_event", "to_event", p.alias("__p")).select(
+        "segment", "has_treatment", "from_event", "to_event", F.round(F.col("__p") / F.sum("__p").over(w), 6).alias("probability"))
+
+
+def mission_transitions(missions: DataFrame, progress: float = 0.5) -> DataFrame:
+    """The transition table under each observed mission: the mission's
+    multiplier on its next events (Checkout Start scaled by 0.3 + 0.7
+    progress), renormalised per from-event."""
+    spark = missions.sparkSession
+    base = transition_table(spark)
+    rows = [(m, e, v * ((0.3 + 0.7 * progress) if e == "Checkout Start" else 1.0))
+            for m, d in MISSION_TRANSITION_MULTIPLIERS.items() for e, v in d.items()]
+    mm = spark.createDataFrame(rows, "mission string, to_event string, multiplier double")
+    g = missions.select("mission").distinct().join(F.broadcast(base), how="cross")  # <= 4 missions x 40 rows
+    j = g.join(F.broadcast(mm), ["mission", "to_event"], "left")
+    from pyspark.sql import Window
+    p = F.col("probability") * F.coalesce("multiplier", F.lit(1.0))
+    w = Window.partitionBy("mission", "from_event")
+    return j.select("mission", "from_event", "to_event", p.alias("__p")).select(
+        "mission", "from_event", "to_event", F.round(F.col("__p") / F.sum("__p").over(w), 6).alias("probability"))
+
+
+def purchase_ratio_params(mission: Column, has_treatment: Column, segment: Column) -> Column:
+    """Beta (alpha, beta) of the purchase ratio by mission, treatment
+    and segment (each at least 0.1) and its mean."""
+    a = F.when(mission == "Bulk Buy", 8.0).when(mission == "Regular Buy", 6.0).otherwise(5.0)
+    b = F.when(mission == "Bulk Buy", 2.0).when(mission == "Regular Buy", 2.0).otherwise(2.0)
+    a = a * F.when(F.coalesce(has_treatment, F.lit(False)), 1.2).otherwise(1.0)
+    a = a * F.when(segment == "High Spenders", 1.1).when(segment == "Budget Shoppers", 0.9).when(segment == "Churn Risk Customers", 0.8).otherwise(1.0)
+    b = b * F.when(segment == "High Spenders", 0.9).when(segment == "Budget Shoppers", 1.1).when(segment == "Churn Risk Customers", 1.2).otherwise(1.0)
+    a, b = F.greatest(a, F.lit(0.1)), F.greatest(b, F.lit(0.1))
+    return F.struct(a.alias("alpha"), b.alias("beta"), (a / (a + b)).alias("mean"))

@@ -347,3 +347,70 @@ def x_cl25(t):
     bad = (((F.col("event_type") == "Payment Attempt") & (seen_c == 0))
            | (F.col("event_type").isin("Payment Successful", "Payment Failed") & (seen_a == 0)))
     return e.where(bad).select("event_id")
+
+
+def _trans_values() -> str:
+    return "VALUES " + ", ".join(f"('{a}', '{b}', {p})" for a, m in K.VALID_EVENT_TRANSITIONS.items() for b, p in m.items())
+
+
+_GROUPS_SQL = f"""WITH s AS ({_STARTS}), a AS (SELECT DISTINCT campaign_id, customer_id, assignment_group FROM campaign_exposures),
+j AS (SELECT s.session_id, a.assignment_group FROM s JOIN a USING (customer_id) JOIN campaigns c USING (campaign_id)
+      WHERE c.start_date <= s.session_start AND c.end_date >= s.session_start),
+f AS (SELECT s.customer_id, s.session_id, coalesce(bool_or(j.assignment_group = 'Treatment'), false) AS has_treatment FROM s LEFT JOIN j USING (session_id) GROUP BY 1, 2),
+g AS (SELECT DISTINCT cu.customer_segment AS segment, f.has_treatment FROM f JOIN customers cu USING (customer_id))"""
+
+
+@query("k07_static_modifiers", ("clickstreams", "campaign_exposures", "campaigns", "customers"), _GROUPS_SQL + f""",
+b AS (SELECT * FROM ({_trans_values()}) v(from_event, to_event, probability)),
+x AS (SELECT g.segment, g.has_treatment, b.from_event, b.to_event, b.probability
+  * CASE WHEN g.has_treatment AND (b.from_event, b.to_event) IN (('Product View', 'Add to Cart'), ('Cart View', 'Checkout Start'), ('Checkout Start', 'Payment Attempt')) THEN 1.1 ELSE 1.0 END
+  * CASE WHEN g.segment = 'High Spenders' AND (b.from_event, b.to_event) IN (('Product View', 'Add to Cart'), ('Cart View', 'Checkout Start')) THEN 1.1
+         WHEN g.segment = 'Budget Shoppers' AND (b.from_event, b.to_event) IN (('Product View', 'Add to Cart'), ('Cart View', 'Checkout Start')) THEN 0.9
+         WHEN g.segment = 'Budget Shoppers' AND (b.from_event, b.to_event) = ('Product View', 'Search View') THEN 1.1
+         WHEN g.segment = 'Churn Risk Customers' AND (b.from_event, b.to_event) IN (('Product View', 'Add to Cart'), ('Cart View', 'Checkout Start')) THEN 0.85
+         ELSE 1.0 END AS p FROM g, b)
+SELECT segment, has_treatment, from_event, to_event, round(p / sum(p) OVER (PARTITION BY segment, has_treatment, from_event), 6) AS probability FROM x""")
+def k07(t):
+    """Transition table adjusted for each observed (segment, treatment) group."""
+    s = K.session_starts(t.view("clickstreams"))
+    f = K.session_flags(s, t.view("campaign_exposures"), t.view("campaigns")).join(s.select("session_id", "customer_id"), "session_id")
+    g = f.join(t.view("customers").select("customer_id", "customer_segment"), "customer_id").select(
+        "customer_segment", F.col("has_treatment_campaign").alias("has_treatment"))
+    return K.modified_transitions(g)
+
+
+_MISSION_SQL = "CASE WHEN basket_size BETWEEN 1 AND 2 THEN 'Browsing' WHEN basket_size BETWEEN 1 AND 5 THEN 'Quick Top Up' WHEN basket_size BETWEEN 6 AND 15 THEN 'Regular Buy' WHEN basket_size BETWEEN 16 AND 40 THEN 'Bulk Buy' END"
+
+
+@query("k11_mission_transitions", ("basket_items",), f"""
+WITH m AS (SELECT DISTINCT {_MISSION_SQL} AS mission FROM (SELECT transaction_id, sum(quantity) AS basket_size FROM basket_items GROUP BY 1)),
+b AS (SELECT * FROM ({_trans_values()}) v(from_event, to_event, probability)),
+mm AS (SELECT * FROM (VALUES {", ".join(f"('{k}', '{e}', {v * (0.65 if e == 'Checkout Start' else 1.0)!r})" for k, d in K.MISSION_TRANSITION_MULTIPLIERS.items() for e, v in d.items())}) v(mission, to_event, multiplier)),
+x AS (SELECT m.mission, b.from_event, b.to_event, b.probability * coalesce(mm.multiplier, 1.0) AS p FROM m CROSS JOIN b LEFT JOIN mm ON mm.mission = m.mission AND mm.to_event = b.to_event)
+SELECT mission, from_event, to_event, round(p / sum(p) OVER (PARTITION BY mission, from_event), 6) AS probability FROM x""")
+def k11(t):
+    """Transition table under each shopping mission seen in the baskets (progress 0.5)."""
+    from aislekit.operators import basket as B
+    sizes = t.view("basket_items").groupBy("transaction_id").agg(F.sum("quantity").alias("basket_size"))
+    return K.mission_transitions(sizes.select(B.basket_mission(F.col("basket_size")).alias("mission")))
+
+
+@query("f28_purchase_ratio_params", ("basket_items", "transactions", "customers", "campaign_exposures"), f"""
+WITH s AS (SELECT transaction_id, {_MISSION_SQL} AS mission FROM (SELECT transaction_id, sum(quantity) AS basket_size FROM basket_items GROUP BY 1)),
+tr AS (SELECT customer_id, bool_or(assignment_group = 'Treatment') AS tr FROM campaign_exposures GROUP BY 1),
+j AS (SELECT s.transaction_id, s.mission, coalesce(tr.tr, false) AS tr, c.customer_segment AS seg FROM s JOIN transactions t USING (transaction_id)
+      LEFT JOIN tr ON tr.customer_id = t.customer_id LEFT JOIN customers c ON c.customer_id = t.customer_id),
+ab AS (SELECT transaction_id,
+  greatest(CASE mission WHEN 'Bulk Buy' THEN 8.0 WHEN 'Regular Buy' THEN 6.0 ELSE 5.0 END * CASE WHEN tr THEN 1.2 ELSE 1.0 END
+    * CASE seg WHEN 'High Spenders' THEN 1.1 WHEN 'Budget Shoppers' THEN 0.9 WHEN 'Churn Risk Customers' THEN 0.8 ELSE 1.0 END, 0.1) AS a,
+  greatest(2.0 * CASE seg WHEN 'High Spenders' THEN 0.9 WHEN 'Budget Shoppers' THEN 1.1 WHEN 'Churn Risk Customers' THEN 1.2 ELSE 1.0 END, 0.1) AS b FROM j)
+SELECT transaction_id, round(a, 6) AS alpha, round(b, 6) AS beta, round(a / (a + b), 6) AS mean FROM ab""")
+def f28(t):
+    """Purchase-ratio Beta parameters of each basket from mission, treatment and segment."""
+    from aislekit.operators import basket as B
+    sizes = t.view("basket_items").groupBy("transaction_id").agg(F.sum("quantity").alias("basket_size"))
+    tr = t.view("campaign_exposures").groupBy("customer_id").agg(F.bool_or(F.col("assignment_group") == "Treatment").alias("tr"))
+    j = (sizes.join(t.view("transactions").select("transaction_id", "customer_id"), "transaction_id")
+         .join(tr, "customer_id", "left").join(t.view("customers").select("customer_id", "customer_segment"), "customer_id", "left"))
+    p = K.purchase_ratio_params(B.basket_mission(F.col("basket_size")), F.col("tr"), F.col("customer_segment"))
+    return j.select("transaction_id", F.round(p["alpha"], 6).alias("alpha"), F.round(p["beta"], 6).alias("beta"), F.round(p["mean"], 6).alias("mean"))
