@@ -9,11 +9,23 @@ QUERIES = entry.queries()
 SQL = entry.oracle_sql()
 
 
+# Generated rows (bot / orphan sessions and their composition) are checked by
+# properties in test_operators.py instead of an oracle.
+NO_ORACLE = {"e16_bot_traffic", "e17_orphan_sessions", "t12_clickstreams_faults"}
+
+
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(SQL)
+    assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) - set(SQL) == NO_ORACLE
+
+
+@pytest.mark.parametrize("name", sorted(NO_ORACLE))
+def test_rows_only_queries_run(name, spark, sf_dir):
+    df = QUERIES[name](spark, sf_dir)
+    assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(name, spark, sf_dir, duck):
     df = QUERIES[name](spark, sf_dir)
     rows = df.collect()
