@@ -301,3 +301,35 @@ def e15(t):
         "event_id", (F.col("event_timestamp") + F.make_interval(secs=(1 + F.floor(E.draw(F.col("event_id"), 32, "arith") * 3)).cast("int"))).alias("event_timestamp"),
         F.array(F.lit("duplicate event")).alias(ERR))
     return base.unionByName(dup)
+
+
+from aislekit.plans.bundles_u import BUNDLES_SQL  # noqa: E402
+
+T09_STEPS = [
+    Step("ws", "bundle_name", 0.02, "bundle name formatting anomaly"),
+    Step("set", "bundle_id", 0.02, "duplicate bundle id", value=lambda u: F.col("bundle_id") + 40, sql_value="bundle_id + 40"),
+]
+BUNDLE_TABLE_SQL = f"""SELECT bundle_id, bundle_type, categories, bundle_type || ' ' || array_to_string(categories, ' & ') AS bundle_name, bundle_id AS __rk
+FROM ({BUNDLES_SQL})"""
+
+
+def bundles_table(t):
+    bi = t.view("bundle_items").join(t.view("products").select("product_id", "category"), "product_id")
+    b = bi.groupBy("bundle_id").agg(F.sort_array(F.collect_set("category")).alias("categories")).withColumn("bundle_type", bundle_type_col())
+    return b.select("bundle_id", "bundle_type", "categories",
+                    F.concat_ws(" ", F.col("bundle_type"), F.array_join("categories", " & ")).alias("bundle_name"),
+                    F.col("bundle_id").alias("__rk"))
+
+
+def t09(t):
+    """Bundles after their seeded fault plan (name noise, repeated ids)."""
+    return E.apply_plan(bundles_table(t), T09_STEPS, "__rk", "arith").select("__rk", "bundle_id", "bundle_name", ERR)
+
+
+def _t09_sql():
+    ctes, last = E.plan_sql("bundles_b", T09_STEPS, "__rk", [])
+    allc = {"bundles_b": BUNDLE_TABLE_SQL, **ctes}
+    return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in allc.items()) + f"\nSELECT __rk, bundle_id, bundle_name, error_types FROM {last}"
+
+
+_Q["t09_bundles_faults"] = _Qy("t09_bundles_faults", t09, _wv(("bundle_items", "products"), _t09_sql()))
