@@ -144,3 +144,47 @@ def bundle_followups(bundle_items: DataFrame) -> DataFrame:
         "bundle_id", (F.col("pos") + 2).alias("step"), "e.event_type", "e.product_id")
     first = anchor.select("bundle_id", F.lit(1).alias("step"), F.lit("Product View").alias("event_type"), F.col("__a").alias("product_id"))
     return first.unionByName(steps)
+
+
+# Mechanics each channel supports, and per campaign type the
+# primary / secondary mechanics and promotion count range.
+CHANNEL_PROMOTION_COMPATIBILITY = {
+    "Email": ["free_shipping", "percentage_discount"],
+    "Push Notifications": ["free_shipping", "percentage_discount"],
+    "Paid Advertisements": ["percentage_discount", "bundle"],
+    "In-App": ["bundle", "percentage_discount"],
+    "SMS": ["free_shipping"],
+}
+CAMPAIGN_PROMOTION_STRATEGY = {
+    "Seasonal": {"primary": ["percentage_discount", "bundle"], "secondary": ["free_shipping"], "promo_count": (2, 3)},
+    "Clearance": {"primary": ["dollar_discount"], "secondary": ["percentage_discount"]},
+    "Acquisition": {"primary": ["free_shipping", "percentage_discount"], "secondary": []},
+    "Retention": {"primary": ["percentage_discount"], "secondary": ["free_shipping"]},
+}
+DEFAULT_PROMO_COUNT = (1, 2)  # the types that only declare max_promotions use the default
+
+
+def mechanics_for(campaign_type: Column, channels: Column, count_draw: Column) -> Column:
+    """Mechanics a campaign carries: the channel-allowed mechanics,
+    the first allowed primary, then allowed secondaries and unused
+    primaries up to the promotion count (drawn in the type's range)."""
+    def lit_arr(xs):
+        return F.array(*[F.lit(x) for x in xs]) if xs else F.array().cast("array<string>")
+    compat = F.create_map(*[x for k, v in CHANNEL_PROMOTION_COMPATIBILITY.items() for x in (F.lit(k), lit_arr(v))])
+    allowed = F.array_distinct(F.flatten(F.transform(channels, lambda c: F.coalesce(F.element_at(compat, c), F.array().cast("array<string>")))))
+
+    def pick(field):
+        expr = None
+        for k, v in CAMPAIGN_PROMOTION_STRATEGY.items():
+            val = lit_arr(v[field])
+            expr = F.when(campaign_type == k, val) if expr is None else expr.when(campaign_type == k, val)
+        return expr.otherwise(F.array().cast("array<string>"))
+
+    lo = F.when(campaign_type == "Seasonal", 2).otherwise(DEFAULT_PROMO_COUNT[0])
+    hi = F.when(campaign_type == "Seasonal", 3).otherwise(DEFAULT_PROMO_COUNT[1])
+    n = lo + F.floor(count_draw * (hi - lo + 1)).cast("int")
+    primary = F.filter(pick("primary"), lambda p: F.array_contains(allowed, p))
+    first = F.slice(primary, 1, 1)
+    rest = F.concat(F.filter(pick("secondary"), lambda p: F.array_contains(allowed, p)), F.slice(primary, 2, 10))
+    fill = F.greatest(n - F.size(first), F.lit(0))
+    return F.concat(first, F.slice(rest, 1, fill))

@@ -171,3 +171,27 @@ UNION ALL SELECT bundle_id, CAST(row_number() OVER (PARTITION BY bundle_id ORDER
 def c11(t):
     """Follow-up events after a bundle's anchor view: view and adds per member."""
     return C.bundle_followups(t.view("bundle_items"))
+
+
+def _mech_sql() -> str:
+    compat = " ".join(f"WHEN '{k}' THEN [{', '.join(repr(x) for x in v)}]" for k, v in C.CHANNEL_PROMOTION_COMPATIBILITY.items())
+    prim = " ".join(f"WHEN '{k}' THEN [{', '.join(repr(x) for x in v['primary'])}]" for k, v in C.CAMPAIGN_PROMOTION_STRATEGY.items())
+    sec = " ".join(f"WHEN '{k}' THEN {('[' + ', '.join(repr(x) for x in v['secondary']) + ']') if v['secondary'] else 'CAST([] AS VARCHAR[])'}"
+                   for k, v in C.CAMPAIGN_PROMOTION_STRATEGY.items())
+    u = arith_u_sql("campaign_id", 41)
+    return f"""
+WITH c AS (SELECT campaign_id, campaign_type, {CHAN_SQL} AS ch FROM campaigns k),
+a AS (SELECT campaign_id, campaign_type, list_distinct(flatten(list_transform(ch, lambda x: coalesce(CASE x {compat} END, CAST([] AS VARCHAR[]))))) AS allowed FROM c),
+p AS (SELECT *, list_filter(CASE campaign_type {prim} ELSE CAST([] AS VARCHAR[]) END, lambda x: list_contains(allowed, x)) AS primary_ok,
+   list_filter(CASE campaign_type {sec} ELSE CAST([] AS VARCHAR[]) END, lambda x: list_contains(allowed, x)) AS secondary_ok,
+   CASE WHEN campaign_type = 'Seasonal' THEN 2 ELSE 1 END + CAST(floor({u} * (CASE WHEN campaign_type = 'Seasonal' THEN 2 ELSE 2 END)) AS INTEGER) AS n FROM a)
+SELECT campaign_id, list_concat(primary_ok[1:1], list_concat(secondary_ok, primary_ok[2:10])[1:greatest(n - len(primary_ok[1:1]), 0)]) AS mechanics FROM p"""
+
+
+@query("b17_mechanics_for", ("campaigns",), _mech_sql())
+def b17(t):
+    """Promotion mechanics each campaign carries given its type and channels."""
+    from aislekit.operators.faults import draw
+    c = camp(t)
+    return c.select("campaign_id", C.mechanics_for(F.col("campaign_type"), F.col("channel_list"),
+                                                   draw(F.col("campaign_id"), 41, "arith")).alias("mechanics"))
