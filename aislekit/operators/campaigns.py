@@ -66,7 +66,7 @@ def exposure_funnel(exposures: DataFrame) -> DataFrame:
     """Delivered / opened / clicked counts, cost on delivered rows and
     mean minutes exposed->opened and opened->clicked, by channel and group,
     with ``cube`` totals (null = all)."""
-    mins = lambda a, b: (F.unix_micros(F.col(b).cast("timestamp")) - F.unix_micros(F.col(a).cast("timestamp"))) / 6e7
+    mins = lambda a, b: F.timestamp_diff("MICROSECOND", F.col(a), F.col(b)) / 6e7
     return exposures.cube("channel", "assignment_group").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("exposed")).alias("delivered"),
         F.count_if(F.col("opened")).alias("opened"), F.count_if(F.col("clicked")).alias("clicked"),

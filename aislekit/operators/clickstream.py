@@ -154,8 +154,8 @@ def cart_progress(cart_size: Column, target: Column) -> Column:
 def time_on_page(events: DataFrame) -> DataFrame:
     """Seconds to the next event of the session (null on the last)."""
     n = neighbour(events, ["session_id"], ["event_timestamp", "event_id"], ["event_timestamp"], "next", bucket=hour_bucket())
-    return n.withColumn("time_on_page", F.unix_micros(F.col("next_event_timestamp").cast("timestamp"))
-                        / 1e6 - F.unix_micros(F.col("event_timestamp").cast("timestamp")) / 1e6).drop("next_event_timestamp")
+    us = F.timestamp_diff("MICROSECOND", F.col("event_timestamp"), F.col("next_event_timestamp"))  # no time zone involved
+    return n.withColumn("time_on_page", us / 1e6).drop("next_event_timestamp")
 
 
 def session_starts(events: DataFrame) -> DataFrame:
@@ -170,7 +170,7 @@ def session_gaps(events: DataFrame, cap_hours: int = 24 * 60) -> DataFrame:
     is exact integer arithmetic on microseconds."""
     s = session_starts(events)
     n = neighbour(s, ["customer_id"], ["session_start", "session_id"], ["session_start"], "prev")
-    us = F.unix_micros(F.col("session_start").cast("timestamp")) - F.unix_micros(F.col("prev_session_start").cast("timestamp"))
+    us = F.timestamp_diff("MICROSECOND", F.col("prev_session_start"), F.col("session_start"))
     g = F.when(F.col("prev_session_start").isNotNull(), F.least(F.floor(us / 1000000).cast("long"), F.lit(cap_hours * 3600)))
     return n.select("customer_id", "session_id", g.alias("gap_seconds"),
                     F.when(g.isNull(), None).when(g < 86400, "short").when(g < 86400 * 8, "weekly").otherwise("long").alias("gap_band"))
