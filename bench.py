@@ -1,7 +1,8 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is built from a fresh table set and fully executed with the
-``noop`` sink (the whole plan runs, nothing is collected).  Prints one
+``noop`` sink (the whole plan runs, nothing is collected); the reported
+time is the median of ``$BENCH_RUNS`` (default 3) runs.  Prints one
 JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 """
 
@@ -10,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -43,15 +45,19 @@ def main() -> None:
     # warm-up outside the timings: JVM start, parquet footers, codegen caches
     Tables(spark, sf_dir).lineitem.groupBy("l_returnflag").count().write.format("noop").mode("overwrite").save()
     names = [n for n in HEADLINE if n in QUERIES]
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     times: dict[str, float] = {}
     for n in names:
-        t0 = time.time()
-        df = QUERIES[n].build(Tables(spark, sf_dir))
-        df.write.format("noop").mode("overwrite").save()
-        times[n] = round(time.time() - t0, 3)
+        samples = []
+        for _ in range(runs):
+            t0 = time.time()
+            df = QUERIES[n].build(Tables(spark, sf_dir))
+            df.write.format("noop").mode("overwrite").save()
+            samples.append(time.time() - t0)
+        times[n] = round(statistics.median(samples), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "headline_total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": float(m.group(1)) if m else None, "cpus": int(cpus),
+                      "queries": times, "sf": float(m.group(1)) if m else None, "cpus": int(cpus), "runs": runs,
                       "spark": spark.version}))
 
 
