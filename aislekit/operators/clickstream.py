@@ -313,3 +313,34 @@ def purchase_ratio_params(mission: Column, has_treatment: Column, segment: Colum
     b = b * F.when(segment == "High Spenders", 0.9).when(segment == "Budget Shoppers", 1.1).when(segment == "Churn Risk Customers", 1.2).otherwise(1.0)
     a, b = F.greatest(a, F.lit(0.1)), F.greatest(b, F.lit(0.1))
     return F.struct(a.alias("alpha"), b.alias("beta"), (a / (a + b)).alias("mean"))
+
+
+# Mission target cart size range, mission efficiency range,
+# the cap on the session multiplier, and extra events per calendar label.
+SESSION_MISSION_TARGET_RANGE = {"Quick Top Up": (1, 5), "Regular Buy": (6, 15), "Bulk Buy": (16, 40), "Browsing": (1, 2)}
+MISSION_EFFICIENCY = {"Quick Top Up": (0.8, 1.0), "Regular Buy": (0.5, 0.9), "Bulk Buy": (0.7, 1.0), "Browsing": (0.2, 0.5)}
+MISSION_MAX_MULTIPLIER = {"Bulk Buy": 1.8, "Regular Buy": 1.5, "Quick Top Up": 1.3, "Browsing": 1.2}
+EXTRA_EVENTS = {"Daytime": (0, 1), "Evening": (1, 3), "Weekday": (0, 1), "Weekend": (1, 3), "Payday": (2, 4),
+                "Payday Spillover": (1, 3), "CNY": (3, 6), "Hari Raya Puasa": (2, 5), "Diwali": (2, 5), "Christmas": (3, 6),
+                "1111": (5, 10), "1212": (5, 10), "Black Friday": (5, 10)}
+
+
+def expected_events(mission: Column, labels: list[Column], has_treatment: Column, segment: Column,
+                    has_promotions: Column | None = None) -> Column:
+    """Expected events of a session: int(target / efficiency) plus
+    the extra events of its calendar labels, times the treatment /
+    promotion / segment multiplier capped per mission, at least 1.  Drawn
+    ranges are taken at their integer mid-points."""
+    def m(d, f):
+        return F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(f(v)))])
+    target = F.element_at(m(SESSION_MISSION_TARGET_RANGE, lambda v: (v[0] + v[1]) // 2), mission)
+    eff = F.element_at(m(MISSION_EFFICIENCY, lambda v: (v[0] + v[1]) / 2), mission)
+    base = F.floor(target / eff)
+    extra_map = m(EXTRA_EVENTS, lambda v: (v[0] + v[1]) // 2)
+    extra = sum(F.coalesce(F.element_at(extra_map, l), F.lit(0)) for l in labels)
+    mult = (F.when(F.coalesce(has_treatment, F.lit(False)), 1.1).otherwise(1.0)
+            * (F.when(F.coalesce(has_promotions, F.lit(False)), 1.2).otherwise(1.0) if has_promotions is not None else F.lit(1.0))
+            * F.when(segment == "High Spenders", 1.1).when(segment == "Churn Risk Customers", 0.9).otherwise(1.0))
+    mult = F.least(mult, F.coalesce(F.element_at(m(MISSION_MAX_MULTIPLIER, lambda v: v), mission), F.lit(1.5)))
+    n = F.floor((base + extra) * mult).cast("int")
+    return F.when(n > 1, n).otherwise(F.lit(1))

@@ -414,3 +414,46 @@ def f28(t):
          .join(tr, "customer_id", "left").join(t.view("customers").select("customer_id", "customer_segment"), "customer_id", "left"))
     p = K.purchase_ratio_params(B.basket_mission(F.col("basket_size")), F.col("tr"), F.col("customer_segment"))
     return j.select("transaction_id", F.round(p["alpha"], 6).alias("alpha"), F.round(p["beta"], 6).alias("beta"), F.round(p["mean"], 6).alias("mean"))
+
+
+@query("k24_expected_events", ("clickstreams", "campaign_exposures", "campaigns", "customers"), _GROUPS_SQL.replace(
+    "g AS (SELECT DISTINCT cu.customer_segment AS segment, f.has_treatment FROM f JOIN customers cu USING (customer_id))",
+    "g AS (SELECT f.session_id, cu.customer_segment AS segment, f.has_treatment FROM f LEFT JOIN customers cu USING (customer_id))") + f""",
+st AS (SELECT session_id, min(event_timestamp) AS ts, count(*) AS observed_events,
+   count(*) FILTER (WHERE event_type = 'Add to Cart') AS adds FROM clickstreams GROUP BY 1),
+m AS (SELECT st.*, g.segment, g.has_treatment,
+   coalesce(CASE WHEN adds BETWEEN 1 AND 2 THEN 'Browsing' WHEN adds BETWEEN 1 AND 5 THEN 'Quick Top Up' WHEN adds BETWEEN 6 AND 15 THEN 'Regular Buy'
+     WHEN adds BETWEEN 16 AND 40 THEN 'Bulk Buy' END, 'Browsing') AS mission,
+   CASE WHEN hour(ts) < 5 THEN 'Late Night' WHEN hour(ts) < 8 THEN 'Early Morning' WHEN hour(ts) < 12 THEN 'Morning' WHEN hour(ts) < 17 THEN 'Afternoon'
+     WHEN hour(ts) < 21 THEN 'Evening' ELSE 'Night' END AS tod,
+   CASE WHEN isodow(ts) >= 6 THEN 'Weekend' ELSE 'Weekday' END AS dt,
+   CASE WHEN day(ts) IN (1, 15) THEN 'Payday' WHEN day(ts) IN (28, 29, 30, 31, 2) THEN 'Payday Spillover' END AS pc,
+   (SELECT v.season FROM (VALUES """ + ", ".join(f"(DATE '{d}', '{se}', {i})" for i, (se, d) in enumerate(
+       (se, d) for st_, ss in fx.SEASONAL_DATES.items() for se, ds in ss.items() for d in ds)) + f""") v(d, season, r)
+     WHERE v.d = CAST(ts AS DATE) ORDER BY v.r LIMIT 1) AS sn
+  FROM st JOIN g USING (session_id)),
+x AS (SELECT *, floor(CASE mission {" ".join(f"WHEN '{k}' THEN {(a + b) // 2}" for k, (a, b) in K.SESSION_MISSION_TARGET_RANGE.items())} END
+     / CASE mission {" ".join(f"WHEN '{k}' THEN {(a + b) / 2!r}" for k, (a, b) in K.MISSION_EFFICIENCY.items())} END) AS base,
+   {" + ".join(f"coalesce(CASE {c} {' '.join(f'''WHEN '{k}' THEN {(a + b) // 2}''' for k, (a, b) in K.EXTRA_EVENTS.items())} END, 0)" for c in ["tod", "dt", "pc", "sn"])} AS extra,
+   least(CASE WHEN has_treatment THEN 1.1 ELSE 1.0 END * CASE segment WHEN 'High Spenders' THEN 1.1 WHEN 'Churn Risk Customers' THEN 0.9 ELSE 1.0 END,
+     CASE mission {" ".join(f"WHEN '{k}' THEN {v}" for k, v in K.MISSION_MAX_MULTIPLIER.items())} ELSE 1.5 END) AS mult FROM m)
+SELECT session_id, mission, observed_events, CASE WHEN CAST(floor((base + extra) * mult) AS INTEGER) > 1 THEN CAST(floor((base + extra) * mult) AS INTEGER) ELSE 1 END AS expected_events
+FROM x""")
+def k24(t):
+    """Expected events of each session from mission, calendar uplifts, treatment and segment, next to the observed count."""
+    from aislekit.operators import basket as B
+    c = t.view("clickstreams")
+    st = c.groupBy("session_id").agg(F.min("event_timestamp").alias("ts"), F.count(F.lit(1)).alias("observed_events"),
+                                     F.count_if(F.col("event_type") == "Add to Cart").alias("adds"))
+    s = K.session_starts(c)
+    f = K.session_flags(s, t.view("campaign_exposures"), t.view("campaigns")).join(s.select("session_id", "customer_id"), "session_id")
+    g = f.join(t.view("customers").select("customer_id", "customer_segment"), "customer_id", "left")
+    j = st.join(g, "session_id")
+    dim = fx.seasonal_dimension(t.spark)
+    first = dim.groupBy("event_date").agg(F.min(F.struct("season_rank", "season")).alias("__s"))
+    j = j.join(F.broadcast(first), F.to_date("ts") == F.col("event_date"), "left")  # 21 fixed dates
+    mission = F.coalesce(B.basket_mission(F.col("adds")), F.lit("Browsing"))
+    ts = F.col("ts")
+    e = K.expected_events(mission, [fx.time_of_day(ts), fx.day_type(ts), fx.pay_cycle(ts), F.col("__s.season")],
+                          F.col("has_treatment_campaign"), F.col("customer_segment"))
+    return j.select("session_id", mission.alias("mission"), "observed_events", e.alias("expected_events"))
