@@ -344,3 +344,33 @@ def expected_events(mission: Column, labels: list[Column], has_treatment: Column
     mult = F.least(mult, F.coalesce(F.element_at(m(MISSION_MAX_MULTIPLIER, lambda v: v), mission), F.lit(1.5)))
     n = F.floor((base + extra) * mult).cast("int")
     return F.when(n > 1, n).otherwise(F.lit(1))
+
+
+# Essential categories (necessity-driven purchases).
+ESSENTIAL_CATEGORIES = ["Snacks", "Beverages", "Dairy & Eggs", "Fresh Produce", "Pantry Staples", "Household Essentials",
+                        "Rice & Noodles", "Cleaning Suppliers", "Personal Care"]
+
+
+def progress_transitions(events: DataFrame, target: float = 10.0) -> DataFrame:
+    """Next-event probabilities of every event under its cart
+    progress (< 0.5, < 0.8, rest), its add-to-cart streak in the session
+    and an essential product category, renormalised per event.
+    ``events`` carries cart_size and category.  The streak is a bucketed
+    running count.  -> (event_id, to_event, probability)."""
+    d = events.withColumn("__add", F.when(F.col("event_type") == "Add to Cart", 1).otherwise(0))
+    d = running_sum(d, ["session_id"], ["event_timestamp", "event_id"], "__add", "add_streak", bucket=hour_bucket())
+    prog = F.least(F.col("cart_size") / F.lit(target), F.lit(1.0))
+    base = transition_table(events.sparkSession)
+    j = d.select("event_id", F.col("event_type").alias("from_event"), "category", prog.alias("__p"), "add_streak").join(
+        F.broadcast(base), "from_event")  # the fixed 40-row table
+    to = F.col("to_event")
+    early = (F.when((to == "Add to Cart") & (F.col("add_streak") >= 2), 2.0).when(to == "Product View", 2.0)
+             .when(to == "Cart View", 0.85).when(to == "Checkout Start", 0.3).otherwise(1.0))
+    mid = F.when(to == "Checkout Start", 0.5).otherwise(1.0)
+    has_checkout = F.max(F.when(to == "Checkout Start", 1).otherwise(0)).over(Window.partitionBy("event_id"))
+    late = (F.when(to == "Checkout Start", 2.0).when((has_checkout == 1) & to.isin("Product View", "Category View", "Search View"), 0.6)
+            .otherwise(1.0))
+    m = F.when(F.col("__p") < 0.5, early).when(F.col("__p") < 0.8, mid).otherwise(late)
+    ess = F.when((F.col("from_event") == "Product View") & F.col("category").isin(ESSENTIAL_CATEGORIES) & (to == "Add to Cart"), 1.1).otherwise(1.0)
+    p = j.select("event_id", "to_event", (F.col("probability") * m * ess).alias("__w"))
+    return p.select("event_id", "to_event", F.round(F.col("__w") / F.sum("__w").over(Window.partitionBy("event_id")), 6).alias("probability"))

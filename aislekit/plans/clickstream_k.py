@@ -457,3 +457,21 @@ def k24(t):
     e = K.expected_events(mission, [fx.time_of_day(ts), fx.day_type(ts), fx.pay_cycle(ts), F.col("__s.season")],
                           F.col("has_treatment_campaign"), F.col("customer_segment"))
     return j.select("session_id", mission.alias("mission"), "observed_events", e.alias("expected_events"))
+
+
+@query("k12_progress_transitions", ("clickstreams", "products"), f"""
+WITH b AS (SELECT * FROM ({_trans_values()}) v(from_event, to_event, probability)),
+s AS (SELECT event_id, event_type, category, least(cart_size / 10.0, 1.0) AS p,
+   sum(CASE WHEN event_type = 'Add to Cart' THEN 1 ELSE 0 END) OVER (PARTITION BY session_id ORDER BY event_timestamp, event_id ROWS UNBOUNDED PRECEDING) AS streak FROM enr),
+j AS (SELECT s.event_id, b.to_event, b.from_event, s.category, s.p, s.streak, b.probability,
+   max(CASE WHEN b.to_event = 'Checkout Start' THEN 1 ELSE 0 END) OVER (PARTITION BY s.event_id) AS hc FROM s JOIN b ON b.from_event = s.event_type),
+w AS (SELECT event_id, to_event, probability
+   * CASE WHEN p < 0.5 THEN CASE WHEN to_event = 'Add to Cart' AND streak >= 2 THEN 2.0 WHEN to_event = 'Product View' THEN 2.0
+          WHEN to_event = 'Cart View' THEN 0.85 WHEN to_event = 'Checkout Start' THEN 0.3 ELSE 1.0 END
+        WHEN p < 0.8 THEN CASE WHEN to_event = 'Checkout Start' THEN 0.5 ELSE 1.0 END
+        ELSE CASE WHEN to_event = 'Checkout Start' THEN 2.0 WHEN hc = 1 AND to_event IN ('Product View', 'Category View', 'Search View') THEN 0.6 ELSE 1.0 END END
+   * CASE WHEN from_event = 'Product View' AND category IN ({", ".join(repr(c) for c in K.ESSENTIAL_CATEGORIES)}) AND to_event = 'Add to Cart' THEN 1.1 ELSE 1.0 END AS wt FROM j)
+SELECT event_id, to_event, round(wt / sum(wt) OVER (PARTITION BY event_id), 6) AS probability FROM w""", ENR)
+def k12(t):
+    """Next-event probabilities per click event under cart progress, add streak and essential category."""
+    return K.progress_transitions(enriched(t))
