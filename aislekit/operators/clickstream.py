@@ -374,3 +374,46 @@ def progress_transitions(events: DataFrame, target: float = 10.0) -> DataFrame:
     ess = F.when((F.col("from_event") == "Product View") & F.col("category").isin(ESSENTIAL_CATEGORIES) & (to == "Add to Cart"), 1.1).otherwise(1.0)
     p = j.select("event_id", "to_event", (F.col("probability") * m * ess).alias("__w"))
     return p.select("event_id", "to_event", F.round(F.col("__w") / F.sum("__w").over(Window.partitionBy("event_id")), 6).alias("probability"))
+
+
+# Calendar uplift ranges (add to cart, checkout, conversion).
+UPLIFT_MULTIPLIERS = {
+    "Daytime": ((0.98, 1.02), (0.98, 1.02), (0.98, 1.02)),
+    "Evening": ((1.1, 1.2), (1.05, 1.15), (1.05, 1.12)),
+    "Weekday": ((1.02, 1.08), (1.08, 1.12), (1.08, 1.02)),
+    "Weekend": ((1.1, 1.2), (1.08, 1.15), (1.1, 1.18)),
+    "Payday": ((1.2, 1.4), (1.15, 1.3), (1.15, 1.3)),
+    "Payday Spillover": ((1.1, 1.2), (1.08, 1.15), (1.1, 1.18)),
+    "CNY": ((1.2, 1.4), (1.3, 1.6), (1.5, 2.2)),
+    "Hari Raya Puasa": ((1.15, 1.3), (1.2, 1.4), (1.3, 2.0)),
+    "Diwali": ((1.15, 1.3), (1.2, 1.4), (1.3, 2.0)),
+    "Christmas": ((1.25, 1.5), (1.4, 1.8), (1.6, 2.5)),
+    "1111": ((1.5, 2), (1.8, 2.5), (2, 3.5)),
+    "1212": ((1.5, 2), (1.8, 2.5), (2, 3.5)),
+    "Black Friday": ((1.5, 2.5), (2, 3), (2.5, 4)),
+}
+
+
+def calendar_transitions(events: DataFrame, labels: list[Column], target: float = 10.0) -> DataFrame:
+    """Next-event probabilities of every event with the calendar
+    uplifts of its labels (time of day, day type, pay cycle, season) on
+    three edges: add to cart, checkout start (also x (1 + 0.5 progress) per
+    label) and payment attempt; ranges at their mid-points, renormalised
+    per event.  -> (event_id, to_event, probability)."""
+    def mid_map(i):
+        return F.create_map(*[x for k, v in UPLIFT_MULTIPLIERS.items() for x in (F.lit(k), F.lit((v[i][0] + v[i][1]) / 2))])
+    prog = F.least(F.coalesce(F.col("cart_size"), F.lit(0)) / F.lit(target), F.lit(1.0))
+    atc, chk, conv = F.lit(1.0), F.lit(1.0), F.lit(1.0)
+    for l in labels:
+        hit = F.element_at(mid_map(0), l).isNotNull()
+        atc = atc * F.coalesce(F.element_at(mid_map(0), l), F.lit(1.0))
+        chk = chk * F.when(hit, F.element_at(mid_map(1), l) * (1 + 0.5 * prog)).otherwise(1.0)
+        conv = conv * F.coalesce(F.element_at(mid_map(2), l), F.lit(1.0))
+    d = events.select("event_id", F.col("event_type").alias("from_event"), atc.alias("__a"), chk.alias("__c"), conv.alias("__v"))
+    j = d.join(F.broadcast(transition_table(events.sparkSession)), "from_event")  # the fixed 40-row table
+    e = F.struct(F.col("from_event"), F.col("to_event"))
+    m = (F.when((F.col("from_event") == "Product View") & (F.col("to_event") == "Add to Cart"), F.col("__a"))
+         .when((F.col("from_event") == "Cart View") & (F.col("to_event") == "Checkout Start"), F.col("__c"))
+         .when((F.col("from_event") == "Checkout Start") & (F.col("to_event") == "Payment Attempt"), F.col("__v")).otherwise(1.0))
+    p = j.select("event_id", "to_event", (F.col("probability") * m).alias("__w"))
+    return p.select("event_id", "to_event", F.round(F.col("__w") / F.sum("__w").over(Window.partitionBy("event_id")), 6).alias("probability"))

@@ -475,3 +475,37 @@ SELECT event_id, to_event, round(wt / sum(wt) OVER (PARTITION BY event_id), 6) A
 def k12(t):
     """Next-event probabilities per click event under cart progress, add streak and essential category."""
     return K.progress_transitions(enriched(t))
+
+
+def _uplift_case(col: str, i: int) -> str:
+    return "CAST(CASE " + col + " " + " ".join(f"WHEN '{k}' THEN {(v[i][0] + v[i][1]) / 2!r}" for k, v in K.UPLIFT_MULTIPLIERS.items()) + " END AS DOUBLE)"
+
+
+_LABELS_SQL = """CASE WHEN hour(event_timestamp) < 5 THEN 'Late Night' WHEN hour(event_timestamp) < 8 THEN 'Early Morning' WHEN hour(event_timestamp) < 12 THEN 'Morning'
+   WHEN hour(event_timestamp) < 17 THEN 'Afternoon' WHEN hour(event_timestamp) < 21 THEN 'Evening' ELSE 'Night' END AS l1,
+  CASE WHEN isodow(event_timestamp) >= 6 THEN 'Weekend' ELSE 'Weekday' END AS l2,
+  CASE WHEN day(event_timestamp) IN (1, 15) THEN 'Payday' WHEN day(event_timestamp) IN (28, 29, 30, 31, 2) THEN 'Payday Spillover' END AS l3,
+  (SELECT v.season FROM (VALUES """ + ", ".join(f"(DATE '{d}', '{se}', {i})" for i, (se, d) in enumerate(
+    (se, d) for st_, ss in fx.SEASONAL_DATES.items() for se, ds in ss.items() for d in ds)) + """) v(d, season, r)
+   WHERE v.d = CAST(event_timestamp AS DATE) ORDER BY v.r LIMIT 1) AS l4"""
+
+
+@query("k08_calendar_transitions", ("clickstreams", "products"), f"""
+WITH b AS (SELECT * FROM ({_trans_values()}) v(from_event, to_event, probability)),
+ev AS (SELECT event_id, event_type, CAST(least(coalesce(cart_size, 0) / 10.0, 1.0) AS DOUBLE) AS p, {_LABELS_SQL} FROM enr),
+f AS (SELECT event_id, event_type,
+  {" * ".join(f"coalesce({_uplift_case(l, 0)}, 1.0)" for l in ["l1", "l2", "l3", "l4"])} AS a,
+  {" * ".join(f"CASE WHEN {_uplift_case(l, 0)} IS NOT NULL THEN {_uplift_case(l, 1)} * (1 + 0.5 * p) ELSE 1.0 END" for l in ["l1", "l2", "l3", "l4"])} AS c,
+  {" * ".join(f"coalesce({_uplift_case(l, 2)}, 1.0)" for l in ["l1", "l2", "l3", "l4"])} AS v FROM ev),
+w AS (SELECT f.event_id, b.to_event, b.probability * CASE WHEN b.from_event = 'Product View' AND b.to_event = 'Add to Cart' THEN a
+   WHEN b.from_event = 'Cart View' AND b.to_event = 'Checkout Start' THEN c WHEN b.from_event = 'Checkout Start' AND b.to_event = 'Payment Attempt' THEN v ELSE 1.0 END AS wt
+  FROM f JOIN b ON b.from_event = f.event_type)
+SELECT event_id, to_event, round(wt / sum(wt) OVER (PARTITION BY event_id), 6) AS probability FROM w""", ENR)
+def k08(t):
+    """Next-event probabilities per click event with calendar uplifts on the funnel edges."""
+    e = enriched(t)
+    dim = fx.seasonal_dimension(t.spark)
+    first = dim.groupBy("event_date").agg(F.min(F.struct("season_rank", "season")).alias("__s"))
+    e = e.join(F.broadcast(first), F.to_date("event_timestamp") == F.col("event_date"), "left")  # 21 fixed dates
+    ts = F.col("event_timestamp")
+    return K.calendar_transitions(e, [fx.time_of_day(ts), fx.day_type(ts), fx.pay_cycle(ts), F.col("__s.season")])
