@@ -417,3 +417,20 @@ def calendar_transitions(events: DataFrame, labels: list[Column], target: float
          .when((F.col("from_event") == "Checkout Start") & (F.col("to_event") == "Payment Attempt"), F.col("__v")).otherwise(1.0))
     p = j.select("event_id", "to_event", (F.col("probability") * m).alias("__w"))
     return p.select("event_id", "to_event", F.round(F.col("__w") / F.sum("__w").over(Window.partitionBy("event_id")), 6).alias("probability"))
+
+
+def stock_transitions(product_views: DataFrame) -> DataFrame:
+    """Product View next-event probabilities under the viewed
+    product's stock status (``stock_status`` column, e.g. from the as-of
+    lookup): Out of Stock removes Add to Cart and boosts Home x1.2,
+    Category x1.3, Search x1.2; Low Stock boosts Add to Cart x1.2; In Stock
+    x1.1.  Renormalised per event.  -> (event_id, to_event, probability)."""
+    base = transition_table(product_views.sparkSession).where(F.col("from_event") == "Product View")
+    j = product_views.select("event_id", "stock_status").join(F.broadcast(base), how="cross")  # 6 fixed rows
+    st, to = F.col("stock_status"), F.col("to_event")
+    m = (F.when(st == "Out of Stock", F.when(to == "Add to Cart", 0.0).when(to == "Home View", 1.2)
+                .when(to == "Category View", 1.3).when(to == "Search View", 1.2).otherwise(1.0))
+         .when((st == "Low Stock") & (to == "Add to Cart"), 1.2)
+         .when((st == "In Stock") & (to == "Add to Cart"), 1.1).otherwise(1.0))
+    p = j.select("event_id", "to_event", (F.col("probability") * m).alias("__w")).where(F.col("__w") > 0)
+    return p.select("event_id", "to_event", F.round(F.col("__w") / F.sum("__w").over(Window.partitionBy("event_id")), 6).alias("probability"))

@@ -509,3 +509,27 @@ def k08(t):
     e = e.join(F.broadcast(first), F.to_date("event_timestamp") == F.col("event_date"), "left")  # 21 fixed dates
     ts = F.col("event_timestamp")
     return K.calendar_transitions(e, [fx.time_of_day(ts), fx.day_type(ts), fx.pay_cycle(ts), F.col("__s.season")])
+
+
+from aislekit.plans.derived import snapshots as _snapshots  # noqa: E402
+from aislekit.plans.sql_common import LEDGER as _LEDGER, SNAPSHOTS as _SNAPS  # noqa: E402
+
+
+@query("k10_stock_transitions", ("clickstreams", "inventory_change_events"), f"""
+WITH b AS (SELECT * FROM ({_trans_values()}) v(from_event, to_event, probability) WHERE from_event = 'Product View'),
+pv AS (SELECT c.event_id, 0 AS store_id, c.product_id, c.event_timestamp FROM clickstreams c WHERE c.event_type = 'Product View' AND c.product_id IS NOT NULL),
+s AS (SELECT pv.event_id, coalesce(sn.stock_status, 'Out of Stock') AS st FROM pv ASOF LEFT JOIN snaps sn
+      ON pv.store_id = sn.store_id AND pv.product_id = sn.product_id AND pv.event_timestamp >= sn.event_timestamp),
+w AS (SELECT s.event_id, b.to_event, b.probability * CASE WHEN st = 'Out of Stock' THEN CASE b.to_event WHEN 'Add to Cart' THEN 0.0
+     WHEN 'Home View' THEN 1.2 WHEN 'Category View' THEN 1.3 WHEN 'Search View' THEN 1.2 ELSE 1.0 END
+   WHEN st = 'Low Stock' AND b.to_event = 'Add to Cart' THEN 1.2 WHEN st = 'In Stock' AND b.to_event = 'Add to Cart' THEN 1.1 ELSE 1.0 END AS wt
+  FROM s, b)
+SELECT event_id, to_event, round(wt / sum(wt) OVER (PARTITION BY event_id), 6) AS probability FROM w WHERE wt > 0""",
+       {"ledger": _LEDGER, "snaps": _SNAPS})
+def k10(t):
+    """Product View next-event probabilities under the as-of stock status in the online store (store 0)."""
+    from aislekit.operators.lookups import stock_status_asof
+    pv = (t.view("clickstreams").where((F.col("event_type") == "Product View") & F.col("product_id").isNotNull())
+          .select("event_id", F.lit(0).cast("long").alias("store_id"), "product_id", F.col("event_timestamp").alias("at")))
+    s = stock_status_asof(pv, _snapshots(t), probe_ts="at")
+    return K.stock_transitions(s)
