@@ -327,18 +327,20 @@ def price_baskets(lines: DataFrame, headers: DataFrame, promotions: DataFrame, b
     Returns {"eligible", "discounts", "allocation", "selected", "items",
     "transactions", "covers"}.  With ``materialize`` the eligible pairs,
     the discounts / allocations and the chosen promotions are checkpointed
-    are written once to the shared folder (with the cart lines), which keeps
-    every later plan small and restartable.
+    (with the cart lines, the allocations and the chosen promotions) are
+    written once to the shared folder, which keeps every later plan small
+    and restartable.
     """
     lines = _cut(lines, materialize)
     elig = _cut(eligible_promotions(lines, headers, promotions, bundle_items), materialize)
     per_promo, plines = promotion_discounts(lines, headers, elig, bundle_items, bundle_pricings)
     per_promo = _cut(per_promo, materialize)
-    # allocation and the stack fold plan against the three stage tables
-    # above; cutting them too costs more in writes than it saves
-    alloc = allocate(per_promo, plines)
+    # allocation and the chosen promotions are cut too: it keeps the final
+    # plans small, which bounds driver memory when many queries share a
+    # session
+    alloc = _cut(allocate(per_promo, plines), materialize)
     covers = promotion_cover(elig, lines, bundle_items)
-    selected = resolve_stack(per_promo, covers)
+    selected = _cut(resolve_stack(per_promo, covers), materialize)
     items = item_lines(lines, alloc, selected)
     chosen = per_promo.join(selected, ["transaction_id", "promotion_id"])
     disc = chosen.groupBy("transaction_id").agg(
