@@ -15,7 +15,8 @@ SF_DIR = os.environ.get("AISLEKIT_TEST_SF", "/root/testdata/sf0.001")
 def spark():
     from aislekit.session import get_session
 
-    return get_session("local[4]", 8, app_name="aislekit-tests")
+    # one JVM runs every query of the suite, so give the driver room
+    return get_session("local[4]", 8, app_name="aislekit-tests", extra={"spark.driver.memory": "4g"})
 
 
 @pytest.fixture(scope="session")
