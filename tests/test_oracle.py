@@ -46,3 +46,17 @@ def test_entry_smoke(spark):
                           "total_errors", "top_error", "numeric_columns"]
     ratios = [r["dirty_ratio"] for r in rows]
     assert ratios == sorted(ratios, reverse=True)
+
+
+PYTHON_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
+
+
+def test_no_python_in_any_plan(spark, sf_dir):
+    """Every operator stays JVM-side: no Python evaluation node in any plan."""
+    offenders = {}
+    for name, fn in QUERIES.items():
+        plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        hits = [n for n in PYTHON_NODES if n in plan]
+        if hits:
+            offenders[name] = hits
+    assert offenders == {}
