@@ -15,8 +15,20 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op7_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aislekit.llm import packing
+
+    return packing.op3_best_fit_packing(table(spark, sf_dir, "documents"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aislekit.llm import token_counts
+
+    return token_counts.op10_token_counts(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_toxicity,)
+    f.__name__: f for f in (op3_best_fit_packing, op7_toxicity, op10_token_counts)
 }
 
 ORACLE_SQL: dict[str, str] = {}
