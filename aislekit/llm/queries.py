@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from aislekit.llm._common import table
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aislekit.llm import warc
+
+    return warc.op4_warc(table(spark, sf_dir, "pages"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aislekit.llm import toxicity
 
@@ -21,6 +27,12 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op3_best_fit_packing(table(spark, sf_dir, "documents"))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aislekit.llm import sharding
+
+    return sharding.op8_sharding(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aislekit.llm import token_counts
 
@@ -28,7 +40,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_best_fit_packing, op7_toxicity, op10_token_counts)
+    f.__name__: f for f in (op3_best_fit_packing, op4_warc, op7_toxicity, op8_sharding, op10_token_counts)
 }
 
 ORACLE_SQL: dict[str, str] = {}
