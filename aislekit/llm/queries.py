@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from aislekit.llm import url_filters
 from aislekit.llm._common import table
 
 
@@ -15,6 +16,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.op4_warc(table(spark, sf_dir, "pages"))
 
 
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.op6_url_filters(table(spark, sf_dir, "pages"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aislekit.llm import toxicity
 
@@ -40,7 +45,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_best_fit_packing, op4_warc, op7_toxicity, op8_sharding, op10_token_counts)
+    f.__name__: f for f in (op3_best_fit_packing, op4_warc, op6_url_filters, op7_toxicity, op8_sharding, op10_token_counts)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_url_filters": url_filters.ORACLE_SQL}
