@@ -61,9 +61,9 @@ def ascii_lower(c: Column | str) -> Column:
     return F.translate(c, string.ascii_uppercase, string.ascii_lowercase)
 
 
-def words(c: Column | str) -> Column:
+def words(c: Column | str, lower=ascii_lower) -> Column:
     """Words of a text as an array; null and blank texts give an empty array."""
-    parts = F.split(ascii_lower(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))), SPACES)
+    parts = F.split(lower(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))), SPACES)
     return F.array_remove(parts, "")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aislekit.llm import url_filters
+from aislekit.llm import decontamination, url_filters
 from aislekit.llm._common import table
 
 
@@ -16,6 +16,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.op4_warc(table(spark, sf_dir, "pages"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.op5_decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.op6_url_filters(table(spark, sf_dir, "pages"))
 
@@ -45,7 +49,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_best_fit_packing, op4_warc, op6_url_filters, op7_toxicity, op8_sharding, op10_token_counts)
+    f.__name__: f for f in (op3_best_fit_packing, op4_warc, op5_decontamination, op6_url_filters, op7_toxicity, op8_sharding, op10_token_counts)
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_url_filters": url_filters.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_decontamination": decontamination.ORACLE_SQL, "op6_url_filters": url_filters.ORACLE_SQL}
