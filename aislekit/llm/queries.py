@@ -48,6 +48,12 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op8_sharding(table(spark, sf_dir, "documents"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aislekit.llm import fingerprints
+
+    return fingerprints.op9_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aislekit.llm import token_counts
 
@@ -55,7 +61,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_near_dup, op3_best_fit_packing, op4_warc, op5_decontamination, op6_url_filters, op7_toxicity, op8_sharding, op10_token_counts)
+    f.__name__: f for f in (op2_near_dup, op3_best_fit_packing, op4_warc, op5_decontamination, op6_url_filters, op7_toxicity, op8_sharding, op9_fingerprints, op10_token_counts)
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_decontamination": decontamination.ORACLE_SQL, "op6_url_filters": url_filters.ORACLE_SQL}
