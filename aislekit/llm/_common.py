@@ -67,6 +67,22 @@ def words(c: Column | str, lower=ascii_lower) -> Column:
     return F.array_remove(parts, "")
 
 
+def frequency_class(freq: str, per_doubling: int = 8) -> Column:
+    """Class of a count: 8 classes per factor of two, so a few hundred at most."""
+    return F.floor(F.log2(freq) * per_doubling).cast("int")
+
+
+def frequency_cut(counts: DataFrame, freq: str, most: int) -> int:
+    """The lowest frequency class such that it and the classes above hold at most ``most`` rows."""
+    cut, total = 1 << 20, 0
+    for r in counts.groupBy(frequency_class(freq).alias("c")).count().orderBy(F.desc("c")).collect():
+        total += r["count"]
+        if total > most:
+            break
+        cut = r["c"]
+    return cut
+
+
 def gapless_rank(df: DataFrame, keys: list[str], order: list[str], rows: int, out: str,
                  rows_per_chunk: int = 20_000) -> DataFrame:
     """Number the rows of each ``keys`` group from 0 without gaps.

@@ -30,6 +30,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op7_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aislekit.llm import lm_scoring
+
+    return lm_scoring.op1_lm_scoring(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aislekit.llm import near_dup
 
@@ -61,7 +67,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_near_dup, op3_best_fit_packing, op4_warc, op5_decontamination, op6_url_filters, op7_toxicity, op8_sharding, op9_fingerprints, op10_token_counts)
+    f.__name__: f for f in (op1_lm_scoring, op2_near_dup, op3_best_fit_packing, op4_warc, op5_decontamination, op6_url_filters, op7_toxicity, op8_sharding, op9_fingerprints, op10_token_counts)
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_decontamination": decontamination.ORACLE_SQL, "op6_url_filters": url_filters.ORACLE_SQL}

@@ -19,11 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aislekit.llm._common import Scratch
+from aislekit.llm._common import Scratch, frequency_class, frequency_cut
 from aislekit.llm._pieces import pieces
 
 HEAD_BYTES = 32
-STEP = 8  # frequency classes per factor of two
 
 
 def frequencies(docs: DataFrame, path: str, text: str = "text", flush: int = 300_000) -> DataFrame:
@@ -62,19 +61,6 @@ def piece_counts(vocabulary: DataFrame, path: str) -> DataFrame:
     return vocabulary.select("pre_token", "freq").mapInArrow(run, "pre_token string, freq long, n_pieces int")
 
 
-def head_cut(vocabulary: DataFrame, head: int) -> int:
-    """The smallest frequency class whose pre-tokens, with all more frequent ones, are at most ``head``."""
-    per = (vocabulary.where(F.octet_length("pre_token") <= HEAD_BYTES)
-           .groupBy(F.floor(F.log2("freq") * STEP).cast("int").alias("c")).count().orderBy(F.desc("c")).collect())
-    cut, total = 1 << 20, 0
-    for r in per:  # at most 64 * STEP classes
-        total += r["count"]
-        if total > head:
-            break
-        cut = r["c"]
-    return cut
-
-
 def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", head: int = 200_000) -> DataFrame:
     """Per row of ``docs``: id_col, n_bytes, n_tokens.
 
@@ -85,8 +71,8 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text: str =
     scratch = Scratch(spark, "token-counts")
     docs = docs.select(F.col(id_col).alias("__id"), F.coalesce(text, F.lit("")).alias("__text"))
     counts = scratch.table(piece_counts(frequencies(docs, path, "__text"), path), "pieces")
-    cut = head_cut(counts, head)
-    is_head = (F.octet_length("pre_token") <= HEAD_BYTES) & (F.floor(F.log2("freq") * STEP) >= cut)
+    short = F.octet_length("pre_token") <= HEAD_BYTES
+    is_head = short & (frequency_class("freq") >= frequency_cut(counts.where(short), "freq", head))
     known = counts.where(is_head).select("pre_token", "n_pieces").toArrow()
     shared = spark.sparkContext.broadcast(
         dict(zip(known.column(0).to_pylist(), known.column(1).to_pylist(), strict=True)))
