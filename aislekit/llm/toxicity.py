@@ -167,13 +167,13 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_text: i
     return fit([t for _, y, t in got if y], [t for _, y, t in got if not y], totals.get(0))
 
 
-def score(docs: DataFrame, model, text: str = "text") -> DataFrame:
-    """``docs`` with ``toxicity_score`` added (a column of that name is replaced).
+def score(docs: DataFrame, model, text: str = "text", name: str = "toxicity_score") -> DataFrame:
+    """``docs`` with the score added as ``name`` (a column of that name is replaced).
 
     Null and empty texts have one window, the bare carrier.
     """
-    docs = docs.drop("toxicity_score")
-    out = T.StructType([*docs.schema.fields, T.StructField("toxicity_score", T.DoubleType())])
+    docs = docs.drop(name)
+    out = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
     at = docs.columns.index(text)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -183,7 +183,7 @@ def score(docs: DataFrame, model, text: str = "text") -> DataFrame:
                 part = batch.slice(i, 512)
                 got = scores(part.column(at).to_pylist(), shared.value)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got, pa.float64())],
-                                                 names=[*part.schema.names, "toxicity_score"])
+                                                 names=[*part.schema.names, name])
 
     return docs.mapInArrow(run, out)
 
