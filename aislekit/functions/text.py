@@ -92,7 +92,7 @@ def normalise_case(name: Column, brand: Column | None = None) -> Column:
     t = F.initcap(F.lower(F.trim(name)))
     if brand is not None:
         t = F.when(brand.isNotNull() & F.lower(t).startswith(F.concat(F.lower(brand), F.lit(" "))),
-                   t.substr(F.length(brand) + 2, F.lit(1 << 20))).otherwise(t)
+                   t.substr(F.length(brand) + 2, F.length(t))).otherwise(t)
     return t
 
 

@@ -189,7 +189,7 @@ def allocate(per_promo: DataFrame, pl: DataFrame) -> DataFrame:
     keys = ["transaction_id", "promotion_id"]
     d = per_promo.select(*keys, "discount", "elig_subtotal", "last_pid")
     pl2 = pl.select(*keys, "product_id", "line_total").join(d, keys)
-    share = money(F.col("discount") * F.col("line_total") / F.col("elig_subtotal"))
+    share = money(F.try_divide(F.col("discount") * F.col("line_total"), F.col("elig_subtotal")))
     pl2 = pl2.withColumn("__share", F.when(F.col("product_id") == F.col("last_pid"), F.lit(None).cast(MONEY)).otherwise(share))
     others = pl2.groupBy(*keys).agg(F.coalesce(F.sum("__share"), F.lit(0)).alias("__others"))
     alloc = (pl2.join(others, keys)

@@ -7,7 +7,6 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aislekit.operators.faults import draw
 
 MONEY = "decimal(18,2)"
 # Phase rules.
@@ -109,18 +108,3 @@ def phase_prices(base_price: Column, base_discount: Column, phases: Column, step
         return F.struct(nxt.alias("pct"), F.concat(acc["out"], F.array(F.struct(name.alias("pricing_phase"), nxt.alias("pct")))).alias("out"))
 
     return F.aggregate(phases, init, step)["out"]
-
-
-def bundle_members(bundles: DataFrame, products: DataFrame, buy_quantity: Column | None = None,
-                   seed: int = 23, mode: str = "xxhash") -> DataFrame:
-    """A Set takes one product from each of its categories; other
-    types take one product of their first category (quantity = buy
-    quantity).  The product is the category's lowest hash draw, found with a
-    grouped minimum (no window).  -> (bundle_id, category, product_id, quantity)."""
-    b = bundles.select("bundle_id", "bundle_type", F.posexplode("categories").alias("pos", "category"))
-    b = b.where((F.col("bundle_type") == "Set") | (F.col("pos") == 0))
-    j = b.join(products.select("product_id", "category"), "category")
-    u = draw(F.col("bundle_id") * 1000003 + F.col("product_id"), seed, mode)
-    best = j.groupBy("bundle_id", "bundle_type", "category").agg(F.min(F.struct(u.alias("u"), F.col("product_id"))).alias("__b"))
-    q = F.when(F.col("bundle_type") == "Set", F.lit(1)).otherwise(buy_quantity if buy_quantity is not None else F.lit(2))
-    return best.select("bundle_id", "category", F.col("__b.product_id").alias("product_id"), q.cast("long").alias("quantity"))

@@ -16,9 +16,6 @@ CHANNEL_CONSENT_MAP = {"Email": "email_marketing_opt_in", "SMS": "sms_marketing_
                        "Push Notifications": "push_notifications_opt_in"}
 DIRECT_MESSAGE_CHANNELS = ["Email", "SMS", "Push Notifications"]
 EXPOSURE_ONLY_CHANNELS = ["Paid Advertisements", "In-App"]
-BUDGET_RANGES_BY_CHANNEL = {"Push Notifications": (5000, 30000), "In-App": (5000, 35000), "Email": (10000, 50000),
-                            "SMS": (20000, 80000), "Paid Advertisements": (50000, 180000)}
-BUDGET_MULTIPLIER_BY_CAMPAIGN = {"Acquisition": 1.2, "Retention": 0.8, "Clearance": 0.7, "Seasonal": 1.5}
 CONTROL_GROUP_PERCENTAGE = 0.5
 
 
@@ -49,8 +46,7 @@ def ab_split(aud: DataFrame, is_ab: Column, min_treatment: int = 50, min_control
     The audience size is a grouped count; no rank over a campaign."""
     n = aud.groupBy("campaign_id").agg(F.count(F.lit(1)).alias("__n"))
     a = aud.join(n, "campaign_id")
-    key = F.col("campaign_id") * 1000003 + F.col("customer_id") if mode == "arith" else F.concat_ws(
-        "|", F.col("campaign_id").cast("string"), F.col("customer_id").cast("string"))
+    key = F.concat_ws("|", F.col("campaign_id").cast("string"), F.col("customer_id").cast("string"))
     u = draw(key, seed, mode)
     grp = F.when(~is_ab, "Treatment").when(u < CONTROL_GROUP_PERCENTAGE, "Control").otherwise("Treatment")
     return (a.where(~is_ab | (F.col("__n") >= min_treatment + min_control))
@@ -87,36 +83,11 @@ def funnel_lift(exposures: DataFrame) -> DataFrame:
                     F.round(F.col("t_rate") - F.col("c_rate"), 6).alias("lift"))
 
 
-def campaign_budget(campaigns: DataFrame, channels: str = "channel_list", frac: float = 0.5) -> DataFrame:
-    """Sum over channels of a point in the channel's range (x type
-    multiplier) rounded to hundreds."""
-    lo = F.create_map(*[x for k, (a, b) in BUDGET_RANGES_BY_CHANNEL.items() for x in (F.lit(k), F.lit(a))])
-    hi = F.create_map(*[x for k, (a, b) in BUDGET_RANGES_BY_CHANNEL.items() for x in (F.lit(k), F.lit(b))])
-    mult = F.create_map(*[x for k, v in BUDGET_MULTIPLIER_BY_CAMPAIGN.items() for x in (F.lit(k), F.lit(v))])
-    e = campaigns.select("campaign_id", "campaign_type", F.explode(channels).alias("ch"))
-    m = F.element_at(mult, F.col("campaign_type"))
-    a, b = F.floor(F.element_at(lo, F.col("ch")) * m), F.floor(F.element_at(hi, F.col("ch")) * m)
-    per = F.round(F.floor(a + (b - a) * frac), -2)
-    return e.groupBy("campaign_id").agg(F.sum(per).cast("long").alias("budget"))
-
-
 def channel_mix(channels: Column, n: Column) -> Column:
     """Distinct channels in first-seen order, at most n."""
     return F.slice(F.array_distinct(channels), 1, n)
 
 
-def campaign_windows(dim: DataFrame, offset_days: int = 14) -> DataFrame:
-    """A campaign window per seasonal date: mega sale [d-k, d],
-    festival [d-k, d+k]; ids numbered in date order (the dimension is 21
-    fixed rows)."""
-    from pyspark.sql import Window
-    w = dim.select("season", "season_type", "event_date",
-                   F.date_sub("event_date", offset_days).alias("start_date"),
-                   F.when(F.col("season_type") == "Commercial Mega Sale", F.col("event_date"))
-                   .otherwise(F.date_add("event_date", offset_days)).alias("end_date"))
-    return w.withColumn("campaign_seq", F.row_number().over(Window.orderBy("event_date", "season")))
-
-
 def exposure_counts(page_promos: DataFrame) -> DataFrame:
     """Times each promotion has been seen so far in the session (and
     per mechanic), as running counts bucketed by hour."""
@@ -128,24 +99,6 @@ def exposure_counts(page_promos: DataFrame) -> DataFrame:
     return d.drop("__one")
 
 
-def bundle_followups(bundle_items: DataFrame) -> DataFrame:
-    """C11: events after viewing a bundle's anchor (lowest product id): for
-    every other member, a Product View then one Add to Cart per unit.
-    -> (bundle_id, step, event_type, product_id)."""
-    anchor = bundle_items.groupBy("bundle_id").agg(F.min("product_id").alias("__a"))
-    m = bundle_items.join(anchor, "bundle_id")
-    others = m.where(F.col("product_id") != F.col("__a"))
-    per = others.groupBy("bundle_id").agg(F.sort_array(F.collect_list(F.struct("product_id", "quantity"))).alias("__m"))  # bundle size
-    seq = per.select("bundle_id", F.flatten(F.transform("__m", lambda x: F.concat(
-        F.array(F.struct(F.lit("Product View").alias("event_type"), x["product_id"].alias("product_id"))),
-        F.array_repeat(F.struct(F.lit("Add to Cart").alias("event_type"), x["product_id"].alias("product_id")),
-                       x["quantity"].cast("int"))))).alias("__s"))
-    steps = seq.select("bundle_id", F.posexplode("__s").alias("pos", "e")).select(
-        "bundle_id", (F.col("pos") + 2).alias("step"), "e.event_type", "e.product_id")
-    first = anchor.select("bundle_id", F.lit(1).alias("step"), F.lit("Product View").alias("event_type"), F.col("__a").alias("product_id"))
-    return first.unionByName(steps)
-
-
 # Mechanics each channel supports, and per campaign type the
 # primary / secondary mechanics and promotion count range.
 CHANNEL_PROMOTION_COMPATIBILITY = {
@@ -185,6 +138,6 @@ def mechanics_for(campaign_type: Column, channels: Column, count_draw: Column) -
     n = lo + F.floor(count_draw * (hi - lo + 1)).cast("int")
     primary = F.filter(pick("primary"), lambda p: F.array_contains(allowed, p))
     first = F.slice(primary, 1, 1)
-    rest = F.concat(F.filter(pick("secondary"), lambda p: F.array_contains(allowed, p)), F.slice(primary, 2, 10))
+    rest = F.concat(F.filter(pick("secondary"), lambda p: F.array_contains(allowed, p)), F.slice(primary, 2, F.greatest(F.size(primary), F.lit(1))))
     fill = F.greatest(n - F.size(first), F.lit(0))
     return F.concat(first, F.slice(rest, 1, fill))

@@ -171,7 +171,7 @@ def bot_sessions(d: DataFrame, mode: str = "xxhash") -> DataFrame:
         acc += wgt
         et = F.when(t < acc, name) if et is None else et.when(t < acc, name)
     return x.select(F.concat(F.lit("bot_"), F.col("event_id").cast("string")).alias("session_id"), "customer_id",
-                    (F.col("event_id") * 100 + F.col("i")).alias("event_id"),
+                    (-2 * (F.col("event_id") * 1000 + F.col("i"))).alias("event_id"),  # below all real ids, even
                     (F.col("event_timestamp") + F.make_interval(secs=(F.sum("__delay_ms").over(w) / 1000).cast("decimal(18,3)"))).alias("event_timestamp"),
                     et.alias("event_type"), F.col("i").cast("long").alias("event_order"),
                     F.array(F.lit("bot traffic")).alias(ERR))
@@ -186,7 +186,7 @@ def orphan_sessions(d: DataFrame, rate: float = 0.02, mode: str = "xxhash") -> D
     k = F.col("__e") * 100 + F.col("i")
     et = F.element_at(F.array(*[F.lit(e) for e in MID_FUNNEL_EVENTS]), (F.floor(draw(k, 122, mode) * len(MID_FUNNEL_EVENTS)) + 1).cast("int"))
     return x.select(F.concat(F.lit("orphan_"), F.col("session_id")).alias("session_id"), "customer_id",
-                    (F.col("__e") * 1000 + F.col("i")).alias("event_id"),
+                    (-2 * (F.col("__e") * 1000 + F.col("i")) - 1).alias("event_id"),  # below all real ids, odd
                     (F.col("__t") + F.make_interval(secs=(F.col("i") * 30))).alias("event_timestamp"), et.alias("event_type"),
                     F.col("i").cast("long").alias("event_order"), F.array(F.lit("orphan session")).alias(ERR))
 

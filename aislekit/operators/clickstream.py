@@ -8,7 +8,7 @@ one task.  Counting transitions is a grouped aggregate.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aislekit.functions.text import slugify
@@ -76,8 +76,9 @@ def event_order(events: DataFrame) -> DataFrame:
 
 def bounce_flags(events: DataFrame) -> DataFrame:
     """bounce_flag 1 on the only event of a one-event session."""
-    n = events.groupBy("session_id").agg(F.count(F.lit(1)).alias("__n"))
-    return events.join(n, "session_id").withColumn("bounce_flag", F.when(F.col("__n") == 1, 1).otherwise(0)).drop("__n")
+    n = events.groupBy(F.col("session_id").alias("__s")).agg(F.count(F.lit(1)).alias("__n"))
+    j = events.join(n, F.col("session_id").eqNullSafe(F.col("__s")), "left")  # events without a session stay
+    return j.withColumn("bounce_flag", F.when(F.col("__n") == 1, 1).otherwise(0)).drop("__n", "__s")
 
 
 def resolve_page(event_type: Column, product_id: Column, category: Column, search_term: Column) -> Column:
@@ -235,202 +236,3 @@ def enrich_clickstream(events: DataFrame, products: DataFrame) -> DataFrame:
     items = purchased_items(r)
     return (r.join(items, "event_id", "left")
             .withColumn("purchased_items", F.coalesce("purchased_items", F.array().cast("array<string>"))))
-
-
-# Static edge multipliers (treatment, then segment).
-TREATMENT_EDGES = [("Product View", "Add to Cart", 1.1), ("Cart View", "Checkout Start", 1.1), ("Checkout Start", "Payment Attempt", 1.1)]
-SEGMENT_EDGES = {
-    "High Spenders": [("Product View", "Add to Cart", 1.1), ("Cart View", "Checkout Start", 1.1)],
-    "Budget Shoppers": [("Product View", "Add to Cart", 0.9), ("Cart View", "Checkout Start", 0.9), ("Product View", "Search View", 1.1)],
-    "Churn Risk Customers": [("Product View", "Add to Cart", 0.85), ("Cart View", "Checkout Start", 0.85)],
-}
-# Mission multiplier per next event.
-MISSION_TRANSITION_MULTIPLIERS = {
-    "Quick Top Up": {"Add to Cart": 1.2},
-    "Regular Buy": {"Search View": 1.3, "Add to Cart": 1.1, "Checkout Start": 1.1},
-    "Bulk Buy": {"Add to Cart": 1.5, "Checkout Start": 1.3},
-    "Browsing": {"Search View": 1.2, "Category View": 1.4, "Product View": 1.5, "Add to Cart": 0.6},
-}
-
-
-def static_modifiers(spark) -> DataFrame:
-    """K07 table: (segment, has_treatment, from, to, multiplier) for the
-    named edges (segment null = any)."""
-    rows = []
-    for a, b, m in TREATMENT_EDGES:
-        rows.append((None, True, a, b, m))
-    for seg, edges in SEGMENT_EDGES.items():
-        for a, b, m in edges:
-            rows.append((seg, None, a, b, m))
-    return spark.createDataFrame(rows, "segment string, has_treatment boolean, from_event string, to_event string, multiplier double")
-
-
-def modified_transitions(groups: DataFrame) -> DataFrame:
-    """The transition table adjusted for each observed (segment,
-    has_treatment) group and renormalised per from-event.
-    ``groups``: distinct (customer_segment, has_treatment)."""
-    spark = groups.sparkSession
-    base = transition_table(spark)
-    g = groups.select(F.col("customer_segment").alias("segment"), "has_treatment").distinct()
-    gb = g.join(F.broadcast(base), how="cross")  # groups (<= 10) x the fixed 40-row table
-    mods = static_modifiers(spark)
-    tm = mods.where(F.col("has_treatment").isNotNull()).select("from_event", "to_event", F.col("multiplier").alias("__tm"))
-    sm = mods.where(F.col("segment").isNotNull()).select("segment", "from_event", "to_event", F.col("multiplier").alias("__sm"))
-    j = (gb.join(F.broadcast(tm), ["from_event", "to_event"], "left").join(F.broadcast(sm), ["segment", "from_event", "to_event"], "left"))
-    p = (F.col("probability") * F.when(F.col("has_treatment"), F.coalesce("__tm", F.lit(1.0))).otherwise(1.0)
-         * F.coalesce("__sm", F.lit(1.0)))
-    from pyspark.sql import Window
-    w = Window.partitionBy("segment", "has_treatment", "from_event")  # <= 6 rows each
-    return j.select("segment", "has_treatment", "from_event", "to_event", p.alias("__p")).select(
-        "segment", "has_treatment", "from_event", "to_event", F.round(F.col("__p") / F.sum("__p").over(w), 6).alias("probability"))
-
-
-def mission_transitions(missions: DataFrame, progress: float = 0.5) -> DataFrame:
-    """The transition table under each observed mission: the mission's
-    multiplier on its next events (Checkout Start scaled by 0.3 + 0.7
-    progress), renormalised per from-event."""
-    spark = missions.sparkSession
-    base = transition_table(spark)
-    rows = [(m, e, v * ((0.3 + 0.7 * progress) if e == "Checkout Start" else 1.0))
-            for m, d in MISSION_TRANSITION_MULTIPLIERS.items() for e, v in d.items()]
-    mm = spark.createDataFrame(rows, "mission string, to_event string, multiplier double")
-    g = missions.select("mission").distinct().join(F.broadcast(base), how="cross")  # <= 4 missions x 40 rows
-    j = g.join(F.broadcast(mm), ["mission", "to_event"], "left")
-    from pyspark.sql import Window
-    p = F.col("probability") * F.coalesce("multiplier", F.lit(1.0))
-    w = Window.partitionBy("mission", "from_event")
-    return j.select("mission", "from_event", "to_event", p.alias("__p")).select(
-        "mission", "from_event", "to_event", F.round(F.col("__p") / F.sum("__p").over(w), 6).alias("probability"))
-
-
-def purchase_ratio_params(mission: Column, has_treatment: Column, segment: Column) -> Column:
-    """Beta (alpha, beta) of the purchase ratio by mission, treatment
-    and segment (each at least 0.1) and its mean."""
-    a = F.when(mission == "Bulk Buy", 8.0).when(mission == "Regular Buy", 6.0).otherwise(5.0)
-    b = F.when(mission == "Bulk Buy", 2.0).when(mission == "Regular Buy", 2.0).otherwise(2.0)
-    a = a * F.when(F.coalesce(has_treatment, F.lit(False)), 1.2).otherwise(1.0)
-    a = a * F.when(segment == "High Spenders", 1.1).when(segment == "Budget Shoppers", 0.9).when(segment == "Churn Risk Customers", 0.8).otherwise(1.0)
-    b = b * F.when(segment == "High Spenders", 0.9).when(segment == "Budget Shoppers", 1.1).when(segment == "Churn Risk Customers", 1.2).otherwise(1.0)
-    a, b = F.greatest(a, F.lit(0.1)), F.greatest(b, F.lit(0.1))
-    return F.struct(a.alias("alpha"), b.alias("beta"), (a / (a + b)).alias("mean"))
-
-
-# Mission target cart size range, mission efficiency range,
-# the cap on the session multiplier, and extra events per calendar label.
-SESSION_MISSION_TARGET_RANGE = {"Quick Top Up": (1, 5), "Regular Buy": (6, 15), "Bulk Buy": (16, 40), "Browsing": (1, 2)}
-MISSION_EFFICIENCY = {"Quick Top Up": (0.8, 1.0), "Regular Buy": (0.5, 0.9), "Bulk Buy": (0.7, 1.0), "Browsing": (0.2, 0.5)}
-MISSION_MAX_MULTIPLIER = {"Bulk Buy": 1.8, "Regular Buy": 1.5, "Quick Top Up": 1.3, "Browsing": 1.2}
-EXTRA_EVENTS = {"Daytime": (0, 1), "Evening": (1, 3), "Weekday": (0, 1), "Weekend": (1, 3), "Payday": (2, 4),
-                "Payday Spillover": (1, 3), "CNY": (3, 6), "Hari Raya Puasa": (2, 5), "Diwali": (2, 5), "Christmas": (3, 6),
-                "1111": (5, 10), "1212": (5, 10), "Black Friday": (5, 10)}
-
-
-def expected_events(mission: Column, labels: list[Column], has_treatment: Column, segment: Column,
-                    has_promotions: Column | None = None) -> Column:
-    """Expected events of a session: int(target / efficiency) plus
-    the extra events of its calendar labels, times the treatment /
-    promotion / segment multiplier capped per mission, at least 1.  Drawn
-    ranges are taken at their integer mid-points."""
-    def m(d, f):
-        return F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(f(v)))])
-    target = F.element_at(m(SESSION_MISSION_TARGET_RANGE, lambda v: (v[0] + v[1]) // 2), mission)
-    eff = F.element_at(m(MISSION_EFFICIENCY, lambda v: (v[0] + v[1]) / 2), mission)
-    base = F.floor(target / eff)
-    extra_map = m(EXTRA_EVENTS, lambda v: (v[0] + v[1]) // 2)
-    extra = sum(F.coalesce(F.element_at(extra_map, l), F.lit(0)) for l in labels)
-    mult = (F.when(F.coalesce(has_treatment, F.lit(False)), 1.1).otherwise(1.0)
-            * (F.when(F.coalesce(has_promotions, F.lit(False)), 1.2).otherwise(1.0) if has_promotions is not None else F.lit(1.0))
-            * F.when(segment == "High Spenders", 1.1).when(segment == "Churn Risk Customers", 0.9).otherwise(1.0))
-    mult = F.least(mult, F.coalesce(F.element_at(m(MISSION_MAX_MULTIPLIER, lambda v: v), mission), F.lit(1.5)))
-    n = F.floor((base + extra) * mult).cast("int")
-    return F.when(n > 1, n).otherwise(F.lit(1))
-
-
-# Essential categories (necessity-driven purchases).
-ESSENTIAL_CATEGORIES = ["Snacks", "Beverages", "Dairy & Eggs", "Fresh Produce", "Pantry Staples", "Household Essentials",
-                        "Rice & Noodles", "Cleaning Suppliers", "Personal Care"]
-
-
-def progress_transitions(events: DataFrame, target: float = 10.0) -> DataFrame:
-    """Next-event probabilities of every event under its cart
-    progress (< 0.5, < 0.8, rest), its add-to-cart streak in the session
-    and an essential product category, renormalised per event.
-    ``events`` carries cart_size and category.  The streak is a bucketed
-    running count.  -> (event_id, to_event, probability)."""
-    d = events.withColumn("__add", F.when(F.col("event_type") == "Add to Cart", 1).otherwise(0))
-    d = running_sum(d, ["session_id"], ["event_timestamp", "event_id"], "__add", "add_streak", bucket=hour_bucket())
-    prog = F.least(F.col("cart_size") / F.lit(target), F.lit(1.0))
-    base = transition_table(events.sparkSession)
-    j = d.select("event_id", F.col("event_type").alias("from_event"), "category", prog.alias("__p"), "add_streak").join(
-        F.broadcast(base), "from_event")  # the fixed 40-row table
-    to = F.col("to_event")
-    early = (F.when((to == "Add to Cart") & (F.col("add_streak") >= 2), 2.0).when(to == "Product View", 2.0)
-             .when(to == "Cart View", 0.85).when(to == "Checkout Start", 0.3).otherwise(1.0))
-    mid = F.when(to == "Checkout Start", 0.5).otherwise(1.0)
-    has_checkout = F.max(F.when(to == "Checkout Start", 1).otherwise(0)).over(Window.partitionBy("event_id"))
-    late = (F.when(to == "Checkout Start", 2.0).when((has_checkout == 1) & to.isin("Product View", "Category View", "Search View"), 0.6)
-            .otherwise(1.0))
-    m = F.when(F.col("__p") < 0.5, early).when(F.col("__p") < 0.8, mid).otherwise(late)
-    ess = F.when((F.col("from_event") == "Product View") & F.col("category").isin(ESSENTIAL_CATEGORIES) & (to == "Add to Cart"), 1.1).otherwise(1.0)
-    p = j.select("event_id", "to_event", (F.col("probability") * m * ess).alias("__w"))
-    return p.select("event_id", "to_event", F.round(F.col("__w") / F.sum("__w").over(Window.partitionBy("event_id")), 6).alias("probability"))
-
-
-# Calendar uplift ranges (add to cart, checkout, conversion).
-UPLIFT_MULTIPLIERS = {
-    "Daytime": ((0.98, 1.02), (0.98, 1.02), (0.98, 1.02)),
-    "Evening": ((1.1, 1.2), (1.05, 1.15), (1.05, 1.12)),
-    "Weekday": ((1.02, 1.08), (1.08, 1.12), (1.08, 1.02)),
-    "Weekend": ((1.1, 1.2), (1.08, 1.15), (1.1, 1.18)),
-    "Payday": ((1.2, 1.4), (1.15, 1.3), (1.15, 1.3)),
-    "Payday Spillover": ((1.1, 1.2), (1.08, 1.15), (1.1, 1.18)),
-    "CNY": ((1.2, 1.4), (1.3, 1.6), (1.5, 2.2)),
-    "Hari Raya Puasa": ((1.15, 1.3), (1.2, 1.4), (1.3, 2.0)),
-    "Diwali": ((1.15, 1.3), (1.2, 1.4), (1.3, 2.0)),
-    "Christmas": ((1.25, 1.5), (1.4, 1.8), (1.6, 2.5)),
-    "1111": ((1.5, 2), (1.8, 2.5), (2, 3.5)),
-    "1212": ((1.5, 2), (1.8, 2.5), (2, 3.5)),
-    "Black Friday": ((1.5, 2.5), (2, 3), (2.5, 4)),
-}
-
-
-def calendar_transitions(events: DataFrame, labels: list[Column], target: float = 10.0) -> DataFrame:
-    """Next-event probabilities of every event with the calendar
-    uplifts of its labels (time of day, day type, pay cycle, season) on
-    three edges: add to cart, checkout start (also x (1 + 0.5 progress) per
-    label) and payment attempt; ranges at their mid-points, renormalised
-    per event.  -> (event_id, to_event, probability)."""
-    def mid_map(i):
-        return F.create_map(*[x for k, v in UPLIFT_MULTIPLIERS.items() for x in (F.lit(k), F.lit((v[i][0] + v[i][1]) / 2))])
-    prog = F.least(F.coalesce(F.col("cart_size"), F.lit(0)) / F.lit(target), F.lit(1.0))
-    atc, chk, conv = F.lit(1.0), F.lit(1.0), F.lit(1.0)
-    for l in labels:
-        hit = F.element_at(mid_map(0), l).isNotNull()
-        atc = atc * F.coalesce(F.element_at(mid_map(0), l), F.lit(1.0))
-        chk = chk * F.when(hit, F.element_at(mid_map(1), l) * (1 + 0.5 * prog)).otherwise(1.0)
-        conv = conv * F.coalesce(F.element_at(mid_map(2), l), F.lit(1.0))
-    d = events.select("event_id", F.col("event_type").alias("from_event"), atc.alias("__a"), chk.alias("__c"), conv.alias("__v"))
-    j = d.join(F.broadcast(transition_table(events.sparkSession)), "from_event")  # the fixed 40-row table
-    e = F.struct(F.col("from_event"), F.col("to_event"))
-    m = (F.when((F.col("from_event") == "Product View") & (F.col("to_event") == "Add to Cart"), F.col("__a"))
-         .when((F.col("from_event") == "Cart View") & (F.col("to_event") == "Checkout Start"), F.col("__c"))
-         .when((F.col("from_event") == "Checkout Start") & (F.col("to_event") == "Payment Attempt"), F.col("__v")).otherwise(1.0))
-    p = j.select("event_id", "to_event", (F.col("probability") * m).alias("__w"))
-    return p.select("event_id", "to_event", F.round(F.col("__w") / F.sum("__w").over(Window.partitionBy("event_id")), 6).alias("probability"))
-
-
-def stock_transitions(product_views: DataFrame) -> DataFrame:
-    """Product View next-event probabilities under the viewed
-    product's stock status (``stock_status`` column, e.g. from the as-of
-    lookup): Out of Stock removes Add to Cart and boosts Home x1.2,
-    Category x1.3, Search x1.2; Low Stock boosts Add to Cart x1.2; In Stock
-    x1.1.  Renormalised per event.  -> (event_id, to_event, probability)."""
-    base = transition_table(product_views.sparkSession).where(F.col("from_event") == "Product View")
-    j = product_views.select("event_id", "stock_status").join(F.broadcast(base), how="cross")  # 6 fixed rows
-    st, to = F.col("stock_status"), F.col("to_event")
-    m = (F.when(st == "Out of Stock", F.when(to == "Add to Cart", 0.0).when(to == "Home View", 1.2)
-                .when(to == "Category View", 1.3).when(to == "Search View", 1.2).otherwise(1.0))
-         .when((st == "Low Stock") & (to == "Add to Cart"), 1.2)
-         .when((st == "In Stock") & (to == "Add to Cart"), 1.1).otherwise(1.0))
-    p = j.select("event_id", "to_event", (F.col("probability") * m).alias("__w")).where(F.col("__w") > 0)
-    return p.select("event_id", "to_event", F.round(F.col("__w") / F.sum("__w").over(Window.partitionBy("event_id")), 6).alias("probability"))

@@ -113,12 +113,6 @@ def orphan_list_elements(df: DataFrame, key: str, list_col: str, parent: DataFra
     return e.join(p, F.col("element") == F.col("__k"), "left_anti")
 
 
-def missing_columns(df: DataFrame, required: list[str]) -> DataFrame:
-    """Required columns and whether the frame has them."""
-    rows = [(c, c in df.columns) for c in required]
-    return df.sparkSession.createDataFrame(rows, "column_name string, present boolean")
-
-
 def value_not_accepted(col: Column, allowed: list) -> Column:
     """V11 predicate: a non-null value outside the accepted list."""
     return col.isNotNull() & ~col.isin(allowed)

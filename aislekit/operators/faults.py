@@ -27,7 +27,6 @@ MOD = 1000003
 SESSION_PROFILES = [("clean", 0.65), ("light_noise", 0.2), ("moderate_noise", 0.1), ("heavy_corruption", 0.05)]
 DUP_PROB = {"clean": 0.01, "light_noise": 0.03, "moderate_noise": 0.08, "heavy_corruption": 0.15}
 BOT_PROB = {"clean": 0.0, "light_noise": 0.01, "moderate_noise": 0.12, "heavy_corruption": 0.25}
-BUDGET_MEAN = {"clean": 0, "light_noise": 1, "moderate_noise": 2, "heavy_corruption": 4}
 # Fields a missing-field fault may blank, in order.
 MISSING_FIELDS = ["product_id", "category", "scroll_depth", "location", "cart_content", "cart_size",
                   "event_timestamp", "event_order", "event_type", "page", "device_category"]
@@ -37,21 +36,19 @@ MID_FUNNEL_EVENTS = ["Product View", "Add to Cart", "Cart View", "Checkout Start
 
 
 def arith_u_sql(key_sql: str, seed: int) -> str:
-    """SQL text of the ``arith`` draw (same integers as ``draw``)."""
-    h1 = f"((({key_sql}) % {MOD}) * 2654435761 + {seed * 7919}) % {MOD}"
-    return f"((({h1}) * ({h1}) + {seed * 104729 + 12345}) % {MOD}) / {MOD}.0"
+    """SQL text of the ``arith`` draw (same digits as ``draw``)."""
+    return (f"(CAST('0x' || substr(md5(CAST(({key_sql}) AS VARCHAR) || '|{seed}'), 1, 12) AS BIGINT)"
+            " / CAST(281474976710656 AS DOUBLE))")
 
 
 def draw(key: Column, seed: int, mode: str = "xxhash") -> Column:
-    """Uniform [0, 1) from (key, seed).  ``arith``: a linear step then a
-    quadratic mixing step modulo a prime (all values < 2^63, so no
-    overflow), reproducible in SQL."""
+    """Uniform [0, 1) from (key, seed).  ``arith``: the first 12 hex digits of
+    an md5 of the whole key and the seed, which SQL engines reproduce; keys
+    of any distance draw independently."""
     if mode == "arith":
-        h1 = F.pmod(F.pmod(key.cast("long"), F.lit(MOD)) * F.lit(2654435761) + F.lit(seed * 7919), F.lit(MOD))
-        h = F.pmod(h1 * h1 + F.lit(seed * 104729 + 12345), F.lit(MOD))
-    else:
-        h = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(MOD))
-    return h.cast("double") / MOD
+        digest = F.md5(F.concat(key.cast("string"), F.lit(f"|{seed}")).cast("binary"))
+        return F.conv(F.substring(digest, 1, 12), 16, 10).cast("long").cast("double") / F.lit(2.0 ** 48)
+    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(MOD)).cast("double") / MOD
 
 
 def under_cap(errors: Column, cap: int = MAX_ERRORS_PER_ROW) -> Column:

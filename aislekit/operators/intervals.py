@@ -38,18 +38,3 @@ def point_in_interval_join(points: DataFrame, ts: str, intervals: DataFrame, sta
     cond = cond & (F.col(start) <= F.col(ts)) & (F.col(end) >= F.col(ts))
     j = pt.join(iv, cond, how)
     return j.drop("__pb", "__ib", *[f"__ik_{k}" for k in keys])
-
-
-def overlap_join(left: DataFrame, l_start: str, l_end: str, right: DataFrame, r_start: str, r_end: str,
-                 keys: list[str] | None = None, how: str = "inner") -> DataFrame:
-    """Pairs whose closed intervals overlap, each pair once (the pair meets
-    in the first month both intervals touch)."""
-    keys = keys or []
-    lb = left.withColumn("__b", F.explode(month_buckets(F.col(l_start), F.col(l_end))))
-    rb = right.withColumn("__rb", F.explode(month_buckets(F.col(r_start), F.col(r_end))))
-    cond = [lb["__b"] == rb["__rb"]] + [lb[k] == rb[k] for k in keys]
-    cond.append((F.col(l_start) <= F.col(r_end)) & (F.col(l_end) >= F.col(r_start)))
-    # keep only the first shared month so a pair is emitted once
-    first = F.greatest(F.trunc(F.to_date(F.col(l_start)), "month"), F.trunc(F.to_date(F.col(r_start)), "month"))
-    cond.append(lb["__b"] == first)
-    return lb.join(rb.drop(*keys), cond, how).drop("__b", "__rb")

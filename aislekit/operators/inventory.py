@@ -31,15 +31,6 @@ def week_calendar(start: Column, end: Column, step_days: int = 7) -> Column:
     return F.sequence(F.to_date(start), F.to_date(end), F.expr(f"INTERVAL {step_days} DAYS"))
 
 
-def seasonal_windows(dim: DataFrame) -> DataFrame:
-    """Demand windows around seasonal dates: two weeks before to one
-    week after a mega sale, or to the day of a festival."""
-    return dim.select("season", "season_type", "event_date",
-                      F.date_sub("event_date", 14).alias("window_start"),
-                      F.when(F.col("season_type") == "Commercial Mega Sale", F.date_add("event_date", 7))
-                      .otherwise(F.col("event_date")).alias("window_end"))
-
-
 def weeks_in_life(products: DataFrame, data_end: str, week_anchor: str = "1995-01-02") -> DataFrame:
     """(product_id, week_start) for every week with week_end >= launch
     and week_start <= end of life (open end: the data end).  Weeks start on
@@ -136,21 +127,6 @@ def reason_label(key: Column) -> Column:
     return F.element_at(m, key)
 
 
-def duration_bounds(status_min: Column, status_max: Column, cat_min: Column, cat_max: Column) -> Column:
-    """(lo, hi) = (max of minima, min of maxima), swapped when inverted."""
-    lo, hi = F.greatest(status_min, cat_min), F.least(status_max, cat_max)
-    return F.struct(F.least(lo, hi).alias("min_days"), F.greatest(lo, hi).alias("max_days"))
-
-
-def yearly_stockout_count(base: Column, intensity: Column, discontinued_this_year: Column,
-                          eol_multiplier: float = 1.8) -> Column:
-    """int(base x intensity x 1.8 in the discontinuation year, else
-    base), clamped to 1..30 (the multiplier covers the whole product term
-    only in that year, as in the source)."""
-    n = F.when(discontinued_this_year, F.floor(base * intensity * eol_multiplier)).otherwise(F.floor(base * 1.0))
-    return F.greatest(F.lit(1), F.least(n.cast("int"), F.lit(30)))
-
-
 def non_overlapping_windows(stockouts: DataFrame) -> DataFrame:
     """Per (store, product, year): ends clipped to 31 Dec of the start
     year, each start moved to the day after the latest earlier end, and
@@ -163,11 +139,3 @@ def non_overlapping_windows(stockouts: DataFrame) -> DataFrame:
     ns = F.when(F.col("__prev_end").isNull(), F.col("s")).otherwise(F.greatest(F.col("s"), F.date_add("__prev_end", 1)))
     return (d.select("store_id", "product_id", ns.alias("stockout_start_date"), F.col("e").alias("stockout_end_date"))
             .where(F.col("stockout_start_date") <= F.col("stockout_end_date")))
-
-
-def factor_score(*factors: Column, cap: float = 1.0) -> Column:
-    """Product of lookup factors (missing factor = 1), capped."""
-    p = F.lit(1.0)
-    for f in factors:
-        p = p * F.coalesce(f.cast("double"), F.lit(1.0))
-    return F.least(p, F.lit(cap))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aislekit.functions.pricing import stock_band, stock_status
+from aislekit.functions.pricing import stock_status
 from aislekit.operators.intervals import point_in_interval_join
 from aislekit.operators.sequence import asof_lookup
 
@@ -124,50 +124,54 @@ def eligible_for_customer(promotions: DataFrame, treatment_pairs: DataFrame) ->
     return linked.select("customer_id", "promotion_id").unionByName(glob.select("customer_id", "promotion_id"))
 
 
-def bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most
-    max_rows + 1 rows)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def page_promotions(events: DataFrame, promotions: DataFrame, bundle_items: DataFrame,
-                    max_broadcast_rows: int = 10000) -> DataFrame:
-    """Promotions relevant on each page, one equi join per scope
-    (cart by page type, category by the viewed product's category,
-    product by product, bundle by membership), then a union."""
-    p = promotions.select("promotion_id", "promotion_scope", "promotion_target_id")
-    e = events.select("event_id", "event_type", F.col("product_id").cast("string").alias("__pid"),
-                      F.col("category").alias("__cat"))
-    # cart-scope promotions apply to every cart page, so the pairing is the
-    # result itself.  The promotion side is broadcast only after its size is
-    # checked; past the bound both sides are partitioned and paired block by
-    # block (no single task holds either side).
-    cart_p = p.where(F.col("promotion_scope") == "cart").select("promotion_id")
-    cart_e = e.where(F.col("event_type").isin("Cart View", "Checkout Start"))
-    if bounded(cart_p, max_broadcast_rows):
-        cart = cart_e.join(F.broadcast(cart_p), how="cross")
-    else:
-        cart = cart_e.crossJoin(cart_p)
-    cat = e.where(F.col("event_type").isin("Category View", "Product View")).join(
-        p.where(F.col("promotion_scope") == "category"), F.col("__cat") == F.col("promotion_target_id"))
-    prod = e.where(F.col("event_type") == "Product View").join(
-        p.where(F.col("promotion_scope") == "product"), F.col("__pid") == F.col("promotion_target_id"))
-    members = bundle_items.select(F.col("bundle_id").cast("string").alias("__b"), F.col("product_id").cast("string").alias("__m"))
-    bun = (e.where(F.col("event_type") == "Product View").join(members, F.col("__pid") == F.col("__m"))
-           .join(p.where(F.col("promotion_scope") == "bundle"), F.col("__b") == F.col("promotion_target_id")))
-    cols = ["event_id", "promotion_id"]
-    return cart.select(*cols).unionByName(cat.select(*cols)).unionByName(prod.select(*cols)).unionByName(bun.select(*cols)).distinct()
+def active_promotions(events: DataFrame, promotions: DataFrame, event_cols: list[str], keys: dict[str, str] | None = None,
+                      days: int = 30) -> DataFrame:
+    """(event, promotion) pairs where the event's time lies in the promotion's
+    dates, both ends included, and ``keys`` (event column -> promotion
+    column) agree.  Dates are cut into blocks of ``days``, so the join is an
+    equi join on the block and the keys."""
+    block = lambda d: F.floor(F.datediff(d, F.lit("1970-01-01")) / days)
+    e = events.select(*event_cols, *(keys or {}), F.to_date("event_timestamp").alias("__d")).withColumn("__b", block(F.col("__d")))
+    p = promotions.select("promotion_id", *(keys or {}).values(), "effective_start_date", "effective_end_date").withColumn(
+        "__b", F.explode(F.sequence(block(F.col("effective_start_date")), block(F.col("effective_end_date")))))
+    on = ["__b"]
+    for a, b in (keys or {}).items():
+        p = p.withColumnRenamed(b, a)
+        on.append(a)
+    return (e.join(p, on).where(F.col("__d").between(F.col("effective_start_date"), F.col("effective_end_date")))
+            .select(*event_cols, "promotion_id"))
+
+
+def page_promotions(events: DataFrame, promotions: DataFrame, bundle_items: DataFrame) -> DataFrame:
+    """Promotions active at the time of a page and relevant on it: cart
+    scope by page type, category by the viewed product's category, product
+    by product, bundle by membership; one equi join per scope, then a union."""
+    p = promotions.where("effective_start_date <= effective_end_date")
+    scope = lambda s: p.where(F.col("promotion_scope") == s)
+    e = events.withColumn("__pid", F.col("product_id").cast("string")).withColumn("__cat", F.col("category"))
+    views = e.where(F.col("event_type") == "Product View")
+    cart = active_promotions(e.where(F.col("event_type").isin("Cart View", "Checkout Start")), scope("cart"), ["event_id"])
+    cat = active_promotions(e.where(F.col("event_type").isin("Category View", "Product View")), scope("category"),
+                            ["event_id"], {"__cat": "promotion_target_id"})
+    prod = active_promotions(views, scope("product"), ["event_id"], {"__pid": "promotion_target_id"})
+    members = bundle_items.select(F.col("bundle_id").cast("string").alias("__b_id"), F.col("product_id").cast("string").alias("__pid"))
+    bun = active_promotions(views.join(members, "__pid"), scope("bundle"), ["event_id"], {"__b_id": "promotion_target_id"})
+    return cart.unionByName(cat).unionByName(prod).unionByName(bun).distinct()
 
 
 def on_sale_through(products: DataFrame, windows: DataFrame, w_start: str, w_end: str, key: str) -> DataFrame:
     """(window key, product) where launch <= window start and the
-    product is not discontinued before the window end.  Products are
-    bucketed by the years of their life and windows by their start year,
-    so the join is an equi join on the year."""
-    p = products.withColumn("__y", F.explode(F.sequence(F.year("launch_date"),
-                                                        F.year(F.coalesce("discontinuation_date", F.lit("2100-01-01").cast("date"))))))
-    w = windows.select(key, w_start, w_end, F.year(w_start).alias("__y"))
-    j = p.join(w, "__y").where((F.col("launch_date") <= F.col(w_start))
+    product is not discontinued before the window end.  Lives are clipped to
+    the windows' range first; lives and windows then meet on the month in
+    which a window starts."""
+    month = lambda c: F.year(c) * 12 + F.month(c)
+    w = windows.where(F.col(w_start).isNotNull()).select(key, w_start, w_end, month(w_start).alias("__m"))
+    span = w.agg(F.min("__m").alias("__lo"), F.max("__m").alias("__hi"))  # one row
+    p = products.where(F.col("launch_date").isNotNull()).crossJoin(F.broadcast(span))
+    first = F.greatest(month("launch_date"), F.col("__lo"))
+    last = F.least(F.coalesce(month("discontinuation_date"), F.col("__hi")), F.col("__hi"))
+    p = p.where(first <= last).withColumn("__m", F.explode(F.sequence(first, last)))
+    j = p.join(w, "__m").where((F.col("launch_date") <= F.col(w_start))
                                & (F.col("discontinuation_date").isNull() | (F.col("discontinuation_date") >= F.col(w_end))))
     return j.select(key, "product_id")
 
@@ -216,11 +220,15 @@ def stockouts_by_key(stockouts: DataFrame) -> DataFrame:
 def competitor_catalogue(listings: DataFrame, competitor: str = "competitor") -> DataFrame:
     """Drop repeats on (competitor, product_id), then on (competitor,
     name), keeping the first by name / id; is_exclusive = no product id.
+    A missing id is no id in common: exclusives are repeats by name only.
     Grouped minima, not windows."""
     cols = [c for c in listings.columns if c not in (competitor, "product_id")]
-    a = listings.groupBy(competitor, "product_id").agg(F.min(F.struct(F.col("product_name").alias("__n"), *cols)).alias("__f"))
+    order = [competitor, "product_id", *cols]
+    listed = listings.where(F.col("product_id").isNotNull())
+    a = listed.groupBy(competitor, "product_id").agg(F.min(F.struct(F.col("product_name").alias("__n"), *cols)).alias("__f"))
     a = a.select(competitor, "product_id", *[F.col(f"__f.{c}").alias(c) for c in cols])
-    rest = [c for c in a.columns if c not in (competitor, "product_name")]
+    a = a.unionByName(listings.where(F.col("product_id").isNull()).select(*order))
+    rest = [c for c in order if c not in (competitor, "product_name")]
     b = a.groupBy(competitor, "product_name").agg(F.min(F.struct(*[F.col(c) for c in rest])).alias("__f"))
     return b.select(competitor, "product_name", *[F.col(f"__f.{c}").alias(c) for c in rest]) \
         .withColumn("is_exclusive", F.col("product_id").isNull())

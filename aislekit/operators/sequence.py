@@ -18,8 +18,13 @@ def month_bucket(c: str) -> Column:
     return F.date_trunc("month", F.col(c).cast("timestamp_ntz"))
 
 
-def _order_struct(order: list[str]) -> Column:
-    return F.struct(*[F.col(o) for o in order])
+def _stitch(d: DataFrame, summary: DataFrame, on: list[str]) -> DataFrame:
+    """Join bucket summaries back; rows without a key or a time have buckets too."""
+    s = summary.select(*[F.col(k).alias(f"__s_{k}") for k in on], *[c for c in summary.columns if c not in on])
+    cond = F.lit(True)
+    for k in on:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__s_{k}"))
+    return d.join(s, cond, "left").drop(*[f"__s_{k}" for k in on])
 
 
 def neighbour(df: DataFrame, keys: list[str], order: list[str], cols: list[str], direction: str = "prev",
@@ -44,7 +49,7 @@ def neighbour(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
     wb = Window.partitionBy(*keys).orderBy("__bk")
     other = F.lag("__e").over(wb) if direction == "prev" else F.lead("__e").over(wb)
     summ = summ.select(*keys, "__bk", other.alias("__o"))
-    d = d.join(summ, keys + ["__bk"], "left")
+    d = _stitch(d, summ, [*keys, "__bk"])
     out = [F.when(F.col("__has").isNull(), F.col(f"__o.v_{c}")).otherwise(F.col(f"{prefix}{c}")).alias(f"{prefix}{c}")
            for c in cols]
     keep = [c for c in df.columns]
@@ -61,7 +66,7 @@ def running_sum(df: DataFrame, keys: list[str], order: list[str], col: str, out:
     tot = d.groupBy(*keys, "__bk").agg(F.sum(col).alias("__t"))
     wb = Window.partitionBy(*keys).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select(*keys, "__bk", F.coalesce(F.sum("__t").over(wb), F.lit(0)).alias("__before"))
-    d = d.join(tot, keys + ["__bk"], "left")
+    d = _stitch(d, tot, [*keys, "__bk"])
     return d.select(*df.columns, (F.col("__before") + F.col("__in")).alias(out))
 
 
@@ -76,7 +81,7 @@ def carry_forward(df: DataFrame, keys: list[str], order: list[str], col: str, ou
         F.max(F.when(F.col(col).isNotNull(), F.struct(*[F.col(o) for o in order], F.col(col).alias("v")))).alias("__l"))
     wb = Window.partitionBy(*keys).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
     lastb = lastb.select(*keys, "__bk", F.last(F.col("__l.v"), ignorenulls=True).over(wb).alias("__before"))
-    d = d.join(lastb, keys + ["__bk"], "left")
+    d = _stitch(d, lastb, [*keys, "__bk"])
     return d.select(*df.columns, F.coalesce(F.col("__in"), F.col("__before")).alias(out))
 
 

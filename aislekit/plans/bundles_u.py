@@ -132,18 +132,3 @@ def u05(t):
 
 BUNDLES_SQL = f"""SELECT bi.bundle_id, {BT_SQL.replace('bundle_id', 'bi.bundle_id')} AS bundle_type, list_sort(list_distinct(list(p.category))) AS categories
 FROM bundle_items bi JOIN products p USING (product_id) GROUP BY 1, 2"""
-
-
-@query("u06_bundle_members", ("bundle_items", "products"), f"""
-WITH b AS ({BUNDLES_SQL}),
-e AS (SELECT bundle_id, bundle_type, unnest(categories) AS category, unnest(range(len(categories))) AS pos FROM b),
-c AS (SELECT e.bundle_id, e.bundle_type, e.category, p.product_id,
-        {arith_u_sql("e.bundle_id * 1000003 + p.product_id", 23)} AS u
-      FROM e JOIN products p USING (category) WHERE e.bundle_type = 'Set' OR e.pos = 0)
-SELECT bundle_id, category, arg_min(product_id, (u, product_id)) AS product_id, CAST(CASE WHEN bundle_type = 'Set' THEN 1 ELSE 2 END AS BIGINT) AS quantity
-FROM c GROUP BY bundle_id, bundle_type, category""")
-def u06(t):
-    """Members chosen for each bundle (one per category for Sets)."""
-    bi = t.view("bundle_items").join(t.view("products").select("product_id", "category"), "product_id")
-    b = bi.groupBy("bundle_id").agg(F.sort_array(F.collect_set("category")).alias("categories")).withColumn("bundle_type", bundle_type_col())
-    return U.bundle_members(b, t.view("products"), mode="arith")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from aislekit import functions as fx
 from aislekit.operators import campaigns as C
 from aislekit.operators import lookups as J
 from aislekit.plans.registry import query
@@ -48,8 +47,9 @@ def _assign(t):
 
 
 from aislekit.operators.faults import arith_u_sql  # noqa: E402
+from aislekit.plans.lookups_j import page_views  # noqa: E402
 
-_U = arith_u_sql("campaign_id * 1000003 + customer_id", 17)
+_U = arith_u_sql("CAST(campaign_id AS VARCHAR) || '|' || CAST(customer_id AS VARCHAR)", 17)
 ASSIGN_SQL = f"""
 WITH a AS (SELECT k.campaign_id, c.customer_id, k.is_ab_test, k.start_date FROM customers c JOIN campaigns k ON c.customer_segment = k.target_segment
   WHERE c.signup_date <= k.start_date AND {_CONSENT_SQL}),
@@ -95,22 +95,6 @@ def c06b(t):
     return C.funnel_lift(t.view("campaign_exposures"))
 
 
-def _budget_sql() -> str:
-    lo = " ".join(f"WHEN '{k}' THEN {a}" for k, (a, b) in C.BUDGET_RANGES_BY_CHANNEL.items())
-    hi = " ".join(f"WHEN '{k}' THEN {b}" for k, (a, b) in C.BUDGET_RANGES_BY_CHANNEL.items())
-    mu = " ".join(f"WHEN '{k}' THEN {v}" for k, v in C.BUDGET_MULTIPLIER_BY_CAMPAIGN.items())
-    return f"""
-SELECT campaign_id, CAST(sum(round(floor(a + (b - a) * 0.5), -2)) AS BIGINT) AS budget FROM (
- SELECT campaign_id, floor((CASE ch {lo} END) * (CASE campaign_type {mu} END)) AS a, floor((CASE ch {hi} END) * (CASE campaign_type {mu} END)) AS b
- FROM (SELECT k.campaign_id, k.campaign_type, unnest({CHAN_SQL}) AS ch FROM campaigns k)) GROUP BY 1"""
-
-
-@query("c07_budget", ("campaigns",), _budget_sql())
-def c07(t):
-    """Campaign budget from its channels' ranges and type multiplier."""
-    return C.campaign_budget(camp(t))
-
-
 @query("c08_channel_mix", ("campaign_exposures",), """
 SELECT customer_id, list_slice(list_distinct_ordered, 1, 2) AS channels FROM (
   SELECT customer_id, list(channel ORDER BY first_seen) AS list_distinct_ordered FROM (
@@ -123,27 +107,19 @@ def c08(t):
     return lists.select("customer_id", C.channel_mix(F.col("__l.channel"), F.lit(2)).alias("channels"))
 
 
-@query("c09_campaign_windows", (), """
-SELECT season, season_type, event_date, start_date, end_date, row_number() OVER (ORDER BY event_date, season) AS campaign_seq FROM (
- SELECT season, season_type, event_date, CAST(event_date - INTERVAL 14 DAY AS DATE) AS start_date,
-   CASE WHEN season_type = 'Commercial Mega Sale' THEN event_date ELSE CAST(event_date + INTERVAL 14 DAY AS DATE) END AS end_date
- FROM (VALUES """ + ", ".join(f"('{s}', '{st}', DATE '{d}')" for st, ss in fx.SEASONAL_DATES.items() for s, ds in ss.items() for d in ds)
-       + """) v(season, season_type, event_date))""")
-def c09(t):
-    """Seasonal campaign windows with running ids."""
-    return C.campaign_windows(fx.seasonal_dimension(t.spark)).select("season", "season_type", "event_date", "start_date", "end_date",
-                                                                      "campaign_seq")
-
-
 @query("c10_exposure_counts", ("clickstreams", "products", "promotions", "bundle_items"), """
-WITH e AS (SELECT c.event_id, c.session_id, c.event_timestamp, c.event_type, CAST(c.product_id AS VARCHAR) AS pid, p.category FROM clickstreams c LEFT JOIN products p USING (product_id)),
+WITH e AS (SELECT c.event_id, c.session_id, c.event_timestamp, c.event_type, CAST(c.event_timestamp - INTERVAL '28' YEAR AS DATE) AS d,
+  CAST(c.product_id AS VARCHAR) AS pid, p.category FROM clickstreams c LEFT JOIN products p USING (product_id)),
 pp AS (SELECT DISTINCT event_id, promotion_id FROM (
- SELECT e.event_id, p.promotion_id FROM e JOIN promotions p ON p.promotion_scope = 'cart' WHERE e.event_type IN ('Cart View', 'Checkout Start')
+ SELECT e.event_id, p.promotion_id FROM e JOIN promotions p ON p.promotion_scope = 'cart' AND d BETWEEN effective_start_date AND effective_end_date
+   WHERE e.event_type IN ('Cart View', 'Checkout Start')
  UNION ALL SELECT e.event_id, p.promotion_id FROM e JOIN promotions p ON p.promotion_scope = 'category' AND p.promotion_target_id = e.category
-   WHERE e.event_type IN ('Category View', 'Product View')
- UNION ALL SELECT e.event_id, p.promotion_id FROM e JOIN promotions p ON p.promotion_scope = 'product' AND p.promotion_target_id = e.pid WHERE e.event_type = 'Product View'
+   AND d BETWEEN effective_start_date AND effective_end_date WHERE e.event_type IN ('Category View', 'Product View')
+ UNION ALL SELECT e.event_id, p.promotion_id FROM e JOIN promotions p ON p.promotion_scope = 'product' AND p.promotion_target_id = e.pid
+   AND d BETWEEN effective_start_date AND effective_end_date WHERE e.event_type = 'Product View'
  UNION ALL SELECT e.event_id, p.promotion_id FROM e JOIN bundle_items bi ON CAST(bi.product_id AS VARCHAR) = e.pid
-   JOIN promotions p ON p.promotion_scope = 'bundle' AND p.promotion_target_id = CAST(bi.bundle_id AS VARCHAR) WHERE e.event_type = 'Product View')),
+   JOIN promotions p ON p.promotion_scope = 'bundle' AND p.promotion_target_id = CAST(bi.bundle_id AS VARCHAR)
+   AND d BETWEEN effective_start_date AND effective_end_date WHERE e.event_type = 'Product View')),
 x AS (SELECT pp.event_id, pp.promotion_id, pr.promotion_mechanic, e.session_id, e.event_timestamp FROM pp JOIN e USING (event_id) JOIN promotions pr USING (promotion_id))
 SELECT event_id, promotion_id,
   count(*) OVER (PARTITION BY session_id, promotion_id ORDER BY event_timestamp, event_id ROWS UNBOUNDED PRECEDING) AS times_seen,
@@ -152,27 +128,13 @@ FROM x""")
 def c10(t):
     """Times each promotion (and its mechanic) was seen so far in the session."""
     cs = t.view("clickstreams")
-    e = cs.join(t.view("products").select("product_id", "category"), "product_id", "left")
-    pp = J.page_promotions(e, t.view("promotions"), t.view("bundle_items"))
+    pp = J.page_promotions(page_views(t), t.view("promotions"), t.view("bundle_items"))
     x = (pp.join(cs.select("event_id", "session_id", "event_timestamp"), "event_id")
          .join(t.view("promotions").select("promotion_id", "promotion_mechanic"), "promotion_id"))
     return C.exposure_counts(x).select("event_id", "promotion_id", F.col("times_seen").cast("long").alias("times_seen"),
                                        F.col("mechanic_seen").cast("long").alias("mechanic_seen"))
 
 
-@query("c11_bundle_followups", ("bundle_items",), """
-WITH a AS (SELECT bundle_id, min(product_id) AS anchor FROM bundle_items GROUP BY 1),
-o AS (SELECT b.bundle_id, b.product_id, b.quantity, row_number() OVER (PARTITION BY b.bundle_id ORDER BY b.product_id, b.quantity) AS r
-      FROM bundle_items b JOIN a USING (bundle_id) WHERE b.product_id <> a.anchor),
-ev AS (SELECT bundle_id, r, 0 AS sub, 'Product View' AS event_type, product_id FROM o
-       UNION ALL SELECT bundle_id, r, unnest(range(1, CAST(quantity AS BIGINT) + 1)) AS sub, 'Add to Cart', product_id FROM o)
-SELECT bundle_id, 1 AS step, 'Product View' AS event_type, anchor AS product_id FROM a
-UNION ALL SELECT bundle_id, CAST(row_number() OVER (PARTITION BY bundle_id ORDER BY r, sub) + 1 AS INTEGER), event_type, product_id FROM ev""")
-def c11(t):
-    """Follow-up events after a bundle's anchor view: view and adds per member."""
-    return C.bundle_followups(t.view("bundle_items"))
-
-
 def _mech_sql() -> str:
     compat = " ".join(f"WHEN '{k}' THEN [{', '.join(repr(x) for x in v)}]" for k, v in C.CHANNEL_PROMOTION_COMPATIBILITY.items())
     prim = " ".join(f"WHEN '{k}' THEN [{', '.join(repr(x) for x in v['primary'])}]" for k, v in C.CAMPAIGN_PROMOTION_STRATEGY.items())

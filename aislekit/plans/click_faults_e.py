@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from aislekit.operators import click_faults as CF
-from aislekit.operators.faults import BOT_EVENTS, arith_u_sql
+from aislekit.operators.faults import arith_u_sql
 from aislekit.operators.profile import ERR
 from aislekit.plans.clickstream_k import ENR, enriched
 from aislekit.plans.registry import query

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -349,187 +348,3 @@ def x_cl25(t):
     return e.where(bad).select("event_id")
 
 
-def _trans_values() -> str:
-    return "VALUES " + ", ".join(f"('{a}', '{b}', {p})" for a, m in K.VALID_EVENT_TRANSITIONS.items() for b, p in m.items())
-
-
-_GROUPS_SQL = f"""WITH s AS ({_STARTS}), a AS (SELECT DISTINCT campaign_id, customer_id, assignment_group FROM campaign_exposures),
-j AS (SELECT s.session_id, a.assignment_group FROM s JOIN a USING (customer_id) JOIN campaigns c USING (campaign_id)
-      WHERE c.start_date <= s.session_start AND c.end_date >= s.session_start),
-f AS (SELECT s.customer_id, s.session_id, coalesce(bool_or(j.assignment_group = 'Treatment'), false) AS has_treatment FROM s LEFT JOIN j USING (session_id) GROUP BY 1, 2),
-g AS (SELECT DISTINCT cu.customer_segment AS segment, f.has_treatment FROM f JOIN customers cu USING (customer_id))"""
-
-
-@query("k07_static_modifiers", ("clickstreams", "campaign_exposures", "campaigns", "customers"), _GROUPS_SQL + f""",
-b AS (SELECT * FROM ({_trans_values()}) v(from_event, to_event, probability)),
-x AS (SELECT g.segment, g.has_treatment, b.from_event, b.to_event, b.probability
-  * CASE WHEN g.has_treatment AND (b.from_event, b.to_event) IN (('Product View', 'Add to Cart'), ('Cart View', 'Checkout Start'), ('Checkout Start', 'Payment Attempt')) THEN 1.1 ELSE 1.0 END
-  * CASE WHEN g.segment = 'High Spenders' AND (b.from_event, b.to_event) IN (('Product View', 'Add to Cart'), ('Cart View', 'Checkout Start')) THEN 1.1
-         WHEN g.segment = 'Budget Shoppers' AND (b.from_event, b.to_event) IN (('Product View', 'Add to Cart'), ('Cart View', 'Checkout Start')) THEN 0.9
-         WHEN g.segment = 'Budget Shoppers' AND (b.from_event, b.to_event) = ('Product View', 'Search View') THEN 1.1
-         WHEN g.segment = 'Churn Risk Customers' AND (b.from_event, b.to_event) IN (('Product View', 'Add to Cart'), ('Cart View', 'Checkout Start')) THEN 0.85
-         ELSE 1.0 END AS p FROM g, b)
-SELECT segment, has_treatment, from_event, to_event, round(p / sum(p) OVER (PARTITION BY segment, has_treatment, from_event), 6) AS probability FROM x""")
-def k07(t):
-    """Transition table adjusted for each observed (segment, treatment) group."""
-    s = K.session_starts(t.view("clickstreams"))
-    f = K.session_flags(s, t.view("campaign_exposures"), t.view("campaigns")).join(s.select("session_id", "customer_id"), "session_id")
-    g = f.join(t.view("customers").select("customer_id", "customer_segment"), "customer_id").select(
-        "customer_segment", F.col("has_treatment_campaign").alias("has_treatment"))
-    return K.modified_transitions(g)
-
-
-_MISSION_SQL = "CASE WHEN basket_size BETWEEN 1 AND 2 THEN 'Browsing' WHEN basket_size BETWEEN 1 AND 5 THEN 'Quick Top Up' WHEN basket_size BETWEEN 6 AND 15 THEN 'Regular Buy' WHEN basket_size BETWEEN 16 AND 40 THEN 'Bulk Buy' END"
-
-
-@query("k11_mission_transitions", ("basket_items",), f"""
-WITH m AS (SELECT DISTINCT {_MISSION_SQL} AS mission FROM (SELECT transaction_id, sum(quantity) AS basket_size FROM basket_items GROUP BY 1)),
-b AS (SELECT * FROM ({_trans_values()}) v(from_event, to_event, probability)),
-mm AS (SELECT * FROM (VALUES {", ".join(f"('{k}', '{e}', {v * (0.65 if e == 'Checkout Start' else 1.0)!r})" for k, d in K.MISSION_TRANSITION_MULTIPLIERS.items() for e, v in d.items())}) v(mission, to_event, multiplier)),
-x AS (SELECT m.mission, b.from_event, b.to_event, b.probability * coalesce(mm.multiplier, 1.0) AS p FROM m CROSS JOIN b LEFT JOIN mm ON mm.mission = m.mission AND mm.to_event = b.to_event)
-SELECT mission, from_event, to_event, round(p / sum(p) OVER (PARTITION BY mission, from_event), 6) AS probability FROM x""")
-def k11(t):
-    """Transition table under each shopping mission seen in the baskets (progress 0.5)."""
-    from aislekit.operators import basket as B
-    sizes = t.view("basket_items").groupBy("transaction_id").agg(F.sum("quantity").alias("basket_size"))
-    return K.mission_transitions(sizes.select(B.basket_mission(F.col("basket_size")).alias("mission")))
-
-
-@query("f28_purchase_ratio_params", ("basket_items", "transactions", "customers", "campaign_exposures"), f"""
-WITH s AS (SELECT transaction_id, {_MISSION_SQL} AS mission FROM (SELECT transaction_id, sum(quantity) AS basket_size FROM basket_items GROUP BY 1)),
-tr AS (SELECT customer_id, bool_or(assignment_group = 'Treatment') AS tr FROM campaign_exposures GROUP BY 1),
-j AS (SELECT s.transaction_id, s.mission, coalesce(tr.tr, false) AS tr, c.customer_segment AS seg FROM s JOIN transactions t USING (transaction_id)
-      LEFT JOIN tr ON tr.customer_id = t.customer_id LEFT JOIN customers c ON c.customer_id = t.customer_id),
-ab AS (SELECT transaction_id,
-  greatest(CASE mission WHEN 'Bulk Buy' THEN 8.0 WHEN 'Regular Buy' THEN 6.0 ELSE 5.0 END * CASE WHEN tr THEN 1.2 ELSE 1.0 END
-    * CASE seg WHEN 'High Spenders' THEN 1.1 WHEN 'Budget Shoppers' THEN 0.9 WHEN 'Churn Risk Customers' THEN 0.8 ELSE 1.0 END, 0.1) AS a,
-  greatest(2.0 * CASE seg WHEN 'High Spenders' THEN 0.9 WHEN 'Budget Shoppers' THEN 1.1 WHEN 'Churn Risk Customers' THEN 1.2 ELSE 1.0 END, 0.1) AS b FROM j)
-SELECT transaction_id, round(a, 6) AS alpha, round(b, 6) AS beta, round(a / (a + b), 6) AS mean FROM ab""")
-def f28(t):
-    """Purchase-ratio Beta parameters of each basket from mission, treatment and segment."""
-    from aislekit.operators import basket as B
-    sizes = t.view("basket_items").groupBy("transaction_id").agg(F.sum("quantity").alias("basket_size"))
-    tr = t.view("campaign_exposures").groupBy("customer_id").agg(F.bool_or(F.col("assignment_group") == "Treatment").alias("tr"))
-    j = (sizes.join(t.view("transactions").select("transaction_id", "customer_id"), "transaction_id")
-         .join(tr, "customer_id", "left").join(t.view("customers").select("customer_id", "customer_segment"), "customer_id", "left"))
-    p = K.purchase_ratio_params(B.basket_mission(F.col("basket_size")), F.col("tr"), F.col("customer_segment"))
-    return j.select("transaction_id", F.round(p["alpha"], 6).alias("alpha"), F.round(p["beta"], 6).alias("beta"), F.round(p["mean"], 6).alias("mean"))
-
-
-@query("k24_expected_events", ("clickstreams", "campaign_exposures", "campaigns", "customers"), _GROUPS_SQL.replace(
-    "g AS (SELECT DISTINCT cu.customer_segment AS segment, f.has_treatment FROM f JOIN customers cu USING (customer_id))",
-    "g AS (SELECT f.session_id, cu.customer_segment AS segment, f.has_treatment FROM f LEFT JOIN customers cu USING (customer_id))") + f""",
-st AS (SELECT session_id, min(event_timestamp) AS ts, count(*) AS observed_events,
-   count(*) FILTER (WHERE event_type = 'Add to Cart') AS adds FROM clickstreams GROUP BY 1),
-m AS (SELECT st.*, g.segment, g.has_treatment,
-   coalesce(CASE WHEN adds BETWEEN 1 AND 2 THEN 'Browsing' WHEN adds BETWEEN 1 AND 5 THEN 'Quick Top Up' WHEN adds BETWEEN 6 AND 15 THEN 'Regular Buy'
-     WHEN adds BETWEEN 16 AND 40 THEN 'Bulk Buy' END, 'Browsing') AS mission,
-   CASE WHEN hour(ts) < 5 THEN 'Late Night' WHEN hour(ts) < 8 THEN 'Early Morning' WHEN hour(ts) < 12 THEN 'Morning' WHEN hour(ts) < 17 THEN 'Afternoon'
-     WHEN hour(ts) < 21 THEN 'Evening' ELSE 'Night' END AS tod,
-   CASE WHEN isodow(ts) >= 6 THEN 'Weekend' ELSE 'Weekday' END AS dt,
-   CASE WHEN day(ts) IN (1, 15) THEN 'Payday' WHEN day(ts) IN (28, 29, 30, 31, 2) THEN 'Payday Spillover' END AS pc,
-   (SELECT v.season FROM (VALUES """ + ", ".join(f"(DATE '{d}', '{se}', {i})" for i, (se, d) in enumerate(
-       (se, d) for st_, ss in fx.SEASONAL_DATES.items() for se, ds in ss.items() for d in ds)) + f""") v(d, season, r)
-     WHERE v.d = CAST(ts AS DATE) ORDER BY v.r LIMIT 1) AS sn
-  FROM st JOIN g USING (session_id)),
-x AS (SELECT *, floor(CASE mission {" ".join(f"WHEN '{k}' THEN {(a + b) // 2}" for k, (a, b) in K.SESSION_MISSION_TARGET_RANGE.items())} END
-     / CASE mission {" ".join(f"WHEN '{k}' THEN {(a + b) / 2!r}" for k, (a, b) in K.MISSION_EFFICIENCY.items())} END) AS base,
-   {" + ".join(f"coalesce(CASE {c} {' '.join(f'''WHEN '{k}' THEN {(a + b) // 2}''' for k, (a, b) in K.EXTRA_EVENTS.items())} END, 0)" for c in ["tod", "dt", "pc", "sn"])} AS extra,
-   least(CASE WHEN has_treatment THEN 1.1 ELSE 1.0 END * CASE segment WHEN 'High Spenders' THEN 1.1 WHEN 'Churn Risk Customers' THEN 0.9 ELSE 1.0 END,
-     CASE mission {" ".join(f"WHEN '{k}' THEN {v}" for k, v in K.MISSION_MAX_MULTIPLIER.items())} ELSE 1.5 END) AS mult FROM m)
-SELECT session_id, mission, observed_events, CASE WHEN CAST(floor((base + extra) * mult) AS INTEGER) > 1 THEN CAST(floor((base + extra) * mult) AS INTEGER) ELSE 1 END AS expected_events
-FROM x""")
-def k24(t):
-    """Expected events of each session from mission, calendar uplifts, treatment and segment, next to the observed count."""
-    from aislekit.operators import basket as B
-    c = t.view("clickstreams")
-    st = c.groupBy("session_id").agg(F.min("event_timestamp").alias("ts"), F.count(F.lit(1)).alias("observed_events"),
-                                     F.count_if(F.col("event_type") == "Add to Cart").alias("adds"))
-    s = K.session_starts(c)
-    f = K.session_flags(s, t.view("campaign_exposures"), t.view("campaigns")).join(s.select("session_id", "customer_id"), "session_id")
-    g = f.join(t.view("customers").select("customer_id", "customer_segment"), "customer_id", "left")
-    j = st.join(g, "session_id")
-    dim = fx.seasonal_dimension(t.spark)
-    first = dim.groupBy("event_date").agg(F.min(F.struct("season_rank", "season")).alias("__s"))
-    j = j.join(F.broadcast(first), F.to_date("ts") == F.col("event_date"), "left")  # 21 fixed dates
-    mission = F.coalesce(B.basket_mission(F.col("adds")), F.lit("Browsing"))
-    ts = F.col("ts")
-    e = K.expected_events(mission, [fx.time_of_day(ts), fx.day_type(ts), fx.pay_cycle(ts), F.col("__s.season")],
-                          F.col("has_treatment_campaign"), F.col("customer_segment"))
-    return j.select("session_id", mission.alias("mission"), "observed_events", e.alias("expected_events"))
-
-
-@query("k12_progress_transitions", ("clickstreams", "products"), f"""
-WITH b AS (SELECT * FROM ({_trans_values()}) v(from_event, to_event, probability)),
-s AS (SELECT event_id, event_type, category, least(cart_size / 10.0, 1.0) AS p,
-   sum(CASE WHEN event_type = 'Add to Cart' THEN 1 ELSE 0 END) OVER (PARTITION BY session_id ORDER BY event_timestamp, event_id ROWS UNBOUNDED PRECEDING) AS streak FROM enr),
-j AS (SELECT s.event_id, b.to_event, b.from_event, s.category, s.p, s.streak, b.probability,
-   max(CASE WHEN b.to_event = 'Checkout Start' THEN 1 ELSE 0 END) OVER (PARTITION BY s.event_id) AS hc FROM s JOIN b ON b.from_event = s.event_type),
-w AS (SELECT event_id, to_event, probability
-   * CASE WHEN p < 0.5 THEN CASE WHEN to_event = 'Add to Cart' AND streak >= 2 THEN 2.0 WHEN to_event = 'Product View' THEN 2.0
-          WHEN to_event = 'Cart View' THEN 0.85 WHEN to_event = 'Checkout Start' THEN 0.3 ELSE 1.0 END
-        WHEN p < 0.8 THEN CASE WHEN to_event = 'Checkout Start' THEN 0.5 ELSE 1.0 END
-        ELSE CASE WHEN to_event = 'Checkout Start' THEN 2.0 WHEN hc = 1 AND to_event IN ('Product View', 'Category View', 'Search View') THEN 0.6 ELSE 1.0 END END
-   * CASE WHEN from_event = 'Product View' AND category IN ({", ".join(repr(c) for c in K.ESSENTIAL_CATEGORIES)}) AND to_event = 'Add to Cart' THEN 1.1 ELSE 1.0 END AS wt FROM j)
-SELECT event_id, to_event, round(wt / sum(wt) OVER (PARTITION BY event_id), 6) AS probability FROM w""", ENR)
-def k12(t):
-    """Next-event probabilities per click event under cart progress, add streak and essential category."""
-    return K.progress_transitions(enriched(t))
-
-
-def _uplift_case(col: str, i: int) -> str:
-    return "CAST(CASE " + col + " " + " ".join(f"WHEN '{k}' THEN {(v[i][0] + v[i][1]) / 2!r}" for k, v in K.UPLIFT_MULTIPLIERS.items()) + " END AS DOUBLE)"
-
-
-_LABELS_SQL = """CASE WHEN hour(event_timestamp) < 5 THEN 'Late Night' WHEN hour(event_timestamp) < 8 THEN 'Early Morning' WHEN hour(event_timestamp) < 12 THEN 'Morning'
-   WHEN hour(event_timestamp) < 17 THEN 'Afternoon' WHEN hour(event_timestamp) < 21 THEN 'Evening' ELSE 'Night' END AS l1,
-  CASE WHEN isodow(event_timestamp) >= 6 THEN 'Weekend' ELSE 'Weekday' END AS l2,
-  CASE WHEN day(event_timestamp) IN (1, 15) THEN 'Payday' WHEN day(event_timestamp) IN (28, 29, 30, 31, 2) THEN 'Payday Spillover' END AS l3,
-  (SELECT v.season FROM (VALUES """ + ", ".join(f"(DATE '{d}', '{se}', {i})" for i, (se, d) in enumerate(
-    (se, d) for st_, ss in fx.SEASONAL_DATES.items() for se, ds in ss.items() for d in ds)) + """) v(d, season, r)
-   WHERE v.d = CAST(event_timestamp AS DATE) ORDER BY v.r LIMIT 1) AS l4"""
-
-
-@query("k08_calendar_transitions", ("clickstreams", "products"), f"""
-WITH b AS (SELECT * FROM ({_trans_values()}) v(from_event, to_event, probability)),
-ev AS (SELECT event_id, event_type, CAST(least(coalesce(cart_size, 0) / 10.0, 1.0) AS DOUBLE) AS p, {_LABELS_SQL} FROM enr),
-f AS (SELECT event_id, event_type,
-  {" * ".join(f"coalesce({_uplift_case(l, 0)}, 1.0)" for l in ["l1", "l2", "l3", "l4"])} AS a,
-  {" * ".join(f"CASE WHEN {_uplift_case(l, 0)} IS NOT NULL THEN {_uplift_case(l, 1)} * (1 + 0.5 * p) ELSE 1.0 END" for l in ["l1", "l2", "l3", "l4"])} AS c,
-  {" * ".join(f"coalesce({_uplift_case(l, 2)}, 1.0)" for l in ["l1", "l2", "l3", "l4"])} AS v FROM ev),
-w AS (SELECT f.event_id, b.to_event, b.probability * CASE WHEN b.from_event = 'Product View' AND b.to_event = 'Add to Cart' THEN a
-   WHEN b.from_event = 'Cart View' AND b.to_event = 'Checkout Start' THEN c WHEN b.from_event = 'Checkout Start' AND b.to_event = 'Payment Attempt' THEN v ELSE 1.0 END AS wt
-  FROM f JOIN b ON b.from_event = f.event_type)
-SELECT event_id, to_event, round(wt / sum(wt) OVER (PARTITION BY event_id), 6) AS probability FROM w""", ENR)
-def k08(t):
-    """Next-event probabilities per click event with calendar uplifts on the funnel edges."""
-    e = enriched(t)
-    dim = fx.seasonal_dimension(t.spark)
-    first = dim.groupBy("event_date").agg(F.min(F.struct("season_rank", "season")).alias("__s"))
-    e = e.join(F.broadcast(first), F.to_date("event_timestamp") == F.col("event_date"), "left")  # 21 fixed dates
-    ts = F.col("event_timestamp")
-    return K.calendar_transitions(e, [fx.time_of_day(ts), fx.day_type(ts), fx.pay_cycle(ts), F.col("__s.season")])
-
-
-from aislekit.plans.derived import snapshots as _snapshots  # noqa: E402
-from aislekit.plans.sql_common import LEDGER as _LEDGER, SNAPSHOTS as _SNAPS  # noqa: E402
-
-
-@query("k10_stock_transitions", ("clickstreams", "inventory_change_events"), f"""
-WITH b AS (SELECT * FROM ({_trans_values()}) v(from_event, to_event, probability) WHERE from_event = 'Product View'),
-pv AS (SELECT c.event_id, 0 AS store_id, c.product_id, c.event_timestamp FROM clickstreams c WHERE c.event_type = 'Product View' AND c.product_id IS NOT NULL),
-s AS (SELECT pv.event_id, coalesce(sn.stock_status, 'Out of Stock') AS st FROM pv ASOF LEFT JOIN snaps sn
-      ON pv.store_id = sn.store_id AND pv.product_id = sn.product_id AND pv.event_timestamp >= sn.event_timestamp),
-w AS (SELECT s.event_id, b.to_event, b.probability * CASE WHEN st = 'Out of Stock' THEN CASE b.to_event WHEN 'Add to Cart' THEN 0.0
-     WHEN 'Home View' THEN 1.2 WHEN 'Category View' THEN 1.3 WHEN 'Search View' THEN 1.2 ELSE 1.0 END
-   WHEN st = 'Low Stock' AND b.to_event = 'Add to Cart' THEN 1.2 WHEN st = 'In Stock' AND b.to_event = 'Add to Cart' THEN 1.1 ELSE 1.0 END AS wt
-  FROM s, b)
-SELECT event_id, to_event, round(wt / sum(wt) OVER (PARTITION BY event_id), 6) AS probability FROM w WHERE wt > 0""",
-       {"ledger": _LEDGER, "snaps": _SNAPS})
-def k10(t):
-    """Product View next-event probabilities under the as-of stock status in the online store (store 0)."""
-    from aislekit.operators.lookups import stock_status_asof
-    pv = (t.view("clickstreams").where((F.col("event_type") == "Product View") & F.col("product_id").isNotNull())
-          .select("event_id", F.lit(0).cast("long").alias("store_id"), "product_id", F.col("event_timestamp").alias("at")))
-    s = stock_status_asof(pv, _snapshots(t), probe_ts="at")
-    return K.stock_transitions(s)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -112,14 +111,6 @@ def v09(t):
     return V.orphan_list_elements(lists, "bundle_id", "members", t.view("products"), "product_id")
 
 
-@query("v10_required_columns", (), """
-SELECT * FROM (VALUES ('transaction_id', true), ('customer_id', true), ('store_id', true), ('transaction_time', true),
-  ('transaction_total', true), ('payment_method', true), ('cart_subtotal', false)) v(column_name, present)""")
-def v10(t):
-    """Required transaction columns present in the derived table."""
-    return V.missing_columns(t.view("transactions"), CONTRACTS["transactions"]["required"] + ["cart_subtotal"])
-
-
 @query("v11_accepted_values", ("transactions",), """
 SELECT transaction_id, payment_method FROM transactions
 WHERE payment_method IS NOT NULL AND payment_method NOT IN ('Credit Card', 'Debit Card', 'Digital Wallet', 'Buy Now Pay Later', 'Cash')""")

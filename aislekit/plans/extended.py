@@ -6,12 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from aislekit import functions as fx
-from aislekit.operators import bundles as U
 from aislekit.operators import checks as X
 from aislekit.operators import contracts as V
 from aislekit.operators import faults as E
 from aislekit.operators import history as D
-from aislekit.operators import lookups as J
 from aislekit.operators.faults import Step, arith_u_sql
 from aislekit.operators.profile import ERR
 from aislekit.plans.basket_b import priced
@@ -141,29 +139,6 @@ def d12(t):
     return D.monthly_signup_index(t.view("customers"))
 
 
-@query("f22_campaign_timing_boost", ("customers", "campaigns", "transactions"), """
-WITH a AS (SELECT c.customer_id, k.campaign_id, k.start_date, k.end_date FROM customers c JOIN campaigns k ON c.customer_segment = k.target_segment
-  WHERE c.signup_date <= k.start_date),
-j AS (SELECT t.transaction_id, CASE WHEN datediff('day', a.start_date, CAST(t.transaction_time AS DATE)) / datediff('day', a.start_date, a.end_date) < 0.2 THEN 1.3
-   WHEN datediff('day', a.start_date, CAST(t.transaction_time AS DATE)) / datediff('day', a.start_date, a.end_date) < 0.8 THEN 1.5 ELSE 0.8 END AS b
-  FROM transactions t JOIN a ON a.customer_id = t.customer_id AND a.start_date <= t.transaction_time AND a.end_date >= t.transaction_time
-  WHERE datediff('day', a.start_date, a.end_date) > 0)
-SELECT t.transaction_id, coalesce(max(j.b), 1.0) AS timing_boost FROM transactions t LEFT JOIN j USING (transaction_id) GROUP BY 1""")
-def f22(t):
-    """Campaign timing boost of each transaction (max over active campaigns, 1.0 if none)."""
-    c = t.view("customers").select("customer_id", "customer_segment", "signup_date")
-    k = t.view("campaigns").select("campaign_id", "target_segment", "start_date", "end_date")
-    a = c.join(k, c.customer_segment == k.target_segment).where(F.col("signup_date") <= F.col("start_date")).select(
-        "customer_id", "campaign_id", "start_date", "end_date")
-    p = t.view("transactions").select("transaction_id", "customer_id", "transaction_time")
-    j = J.active_in_window(p, "transaction_time", a, "start_date", "end_date", keys=["customer_id"])
-    total = F.datediff("end_date", "start_date")
-    prog = F.datediff(F.to_date("transaction_time"), F.col("start_date")) / total
-    b = j.where(total > 0).groupBy("transaction_id").agg(F.max(fx.campaign_progress_boost(prog)).alias("__b"))
-    return p.select("transaction_id").join(b, "transaction_id", "left").select(
-        "transaction_id", F.coalesce("__b", F.lit(1.0)).alias("timing_boost"))
-
-
 @query("f36_category_standardise", ("store_catalogues", "products"), """
 WITH m AS (SELECT s.store_category, p.category AS master_category, count(*) AS listings FROM store_catalogues s JOIN products p USING (product_id) GROUP BY 1, 2)
 SELECT store_category, master_category, listings, count(*) OVER (PARTITION BY store_category) > 1 AS ambiguous FROM m""")

@@ -71,8 +71,8 @@ PLANS: dict[str, dict] = {
         Step("null", "brand", 0.03, "missing brand", mask=lambda: F.col("brand").isNotNull(), sql_mask="brand IS NOT NULL"),
         Step("ws", "product_name", 0.06, "product name formatting anomaly"),
     ]},
-    "store_catalogues": {"id": "t04", "key": "__rk", "rk": "store_id * 1000003 + product_id",
-                         "rk_spark": lambda: F.col("store_id") * 1000003 + F.col("product_id"), "steps": [
+    "store_catalogues": {"id": "t04", "key": "__rk", "rk": "store_id * 100000000000 + product_id",
+                         "rk_spark": lambda: F.col("store_id") * 100000000000 + F.col("product_id"), "steps": [
         Step("set", "store_selling_price", 0.05, "price anomaly", value=lambda u: money(F.col("store_selling_price") * (1.4 + u * 1.1)),
              sql_value=money_sql("store_selling_price * (1.4 + {u} * 1.1)")),
         Step("set", "store_category", 0.06, "category label drift",
@@ -167,8 +167,6 @@ PLANS: dict[str, dict] = {
     ]},
 }
 
-# Detectors: what each label looks like in the values (Spark, SQL).
-NOW_TS = "TIMESTAMP '2025-01-01 00:00:00'"
 DETECTORS: dict[str, list[tuple[str, object, str]]] = {
     "store_catalogues": [
         ("missing store selling price", lambda: F.col("store_selling_price").isNull(), "store_selling_price IS NULL"),

@@ -120,37 +120,6 @@ def f09(t):
     return _net_text(t.view("products")).select("product_id", fx.parse_pack_quantity(F.col("pack_quantity")).alias("units"))
 
 
-@query("f10_pack_discount_factor", ("products",), """
-SELECT product_id, CASE WHEN pack_size IS NULL THEN 1.0 WHEN pack_size <= 2 THEN 0.95 WHEN pack_size <= 6 THEN 0.825
-  WHEN pack_size <= 12 THEN 0.7 ELSE 0.6 END AS factor FROM products""")
-def f10(t):
-    """Bulk discount factor by pack units (mid-point of each band)."""
-    return t.view("products").select("product_id", F.round(fx.pack_discount_factor(F.col("pack_size")), 6).alias("factor"))
-
-
-@query("f12_list_price", ("products",), f"""
-WITH x AS (SELECT product_id, CAST(selling_price AS DOUBLE) AS base,
-  CASE WHEN net IS NULL THEN NULL WHEN net = 'Loose' THEN 1.0
-  WHEN lower(trim(net)) LIKE '%kg' THEN TRY_CAST(trim(left(lower(trim(net)), length(lower(trim(net))) - 2)) AS DOUBLE) * 1000
-  WHEN lower(trim(net)) LIKE '%g' THEN TRY_CAST(trim(left(lower(trim(net)), length(lower(trim(net))) - 1)) AS DOUBLE)
-  WHEN lower(trim(net)) LIKE '%ml' THEN TRY_CAST(trim(left(lower(trim(net)), length(lower(trim(net))) - 2)) AS DOUBLE)
-  WHEN lower(trim(net)) LIKE '%l' THEN TRY_CAST(trim(left(lower(trim(net)), length(lower(trim(net))) - 1)) AS DOUBLE) * 1000 END AS net_value,
-  CASE WHEN pq IS NULL OR NOT regexp_matches(pq, '^(\\d+)-pack') THEN 1 ELSE CAST(regexp_extract(pq, '^(\\d+)-pack', 1) AS INTEGER) END AS units,
-  CASE WHEN pack_size IS NULL THEN 1.0 WHEN pack_size <= 2 THEN 0.95 WHEN pack_size <= 6 THEN 0.825 WHEN pack_size <= 12 THEN 0.7 ELSE 0.6 END AS factor
-  FROM (SELECT product_id, selling_price, pack_size, {_NET_SQL} AS net, {_PACK_SQL} AS pq FROM products)),
-y AS (SELECT product_id, least(greatest(base * coalesce(net_value / 100, 1.0) * units * factor, base * units * 0.4),
-  base * coalesce(net_value / 100, 1.0) * units * 0.85 + 5) AS p FROM x)
-SELECT product_id, CAST(round(CAST(p AS DECIMAL(38,8)), 2) AS DECIMAL(18,2)) AS price,
-  CAST(round(least(CAST(p AS DECIMAL(38,8)) * 0.725, CAST(p AS DECIMAL(38,8)) * 0.95), 2) AS DECIMAL(18,2)) AS cost FROM y""")
-def f12(t):
-    """List price and cost from base price, net content, units and bulk factor."""
-    p = _net_text(t.view("products"))
-    units = fx.parse_pack_quantity(F.col("pack_quantity"))
-    lp = fx.list_price(F.col("selling_price").cast("double"), fx.parse_net_content(F.col("net_content")),
-                       units, fx.pack_discount_factor(F.col("pack_size")))
-    return p.select("product_id", lp.alias("lp")).select("product_id", "lp.price", "lp.cost")
-
-
 @query("f13_discount_code", ("promotions",), """
 SELECT promotion_id, concat_ws('_', upper(promotion_mechanic), nullif(promotion_target_id, ''),
   CASE WHEN promotion_mechanic <> 'free_shipping' AND promotion_value IS NOT NULL AND promotion_value <> 0
@@ -183,28 +152,6 @@ def f15(t):
                                                        F.lit("1999-06-30").cast("date")).alias("safe_end"))
 
 
-@query("f16_promotion_value", ("promotions", "products"), """
-WITH cm AS (SELECT category, max(CAST(selling_price AS DOUBLE)) AS mx FROM products GROUP BY category)
-SELECT p.promotion_id, CASE
-  WHEN p.promotion_mechanic = 'percentage_discount' THEN round(least(10 * 0.7, 40), 0)
-  WHEN p.promotion_mechanic = 'dollar_discount' AND p.promotion_scope = 'product' THEN round(CAST(pr.selling_price AS DOUBLE) * 0.2, 2)
-  WHEN p.promotion_mechanic = 'dollar_discount' THEN round(CASE WHEN cm.mx IS NULL THEN 6.0 ELSE 2 + (least(cm.mx * 0.3, cm.mx * 0.4) - 2) * 0.5 END, 2)
-  WHEN p.promotion_mechanic = 'free_shipping' THEN 0.0 END AS value
-FROM promotions p LEFT JOIN products pr ON p.promotion_scope = 'product' AND CAST(pr.product_id AS VARCHAR(20)) = p.promotion_target_id
-LEFT JOIN cm ON p.promotion_scope = 'category' AND cm.category = p.promotion_target_id""")
-def f16(t):
-    """Promotion value by mechanic (product price share, category price cap)."""
-    p = t.view("promotions")
-    prod = t.view("products")
-    price = prod.select(F.col("product_id").cast("string").alias("pt"), F.col("selling_price").cast("double").alias("price"))
-    cmax = prod.groupBy(F.col("category").alias("ct")).agg(F.max(F.col("selling_price").cast("double")).alias("mx"))
-    j = (p.join(price, (p.promotion_scope == "product") & (p.promotion_target_id == price.pt), "left")
-         .join(cmax, (p.promotion_scope == "category") & (p.promotion_target_id == cmax.ct), "left"))
-    v = fx.promotion_value(F.col("promotion_mechanic"), F.col("promotion_scope"), F.lit(10.0),
-                           F.lit(None).cast("string"), F.col("price"), F.col("mx"))
-    return j.select("promotion_id", v.alias("value"))
-
-
 @query("f17_bundle_quantity", ("bundle_items",), """
 SELECT bundle_id, product_id, CASE WHEN regexp_matches(nm, 'Buy (\\d+)') THEN CAST(regexp_extract(nm, 'Buy (\\d+)', 1) AS INTEGER) ELSE 1 END AS buy_quantity
 FROM (SELECT bundle_id, product_id, CASE WHEN product_id % 2 = 0 THEN 'Buy ' || CAST(quantity AS VARCHAR(20)) || ' Get 1 Free' ELSE 'Starter Set' END AS nm FROM bundle_items)""")
@@ -238,70 +185,6 @@ def f19(t):
     return e.select("store_id", "product_id", "event_timestamp", fx.stock_status(fx.stock_band(F.col("delta"))).alias("stock_status"))
 
 
-@query("f23_engagement_score", ("promotions",), """
-SELECT promotion_id, e.event_type, n AS times_seen, round(least(0.03 +
-  CASE WHEN promotion_scope = 'cart' AND e.event_type IN ('Cart View', 'Checkout Start') THEN 0.275
-       WHEN promotion_scope = 'category' AND e.event_type IN ('Category View', 'Product View') THEN 0.15
-       WHEN promotion_scope = 'product' AND e.event_type = 'Product View' THEN 0.275
-       WHEN promotion_scope = 'bundle' AND e.event_type = 'Product View' THEN 0.24 ELSE 0.0 END +
-  CASE WHEN promotion_mechanic = 'percentage_discount' THEN 0.05 + 0.002 * CAST(coalesce(promotion_value, 0) AS DOUBLE)
-       WHEN promotion_mechanic = 'dollar_discount' THEN 0.04 + 0.01 * least(CAST(coalesce(promotion_value, 0) AS DOUBLE), 5.0)
-       WHEN promotion_mechanic = 'bundle' THEN 0.06 + 0.015 * least(CAST(coalesce(promotion_value, 0) AS DOUBLE), 10.0) ELSE 0.0 END
-  + 0.12 * n * exp(-0.6 * n), 0.9), 6) AS score
-FROM promotions, (VALUES ('Product View'), ('Cart View'), ('Category View')) e(event_type), (VALUES (1), (3)) s(n)""")
-def f23(t):
-    """Engagement score of each promotion on three pages after 1 and 3 views."""
-    p = (t.view("promotions")
-         .withColumn("event_type", F.explode(F.array(F.lit("Product View"), F.lit("Cart View"), F.lit("Category View"))))
-         .withColumn("times_seen", F.explode(F.array(F.lit(1), F.lit(3)))))
-    s = fx.engagement_score(F.col("promotion_scope"), F.col("promotion_mechanic"), F.col("promotion_value"),
-                            F.col("event_type"), F.col("times_seen"))
-    return p.select("promotion_id", "event_type", F.col("times_seen").alias("n"), F.round(s, 6).alias("score")) \
-        .withColumnRenamed("n", "times_seen")
-
-
-@query("f24_perception_score", ("promotions",), """
-SELECT promotion_id, CASE WHEN promotion_mechanic = 'percentage_discount' THEN 0.95 WHEN promotion_mechanic = 'dollar_discount' THEN 0.9
-  WHEN promotion_mechanic = 'bundle' THEN 0.85 ELSE 0.9 END AS perception FROM promotions""")
-def f24(t):
-    """Probability a promotion is understood, by mechanic."""
-    return t.view("promotions").select("promotion_id", fx.perception_score(F.col("promotion_mechanic")).alias("perception"))
-
-
-_SUBTOTAL = "(SELECT transaction_id, sum(item_subtotal) AS cart_subtotal FROM transaction_items GROUP BY transaction_id)"
-
-
-def _subtotals(t):
-    return t.view("transaction_items").groupBy("transaction_id").agg(F.sum("item_subtotal").alias("cart_subtotal"))
-
-
-@query("f26_promo_use_propensity", ("transactions", "transaction_items", "customers"), f"""
-SELECT t.transaction_id, round(least(coalesce(CASE c.customer_segment WHEN 'New Customers' THEN 0.75 WHEN 'Active Customers' THEN 0.7
-  WHEN 'Churn Risk Customers' THEN 0.85 WHEN 'High Spenders' THEN 0.6 WHEN 'Budget Shoppers' THEN 0.9 END, 0.6)
-  + 0.2 / (1 + exp(greatest(least(0.05 * (CAST(s.cart_subtotal AS DOUBLE) - 80), 50.0), -50.0))), 1.0), 6) AS propensity
-FROM transactions t JOIN {_SUBTOTAL} s USING (transaction_id) LEFT JOIN customers c USING (customer_id)""")
-def f26(t):
-    """Promotion-use propensity of each basket from segment and subtotal."""
-    j = (t.view("transactions").select("transaction_id", "customer_id").join(_subtotals(t), "transaction_id")
-         .join(t.view("customers").select("customer_id", "customer_segment"), "customer_id", "left"))
-    return j.select("transaction_id", F.round(fx.promo_use_propensity(F.col("customer_segment"), F.col("cart_subtotal")), 6).alias("propensity"))
-
-
-@query("f27_delivery_propensity", ("transactions", "transaction_items", "customers", "stores"), f"""
-SELECT t.transaction_id, round(least(0.15 + CASE WHEN c.region IS DISTINCT FROM st.region THEN 0.2 ELSE 0.0 END
-  + CASE WHEN c.area IS DISTINCT FROM st.area THEN 0.1 ELSE 0.0 END + CASE WHEN s.cart_subtotal > 100 THEN 0.1 ELSE 0.0 END, 0.85), 6) AS propensity
-FROM transactions t JOIN {_SUBTOTAL} s USING (transaction_id) LEFT JOIN customers c USING (customer_id)
-LEFT JOIN stores st ON st.store_id = t.store_id""")
-def f27(t):
-    """Delivery propensity of each basket from distance and subtotal."""
-    c = t.view("customers").select("customer_id", F.col("region").alias("c_region"), F.col("area").alias("c_area"))
-    s = t.view("stores").select("store_id", F.col("region").alias("s_region"), F.col("area").alias("s_area"))
-    j = (t.view("transactions").select("transaction_id", "customer_id", "store_id").join(_subtotals(t), "transaction_id")
-         .join(c, "customer_id", "left").join(s, "store_id", "left"))
-    p = fx.delivery_propensity(F.lit(False), F.col("c_region"), F.col("s_region"), F.col("c_area"), F.col("s_area"), F.col("cart_subtotal"))
-    return j.select("transaction_id", F.round(p, 6).alias("propensity"))
-
-
 @query("f30_search_terms", ("products",), """
 WITH w AS (SELECT product_id, list_filter(string_split_regex(trim(concat(category, ' & ', product_name)), '\\s+'), lambda x: x <> '&' AND x <> '') AS words FROM products),
 t AS (SELECT product_id, replace(unnest(words), '&', '') AS term FROM w
@@ -395,15 +278,6 @@ def f37(t):
     return j.select("store_id", "product_id", d.alias("d")).select("store_id", "product_id", "d.ratio", "d.flagged")
 
 
-@query("f38_competitor_price", ("products",), """
-SELECT product_id, CAST(round(greatest(p + CASE WHEN p < 2 THEN 0.1 WHEN p < 10 THEN 0.25 WHEN p < 50 THEN 1.0 ELSE 5.0 END, p * 0.5), 2) AS DECIMAL(18,2)) AS competitor_price
-FROM (SELECT product_id, CAST(cost_price * 0.05 AS DECIMAL(18,4)) AS p FROM products)""")
-def f38(t):
-    """Competitor price from own price with tiered noise and a 50% floor."""
-    p = t.view("products").select("product_id", (F.col("cost_price") * F.lit(0.05).cast("decimal(3,2)")).cast("decimal(18,4)").alias("p"))
-    return p.select("product_id", fx.competitor_price(F.col("p")).alias("competitor_price"))
-
-
 @query("f40_product_name", ("products",), """
 SELECT product_id, concat_ws(' ', nullif(trim(brand), ''), nullif(trim(product_name), ''), nullif(trim(CAST(pack_size AS VARCHAR(20)) || 'g'), ''),
   nullif(trim(CASE WHEN product_id % 2 = 0 THEN '6-pack' END), '')) AS full_name FROM products""")
@@ -428,15 +302,3 @@ SELECT event_id, CASE WHEN scroll_depth < 15 THEN '0-15' WHEN scroll_depth < 30
 def f44(t):
     """Scroll-depth band of every click event."""
     return t.view("clickstreams").select("event_id", fx.scroll_band(F.col("scroll_depth")).alias("scroll_band"))
-
-
-@query("f43_scroll_engagement", CS, """
-SELECT event_id, CASE WHEN event_type IN ('Home View', 'Search View', 'Category View', 'Product View') THEN scroll_depth END AS scroll,
-  round(CASE WHEN event_type IN ('Home View', 'Search View', 'Category View', 'Product View')
-    THEN 10.0 * (0.8 + coalesce(scroll_depth, 0) / 100 * 0.6) ELSE 10.0 END, 6) AS time_on_page
-FROM clickstreams""")
-def f43(t):
-    """Scroll kept for browsing events only; time on page scaled by scroll."""
-    s = fx.scroll_engagement(F.col("event_type"), F.col("scroll_depth"), F.lit(10.0))
-    return t.view("clickstreams").select("event_id", s.alias("s")).select(
-        "event_id", F.col("s.scroll_depth").alias("scroll"), F.round("s.time_on_page", 6).alias("time_on_page"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from aislekit import functions as fx
 from aislekit.operators import inventory as I
 from aislekit.plans.derived import ledger, lifecycles, snapshots
 from aislekit.plans.registry import query
@@ -21,18 +20,6 @@ def i01(t):
     return r.select(F.explode(I.week_calendar(F.col("s"), F.col("e"))).alias("week_start"))
 
 
-@query("i02_seasonal_windows", (), """
-SELECT * FROM (VALUES """ + ", ".join(
-    f"('{season}', '{stype}', DATE '{d}', DATE '{d}' - INTERVAL 14 DAY, DATE '{d}' + INTERVAL {7 if stype == 'Commercial Mega Sale' else 0} DAY)"
-    for stype, ss in fx.SEASONAL_DATES.items() for season, ds in ss.items() for d in ds) + """)
- v(season, season_type, event_date, window_start, window_end)""")
-def i02(t):
-    """Demand windows around each seasonal date."""
-    w = I.seasonal_windows(fx.seasonal_dimension(t.spark))
-    return w.select("season", "season_type", "event_date", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("window_end").cast("timestamp_ntz").alias("window_end"))
-
-
 @query("i03_weeks_in_life", ("lifecycle_changes",), f"""
 WITH pl AS ({LIFECYCLES}),
 p AS (SELECT product_id, min(launch_date) AS launch_date, max(discontinuation_date) AS discontinuation_date FROM pl GROUP BY 1)
@@ -122,33 +109,6 @@ def i10(t):
     return I.first_event_per_time(raw)
 
 
-@query("i12_yearly_stockout_count", ("lifecycle_changes",), f"""
-WITH pl AS ({LIFECYCLES}),
-p AS (SELECT product_id, min(launch_date) AS launch_date, max(discontinuation_date) AS disc FROM pl GROUP BY 1),
-y AS (SELECT product_id, disc, unnest(generate_series(year(launch_date), year(coalesce(disc, DATE '2001-12-31')))) AS yr FROM p)
-SELECT product_id, CAST(yr AS INTEGER) AS yr, CAST(greatest(1, least(CASE WHEN disc IS NOT NULL AND year(disc) = yr THEN floor(2 * 1.5 * 1.8) ELSE floor(2 * 1.0) END, 30)) AS INTEGER) AS stockouts
-FROM y""")
-def i12(t):
-    """Stockout events per product-year (x1.8 in the discontinuation year)."""
-    p = lifecycles(t).groupBy("product_id").agg(F.min("launch_date").alias("launch_date"), F.max("discontinuation_date").alias("disc"))
-    y = p.select("product_id", "disc", F.explode(F.sequence(F.year("launch_date"), F.year(F.coalesce("disc", F.lit("2001-12-31").cast("date"))))).alias("yr"))
-    n = I.yearly_stockout_count(F.lit(2), F.lit(1.5), F.col("disc").isNotNull() & (F.year("disc") == F.col("yr")))
-    return y.select("product_id", F.col("yr").cast("int").alias("yr"), n.alias("stockouts"))
-
-
-@query("i13_duration_bounds", ("lifecycle_changes",), """
-SELECT status, least(greatest(lo, 3), least(hi, 10)) AS min_days, greatest(greatest(lo, 3), least(hi, 10)) AS max_days
-FROM (VALUES ('New', 14, 120), ('Active', 120, 1095), ('Seasonal', 60, 180), ('Phasing Out', 30, 180), ('Discontinued', 365, 3650)) v(status, lo, hi)
-WHERE status IN (SELECT DISTINCT status FROM lifecycle_changes)""")
-def i13(t):
-    """Stockout duration bounds from status dwell range and a (3, 10) day category range."""
-    from aislekit.operators.history import STATUS_DWELL_DAYS
-    dim = t.spark.createDataFrame([(k, a, b) for k, (a, b) in STATUS_DWELL_DAYS.items()], "status string, lo int, hi int")
-    st = t.view("lifecycle_changes").select("status").distinct()
-    b = I.duration_bounds(F.col("lo"), F.col("hi"), F.lit(3), F.lit(10))
-    return dim.join(st, "status", "left_semi").select("status", b["min_days"].alias("min_days"), b["max_days"].alias("max_days"))
-
-
 @query("i14_non_overlapping_windows", ("stockout_events",), """
 WITH d AS (SELECT store_id, product_id, stockout_start_date AS s,
    least(coalesce(stockout_end_date, stockout_start_date), make_date(year(stockout_start_date), 12, 31)) AS e, year(stockout_start_date) AS yr

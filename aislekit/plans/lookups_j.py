@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from aislekit import functions as fx
 from aislekit.operators import basket as B
 from aislekit.operators import lookups as J
 from aislekit.plans.derived import lifecycles, snapshots
@@ -174,20 +173,28 @@ def j16(t):
     return J.eligible_for_customer(p, tr)
 
 
+def page_views(t):
+    """Clickstream pages with the product's category, moved into the years of the promotions."""
+    e = t.view("clickstreams").join(t.view("products").select("product_id", "category"), "product_id", "left")
+    return e.withColumn("event_timestamp", F.col("event_timestamp") - F.make_interval(years=F.lit(28)))
+
+
 @query("j17_page_promotions", ("clickstreams", "products", "promotions", "bundle_items"), """
-WITH e AS (SELECT c.event_id, c.event_type, CAST(c.product_id AS VARCHAR) AS pid, p.category FROM clickstreams c LEFT JOIN products p USING (product_id))
+WITH e AS (SELECT c.event_id, c.event_type, CAST(c.event_timestamp - INTERVAL '28' YEAR AS DATE) AS d, CAST(c.product_id AS VARCHAR) AS pid, p.category
+  FROM clickstreams c LEFT JOIN products p USING (product_id))
 SELECT DISTINCT event_id, promotion_id FROM (
- SELECT e.event_id, p.promotion_id FROM e JOIN promotions p ON p.promotion_scope = 'cart' WHERE e.event_type IN ('Cart View', 'Checkout Start')
+ SELECT e.event_id, p.promotion_id FROM e JOIN promotions p ON p.promotion_scope = 'cart' AND d BETWEEN effective_start_date AND effective_end_date
+   WHERE e.event_type IN ('Cart View', 'Checkout Start')
  UNION ALL SELECT e.event_id, p.promotion_id FROM e JOIN promotions p ON p.promotion_scope = 'category' AND p.promotion_target_id = e.category
-   WHERE e.event_type IN ('Category View', 'Product View')
+   AND d BETWEEN effective_start_date AND effective_end_date WHERE e.event_type IN ('Category View', 'Product View')
  UNION ALL SELECT e.event_id, p.promotion_id FROM e JOIN promotions p ON p.promotion_scope = 'product' AND p.promotion_target_id = e.pid
-   WHERE e.event_type = 'Product View'
+   AND d BETWEEN effective_start_date AND effective_end_date WHERE e.event_type = 'Product View'
  UNION ALL SELECT e.event_id, p.promotion_id FROM e JOIN bundle_items bi ON CAST(bi.product_id AS VARCHAR) = e.pid
-   JOIN promotions p ON p.promotion_scope = 'bundle' AND p.promotion_target_id = CAST(bi.bundle_id AS VARCHAR) WHERE e.event_type = 'Product View')""")
+   JOIN promotions p ON p.promotion_scope = 'bundle' AND p.promotion_target_id = CAST(bi.bundle_id AS VARCHAR)
+   AND d BETWEEN effective_start_date AND effective_end_date WHERE e.event_type = 'Product View')""")
 def j17(t):
-    """Promotions relevant on each clickstream page, by scope."""
-    e = t.view("clickstreams").join(t.view("products").select("product_id", "category"), "product_id", "left")
-    return J.page_promotions(e, t.view("promotions"), t.view("bundle_items"))
+    """Promotions active and relevant on each clickstream page, by scope."""
+    return J.page_promotions(page_views(t), t.view("promotions"), t.view("bundle_items"))
 
 
 @query("j18_on_sale_through", ("lifecycle_changes", "campaigns"), """
@@ -241,7 +248,8 @@ LISTINGS_SQL = """SELECT store_id % 7 AS competitor, CASE WHEN product_id % 13 =
 
 @query("j25_competitor_catalogue", ("store_catalogues",), """
 WITH a AS (SELECT competitor, product_id, product_name, brand FROM (SELECT *, row_number() OVER (PARTITION BY competitor, product_id
-   ORDER BY product_name NULLS FIRST, brand NULLS FIRST) AS rn FROM listings) WHERE rn = 1)
+   ORDER BY product_name NULLS FIRST, brand NULLS FIRST) AS rn FROM listings WHERE product_id IS NOT NULL) WHERE rn = 1
+ UNION ALL SELECT competitor, product_id, product_name, brand FROM listings WHERE product_id IS NULL)
 SELECT competitor, product_name, product_id, brand, product_id IS NULL AS is_exclusive FROM (SELECT *, row_number() OVER (
   PARTITION BY competitor, product_name ORDER BY product_id NULLS FIRST, brand NULLS FIRST) AS rn FROM a) WHERE rn = 1""", {"listings": LISTINGS_SQL})
 def j25(t):

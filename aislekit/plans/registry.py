@@ -62,11 +62,11 @@ def _load_all() -> None:
                 raise
 
 
-_TABLES: dict[tuple[int, str], Tables] = {}
+_TABLES: dict[tuple[str, int, str], Tables] = {}
 
 
 def tables_for(spark: SparkSession, sf_dir: str) -> Tables:
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _TABLES:
         _TABLES[key] = Tables(spark, sf_dir)
     return _TABLES[key]

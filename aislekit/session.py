@@ -51,6 +51,10 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    path = fallback or os.environ.get("AISLEKIT_CHECKPOINT_DIR") or "/tmp/aislekit-checkpoints"
+    path = fallback or os.environ.get("AISLEKIT_CHECKPOINT_DIR")
+    if not path:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        path = "/tmp/aislekit-checkpoints"
     sc.setCheckpointDir(path)
     return path

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from aislekit.plans import registry
 from oracle_check import canon
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.queries()
+SQL = registry.oracle_sql()
 
 
 # Generated rows (bot / orphan sessions and their composition) are checked by
