@@ -325,24 +325,22 @@ def price_baskets(lines: DataFrame, headers: DataFrame, promotions: DataFrame, b
     """B14 / B16 (and the chain B04-B13): priced headers and lines.
 
     Returns {"eligible", "discounts", "allocation", "selected", "items",
-    "transactions", "covers"}.  With ``materialize`` the eligible pairs,
-    the discounts / allocations and the chosen promotions are checkpointed
-    (with the cart lines, the allocations and the chosen promotions) are
-    written once to the shared folder, which keeps every later plan small
+    "transactions", "covers"}.  With ``materialize`` the cart lines, the
+    eligible pairs, the discounts, the chosen promotions and the priced lines
+    are written once to the shared folder, which keeps every later plan small
     and restartable.
     """
     lines = _cut(lines, materialize)
     elig = _cut(eligible_promotions(lines, headers, promotions, bundle_items), materialize)
     per_promo, plines = promotion_discounts(lines, headers, elig, bundle_items, bundle_pricings)
     per_promo = _cut(per_promo, materialize)
-    # allocation and the chosen promotions are cut too: it keeps the final
-    # plans small, which bounds driver memory when many queries share a
-    # session
-    alloc = _cut(allocate(per_promo, plines), materialize)
     covers = promotion_cover(elig, lines, bundle_items)
+    # promotions are chosen before anything is allocated; the priced lines are
+    # cut too, because headers and checks read them several times
     selected = _cut(resolve_stack(per_promo, covers), materialize)
-    items = item_lines(lines, alloc, selected)
     chosen = per_promo.join(selected, ["transaction_id", "promotion_id"])
+    items = _cut(item_lines(lines, allocate(chosen, plines), selected), materialize)
+    alloc = allocate(per_promo, plines)  # of every eligible promotion; planned only where it is read
     disc = chosen.groupBy("transaction_id").agg(
         F.sum("discount").alias("__d"),
         F.sort_array(F.collect_list(F.when(F.col("discount") > 0, F.struct(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from aislekit.functions.pricing import stock_status
 from aislekit.operators.intervals import point_in_interval_join
-from aislekit.operators.sequence import asof_lookup
+from aislekit.operators.sequence import asof_lookup, running_sum
 
 DIGITAL_TYPES = ["Online Only", "Omnichannel"]
 
@@ -124,6 +124,18 @@ def eligible_for_customer(promotions: DataFrame, treatment_pairs: DataFrame) ->
     return linked.select("customer_id", "promotion_id").unionByName(glob.select("customer_id", "promotion_id"))
 
 
+def active_counts(points: DataFrame, point: str, intervals: DataFrame, start: str, end: str, out: str) -> DataFrame:
+    """How many intervals hold each distinct time of ``points`` (closed
+    ends): starts so far less ends before, one running sum over times; no
+    pairs of points and intervals."""
+    ts = lambda c: F.col(c).cast("timestamp_ntz").alias("ts")
+    i = intervals.where(F.col(start) <= F.col(end))
+    t = points.where(F.col(point).isNotNull()).select(ts(point), F.lit(1).alias("kind"), F.lit(0).alias("d")).distinct()
+    u = t.union(i.select(ts(start), F.lit(0), F.lit(1))).union(i.select(ts(end), F.lit(2), F.lit(-1)))
+    r = running_sum(u, [], ["ts", "kind"], "d", out)
+    return r.where("kind = 1").select("ts", out)
+
+
 def active_promotions(events: DataFrame, promotions: DataFrame, event_cols: list[str], keys: dict[str, str] | None = None,
                       days: int = 30) -> DataFrame:
     """(event, promotion) pairs where the event's time lies in the promotion's

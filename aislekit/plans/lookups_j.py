@@ -153,9 +153,10 @@ SELECT t.transaction_id, count(DISTINCT p.promotion_id) AS active_promotions FRO
 def j15(t):
     """Number of promotions active at each transaction time."""
     p = t.view("transactions").select("transaction_id", "transaction_time")
-    j = J.active_in_window(p, "transaction_time", t.view("promotions"), "effective_start_date", "effective_end_date",
-                           distinct_on=["transaction_id", "promotion_id"])
-    return j.groupBy("transaction_id").agg(F.count_distinct("promotion_id").alias("active_promotions"))
+    n = J.active_counts(p, "transaction_time", t.view("promotions"), "effective_start_date", "effective_end_date",
+                        "active_promotions")
+    return (p.join(n, F.col("transaction_time").cast("timestamp_ntz") == F.col("ts")).where("active_promotions > 0")
+            .select("transaction_id", F.col("active_promotions").cast("long").alias("active_promotions")))
 
 
 @query("j16_customer_promotions", ("promotions", "campaign_exposures"), """
