@@ -177,3 +177,107 @@ def test_dirty_clickstream_properties(tables):
     b = CF.with_budget(e, "arith").select("event_id", "__budget")
     zero = base.join(b.where(F.col("__budget") == 0), "event_id")
     assert zero.where(F.size(labels) > 0).count() == 0
+
+
+# ---------------------------------------------------------------- rows that hide mistakes
+
+
+def test_exclusives_without_an_id_are_not_one_product(spark):
+    from aislekit.operators.lookups import competitor_catalogue
+
+    rows = [("c", None, "a", "b"), ("c", None, "d", "b"), ("c", None, "e", "b"), ("c", None, "e", "b"), ("c", 1, "f", "b"), ("c", 1, "g", "b")]
+    got = competitor_catalogue(spark.createDataFrame(rows, "competitor string, product_id long, product_name string, brand string"))
+    assert sorted((r["product_name"], r["is_exclusive"]) for r in got.collect()) == [("a", True), ("d", True), ("e", True), ("f", False)]
+
+
+def test_ab_groups_differ_between_campaigns(spark):
+    from aislekit.operators.campaigns import ab_split
+
+    aud = spark.range(4).selectExpr("id AS campaign_id").crossJoin(spark.range(500).selectExpr("id AS customer_id")).withColumn(
+        "is_ab_test", F.lit(True)).withColumn("start_date", F.lit("2024-01-01").cast("date"))
+    for mode in ("arith", "xxhash"):
+        rows = ab_split(aud, F.col("is_ab_test"), mode=mode).collect()
+        groups = {}
+        for r in rows:
+            groups.setdefault(r["customer_id"], set()).add(r["assignment_group"])
+        assert sum(len(g) == 2 for g in groups.values()) > 350
+
+
+def test_draws_of_distant_keys_are_independent(spark):
+    from aislekit.operators.faults import draw
+
+    d = spark.range(2000).select(draw(F.col("id"), 5, "arith").alias("a"), draw(F.col("id") + 1000003, 5, "arith").alias("b")).collect()
+    assert sum(r["a"] == r["b"] for r in d) == 0
+    assert abs(sum(r["a"] for r in d) / 2000 - 0.5) < 0.03
+
+
+def test_page_promotions_are_active_ones(spark):
+    from aislekit.operators.lookups import page_promotions
+
+    e = spark.sql("""SELECT * FROM VALUES (1, 'Cart View', 7, 'x', timestamp'2024-03-05 10:00:00'),
+        (2, 'Product View', 7, 'x', timestamp'2024-03-05 10:00:00'), (3, 'Cart View', 7, 'x', timestamp'2025-01-01 00:00:00')
+        AS t(event_id, event_type, product_id, category, event_timestamp)""")
+    p = spark.sql("""SELECT * FROM VALUES (10, 'cart', null, date'2024-03-01', date'2024-03-05'), (11, 'cart', null, date'2024-03-06', date'2024-04-01'),
+        (12, 'category', 'x', date'2020-01-01', date'2030-01-01'), (13, 'product', '7', date'2024-01-01', date'2024-03-04'),
+        (14, 'bundle', '70', date'2024-03-05', date'2024-03-05')
+        AS t(promotion_id, promotion_scope, promotion_target_id, effective_start_date, effective_end_date)""")
+    b = spark.sql("SELECT 70 AS bundle_id, 7 AS product_id, 1 AS quantity")
+    assert sorted(map(tuple, page_promotions(e, p, b).collect())) == [(1, 10), (2, 12), (2, 14)]
+
+
+def test_events_without_a_session_stay(spark):
+    from aislekit.operators.clickstream import bounce_flags
+
+    rows = [(1, "s"), (2, None), (3, None), (4, "t"), (5, "t")]
+    got = bounce_flags(spark.createDataFrame(rows, "event_id long, session_id string")).collect()
+    assert sorted((r["event_id"], r["bounce_flag"]) for r in got) == [(1, 1), (2, 0), (3, 0), (4, 0), (5, 0)]
+
+
+def test_generated_events_have_ids_of_their_own(spark):
+    from aislekit.operators.click_faults import bot_sessions, orphan_sessions
+
+    d = spark.range(3000).select(F.col("id").alias("event_id"), (F.col("id") % 50).alias("customer_id"),
+                                 F.concat(F.lit("s"), (F.col("id") / 5).cast("int").cast("string")).alias("session_id"),
+                                 F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("event_timestamp"),
+                                 F.lit("heavy_corruption").alias("__profile"))
+    bots = [r["event_id"] for r in bot_sessions(d).collect()]
+    orphans = [r["event_id"] for r in orphan_sessions(d).collect()]
+    assert bots and orphans and max(bots + orphans) < 0
+    assert len(set(bots + orphans)) == len(bots) + len(orphans)
+
+
+def test_sequences_keep_null_keys_and_times(spark):
+    from pyspark.sql import Window
+
+    from aislekit.operators.sequence import carry_forward, neighbour, running_sum
+
+    rows = [(k, t, i, i if i % 3 else None) for i, (k, t) in enumerate(
+        (k, t) for k in (None, 1, 2) for t in (None, "2024-01-05", "2024-01-05", "2024-02-01", "2024-04-09"))]
+    df = spark.createDataFrame(rows, "k long, d string, i long, v long").withColumn("t", F.col("d").cast("timestamp_ntz"))
+    w = Window.partitionBy("k").orderBy("t", "i")
+    w0 = w.rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("i", F.lag("v").over(w).alias("prev_v"), F.lead("v").over(w).alias("next_v"), F.sum("i").over(w0).alias("s"),
+                     F.last("v", ignorenulls=True).over(w0).alias("c")).collect()
+    got = neighbour(neighbour(df, ["k"], ["t", "i"], ["v"]), ["k"], ["t", "i"], ["v"], "next")
+    got = carry_forward(running_sum(got, ["k"], ["t", "i"], "i", "s"), ["k"], ["t", "i"], "v", "c")
+    pick = lambda rs: sorted((r["i"], r["prev_v"], r["next_v"], r["s"], r["c"]) for r in rs)
+    assert [tuple(map(str, r)) for r in pick(got.collect())] == [tuple(map(str, r)) for r in pick(want)]
+
+
+def test_active_counts_equal_pairing(spark):
+    from aislekit.operators.lookups import active_counts
+
+    p = spark.sql("SELECT * FROM VALUES (timestamp'2024-01-01'), (timestamp'2024-01-05'), (timestamp'2024-01-05'), (timestamp'2024-03-01'), (null) AS t(at)")
+    i = spark.sql("""SELECT * FROM VALUES (date'2024-01-01', date'2024-01-05'), (date'2024-01-05', date'2024-02-28'), (date'2023-01-01', date'2025-01-01'),
+        (date'2024-02-01', date'2024-01-01'), (null, date'2024-01-09') AS t(a, b)""")
+    got = active_counts(p, "at", i, "a", "b", "n").collect()
+    assert sorted((str(r["ts"])[:10], r["n"]) for r in got) == [("2024-01-01", 2), ("2024-01-05", 3), ("2024-03-01", 1)]
+
+
+def test_a_free_cart_does_not_fail(spark):
+    from aislekit.operators.basket import allocate
+
+    d = spark.sql("SELECT 1 AS transaction_id, 2 AS promotion_id, CAST(0 AS DECIMAL(18,2)) AS discount, CAST(0 AS DECIMAL(18,2)) AS elig_subtotal, 9 AS last_pid")
+    lines = spark.sql("""SELECT * FROM VALUES (1, 2, 8, CAST(0 AS DECIMAL(18,2))), (1, 2, 9, CAST(0 AS DECIMAL(18,2)))
+        AS t(transaction_id, promotion_id, product_id, line_total)""")
+    assert [float(r["allocated"]) for r in allocate(d, lines).collect()] == [0, 0]
