@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,9 @@ from aislekit.llm._common import Scratch, frequency_class, frequency_cut
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 UNKNOWN, START = 0, 1  # ids; words follow from 2
-SHIFT = 32  # a bigram's key is its first id, shifted, and its second
+SHIFT = 24  # a bigram's key is its first id, shifted, and its second; so many bits hold an id
+MASK = (1 << SHIFT) - 1
+TEXTS = 256  # texts that are worked on together
 WORD_BYTES = 64  # longer words are unknown, so the vocabulary's size in memory is bounded
 #: So many target ids may be broadcast to mark documents; beyond, documents are shuffled.
 BROADCAST_IDS = 2_000_000
@@ -41,35 +44,61 @@ def words_of(text: str | None) -> list[bytes]:
     return WORD.findall((text or "").encode().lower())
 
 
-def counted(docs: DataFrame, per_text, names: tuple[str, ...], key_type: pa.DataType, flush: int = 1_000_000) -> DataFrame:
-    """Sums over all texts of ``per_text(text) -> (keys, counts)``: key, n_target, n_background.
+def word_counts(docs: DataFrame, flush: int = 1_000_000) -> DataFrame:
+    """Words of all texts: word, n_target, n_background.
 
     ``docs``: __target, __text.  A task sums up what it has seen before it sends.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: tuple[Counter, Counter] = (Counter(), Counter())
+        seen: tuple[Counter, Counter] = (Counter(), Counter())  # background, target
 
         def out() -> pa.RecordBatch:
             keys = list(seen[0].keys() | seen[1].keys())
             made = pa.RecordBatch.from_arrays(
-                [pa.array(keys, key_type), *(pa.array([c.get(k, 0) for k in keys], pa.int64()) for c in seen[::-1])],
-                names=list(names))
+                [pa.array(keys, pa.binary()), *(pa.array([c.get(k, 0) for k in keys], pa.int64()) for c in seen[::-1])],
+                names=["word", "n_target", "n_background"])
             for c in seen:
                 c.clear()
             return made
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
+            for i in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(i, TEXTS)
                 for target, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    seen[target].update(per_text(text))
+                    seen[target].update(words_of(text))
                 if len(seen[0]) + len(seen[1]) > flush:
                     yield out()
         yield out()
 
-    kind = "binary" if key_type == pa.binary() else "long"
-    sent = docs.mapInArrow(run, f"{names[0]} {kind}, {names[1]} long, {names[2]} long")
-    return sent.groupBy(names[0]).agg(F.sum(names[1]).alias(names[1]), F.sum(names[2]).alias(names[2]))
+    sent = docs.mapInArrow(run, "word binary, n_target long, n_background long")
+    return sent.groupBy("word").agg(F.sum("n_target").alias("n_target"), F.sum("n_background").alias("n_background"))
+
+
+def bigram_counts(docs: DataFrame, shared_vocabulary, flush: int = 3_000_000) -> DataFrame:
+    """Bigrams of all texts: key, n_target, n_background; summed up in tasks likewise."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, held, size = shared_vocabulary.value, [], 0
+
+        def out() -> pa.RecordBatch:
+            key, n = np.unique(np.concatenate(held or [np.zeros(0, np.int64)]), return_counts=True)  # key, then side
+            held.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(key >> 1), pa.array(np.where(key & 1, n, 0)), pa.array(np.where(key & 1, 0, n))],
+                names=["key", "n_target", "n_background"])
+
+        for batch in batches:
+            for i in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(i, TEXTS)
+                for target, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    held.append(vocabulary.bigrams(text) << 1 | int(target))
+                    size += len(held[-1])
+                if size > flush:
+                    yield out()
+                    size = 0
+        yield out()
+
+    sent = docs.mapInArrow(run, "key long, n_target long, n_background long")
+    return sent.groupBy("key").agg(F.sum("n_target").alias("n_target"), F.sum("n_background").alias("n_background"))
 
 
 class Vocabulary:
@@ -86,8 +115,8 @@ class Vocabulary:
             self.counts[row, UNKNOWN] = totals[row] - self.counts[row].sum()
 
     def encode(self, text: str | None) -> np.ndarray:
-        get = self.ids.get
-        return np.array([get(w, UNKNOWN) for w in words_of(text)], dtype=np.int64)
+        w = words_of(text)
+        return np.fromiter(map(self.ids.get, w, repeat(UNKNOWN)), np.int64, len(w))
 
     def bigrams(self, text: str | None) -> np.ndarray:
         w = self.encode(text)
@@ -106,7 +135,7 @@ class Losses:
 
     def __call__(self, key, joint, own, own_first, own_word, own_tokens, target) -> tuple[np.ndarray, np.ndarray]:
         """``joint``: counts of the bigrams in both corpora; ``own...``: the document's own counts."""
-        h, w = key >> SHIFT, key & ((1 << SHIFT) - 1)
+        h, w = key >> SHIFT, key & MASK
         out = []
         for k in (0, 1):
             mine = np.where(target, k == 0, k == 1)
@@ -143,8 +172,7 @@ def score(docs: DataFrame, target_ids: DataFrame, vocabulary: int = 16_000, head
     docs = marked(docs, target_ids, id_col, text)
     texts = docs.select("__target", "__text")
 
-    found = scratch.table(counted(texts, lambda t: Counter(words_of(t)), ("word", "n_target", "n_background"), pa.binary()),
-                          "words").withColumn("freq", F.col("n_target") + F.col("n_background"))
+    found = scratch.table(word_counts(texts), "words").withColumn("freq", F.col("n_target") + F.col("n_background"))
     short = found.where(F.octet_length("word") <= WORD_BYTES)
     common = short.where(frequency_class("freq") >= frequency_cut(short, "freq", vocabulary)).toArrow()
     totals = found.agg(F.sum("n_target"), F.sum("n_background")).first()
@@ -152,10 +180,7 @@ def score(docs: DataFrame, target_ids: DataFrame, vocabulary: int = 16_000, head
     vocab = Vocabulary(common.column(0).to_pylist(), common.column(1).to_numpy(), common.column(2).to_numpy(), totals)
     shared_vocab = spark.sparkContext.broadcast(vocab)
 
-    def bigram_counts(t: str | None) -> Counter:
-        return Counter(shared_vocab.value.bigrams(t).tolist())
-
-    pairs = scratch.table(counted(texts, bigram_counts, ("key", "n_target", "n_background"), pa.int64()), "bigrams")
+    pairs = scratch.table(bigram_counts(texts, shared_vocab), "bigrams")
     pairs = pairs.withColumn("freq", F.col("n_target") + F.col("n_background"))
     starts = pairs.where(F.shiftright("key", SHIFT) == START).agg(F.sum("n_target"), F.sum("n_background")).first()
     cut = frequency_cut(pairs, "freq", head)
@@ -166,33 +191,33 @@ def score(docs: DataFrame, target_ids: DataFrame, vocabulary: int = 16_000, head
 
     def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         losses, (keys, *counts) = shared.value
+        keys, counts = np.r_[keys, np.int64(-1)], [np.r_[c, 0] for c in counts]  # a last row that nothing matches
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                n_tokens, sums, ends, rare = [], ([], []), [0], [[] for _ in range(5)]
-                for target, t in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
-                    grams = losses.v.bigrams(t)
-                    key, own = np.unique(grams, return_counts=True)
-                    h, w = key >> SHIFT, key & ((1 << SHIFT) - 1)
-                    firsts, n_first = np.unique(grams >> SHIFT, return_counts=True)
-                    words, n_word = np.unique(grams & ((1 << SHIFT) - 1), return_counts=True)
-                    own_first, own_word = n_first[np.searchsorted(firsts, h)], n_word[np.searchsorted(words, w)]
-                    at = np.minimum(np.searchsorted(keys, key), max(0, len(keys) - 1))
-                    is_head = keys[at] == key if len(keys) else np.zeros(len(key), bool)
-                    s = is_head.nonzero()[0]
-                    got = losses(key[s], [c[at[s]] for c in counts], own[s], own_first[s], own_word[s], len(grams), target)
-                    for out, x in zip(sums, got, strict=True):
-                        out.append(float((x * own[s]).sum()))
-                    for out, x in zip(rare, (key, own, own_first, own_word), strict=False):
-                        out.append(x[~is_head])
-                    n_tokens.append(len(grams))
-                    ends.append(ends[-1] + int((~is_head).sum()))
+            for i in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(i, TEXTS)
+                target = np.array(part.column(1).to_pylist(), dtype=bool)
+                grams = [losses.v.bigrams(t) for t in part.column(2).to_pylist()]
+                n_tokens = np.array([len(g) for g in grams], dtype=np.int64)
+                doc = np.repeat(np.arange(len(grams)), n_tokens) << 2 * SHIFT
+                every = doc | np.concatenate(grams) if len(grams) else doc
+                both, own = np.unique(every, return_counts=True)
+                d, key = both >> 2 * SHIFT, both & ((1 << 2 * SHIFT) - 1)
+                words, n_word = np.unique(every >> 2 * SHIFT << SHIFT | every & MASK, return_counts=True)
+                firsts, n_first = np.unique(every >> SHIFT, return_counts=True)
+                own_word = n_word[np.searchsorted(words, d << SHIFT | key & MASK)]
+                own_first = n_first[np.searchsorted(firsts, both >> SHIFT)]
+                at = np.searchsorted(keys[:-1], key)
+                is_head = keys[at] == key
+                s, r = is_head.nonzero()[0], (~is_head).nonzero()[0]
+                got = losses(key[s], [c[at[s]] for c in counts], own[s], own_first[s], own_word[s], n_tokens[d[s]], target[d[s]])
+                sums = [np.bincount(d[s], weights=x * own[s], minlength=len(grams)) for x in got]
+                ends = np.r_[0, np.cumsum(np.bincount(d[r], minlength=len(grams)))]
                 names = ["key", "own", "own_first", "own_word"]
                 kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-                tail = pa.StructArray.from_arrays([pa.array(np.concatenate(x), k) for x, k in zip(rare, kinds, strict=False)],
-                                                  names=names)
+                tail = pa.StructArray.from_arrays(
+                    [pa.array(x[r], k) for x, k in zip((key, own, own_first, own_word), kinds, strict=True)], names=names)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(n_tokens, pa.int64()), *(pa.array(x, pa.float64()) for x in sums),
+                    [part.column(0), part.column(1), pa.array(n_tokens), *(pa.array(x.astype(np.float64)) for x in sums),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tail)],
                     names=["__id", "__target", "n_tokens", "target_sum", "background_sum", "rare"])
 
