@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import string
 import uuid
 
@@ -33,11 +34,24 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+    """Bound what one Arrow batch holds, so that long texts don't add up in a Python worker.
+
+    Spark's own 10,000 rows a batch may be gigabytes of long documents.  Lower settings stay.
+    """
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = re.fullmatch(r"(-?\d+)b?", spark.conf.get(key))  # with a unit it was set on purpose
+        if now and not 0 < int(now[1]) <= most:
+            spark.conf.set(key, most)
+
+
 class Scratch:
     """Intermediate tables in the shared folder; they cut lineage and survive lost executors."""
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
+        small_batches(spark)
         self.root = f"{shared_dir(spark)}/aislekit-llm/{label}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:

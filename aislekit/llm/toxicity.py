@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aislekit.llm._common import small_batches
+
 CARRIER = b"\x00\x01\x02\x03" * 4 + b"\x04\x05\x06\x07"
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 GRAM = 6
@@ -172,6 +174,7 @@ def score(docs: DataFrame, model, text: str = "text", name: str = "toxicity_scor
 
     Null and empty texts have one window, the bare carrier.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop(name)
     out = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
     at = docs.columns.index(text)
