@@ -86,8 +86,7 @@ def candidates(docs: DataFrame, items: DataFrame, threshold: float, miss: float)
     if least is None:
         least = 1
     load = load_of(math.ceil(threshold * least), miss)
-    # an item's own minima in the bins of every size partition; a document's are a subset of all its shingles,
-    # and a shared shingle that is the document's minimum of a bin is also the smallest shared one there
+    # all of an item's shingles are looked up, so a pair is found wherever a shared one is its bin's minimum
     own = items.select("__item", F.explode("__shingles").alias("__min"))
     sized = docs.withColumn("__bits", bin_bits(F.size("__shingles"), load))
     found = sized.select("__doc", F.explode(minima(F.col("__shingles"), F.col("__bits"))).alias("__min"))
