@@ -8,11 +8,11 @@ larger, smaller and equal give the likelihood of a Jaccard similarity, and
 candidates whose best estimate is far below the threshold go.  The rest are
 confirmed on the full sets.
 
-Documents of equal words are one class and are compared once.  Hot buckets
-are never paired up: a bucket first tests its members against one leader
-(another one in each band), links contract to components, and only members
-of different components are compared further, in buckets that are split by
-the other bands' values while they are large.
+Documents of equal words are one class and are compared once.  A bucket first
+tests its members against one leader (another one in each band), and links
+contract to components.  Only members of different components are compared
+further: register by register inside tasks, a hot bucket in blocks, so that
+pairs that are not likely never become rows.
 """
 
 from __future__ import annotations
@@ -38,8 +38,8 @@ BASE, RATE, TOP = 1.001, 20.0, 65535
 MIXER = np.uint64(0x9E3779B97F4A7C15)
 #: One odd multiplier per register.
 MULTIPLIERS = np.array([xxhash.xxh64_intdigest(f"register {i}") | 1 for i in range(M)], dtype=np.uint64)
-#: A bucket with more members is split by the other bands before its members are paired.
-LARGE = 64
+#: Members of a bucket are compared in blocks of about so many.
+BLOCK = 512
 #: So many text keys (about 40 bytes each) may be broadcast to fetch candidates' texts.
 BROADCAST_KEYS = 500_000
 
@@ -58,7 +58,7 @@ def shingle_set(text: str | None) -> set[tuple[bytes, ...]]:
 
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = out = xxhash.xxh64_intdigest(word)
         return out
@@ -83,10 +83,8 @@ def shingle_hashes(w: list[bytes], known: WordHashes) -> np.ndarray:
 def registers(hashes: np.ndarray) -> np.ndarray:
     """SetSketch registers of a non-empty set of 64-bit hashes."""
     least = np.full(M, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for i in range(0, len(hashes), 512):
-        x = hashes[i:i + 512, None] * MULTIPLIERS
-        x ^= x >> np.uint64(31)
-        np.minimum(least, x.min(axis=0), out=least)
+    for i in range(0, len(hashes), 256):
+        np.minimum(least, (hashes[i:i + 256, None] * MULTIPLIERS).min(axis=0), out=least)
     # the smallest of uniform numbers becomes the smallest of exponential ones with rate RATE
     u = (least.astype(np.float64) + 0.5) / 2.0 ** 64
     value = np.floor(1 - np.log(-np.log1p(-u) / RATE) / np.log(BASE))
@@ -149,9 +147,14 @@ def band_keys(classes: DataFrame) -> DataFrame:
     return classes.select("node", "__sketch").mapInArrow(run, "node long, keys array<long>")
 
 
-def likely(pairs: DataFrame, classes: DataFrame, threshold: float, sigmas: float = 5.0) -> DataFrame:
-    """Pairs (a, b) whose estimate is less than ``sigmas`` standard errors below the threshold."""
-    least = threshold - sigmas * (threshold * (1 - threshold) / M) ** 0.5
+def least_estimate(threshold: float, sigmas: float = 5.0) -> float:
+    """The estimate ``sigmas`` standard errors below the threshold."""
+    return threshold - sigmas * (threshold * (1 - threshold) / M) ** 0.5
+
+
+def likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) whose estimate is not far below the threshold."""
+    least = least_estimate(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,30 +202,66 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, threshold:
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
 
 
-def split_large(active: DataFrame, keys: DataFrame, scratch: Scratch, large: int, levels: int = 4) -> DataFrame:
-    """Bucket members (key, node, component) such that large buckets are split by the other bands' values.
+def bucket_pairs(active: DataFrame, classes: DataFrame, threshold: float, block: int) -> DataFrame:
+    """Likely pairs (a, b) of different components within buckets.
 
-    Documents over the threshold that share one band share another one all
-    but surely (1 - 3e-6 for two), so no link gets lost.
+    ``active``: key, node, component.  Registers are compared inside tasks and
+    only likely pairs become rows.  A bucket is dealt into blocks of about
+    ``block`` members, and every two blocks meet in a group of their own, so
+    no task holds more than two blocks of a bucket.
     """
-    done = None
-    for level in range(levels):
-        size = active.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"),
-                                         F.max("component").alias("hi")).where("lo <> hi")
-        sized = scratch.table(active.join(size.select("key", "n"), "key"), f"buckets-{level}")
-        few = sized.where(F.col("n") <= large).drop("n")
-        done = few if done is None else done.union(few)
-        rest = sized.where(F.col("n") > large).drop("n")
-        if rest.isEmpty():
-            return done
-        active = (rest.join(keys, "node").select("node", "component", "key", F.explode("keys").alias("other"))
-                  .where("key <> other")
-                  .select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "node", "component")
-                  .distinct())
-    return done.union(rest)
-
-
-def link_classes(classes: DataFrame, docs: DataFrame, scratch: Scratch, threshold: float, large: int = LARGE) -> DataFrame:
+    size = (active.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+            .where("lo <> hi").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
+    dealt = (active.join(size, "key").withColumn("own", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component"))
+    rows = (dealt.join(classes.select("node", "__sketch", "n_shingles"), "node")
+            .select("key", "i", "j", "own", "node", "component", "n_shingles", "__sketch")
+            .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
+    least = least_estimate(threshold)
+
+    def pairs(group: list[tuple]) -> list[tuple[int, int]]:
+        """Likely pairs of one group's rows."""
+        i, j = group[0][1:3]
+        own, node, comp, n = (np.array([r[k] for r in group]) for k in (3, 4, 5, 6))
+        regs = np.frombuffer(b"".join(r[7] for r in group), "<u2").reshape(-1, M)
+        out = []
+        for k in range(len(group) - 1):
+            to = np.flatnonzero((comp[k + 1:] != comp[k]) & ((own[k + 1:] != own[k]) | (i == j))
+                                & (np.minimum(n[k + 1:], n[k]) >= threshold * np.maximum(n[k + 1:], n[k]))) + k + 1
+            if len(to):
+                mine = np.broadcast_to(regs[k], (len(to), M))
+                # equal registers estimate the similarity too; the likelihood is worked out where they are not far too few
+                to = to[(regs[to] == mine).mean(1) >= least - 0.1]
+            if len(to):
+                mine = np.broadcast_to(regs[k], (len(to), M))
+                good = estimate(mine, regs[to], np.full(len(to), float(n[k])), n[to].astype(float)) >= least
+                out += [(max(node[k], x), min(node[k], x)) for x in node[to[good]].tolist()]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, found = [], []
+
+        def out() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_arrays([pa.array([int(p[k]) for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            found.clear()
+            return made
+
+        for batch in batches:
+            for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if group and group[0][:3] != r[:3]:
+                    found += pairs(group)
+                    group = []
+                group.append(r)
+            yield out()
+        if group:
+            found += pairs(group)
+        yield out()
+
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
+def link_classes(classes: DataFrame, docs: DataFrame, scratch: Scratch, threshold: float, block: int = BLOCK) -> DataFrame:
     """Components of linked classes: node, component (only nodes with links)."""
     keys = scratch.table(band_keys(classes.where("__sketch is not null")), "keys")
     members = keys.select(F.explode("keys").alias("key"), "node")
@@ -236,12 +275,7 @@ def link_classes(classes: DataFrame, docs: DataFrame, scratch: Scratch, threshol
                           "star-links")
     comp = components(links, scratch, "first")
     active = buckets.select("key", "node").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    active = split_large(active, keys, scratch, large)
-    x, y = active.alias("x"), active.alias("y")
-    rest = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")))
-            .select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
-            .join(stars, ["a", "b"], "left_anti"))
-    rest = scratch.table(likely(rest, classes, threshold), "likely-rest")
+    rest = scratch.table(bucket_pairs(active, classes, threshold, block).join(stars, ["a", "b"], "left_anti"), "likely-rest")
     more = scratch.table(confirmed(rest, classes, docs, threshold), "rest-links")
     return components(links.union(more), scratch, "all")
 

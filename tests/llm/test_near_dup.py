@@ -73,10 +73,9 @@ def corpus():
     return out + [out[0], out[0], (out[1][0], "other text of the same id"), (None, out[3][1]), (None, "no id at all")]
 
 
-@pytest.mark.parametrize("large", [4, 64])
-def test_equals_all_pairs(make_docs, monkeypatch, large):
-    monkeypatch.setattr(N, "LARGE", large)
-    monkeypatch.setattr(N.link_classes, "__defaults__", (large,))
+@pytest.mark.parametrize("block", [4, 512])
+def test_equals_all_pairs(make_docs, monkeypatch, block):
+    monkeypatch.setattr(N.link_classes, "__defaults__", (block,))
     rows = corpus()
     got = Counter(map(tuple, N.op2_near_dup(make_docs(rows)).collect()))
     assert got == brute(rows)
