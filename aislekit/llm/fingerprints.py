@@ -14,6 +14,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aislekit.llm._common import small_batches
+
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 FIRST = -(1 << 63)
 #: Ids are dealt into ranges of about so many rows, at most MOST_RANGES of them.
@@ -43,58 +46,90 @@ class Sampler:
     depend on the word alone, so the cache changes no result.
     """
 
+    #: -ln of 16-bit uniform numbers; the sum of two entries has distribution Gamma(2, 1).
+    EXPONENTIAL = (-np.log((np.arange(65536) + 0.5) / 65536)).astype(np.float32)
+
     def __init__(self, samples: int = 128, cached: int = 40_000):
         self.samples, self.cached = samples, cached
-        self.seeds = mix(np.arange(1, 2 * samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        self.seeds = mix(np.arange(1, samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         self.row: dict[bytes, int] = {}
         self.once: set[bytes] = set()
-        self.draws = np.empty((3, 1024, samples), dtype=np.float32)
-
-    def draw(self, hashes: np.ndarray) -> np.ndarray:
-        """r, ln c and b of each word hash: 3 x words x samples."""
-        n = self.samples
-        a, b = (mix(hashes[:, None] ^ s) for s in (self.seeds[:n], self.seeds[n:]))
-        part = lambda x, shift: ((x >> np.uint64(shift)) & np.uint64(0xFFFFFF)).astype(np.float64) * 2.0 ** -24 + 2.0 ** -25
-        out = np.empty((3, len(hashes), n), dtype=np.float32)
-        out[0] = -np.log(part(a, 0) * part(a, 24))
-        out[1] = np.log(-np.log(part(b, 0) * part(b, 24)))
-        out[2] = (a >> np.uint64(48) | (b >> np.uint64(48)) << np.uint64(16)).astype(np.float64) * 2.0 ** -32
+        self.draws = np.empty((4, 1024, samples), dtype=np.float32)
+
+    def draw(self, words: list[bytes]) -> np.ndarray:
+        """Value for weight 1, r, ln c and b of each word: 4 x words x samples."""
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+        x = mix(hashes[:, None] ^ self.seeds)
+        part = self.EXPONENTIAL.take(x.view(np.uint16), mode="clip").reshape(len(words), self.samples, 4)
+        out = np.empty((4, len(words), self.samples), dtype=np.float32)
+        np.add(part[:, :, 0], part[:, :, 1], out=out[1])
+        np.log(part[:, :, 2] + part[:, :, 3], out=out[2])
+        x *= np.uint64(0xD1342543DE82EF95)
+        np.multiply((x >> np.uint64(41)).astype(np.uint32), np.float32(2.0 ** -23), out=out[3], casting="unsafe")
+        out[0] = out[2] - out[1] * (1 - out[3])  # the logarithm of weight 1 is 0, and so is t
         return out
 
-    def lookup(self, words: list[bytes], hashes: np.ndarray) -> np.ndarray:
-        rows = np.fromiter((self.row.get(w, -1) for w in words), np.int64, len(words))
-        new = np.flatnonzero(rows < 0)
-        if not len(new):
-            return self.draws[:, rows]
-        made = self.draw(hashes[new])
-        again = [k for k, i in enumerate(new) if words[i] in self.once]
+    def remember(self, words: list[bytes], made: np.ndarray) -> None:
+        """Cache the draws of words that were seen before."""
         free = self.cached - len(self.row)
-        for k in again[:max(0, free)]:
-            at = self.row[words[new[k]]] = len(self.row)
+        if free <= 0:
+            return
+        for k in [k for k, w in enumerate(words) if w in self.once][:free]:
+            at = self.row[words[k]] = len(self.row)
             if at >= self.draws.shape[1]:
                 self.draws = np.concatenate([self.draws, np.empty_like(self.draws)], axis=1)
             self.draws[:, at] = made[:, k]
-        if free > 0:
-            if len(self.once) > 1_000_000:
-                self.once.clear()
-            self.once.update(words[i] for i in new)
-        out = self.draws[:, rows]
-        out[:, new] = made
-        return out
+        if len(self.once) > 1_000_000:
+            self.once.clear()
+        self.once.update(words)
 
-    def fingerprint(self, text: str) -> np.ndarray:
-        """Samples of a text; zeros without words, never zero otherwise."""
+    def sample(self, text: str, near: tuple = ()) -> tuple[np.ndarray, tuple]:
+        """Samples of a text (zeros without words, never zero otherwise) and its draws outside the cache.
+
+        ``near``: such draws of other texts, looked up before drawing again.
+        """
         counts = Counter(WORD.findall(text.encode().lower()))
         if not counts:
-            return np.zeros(self.samples, dtype=np.uint16)
-        words = sorted(counts)
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-        weight = np.log(np.fromiter((counts[w] for w in words), np.float64, len(words))).astype(np.float32)[:, None]
-        r, c, b = self.lookup(words, hashes)
-        t = np.floor(weight / r + b)
-        pick = (c - r * (t - b + 1)).argmin(axis=0)
-        taken = t[pick, np.arange(self.samples)].astype(np.int64).astype(np.uint64)
-        return (mix(hashes[pick] + mix(taken + np.uint64(1))) % np.uint64(65535)).astype(np.uint16) + np.uint16(1)
+            return np.zeros(self.samples, dtype=np.uint16), ({}, self.draws[:, :0])
+        words, n = list(counts), len(counts)
+        rows = np.fromiter(map(self.row.get, words, repeat(-1)), np.int64, n)
+        # where a word's draws are: in the cache, in those of a near text, or in its own
+        places = [(np.flatnonzero(rows >= 0), self.draws)]
+        left = np.flatnonzero(rows < 0)
+        for known, block in near:
+            if len(left):
+                at = np.fromiter(map(known.get, map(words.__getitem__, left), repeat(-1)), np.int64, len(left))
+                found = left[at >= 0]
+                rows[found] = at[at >= 0]
+                places.append((found, block))
+                left = left[at < 0]
+        fresh = [words[i] for i in left]
+        made = self.draw(fresh) if fresh else self.draws[:, :0]
+        rows[left] = np.arange(len(fresh))
+        places.append((left, made))
+        times = np.fromiter(counts.values(), np.float64, n)
+        value, steps = np.empty((n, self.samples), dtype=np.float32), {}
+        for which, block in places:
+            if not len(which):
+                continue
+            value[which] = block[0].take(rows[which], axis=0)
+            more = which[times[which] > 1]
+            if len(more):
+                r, c, b = (block[k].take(rows[more], axis=0) for k in (1, 2, 3))
+                t = np.floor(np.log(times[more]).astype(np.float32)[:, None] / r + b)
+                value[more] = c - r * (t - b + 1)
+                steps.update(zip(more.tolist(), t, strict=True))
+        pick = value.argmin(axis=0).tolist()
+        t = np.fromiter((steps[i][k] if i in steps else 0 for k, i in enumerate(pick)), np.int64, self.samples)
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, map(words.__getitem__, pick)), np.uint64, self.samples)
+        taken = (mix(hashes + mix(t.astype(np.uint64) + np.uint64(1))) % np.uint64(65535)).astype(np.uint16) + np.uint16(1)
+        if fresh:
+            self.remember(fresh, made)
+        return taken, (dict(zip(fresh, range(len(fresh)), strict=True)), made)
+
+    def fingerprint(self, text: str) -> np.ndarray:
+        """Samples of a text."""
+        return self.sample(text)[0]
 
 
 def as_text(samples: np.ndarray) -> str:
@@ -119,6 +154,7 @@ def with_following(docs: DataFrame, id_col: str, text: str, range_rows: int, mos
     text.  Ranges are cut at existing ids, so a range's first row is known
     from the ids alone; the last range is followed by the very first row.
     """
+    small_batches(docs.sparkSession)
     keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("__key"), F.col(id_col).alias("__id"),
                         F.coalesce(text, F.lit("")).alias("__text"))
     n = keyed.count()
@@ -171,16 +207,16 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sa
                                               strict=True):
                     if late and (last is None or last[0] != at):
                         continue  # a second row of the following id
-                    samples_of = sampler.fingerprint(t)
+                    samples_of, rare = sampler.sample(t)
                     if last is not None and last[0] == at:
-                        _, was, text_of, own = last
+                        _, was, text_of, own, rare_of = last
                         changed = edit(text_of, t)
-                        edited = sampler.fingerprint(changed)
+                        edited, _ = sampler.sample(changed, (rare_of, rare))
                         row = (was, len(text_of), hashlib.sha256(changed.encode()).hexdigest(), as_text(own),
                                as_text(edited), likeness(own, edited), likeness(own, samples_of))
                         for column, x in zip(out, row, strict=True):
                             column.append(x)
-                    last = None if late else (at, ident, t, samples_of)
+                    last = None if late else (at, ident, t, samples_of, rare)
                 kinds = [batch.schema.field("__id").type, pa.int64(), pa.string(), pa.string(), pa.string(),
                          pa.float64(), pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)
