@@ -6,14 +6,18 @@ target's number of tokens, so that neither model is sharper only for having
 seen more.  A document's score is the mean per-token difference of its losses
 (target less background); low scores look like the target.
 
-With c the (scaled) counts, N the tokens and V the vocabulary's size:
-p(w) = (c(w) + 1) / (N + V) and p(w | h) = (c(h, w) + A p(w)) / (c(h) + A).
-A document's own counts are taken out of the corpus it belongs to before it
-is scored.
-
-All documents are counted.  The vocabulary is bounded by a parameter; bigrams
-are not.  The most frequent bigrams, again bounded, are scored inside the
-document; a document's rarer ones meet their counts in a join.
+With c the (scaled) counts, N the tokens and V the vocabulary's size (one more
+for words never seen): p(w) = (c(w) + 1) / (N + V) and
+p(w | h) = (c(h, w) + A p(w)) / (c(h) + A).  A document's own counts are taken
+out of the corpus it belongs to before it is scored.
+
+All documents are counted, and every word and bigram of them.  Words and bigrams
+go by 63 bits of a hash, whatever their length; two of a hundred million words
+share a key with a probability of 1e-3.  The most frequent ones, bounded by a
+parameter, are scored inside the document; a document's rarer ones meet their
+counts in joins.  What was seen once in all has no counts left when its own
+document is scored; a bit per hash tells most of it apart, which then needs no
+join, and words seen once have no bigrams worth counting.
 """
 
 from __future__ import annotations
@@ -21,21 +25,23 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aislekit.llm._common import Scratch, frequency_class, frequency_cut
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-UNKNOWN, START = 0, 1  # ids; words follow from 2
-SHIFT = 24  # a bigram's key is its first id, shifted, and its second; so many bits hold an id
+START, UNKNOWN = b"", b" "  # stand before a text's first word and for words outside a bounded vocabulary; no word is like them
+SHIFT = 24  # inside a block of texts a bigram is its first id, shifted, and its second; so many bits hold an id
 MASK = (1 << SHIFT) - 1
 TEXTS = 256  # texts that are worked on together
-WORD_BYTES = 64  # longer words are unknown, so the vocabulary's size in memory is bounded
+BITS = 27  # a sieve has so many bits of a key as address
+KEPT = 300_000  # a task keeps the keys of so many words
+WORD_BYTES = 64  # longer words are outside a bounded vocabulary
 #: So many target ids may be broadcast to mark documents; beyond, documents are shuffled.
 BROADCAST_IDS = 2_000_000
 
@@ -44,8 +50,83 @@ def words_of(text: str | None) -> list[bytes]:
     return WORD.findall((text or "").encode().lower())
 
 
+def key_of(word: bytes) -> int:
+    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little") >> 1
+
+
+def bigram_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Keys of bigrams from the keys of their words, which are evenly spread already."""
+    mixed = first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + second.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return (mixed >> np.uint64(1)).astype(np.int64)
+
+
+class Keys(dict):
+    """Keys of words, those seen lately kept."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KEPT:
+            self.clear()
+        self[word] = key = key_of(word)
+        return key
+
+
+class Ids(dict):
+    """Ids of words in the order they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+class Encoder:
+    """Bigrams of a block of texts by ids, and the keys of those ids.
+
+    ``known``: sorted keys of a bounded vocabulary; without, all words are known.
+    """
+
+    def __init__(self, known: np.ndarray | None):
+        self.known, self.keys = known, Keys()
+
+    def __call__(self, texts: list[str | None]) -> tuple[list[np.ndarray], np.ndarray]:
+        ids, start = Ids({START: 0}), 0
+        rows = [np.fromiter(map(ids.__getitem__, w), np.int64, len(w)) for w in map(words_of, texts)]
+        key = np.fromiter(map(self.keys.__getitem__, ids), np.int64, len(ids))
+        if self.known is not None:
+            at = np.minimum(np.searchsorted(self.known, key), len(self.known) - 1)
+            key, at = np.unique(np.where(self.known[at] == key, key, key_of(UNKNOWN)), return_inverse=True)
+            start, rows = at[0], [at[w] for w in rows]
+        return [(np.r_[start, w[:-1]] << SHIFT | w) if len(w) else w for w in rows], key
+
+
+class Head:
+    """Counts, in both corpora, of the most frequent keys, and a sieve for the others.
+
+    ``counts``: key, n_target, n_background, freq.  The sieve's size is fixed; it
+    lets every key of ``counts`` pass, and the more of the rest the more there are.
+    """
+
+    def __init__(self, counts: DataFrame, most: int):
+        frequent = frequency_class("freq") >= frequency_cut(counts, "freq", most)
+        found = counts.where(frequent).select("key", "n_target", "n_background").toArrow()
+        order = np.argsort(found.column(0).to_numpy())
+        self.keys = np.r_[found.column(0).to_numpy()[order], np.int64(-1)]  # a last row that nothing matches
+        self.counts = [np.r_[found.column(i).to_numpy()[order], 0].astype(np.int64) for i in (1, 2)]
+        at = F.shiftright(F.col("key").bitwiseAND((1 << BITS) - 1), 6).alias("at")
+        bits = (counts.where(~frequent).groupBy(at)
+                .agg(F.bit_or(F.expr("shiftleft(1L, CAST(key & 63 AS INT))")).alias("bits")).toArrow())
+        self.sieve = np.zeros(1 << BITS - 6, np.int64)
+        self.sieve[bits.column(0).to_numpy()] = bits.column(1).to_numpy()
+
+    def __call__(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Whether each key is held, whether it may be a rarer one, and its counts (0 if not held)."""
+        at = np.searchsorted(self.keys[:-1], key)
+        held = self.keys[at] == key
+        passes = self.sieve[(key & ((1 << BITS) - 1)) >> 6] >> (key & 63) & 1 == 1
+        return held, ~held & passes, [np.where(held, c[at], 0) for c in self.counts]
+
+
 def word_counts(docs: DataFrame, flush: int = 1_000_000) -> DataFrame:
-    """Words of all texts: word, n_target, n_background.
+    """Words of all texts: key, size (in bytes), n_target, n_background; START once for each text that has words.
 
     ``docs``: __target, __text.  A task sums up what it has seen before it sends.
     """
@@ -53,10 +134,11 @@ def word_counts(docs: DataFrame, flush: int = 1_000_000) -> DataFrame:
         seen: tuple[Counter, Counter] = (Counter(), Counter())  # background, target
 
         def out() -> pa.RecordBatch:
-            keys = list(seen[0].keys() | seen[1].keys())
+            words = list(seen[0].keys() | seen[1].keys())
             made = pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), *(pa.array([c.get(k, 0) for k in keys], pa.int64()) for c in seen[::-1])],
-                names=["word", "n_target", "n_background"])
+                [pa.array(map(key_of, words), pa.int64()), pa.array(map(len, words), pa.int64()),
+                 *(pa.array([c.get(k, 0) for k in words], pa.int64()) for c in seen[::-1])],
+                names=["key", "size", "n_target", "n_background"])
             for c in seen:
                 c.clear()
             return made
@@ -65,33 +147,47 @@ def word_counts(docs: DataFrame, flush: int = 1_000_000) -> DataFrame:
             for i in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(i, TEXTS)
                 for target, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    seen[target].update(words_of(text))
+                    words = words_of(text)
+                    seen[target].update(words)
+                    if words:
+                        seen[target][START] += 1
                 if len(seen[0]) + len(seen[1]) > flush:
                     yield out()
         yield out()
 
-    sent = docs.mapInArrow(run, "word binary, n_target long, n_background long")
-    return sent.groupBy("word").agg(F.sum("n_target").alias("n_target"), F.sum("n_background").alias("n_background"))
+    sent = docs.mapInArrow(run, "key long, size long, n_target long, n_background long")
+    return sent.groupBy("key").agg(F.first("size").alias("size"), F.sum("n_target").alias("n_target"),
+                                   F.sum("n_background").alias("n_background"))
+
 
+def bigram_counts(docs: DataFrame, shared_words, flush: int = 3_000_000) -> DataFrame:
+    """Bigrams of all texts: key, n_target, n_background; summed up in tasks likewise.
 
-def bigram_counts(docs: DataFrame, shared_vocabulary, flush: int = 3_000_000) -> DataFrame:
-    """Bigrams of all texts: key, n_target, n_background; summed up in tasks likewise."""
+    Some bigrams that are there once are left out, those of a word seen once.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, held, size = shared_vocabulary.value, [], 0
+        known, head_words = shared_words.value
+        encode, held, size = Encoder(known), [], 0
 
         def out() -> pa.RecordBatch:
-            key, n = np.unique(np.concatenate(held or [np.zeros(0, np.int64)]), return_counts=True)  # key, then side
+            key, side, n = (np.concatenate(x) for x in zip(*held, strict=True)) if held else np.zeros((3, 0), np.int64)
             held.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(key >> 1), pa.array(np.where(key & 1, n, 0)), pa.array(np.where(key & 1, 0, n))],
-                names=["key", "n_target", "n_background"])
+            key, at = np.unique(key, return_inverse=True)
+            sums = [np.bincount(at, weights=n * (side == k), minlength=len(key)).astype(np.int64) for k in (1, 0)]
+            return pa.RecordBatch.from_arrays([pa.array(key), *map(pa.array, sums)], names=["key", "n_target", "n_background"])
 
         for batch in batches:
             for i in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(i, TEXTS)
-                for target, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    held.append(vocabulary.bigrams(text) << 1 | int(target))
-                    size += len(held[-1])
+                grams, key = encode(part.column(1).to_pylist())
+                side = np.repeat(np.array(part.column(0).to_pylist(), dtype=np.int64), [len(g) for g in grams])
+                every = np.concatenate([*grams, side[:0]])
+                is_word, may_be_word, _ = head_words(key)
+                again = is_word | may_be_word
+                again = again[every >> SHIFT] & again[every & MASK]
+                found, n = np.unique((every << 1 | side)[again], return_counts=True)
+                held.append((bigram_keys(key[found >> SHIFT + 1], key[found >> 1 & MASK]), found & 1, n))
+                size += len(n)
                 if size > flush:
                     yield out()
                     size = 0
@@ -101,53 +197,6 @@ def bigram_counts(docs: DataFrame, shared_vocabulary, flush: int = 3_000_000) ->
     return sent.groupBy("key").agg(F.sum("n_target").alias("n_target"), F.sum("n_background").alias("n_background"))
 
 
-class Vocabulary:
-    """Ids of words and their counts in both corpora."""
-
-    def __init__(self, words: list[bytes], target: np.ndarray, background: np.ndarray, totals: tuple[int, int]):
-        order = sorted(range(len(words)), key=lambda i: words[i])
-        self.ids = {words[i]: k + 2 for k, i in enumerate(order)}
-        self.size = len(words) + 1  # with the unknown word
-        self.totals = totals
-        self.counts = np.zeros((2, len(words) + 2))
-        for row, n in enumerate((target, background)):
-            self.counts[row, 2:] = n[order] if len(words) else 0
-            self.counts[row, UNKNOWN] = totals[row] - self.counts[row].sum()
-
-    def encode(self, text: str | None) -> np.ndarray:
-        w = words_of(text)
-        return np.fromiter(map(self.ids.get, w, repeat(UNKNOWN)), np.int64, len(w))
-
-    def bigrams(self, text: str | None) -> np.ndarray:
-        w = self.encode(text)
-        return (np.r_[START, w[:-1]] << SHIFT | w) if len(w) else w
-
-
-class Losses:
-    """Losses of bigrams under both models, a document's own counts left out."""
-
-    def __init__(self, vocabulary: Vocabulary, starts: tuple[int, int], strength: float):
-        self.v, self.strength = vocabulary, strength
-        self.first = vocabulary.counts.copy()  # of a context; the last word of a document counts too
-        self.first[:, START] = starts
-        n = np.maximum(np.array(vocabulary.totals, dtype=np.float64), 1)
-        self.scale = np.array([1.0, n[0] / n[1]])
-
-    def __call__(self, key, joint, own, own_first, own_word, own_tokens, target) -> tuple[np.ndarray, np.ndarray]:
-        """``joint``: counts of the bigrams in both corpora; ``own...``: the document's own counts."""
-        h, w = key >> SHIFT, key & MASK
-        out = []
-        for k in (0, 1):
-            mine = np.where(target, k == 0, k == 1)
-            tokens = self.v.totals[k] - mine * own_tokens
-            word = np.maximum(self.v.counts[k][w] - mine * own_word, 0)
-            p_word = (word * self.scale[k] + 1) / (tokens * self.scale[k] + self.v.size)
-            pair = np.maximum(joint[k] - mine * own, 0) * self.scale[k]
-            first = np.maximum(self.first[k][h] - mine * own_first, 0) * self.scale[k]
-            out.append(-np.log((pair + self.strength * p_word) / (first + self.strength)))
-        return out[0], out[1]
-
-
 def marked(docs: DataFrame, target_ids: DataFrame, id_col: str, text: str) -> DataFrame:
     """__id, __target, __text of each document."""
     ids = target_ids.select(F.col(target_ids.columns[0]).alias("__t")).where("__t is not null").distinct()
@@ -159,92 +208,130 @@ def marked(docs: DataFrame, target_ids: DataFrame, id_col: str, text: str) -> Da
         "__id", F.coalesce("__target", F.lit(False)).alias("__target"), "__text")
 
 
-def score(docs: DataFrame, target_ids: DataFrame, vocabulary: int = 16_000, head: int = 1_000_000,
+def bounded(words: DataFrame, most: int) -> tuple[DataFrame, np.ndarray]:
+    """Words with all but the most frequent ones as one, UNKNOWN, and the sorted keys of those that stay."""
+    start = F.col("key") == key_of(START)
+    short = words.where(~start & (F.col("size") <= WORD_BYTES))
+    cut = frequency_cut(short, "freq", most)
+    stays = start | ((F.col("size") <= WORD_BYTES) & (frequency_class("freq") >= cut))
+    merged = (words.withColumn("key", F.when(stays, F.col("key")).otherwise(key_of(UNKNOWN))).groupBy("key")
+              .agg(*(F.sum(c).alias(c) for c in ("n_target", "n_background", "freq"))))
+    return merged, np.sort(words.where(stays).select("key").toArrow().column(0).to_numpy())
+
+
+def score(docs: DataFrame, target_ids: DataFrame, vocabulary: int | None = None, head: int = 1_000_000,
           strength: float = 20.0, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: id_col, n_tokens, target_loss, background_loss, score.
 
     Documents whose id is in the first column of ``target_ids`` are the target
     corpus, all others the background.  Words are split at white space, A-Z
     lower-cased.  Texts without words have 0 tokens and null losses and score.
+    The vocabulary is every word of the documents, or if ``vocabulary`` is given,
+    so many of the most frequent at most, with one UNKNOWN word for the others.
+    Counts of ``head`` words and of ``head`` bigrams go to every task.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lm-scoring")
     docs = marked(docs, target_ids, id_col, text)
     texts = docs.select("__target", "__text")
-
-    found = scratch.table(word_counts(texts), "words").withColumn("freq", F.col("n_target") + F.col("n_background"))
-    short = found.where(F.octet_length("word") <= WORD_BYTES)
-    common = short.where(frequency_class("freq") >= frequency_cut(short, "freq", vocabulary)).toArrow()
-    totals = found.agg(F.sum("n_target"), F.sum("n_background")).first()
-    totals = (totals[0] or 0, totals[1] or 0)
-    vocab = Vocabulary(common.column(0).to_pylist(), common.column(1).to_numpy(), common.column(2).to_numpy(), totals)
-    shared_vocab = spark.sparkContext.broadcast(vocab)
-
-    pairs = scratch.table(bigram_counts(texts, shared_vocab), "bigrams")
-    pairs = pairs.withColumn("freq", F.col("n_target") + F.col("n_background"))
-    starts = pairs.where(F.shiftright("key", SHIFT) == START).agg(F.sum("n_target"), F.sum("n_background")).first()
-    cut = frequency_cut(pairs, "freq", head)
-    known = pairs.where(frequency_class("freq") >= cut).select("key", "n_target", "n_background").toArrow()
-    order = np.argsort(known.column(0).to_numpy())
-    known = [known.column(i).to_numpy()[order] for i in range(3)]
-    shared = spark.sparkContext.broadcast((Losses(vocab, (starts[0] or 0, starts[1] or 0), strength), known))
+    freq = F.col("n_target") + F.col("n_background")
+
+    words, known = scratch.table(word_counts(texts), "words").withColumn("freq", freq), None
+    t = words.where(F.col("key") != key_of(START)).agg(F.sum("n_target"), F.sum("n_background"), F.count("key")).first()
+    totals, n_words = (t[0] or 0, t[1] or 0), t[2]
+    if vocabulary is not None:
+        words, known = bounded(words, vocabulary)
+        n_words = len(known) - 1 if len(known) else 0  # START is no word
+        known = np.union1d(known, [key_of(START)])
+    words = words.where(F.col("freq") > 1)
+    shared_words = spark.sparkContext.broadcast((known, Head(words, head)))
+    scale = (1.0, max(totals[0], 1) / max(totals[1], 1))
+
+    pairs = scratch.table(bigram_counts(texts, shared_words).where(freq > 1), "bigrams").withColumn("freq", freq)
+    shared_pairs = spark.sparkContext.broadcast(Head(pairs, head))
+    words, pairs = words.drop("freq", "size"), pairs.drop("freq")
 
     def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        losses, (keys, *counts) = shared.value
-        keys, counts = np.r_[keys, np.int64(-1)], [np.r_[c, 0] for c in counts]  # a last row that nothing matches
+        (known, head_words), head_pairs = shared_words.value, shared_pairs.value
+        encode = Encoder(known)
+
+        def lists(of: np.ndarray, n: int, **fields: np.ndarray) -> pa.ListArray:
+            """Structs of ``fields`` for each of n texts; ``of``: the text of each."""
+            made = pa.StructArray.from_arrays([pa.array(x) for x in fields.values()], names=list(fields))
+            return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.bincount(of, minlength=n))], pa.int32()), made)
+
         for batch in batches:
             for i in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(i, TEXTS)
                 target = np.array(part.column(1).to_pylist(), dtype=bool)
-                grams = [losses.v.bigrams(t) for t in part.column(2).to_pylist()]
+                grams, key = encode(part.column(2).to_pylist())
                 n_tokens = np.array([len(g) for g in grams], dtype=np.int64)
                 doc = np.repeat(np.arange(len(grams)), n_tokens) << 2 * SHIFT
-                every = doc | np.concatenate(grams) if len(grams) else doc
+                every = doc | np.concatenate([*grams, doc[:0]])
                 both, own = np.unique(every, return_counts=True)
-                d, key = both >> 2 * SHIFT, both & ((1 << 2 * SHIFT) - 1)
-                words, n_word = np.unique(every >> 2 * SHIFT << SHIFT | every & MASK, return_counts=True)
-                firsts, n_first = np.unique(every >> SHIFT, return_counts=True)
-                own_word = n_word[np.searchsorted(words, d << SHIFT | key & MASK)]
-                own_first = n_first[np.searchsorted(firsts, both >> SHIFT)]
-                at = np.searchsorted(keys[:-1], key)
-                is_head = keys[at] == key
-                s, r = is_head.nonzero()[0], (~is_head).nonzero()[0]
-                got = losses(key[s], [c[at[s]] for c in counts], own[s], own_first[s], own_word[s], n_tokens[d[s]], target[d[s]])
-                sums = [np.bincount(d[s], weights=x * own[s], minlength=len(grams)) for x in got]
-                ends = np.r_[0, np.cumsum(np.bincount(d[r], minlength=len(grams)))]
-                names = ["key", "own", "own_first", "own_word"]
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-                tail = pa.StructArray.from_arrays(
-                    [pa.array(x[r], k) for x, k in zip((key, own, own_first, own_word), kinds, strict=True)], names=names)
+                d, w, pair = both >> 2 * SHIFT, both & MASK, bigram_keys(key[both >> SHIFT & MASK], key[both & MASK])
+                _, of_word = np.unique(d << SHIFT | w, return_inverse=True)
+                own_word = np.bincount(of_word, own)[of_word].astype(np.int64)
+                first, at = np.unique(both >> SHIFT, return_index=True)
+                own_first = np.add.reduceat(own, at) if len(at) else own
+                first_d, first_h = first >> SHIFT, first & MASK
+                _, rare_word, in_words = head_words(key)
+                _, rare_pair, in_pairs = head_pairs(pair)
+                u = rare_word[w]
+                s, r = ~u & ~rare_pair, ~u & rare_pair
+                f, g = ~rare_word[first_h], rare_word[first_h]
+                sums, others = [], []
+                for k in (0, 1):
+                    mine = target if k == 0 else ~target
+                    others.append(np.maximum(in_words[k][w] - mine[d] * own_word, 0))
+                    p = (others[k] * scale[k] + 1) / ((totals[k] - mine * n_tokens) * scale[k] + n_words + 1)[d]
+                    n = np.maximum(in_pairs[k] - mine[d] * own, 0) * scale[k]
+                    h = np.maximum(in_words[k][first_h] - mine[first_d] * own_first, 0) * scale[k]
+                    sums.append((np.bincount(first_d[f], (own_first * np.log(h + strength))[f], len(grams))
+                                 - np.bincount(d[s], (own * np.log(n + strength * p))[s], len(grams))).astype(np.float64))
+                small = lambda x: x.astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(n_tokens), *(pa.array(x.astype(np.float64)) for x in sums),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tail)],
-                    names=["__id", "__target", "n_tokens", "target_sum", "background_sum", "rare"])
+                    [part.column(0), part.column(1), pa.array(n_tokens), *map(pa.array, sums),
+                     lists(d[r], len(grams), key=pair[r], own=small(own[r]), target_word=others[0][r], background_word=others[1][r]),
+                     lists(d[u], len(grams), word=key[w[u]], pair=pair[u], own=small(own[u]), own_word=small(own_word[u])),
+                     lists(first_d[g], len(grams), key=key[first_h[g]], own=small(own_first[g]))],
+                    names=["__id", "__target", "n_tokens", "target_sum", "background_sum", "rare", "rare_words", "rare_firsts"])
 
     kind = docs.schema["__id"].dataType.simpleString()
     rows = scratch.table(docs.mapInArrow(
         inside, f"__id {kind}, __target boolean, n_tokens long, target_sum double, background_sum double, "
-                "rare array<struct<key:long,own:int,own_first:int,own_word:int>>")
+                "rare array<struct<key:long,own:int,target_word:long,background_word:long>>, "
+                "rare_words array<struct<word:long,pair:long,own:int,own_word:int>>, rare_firsts array<struct<key:long,own:int>>")
         .withColumn("__row", F.monotonically_increasing_id()), "rows")
 
-    def outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        losses = shared.value[0]
-        for batch in batches:
-            col = {n: batch.column(k).to_numpy(zero_copy_only=False) for k, n in enumerate(batch.schema.names)}
-            got = losses(col["key"], (col["n_target"], col["n_background"]), col["own"], col["own_first"], col["own_word"],
-                         col["n_tokens"], col["__target"])
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x * col["own"]) for x in got)],
-                                             names=["__row", "target_more", "background_more"])
-
-    tail = (rows.select("__row", "__target", "n_tokens", F.explode("rare").alias("r"))
-            .select("__row", "__target", "n_tokens", "r.*")
-            .join(pairs.where(frequency_class("freq") < cut).select("key", "n_target", "n_background"), "key")
-            .select("__row", "__target", "n_tokens", "key", "own", "own_first", "own_word", "n_target", "n_background")
-            .mapInArrow(outside, "__row long, target_more double, background_more double")
-            .groupBy("__row").agg(F.sum("target_more").alias("target_more"), F.sum("background_more").alias("background_more")))
+    sides = ("target", F.col("__target")), ("background", ~F.col("__target"))
+
+    def rest(k: int, own: str) -> Column:
+        """Count in a corpus without the document's own."""
+        side, mine = sides[k]
+        return F.greatest(F.coalesce(f"n_{side}", F.lit(0)) - F.when(mine, F.col(own)).otherwise(0), F.lit(0)).cast("long")
+
+    def smoothed(k: int) -> Column:
+        side, mine = sides[k]
+        tokens = F.lit(totals[k]) - F.when(mine, F.col("n_tokens")).otherwise(0)
+        return strength * (F.col(f"{side}_word") * scale[k] + 1) / (tokens * scale[k] + (n_words + 1))
+
+    def each(name: str) -> DataFrame:
+        return rows.select("__row", "__target", "n_tokens", F.explode(name).alias("r")).select("__row", "__target", "n_tokens", "r.*")
+
+    of_words = each("rare_words").withColumnRenamed("word", "key").join(words, "key", "left").select(
+        "__row", "__target", "n_tokens", F.col("pair").alias("key"), "own",
+        *(rest(k, "own_word").alias(f"{sides[k][0]}_word") for k in (0, 1)))
+    more = lambda k, x: (F.col("own") * F.log(x)).alias(f"{sides[k][0]}_more")
+    of_pairs = each("rare").unionByName(of_words).join(pairs, "key", "left").select(
+        "__row", *(more(k, 1 / (rest(k, "own") * scale[k] + smoothed(k))) for k in (0, 1)))
+    of_firsts = each("rare_firsts").join(words, "key", "left").select(
+        "__row", *(more(k, rest(k, "own") * scale[k] + strength) for k in (0, 1)))
+    tail = of_pairs.unionByName(of_firsts).groupBy("__row").agg(
+        F.sum("target_more").alias("target_more"), F.sum("background_more").alias("background_more"))
     n = F.nullif("n_tokens", F.lit(0))
     loss = lambda x: (F.col(f"{x}_sum") + F.coalesce(f"{x}_more", F.lit(0.0))) / n
-    return (rows.drop("rare").join(tail, "__row", "left")
+    return (rows.drop("rare", "rare_words", "rare_firsts").join(tail, "__row", "left")
             .select(F.col("__id").alias(id_col), "n_tokens", loss("target").alias("target_loss"),
                     loss("background").alias("background_loss"))
             .withColumn("score", F.col("target_loss") - F.col("background_loss")))

@@ -75,6 +75,20 @@ def test_equals_a_plain_computation(spark, make_docs, vocabulary, head):
             assert a[2:4] == pytest.approx(b[2:], rel=1e-9) and a[4] == pytest.approx(b[2] - b[3], abs=1e-9)
 
 
+@pytest.mark.parametrize("head", [1_000_000, 5_000, 30, 0])
+def test_every_word_counts_in_a_large_vocabulary(spark, make_docs, head):
+    rows = corpus() + [(200 + i, " ".join(f"w{(i * 997 + k * (1 + i % 3)) % 24_000}" for k in range(4_000))) for i in range(15)]
+    targets = [i for i in range(60) if i % 3 == 0] + [101, 3, 200, 203, 206, 209]
+    ids = spark.createDataFrame([(i,) for i in targets], "target long")
+    got = L.score(make_docs(rows), ids, head=head).collect()
+    known = {w for _, t in rows for w in L.words_of(t)}
+    assert len(known) > 16_000
+    order = lambda r: (r[0] is None, r[0] or 0, r[1], r[2] or 0)
+    for a, b in zip(sorted(map(tuple, got), key=order), sorted(plain(rows, set(targets), known, 20.0), key=order), strict=True):
+        assert a[:2] == b[:2]
+        assert a[2:4] == (pytest.approx(b[2:], rel=1e-9) if b[1] else (None, None))
+
+
 def test_target_like_documents_score_lower(spark, make_docs):
     rows = corpus()
     ids = spark.createDataFrame([(i,) for i in range(0, 60, 6)], "target long")
