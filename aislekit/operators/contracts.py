@@ -180,7 +180,10 @@ def run_contract(table: str, df: DataFrame, contract: dict, parents: dict[str, D
     """Every rule of one table -> (table_name, rule, column_name, checked, failed).
 
     Row rules share one scan; each key / reference rule adds one grouped
-    count or anti join.  Only counts leave the executors.
+    count or anti join.  Only counts leave the executors.  ``parents`` must
+    hold the parent table of every foreign key.  Rules of columns that ``df``
+    does not have are passed over, and so are date and timestamp columns
+    (``parse_failures``).
     """
     parents = parents or {}
     parts = [row_rule_counts(df, contract)]
@@ -202,7 +205,9 @@ def run_contract(table: str, df: DataFrame, contract: dict, parents: dict[str, D
     for c in contract.get("unique_columns", []):
         parts.append(set_rule("unique_column", c, rows_in_dups(duplicate_keys(df, [c], ignore_nulls=True))))
     for c, (ref, ref_col) in contract.get("fk", {}).items():
-        if ref in parents and c in df.columns:
+        if c in df.columns:
+            if ref not in parents:
+                raise ValueError(f"{table}.{c}: the parent table {ref} is not given")
             parts.append(set_rule("fk", c, orphan_keys(df, c, parents[ref], ref_col).agg(F.count(F.lit(1)).alias("failed"))))
     out = reduce(DataFrame.unionByName, parts)
     return out.select(F.lit(table).alias("table_name"), "rule", "column_name",

@@ -1,5 +1,8 @@
 """Table contracts in this engine's typing (ids are numbers here, so the
-source's id-prefix patterns do not apply; every other rule is kept)."""
+source's id-prefix patterns do not apply).
+
+Declared is not run: the queries run the whole contract of ``transactions``
+only, and single rules of ``clickstreams``, ``promotions`` and ``customers``."""
 
 SEGMENTS = ["New Customers", "Active Customers", "Churn Risk Customers", "High Spenders", "Budget Shoppers"]
 
