@@ -89,6 +89,15 @@ def test_every_word_counts_in_a_large_vocabulary(spark, make_docs, head):
         assert a[2:4] == (pytest.approx(b[2:], rel=1e-9) if b[1] else (None, None))
 
 
+def test_long_words_count_like_any_other(spark, make_docs):
+    long = ["あ" * 30, "い" * 30, "う" * 30]  # 90 bytes each
+    rows = [(i, " ".join([long[i % 2]] * 5 + [long[2]])) for i in range(8)]
+    ids = spark.createDataFrame([(i,) for i in range(0, 8, 2)], "target long")
+    want = plain(rows, set(range(0, 8, 2)), {w for _, t in rows for w in L.words_of(t)}, 20.0)
+    for a, b in zip(sorted(map(tuple, L.score(make_docs(rows), ids).collect())), want, strict=True):
+        assert a[:2] == b[:2] and a[2:4] == pytest.approx(b[2:], rel=1e-9)
+
+
 def test_target_like_documents_score_lower(spark, make_docs):
     rows = corpus()
     ids = spark.createDataFrame([(i,) for i in range(0, 60, 6)], "target long")
