@@ -1,93 +1,11 @@
-"""Behaviour scores as closed-form expressions.
-
-The source draws these from ranges at random; here each draw is a fixed
-point of its range (a parameter), so the score is a function of the row.
-"""
+"""Bands of scroll depth."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-__all__ = ["campaign_timing_boost", "engagement_score", "perception_score",
-           "fatigue_factor", "promo_use_propensity", "delivery_propensity",
-           "scroll_engagement", "scroll_band", "SEGMENT_PROMO_BASE", "BROWSING_EVENTS"]
-
-# Promotion-use base range by customer segment.
-SEGMENT_PROMO_BASE = {
-    "New Customers": (0.7, 0.8),
-    "Active Customers": (0.65, 0.75),
-    "Churn Risk Customers": (0.8, 0.9),
-    "High Spenders": (0.55, 0.65),
-    "Budget Shoppers": (0.85, 0.95),
-}
-BROWSING_EVENTS = ["Home View", "Search View", "Category View", "Product View"]
-
-
-def campaign_timing_boost(progress: Column) -> Column:
-    """F22 (per campaign): <0.2 -> 1.3, <0.8 -> 1.5, else 0.8."""
-    return F.when(progress < 0.2, 1.3).when(progress < 0.8, 1.5).when(progress.isNotNull(), 0.8)
-
-
-def engagement_score(scope: Column, mechanic: Column, value: Column, event_type: Column,
-                     times_seen: Column, frac: float = 0.5) -> Column:
-    """0.03 + relevance (scope x page) + mechanic term +
-    0.12 n exp(-0.6 n), at most 0.9."""
-    def mid(lo, hi):
-        return lo + (hi - lo) * frac
-    rel = (F.when((scope == "cart") & event_type.isin("Cart View", "Checkout Start"), mid(0.2, 0.35))
-           .when((scope == "category") & event_type.isin("Category View", "Product View"), mid(0.1, 0.2))
-           .when((scope == "product") & (event_type == "Product View"), mid(0.2, 0.35))
-           .when((scope == "bundle") & (event_type == "Product View"), mid(0.18, 0.3))
-           .otherwise(0.0))
-    v = F.coalesce(value.cast("double"), F.lit(0.0))
-    mech = (F.when(mechanic == "percentage_discount", 0.05 + 0.002 * v)
-            .when(mechanic == "dollar_discount", 0.04 + 0.01 * F.least(v, F.lit(5.0)))
-            .when(mechanic == "bundle", 0.06 + 0.015 * F.least(v, F.lit(10.0)))
-            .otherwise(0.0))
-    n = times_seen.cast("double")
-    return F.least(0.03 + rel + mech + 0.12 * n * F.exp(-0.6 * n), F.lit(0.9))
-
-
-def perception_score(mechanic: Column) -> Column:
-    """0.95 percentage, 0.90 dollar, 0.85 bundle, else 0.90."""
-    return (F.when(mechanic == "percentage_discount", 0.95).when(mechanic == "dollar_discount", 0.9)
-            .when(mechanic == "bundle", 0.85).otherwise(0.9))
-
-
-def fatigue_factor(seen: Column, type_seen: Column) -> Column:
-    """F25 (one promotion): exp(-0.25 seen) x exp(-0.1 seen of its type)."""
-    return F.exp(-0.25 * seen.cast("double")) * F.exp(-0.1 * type_seen.cast("double"))
-
-
-def promo_use_propensity(segment: Column, subtotal: Column, frac: float = 0.5) -> Column:
-    """segment base + 0.2 / (1 + exp(clamp(0.05 (s - 80), +-50))), at most 1."""
-    m = F.create_map(*[x for k, (lo, hi) in SEGMENT_PROMO_BASE.items()
-                       for x in (F.lit(k), F.lit(lo + (hi - lo) * frac))])
-    base = F.coalesce(F.element_at(m, segment), F.lit(0.5 + 0.2 * frac))
-    x = F.greatest(F.least(0.05 * (subtotal.cast("double") - 80), F.lit(50.0)), F.lit(-50.0))
-    return F.least(base + 0.2 / (1 + F.exp(x)), F.lit(1.0))
-
-
-def delivery_propensity(has_shipping_promo: Column, customer_region: Column, store_region: Column,
-                        customer_area: Column, store_area: Column, subtotal: Column) -> Column:
-    """0.15 + 0.3 free shipping + 0.2 other region + 0.1 other area +
-    0.1 subtotal > 100, at most 0.85 (null-safe comparisons)."""
-    p = (F.lit(0.15)
-         + F.when(F.coalesce(has_shipping_promo, F.lit(False)), 0.3).otherwise(0.0)
-         + F.when(~customer_region.eqNullSafe(store_region), 0.2).otherwise(0.0)
-         + F.when(~customer_area.eqNullSafe(store_area), 0.1).otherwise(0.0)
-         + F.when(subtotal > 100, 0.1).otherwise(0.0))
-    return F.least(p, F.lit(0.85))
-
-
-def scroll_engagement(event_type: Column, scroll: Column, base_time: Column) -> Column:
-    """struct(scroll_depth, time_on_page): browsing events keep their
-    scroll and scale time by (0.8 + scroll/100 x 0.6); others lose scroll."""
-    browsing = event_type.isin(BROWSING_EVENTS)
-    sc = F.when(browsing, scroll)
-    t = F.when(browsing, base_time * (0.8 + F.coalesce(scroll, F.lit(0)) / 100 * 0.6)).otherwise(base_time)
-    return F.struct(sc.alias("scroll_depth"), t.alias("time_on_page"))
+__all__ = ["scroll_band"]
 
 
 def scroll_band(scroll: Column) -> Column:
