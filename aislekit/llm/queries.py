@@ -66,8 +66,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.op10_token_counts(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aislekit.llm import spelling
+
+    return spelling.op13_spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_lm_scoring, op2_near_dup, op3_best_fit_packing, op4_warc, op5_decontamination, op6_url_filters, op7_toxicity, op8_sharding, op9_fingerprints, op10_token_counts)
+    f.__name__: f for f in (op1_lm_scoring, op2_near_dup, op3_best_fit_packing, op4_warc, op5_decontamination, op6_url_filters, op7_toxicity, op8_sharding, op9_fingerprints, op10_token_counts, op13_spelling_variants)
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_decontamination": decontamination.ORACLE_SQL, "op6_url_filters": url_filters.ORACLE_SQL}
