@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aislekit.llm import decontamination, url_filters
+from aislekit.llm import decontamination, license_scan, url_filters
 from aislekit.llm._common import table
 
 
@@ -66,6 +66,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.op10_token_counts(table(spark, sf_dir, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.op11_license_scan(table(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aislekit.llm import alignment
+
+    return alignment.op12_alignment(table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aislekit.llm import spelling
 
@@ -73,7 +83,8 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_lm_scoring, op2_near_dup, op3_best_fit_packing, op4_warc, op5_decontamination, op6_url_filters, op7_toxicity, op8_sharding, op9_fingerprints, op10_token_counts, op13_spelling_variants)
+    f.__name__: f for f in (op1_lm_scoring, op2_near_dup, op3_best_fit_packing, op4_warc, op5_decontamination, op6_url_filters, op7_toxicity, op8_sharding, op9_fingerprints, op10_token_counts, op11_license_scan, op12_alignment, op13_spelling_variants)
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_decontamination": decontamination.ORACLE_SQL, "op6_url_filters": url_filters.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_decontamination": decontamination.ORACLE_SQL, "op6_url_filters": url_filters.ORACLE_SQL,
+                              "op11_license_scan": license_scan.oracle_sql()}
