@@ -7,12 +7,13 @@ tokens inside one character share its span, and pieces of byte fallback hold
 no text but at the last byte.  Those ends are refined by the tokens' decoded
 bytes; all others must agree with them, or the text has no tokens.
 
-A text is cut before each space that follows other than white space.  No
-token of either kind reaches over such a place (for sentencepiece the
-vocabulary says so: a space mark stands only first in a piece, after other
-space marks), so each different chunk is aligned once while it stays in a
-bounded cache, many at a time, and a text's alignment is that of its chunks in
-turn.  For a vocabulary that doesn't promise this the whole text is one chunk.
+A text is cut before a space or line end that follows other than white space, and
+between a letter and a comma, full stop or exclamation mark.  No token of
+either kind reaches over such a place: the byte-level pattern splits there, and
+no sentencepiece entry holds the two characters side by side, which is looked
+up in the vocabulary.  So each different chunk is aligned once while it stays
+in a bounded cache, many at a time; words between spaces are made of chunks and
+kept as well, and a text's alignment is that of its words in turn.  A vocabulary that allows no cut makes the whole text one chunk.
 
 Pair counts over the corpus go to tasks for the most frequent pairs (at most
 ``head``); rarer ones meet their count in a join.
@@ -24,7 +25,7 @@ import json
 import re
 import sys
 import types
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -39,13 +40,17 @@ from aislekit.llm._common import Scratch, frequency_class, frequency_cut
 
 SPACE = "▁"
 #: Chunks of at most so many characters are kept, and aligned together up to so many characters.
-KEPT, TOGETHER = 64, 20_000
+KEPT, TOGETHER = 64, 4_000
+#: A word that any chunk may follow.
+CARRIER = " a"
+#: Marks before which a letter ends a chunk.
+MARKS = ",.!"
 
 
 class Aligner:
     """Alignments of texts; ``code`` of a pair of ids is a * n_b + b."""
 
-    def __init__(self, path_a: str, path_b: str, cache: int = 250_000):
+    def __init__(self, path_a: str, path_b: str, ends: bool = False, cache: int = 250_000):
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         with open(path_a, encoding="utf-8") as f:
@@ -73,33 +78,44 @@ class Aligner:
         with open(path_b, "rb") as f:
             model.ParseFromString(f.read())
         rule = model.normalizer_spec
+        spelt = [p for i, p in enumerate(pieces) if not self.is_byte[i]]
+        def never(pair: str) -> bool:
+            return not any(re.search(pair, p) for p in spelt)
+
         self.in_chunks = (not rule.precompiled_charsmap and rule.add_dummy_prefix and not rule.remove_extra_whitespaces
-                          and not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces)
-                          and model.trainer_spec.model_type == model.trainer_spec.BPE)
+                          and never(f"[^{SPACE}]{SPACE}") and model.trainer_spec.model_type == model.trainer_spec.BPE)
+        marks = "".join(m for m in MARKS if never(rf"[^\W\d_]{re.escape(m)}"))
+        cuts = rf"(?<=\S)(?=[ {chr(10) if never(chr(10)) else ''}])" + (rf"|(?<=[^\W\d_])(?=[{re.escape(marks)}])" if marks else "")
 
         self.len_a = np.array([len(x) for x in self.bytes_a])
         self.len_b = np.array([len(x) for x in self.bytes_b])
         name_a, name_b = ([b"%d" % i for i in range(n)] for n in (self.n_a, self.n_b))
         self.names = np.array([x + c for names, ends in ((name_a, b",|"), (name_b, b",;"))
                                for c in (ends[:1], ends[1:]) for x in names], dtype=object)
-        self.split = re.compile(r"(?<=\S)(?= )").split
-        self.cache, self.young, self.old = cache, {}, {}
+        self.split, self.loose = re.compile(cuts).split, re.compile(r"\s ").search
+        # what is known of chunks and of words, recent and older; what isn't asked for twice falls out
+        self.ends, self.cache, self.gens, self.word_gens = ends, cache, [{}, {}], [{}, {}]
+        self.young, self.old = self.gens
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
         """Ids and byte ends of both tokenizations of ``text``, which starts with a space; None if either loses bytes."""
         data = text.encode()
         got = self.a.encode(text, add_special_tokens=False)
-        ids_a, at = np.array(got.ids, dtype=np.int64), np.array(got.offsets, dtype=np.int64).reshape(-1, 2)
+        list_a, (from_a, to_a) = got.ids, zip(*got.offsets, strict=True)
         proto = self.b.encode(text[1:], return_type="proto").pieces
         list_b = [p.id for p in proto]
-        ids_b, rough_b = np.array(list_b, dtype=np.int64), np.array([p.end for p in proto]) + 1
-        if b"".join([self.bytes_a[i] for i in got.ids]) != data or b"".join([self.bytes_b[i] for i in list_b]) != data:
+        if b"".join([self.bytes_a[i] for i in list_a]) != data or b"".join([self.bytes_b[i] for i in list_b]) != data:
             return None
+        ids_a, from_a, to_a = (np.array(x, dtype=np.int64) for x in (list_a, from_a, to_a))
+        ids_b, rough_b = np.array(list_b, dtype=np.int64), np.array([p.end for p in proto]) + 1
         exact_a, exact_b = np.cumsum(self.len_a[ids_a]), np.cumsum(self.len_b[ids_b])
-        chars = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
-        width = 1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000)
-        rough_a = np.concatenate(([0], np.cumsum(width)))[at[:, 1]]
-        shared = np.append(at[1:, 0] < at[:-1, 1], False)  # the next token lies in the same character
+        if len(data) == len(text):
+            rough_a = to_a
+        else:
+            chars = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+            width = 1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000)
+            rough_a = np.concatenate(([0], np.cumsum(width)))[to_a]
+        shared = np.append(from_a[1:] < to_a[:-1], False)  # the next token lies in the same character
         ends_a = np.where(shared, exact_a, rough_a)
         ends_b = np.where(self.is_byte[ids_b], exact_b, rough_b)
         if not np.array_equal(ends_a, exact_a) or not np.array_equal(ends_b, exact_b):
@@ -107,15 +123,18 @@ class Aligner:
         return ids_a, ends_a, ids_b, ends_b
 
     def learn(self, chunks: list[str], out: dict) -> None:
-        """Alignments of ``chunks`` into ``out``: (groups, links, group ends, number of A tokens), or None."""
+        """Alignments of ``chunks`` into ``out``: (groups, links, number of A tokens, group ends), or ().
+
+        The first chunk starts with a space, and the others can follow each other.
+        """
         text = "".join(chunks)
         got = self.spans(text)
         if got is None:
             if len(chunks) == 1:
-                out[chunks[0]] = None
+                out[chunks[0]] = ()
             else:
                 for c in chunks:
-                    self.learn([c], out)
+                    self.learn_alone(c, out)
             return
         ids_a, ends_a, ids_b, ends_b = got
         cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
@@ -130,57 +149,126 @@ class Aligner:
         order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
         names = self.names[name[order]].tolist()
         ends = np.cumsum([len(c.encode()) for c in chunks])
-        at = [np.searchsorted(x, ends, side="right").tolist() for x in (stretch, cuts, ends_a, ends_b)]
-        s = c = a = b = start = 0
-        raw = links.astype("<i8")
-        for chunk, s1, c1, a1, b1, end in zip(chunks, *at, ends.tolist(), strict=True):
-            out[chunk] = (b"".join(names[a + b:a1 + b1])[:-1], raw[s:s1].tobytes(),
-                          (cuts[c:c1] - start).astype("<i8").tobytes(), a1 - a)
-            s, c, a, b, start = s1, c1, a1, b1, end
-
-    def chunks(self, text: str) -> list[str]:
+        at = [np.searchsorted(x, ends, side="right").tolist() for x in (stretch, ends_a, ends_b)]
+        s = a = b = 0
+        raw = links.astype("<i8").tobytes()
+        for chunk, s1, a1, b1 in zip(chunks, *at, strict=True):
+            out[chunk] = (b"".join(names[a + b:a1 + b1])[:-1], raw[8 * s:8 * s1], a1 - a)
+            s, a, b = s1, a1, b1
+        if self.ends:
+            at, c, start = np.searchsorted(cuts, ends, side="right").tolist(), 0, 0
+            for chunk, c1, end in zip(chunks, at, ends.tolist(), strict=True):
+                out[chunk] += ((cuts[c:c1] - start).astype("<i8").tobytes(),)
+                c, start = c1, end
+
+    def learn_alone(self, chunk: str, out: dict) -> None:
+        """Alignment of one chunk; where it doesn't start with a space it stands after a carrier that does."""
+        if chunk[0] == " " or not self.in_chunks:
+            self.learn([chunk], out)
+        else:
+            got: dict = {}
+            text = self.spans(CARRIER + chunk)
+            if text is not None:
+                self.learn([CARRIER, chunk], got)
+            out[chunk] = got.get(chunk, ())
+
+    def words(self, text: str) -> list[str]:
+        """``text`` cut before its spaces, but for those that follow white space or end it."""
+        if not self.in_chunks:
+            return [text]
+        out = text.split(" ")
+        if text[0] == " " or text[-1].isspace() or self.loose(text):
+            made: list[str] = []
+            for w in out:
+                if made and (not made[-1] or made[-1][-1].isspace()):
+                    made[-1] += " " + w
+                else:
+                    made.append(w)
+            if len(made) > 1 and (not made[-1] or made[-1].isspace()):  # sentencepiece adds no space to an empty text
+                made[-2:] = [made[-2] + " " + made[-1]]
+            return made
+        return out
+
+    def chunks(self, word: str) -> list[str]:
+        """Chunks of space + ``word``."""
         if not self.in_chunks:
-            return [" " + text]
-        out = self.split(" " + text)
-        if len(out) > 1 and out[-1].isspace():  # sentencepiece adds no space to an empty text
+            return [" " + word]
+        out = self.split(" " + word)
+        if len(out) > 1 and out[-1].isspace():
             out[-2:] = [out[-2] + out[-1]]
         return out
 
-    def align(self, texts: list[str | None]) -> list[list[tuple] | None]:
-        """For each text the alignments of its chunks; None for texts without tokens."""
-        if len(self.young) > self.cache:
-            self.old, self.young = self.young, {}
-        cut = [self.chunks(t) if t else [] for t in texts]
-        young, old, fresh = self.young, self.old, {}
-        together, size, alone = [], 0, {}
-        for c in {c for chunks in cut for c in chunks if c not in young}:
-            if c in old:
-                young[c] = old[c]
+    def learn_all(self, chunks: Iterable[str]) -> dict:
+        """Alignments of all given chunks; short ones are kept."""
+        young, old, out = self.young, self.old, {}
+        together, size = [CARRIER], 0
+        for c in chunks:
+            got = young.get(c) or old.get(c)
+            if got is not None:
+                out[c] = young[c] = got
             elif self.in_chunks and not c[-1].isspace() and SPACE not in c and len(c) <= KEPT:
+                if not c[0].isspace() and not together[-1][-1].isalpha():
+                    together.append(CARRIER)  # a mark follows a letter
                 together.append(c)
                 size += len(c)
                 if size > TOGETHER:
                     self.learn(together, young)
-                    together, size = [], 0
+                    together, size = [CARRIER], 0
             else:
-                alone[c] = None
-        if together:
+                self.learn_alone(c, out)
+        if len(together) > 1:
             self.learn(together, young)
-        for c in alone:
-            self.learn([c], fresh)
+        return out
+
+    def joined(self, parts: list[tuple], chunks: list[str]) -> tuple:
+        """One alignment of the chunks of a word."""
+        if len(parts) == 1 or () in parts:
+            return parts[0] if len(parts) == 1 else ()
+        out = (b";".join([x[0] for x in parts]), b"".join([x[1] for x in parts]), sum([x[2] for x in parts]))
+        if self.ends:
+            at, ends = 0, []
+            for x, c in zip(parts, chunks, strict=True):
+                ends.append(np.frombuffer(x[3], dtype="<i8") + at)
+                at += len(c.encode())
+            out += (np.concatenate(ends).tobytes(),)
+        return out
+
+    def align(self, texts: list[str | None]) -> list[list[tuple] | None]:
+        """For each text the alignments of its words; None for texts without tokens."""
+        for gen in (self.gens, self.word_gens):
+            if len(gen[0]) > self.cache:
+                gen[:] = [{}, gen[0]]
+        self.young, self.old = self.gens
+        known, before = self.word_gens
+        cut = [self.words(t) if t else [] for t in texts]
+        met = [list(map(known.get, words)) for words in cut]
+        fresh: dict = {}  # words that aren't kept
+        need: dict[str, list[str]] = {}
+        for words, got in zip(cut, met, strict=True):
+            if None in got:
+                for w, x in zip(words, got, strict=True):
+                    if x is None and w not in need and w not in known:
+                        if w in before:
+                            known[w] = before[w]
+                        else:
+                            need[w] = self.chunks(w)
+        alone = self.learn_all(dict.fromkeys(c for chunks in need.values() for c in chunks))
+        for w, chunks in need.items():
+            (known if len(w) <= KEPT else fresh)[w] = self.joined([alone[c] if c in alone else self.young[c] for c in chunks], chunks)
         out = []
-        for chunks in cut:
-            got = [young[c] if c in young else fresh[c] for c in chunks]
-            out.append(got if got and None not in got else None)
+        for words, got in zip(cut, met, strict=True):
+            if None in got:
+                got = [x if x is not None else known[w] if w in known else fresh[w] for w, x in zip(words, got, strict=True)]
+            out.append(got if got and () not in got else None)
         return out
 
 
-def aligner(path_a: str, path_b: str) -> Aligner:
+def aligner(path_a: str, path_b: str, ends: bool = False) -> Aligner:
     """One Aligner per pair of paths and Python worker; it outlives a task."""
     kept = sys.modules.setdefault("_llm_worker_aligners", types.ModuleType("_llm_worker_aligners")).__dict__
-    if (path_a, path_b) not in kept:
-        kept[path_a, path_b] = Aligner(path_a, path_b)
-    return kept[path_a, path_b]
+    if (path_a, path_b, ends) not in kept:
+        kept[path_a, path_b, ends] = Aligner(path_a, path_b, ends)
+    return kept[path_a, path_b, ends]
 
 
 def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text: str = "text",
@@ -195,7 +283,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
     when ids repeat or are null.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        al = aligner(path_a, path_b)
+        al = aligner(path_a, path_b, ends)
         for batch in batches:
             for i in range(0, batch.num_rows, 64):
                 part = batch.slice(i, 64)
@@ -207,7 +295,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
                     else:
                         name = b";".join([x[0] for x in got])
                         links = np.frombuffer(b"".join([x[1] for x in got]), dtype="<i8")
-                        n_a, n_groups = sum([x[3] for x in got]), name.count(b";") + 1
+                        n_a, n_groups = sum([x[2] for x in got]), name.count(b";") + 1
                         counts.append((n_a, len(links) + n_groups - n_a, n_groups, len(links)))
                         groups.append(name)
                         code, n = np.unique(links, return_counts=True)
@@ -216,7 +304,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
                         if ends:
                             start = 0
                             for x in got:
-                                e = np.frombuffer(x[2], dtype="<i8") + start
+                                e = np.frombuffer(x[3], dtype="<i8") + start
                                 all_ends.append(e)
                                 start = e[-1]
                     at.append(at[-1] + (len(codes[-1]) if got else 0))
