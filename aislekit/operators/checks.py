@@ -15,13 +15,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aislekit.operators.sequence import neighbour
+from aislekit.functions.pricing import STOCK_STATUSES
+from aislekit.operators.intervals import point_in_interval_join
+from aislekit.operators.sequence import neighbour, running_max
 
 DEFAULT_NOW = "2025-01-01 00:00:00"
 DIGITAL_TYPES = ["Online Only", "Omnichannel"]
 EXPOSURE_ONLY_CHANNELS = ["Paid Advertisements", "In-App"]
-BAND_STATUS = [("0", "Out of Stock"), ("1-5", "Limited Stock"), ("6-20", "Low Stock"),
-               ("21-100", "In Stock"), ("101+", "Overstocked")]
+BAND_STATUS = list(STOCK_STATUSES.items())
 PHASE_RANK = {"LAUNCH": 1, "PROMO": 2, "EOL": 3}
 
 
@@ -296,18 +297,29 @@ def tier_score_overlap(content: DataFrame) -> DataFrame:
 
 def in_stockout_window(rows: DataFrame, stockouts: DataFrame, at: str) -> DataFrame:
     """Rows of (store, product, ``at``) falling inside a stockout window of
-    the same key (closed ends, null end never holds): equi join on the key
-    with the range as residual."""
-    s = stockouts.select(F.col("store_id").alias("__ss"), F.col("product_id").alias("__sp"),
-                         F.col("stockout_start_date").alias("__start"), F.col("stockout_end_date").alias("__end"))
-    cond = ((F.col("store_id") == F.col("__ss")) & (F.col("product_id") == F.col("__sp"))
-            & (F.col(at) >= F.col("__start")) & (F.col(at) <= F.col("__end")))
-    return rows.join(s, cond).drop("__ss", "__sp")
+    the same key (closed ends, null end never holds), once per window.
+
+    Rows are stabbed first: window starts and rows stand in one order of time,
+    the greatest end so far is carried along, and a row lies in some window
+    just if that end isn't before it.  Only those rows meet windows, on the key
+    and the month, so a key with many windows isn't paired with all its rows.
+    """
+    key = ["store_id", "product_id"]
+    s = stockouts.where(F.col("stockout_end_date").isNotNull()).select(
+        *key, F.col("stockout_start_date").alias("__start"), F.col("stockout_end_date").alias("__end"))
+    moment = lambda c: F.col(c).cast("timestamp_ntz")
+    starts = s.select(*key, moment("__start").alias("__at"), F.lit(0).alias("__side"), moment("__end").alias("__until"),
+                      *[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields if f.name not in key])
+    both = starts.unionByName(rows.withColumns({"__at": moment(at), "__side": F.lit(1), "__until": F.lit(None).cast("timestamp_ntz")}))
+    seen = running_max(both, key, ["__at", "__side"], "__until", "__far")
+    hit = seen.where((F.col("__side") == 1) & (F.col("__far") >= F.col("__at"))).select(*rows.columns)
+    return point_in_interval_join(hit, at, s, "__start", "__end", keys=key)
 
 
 def snapshot_not_out_of_stock(snapshots: DataFrame, stockouts: DataFrame) -> DataFrame:
     """X-st06: snapshots inside a stockout window that are not Out of Stock."""
-    return in_stockout_window(snapshots, stockouts, "week_start_date").where(violates(F.col("stock_status") == "Out of Stock"))
+    wrong = snapshots.where(violates(F.col("stock_status") == "Out of Stock"))
+    return in_stockout_window(wrong, stockouts, "week_start_date")
 
 
 def ledger_inconsistent(ledger: DataFrame) -> DataFrame:
@@ -320,8 +332,8 @@ def ledger_inconsistent(ledger: DataFrame) -> DataFrame:
 def stock_not_zero_in_stockout(ledger: DataFrame, stockouts: DataFrame) -> DataFrame:
     """X-st09: ledger events inside a stockout window with stock or a
     positive delta."""
-    j = in_stockout_window(ledger, stockouts, "event_timestamp")
-    return j.where(violates(F.col("stock_after") == 0) | violates(F.col("delta") <= 0))
+    wrong = ledger.where(violates(F.col("stock_after") == 0) | violates(F.col("delta") <= 0))
+    return in_stockout_window(wrong, stockouts, "event_timestamp")
 
 
 def content_versions(content: DataFrame) -> DataFrame:

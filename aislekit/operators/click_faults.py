@@ -10,7 +10,7 @@ they start with their own label only (E18).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aislekit.operators.faults import (BOT_EVENTS, BOT_PROB, DUP_PROB, IMPOSSIBLE_EVENTS, MID_FUNNEL_EVENTS,
@@ -151,8 +151,20 @@ def duplicate_events(d: DataFrame, mode: str = "xxhash") -> DataFrame:
         ERR, F.concat(F.col(ERR), F.array(F.lit("duplicate event"))))
 
 
+def _made_page(event_type: Column, product_id: Column, category: Column, home: str) -> Column:
+    """Page of a made-up event."""
+    return (F.when(event_type == "Home View", home).when(event_type == "Search View", "/search?q=term")
+            .when(event_type == "Category View", F.concat(F.lit("/category/"), category)).when(event_type == "Cart View", "/cart")
+            .when(event_type.isin("Product View", "Add to Cart"), F.concat(F.lit("/product/"), product_id.cast("string")))
+            .otherwise("/checkout"))
+
+
+def _category(u_: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(x) for x in CATEGORY_POOL]), (F.floor(u_ * len(CATEGORY_POOL)) + 1).cast("int"))
+
+
 def bot_sessions(d: DataFrame, mode: str = "xxhash") -> DataFrame:
-    """At the profile's bot rate, a new session of 5-20 rapid events
+    """E16 (+E18): at the profile's bot rate, a new session of 5-20 rapid events
     (types by fixed weights) after the row; rows carry only 'bot traffic'."""
     rate = F.element_at(F.create_map(*[x for k, v in BOT_PROB.items() for x in (F.lit(k), F.lit(v))]), F.col("__profile"))
     seeds = d.where(u(110, mode) < rate).select("event_id", "customer_id", "event_timestamp",
@@ -162,7 +174,6 @@ def bot_sessions(d: DataFrame, mode: str = "xxhash") -> DataFrame:
     delay = F.element_at(F.array(0.1 + draw(k, 112, mode) * 0.4, 1 + draw(k, 112, mode) * 4, 10 + draw(k, 112, mode) * 50),
                          (F.floor(draw(k, 113, mode) * 3) + 1).cast("int"))
     x = x.withColumn("__delay_ms", F.floor(delay * 1000).cast("long"))
-    from pyspark.sql import Window
     w = Window.partitionBy("event_id").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)  # one seed: at most 20 rows
     tot = sum(w_ for _, w_ in BOT_EVENTS)
     t = draw(k, 114, mode) * tot
@@ -170,24 +181,39 @@ def bot_sessions(d: DataFrame, mode: str = "xxhash") -> DataFrame:
     for name, wgt in BOT_EVENTS:
         acc += wgt
         et = F.when(t < acc, name) if et is None else et.when(t < acc, name)
+    x = x.withColumn("event_type", et).withColumn("__p", F.floor(draw(k, 115, mode) * 50).cast("long")).withColumn("__c", _category(draw(k, 117, mode)))
+    view = F.col("event_type")
     return x.select(F.concat(F.lit("bot_"), F.col("event_id").cast("string")).alias("session_id"), "customer_id",
                     (-2 * (F.col("event_id") * 1000 + F.col("i"))).alias("event_id"),  # below all real ids, even
                     (F.col("event_timestamp") + F.make_interval(secs=(F.sum("__delay_ms").over(w) / 1000).cast("decimal(18,3)"))).alias("event_timestamp"),
-                    et.alias("event_type"), F.col("i").cast("long").alias("event_order"),
-                    F.array(F.lit("bot traffic")).alias(ERR))
+                    "event_type", F.when(view == "Product View", F.col("__p")).alias("product_id"),
+                    F.when(view.isin("Category View", "Product View"), F.col("__c")).alias("category"),
+                    F.when(view != "Cart View", draw(k, 116, mode) * 20).alias("scroll_depth"),
+                    _made_page(view, F.col("__p"), F.col("__c"), "/").alias("page"),
+                    F.col("i").cast("long").alias("event_order"), F.array(F.lit("bot traffic")).alias(ERR))
 
 
 def orphan_sessions(d: DataFrame, rate: float = 0.02, mode: str = "xxhash") -> DataFrame:
-    """For a share of sessions, a copy of 3-12 mid-funnel events with
-    no landing event, labelled 'orphan session'."""
+    """E17 (+E18): for a share of sessions, a session of 3-12 mid-funnel events
+    10 to 300 seconds apart with no landing event, labelled 'orphan session'."""
     s = d.groupBy("session_id", "customer_id").agg(F.min("event_timestamp").alias("__t"), F.min("event_id").alias("__e"))
     s = s.where(draw(F.col("__e"), 120, mode) < rate).withColumn("__n", (3 + F.floor(draw(F.col("__e"), 121, mode) * 10)).cast("int"))
     x = s.select("*", F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("i"))
     k = F.col("__e") * 100 + F.col("i")
     et = F.element_at(F.array(*[F.lit(e) for e in MID_FUNNEL_EVENTS]), (F.floor(draw(k, 122, mode) * len(MID_FUNNEL_EVENTS)) + 1).cast("int"))
+    w = Window.partitionBy("__e").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)  # at most 12 rows
+    x = (x.withColumn("event_type", et).withColumn("__p", F.floor(draw(k, 123, mode) * 50).cast("long"))
+         .withColumn("__c", _category(draw(k, 126, mode))).withColumn("__gap", (10 + F.floor(draw(k, 124, mode) * 291)).cast("int"))
+         .withColumn("__scroll", draw(k, 125, mode) * 100))
+    view = F.col("event_type")
     return x.select(F.concat(F.lit("orphan_"), F.col("session_id")).alias("session_id"), "customer_id",
                     (-2 * (F.col("__e") * 1000 + F.col("i")) - 1).alias("event_id"),  # below all real ids, odd
-                    (F.col("__t") + F.make_interval(secs=(F.col("i") * 30))).alias("event_timestamp"), et.alias("event_type"),
+                    (F.col("__t") + F.make_interval(secs=F.sum("__gap").over(w).cast("int"))).alias("event_timestamp"), "event_type",
+                    F.when(view.isin("Product View", "Add to Cart"), F.col("__p")).alias("product_id"),
+                    F.when(view == "Category View", F.col("__c")).alias("category"),
+                    F.when(view != "Cart View", F.col("__scroll")).alias("scroll_depth"),
+                    F.sum(F.when(view == "Add to Cart", 1).otherwise(0)).over(w).cast("long").alias("cart_size"),
+                    _made_page(view, F.col("__p"), F.col("__c"), "/").alias("page"),
                     F.col("i").cast("long").alias("event_order"), F.array(F.lit("orphan session")).alias(ERR))
 
 

@@ -32,7 +32,7 @@ MISSING_FIELDS = ["product_id", "category", "scroll_depth", "location", "cart_co
                   "event_timestamp", "event_order", "event_type", "page", "device_category"]
 IMPOSSIBLE_EVENTS = ["Payment Attempt", "Checkout Start", "Add to Cart", "Cart View", "Home View"]
 BOT_EVENTS = [("Home View", 10), ("Search View", 25), ("Category View", 20), ("Product View", 40), ("Cart View", 5)]
-MID_FUNNEL_EVENTS = ["Product View", "Add to Cart", "Cart View", "Checkout Start"]
+MID_FUNNEL_EVENTS = ["Product View", "Add to Cart", "Cart View", "Search View", "Category View", "Checkout Start", "Payment Attempt"]
 
 
 def arith_u_sql(key_sql: str, seed: int) -> str:
@@ -99,6 +99,27 @@ def corrupt_values(df: DataFrame, col: str, rate: float, label: str, value: Colu
             .drop("__hit"))
 
 
+def messy_terms(df: DataFrame, term: str, key: Column, mode: str = "xxhash") -> DataFrame:
+    """``messy``, one of six seeded edits of a search term, and ``op``, which one.
+
+    0 a mark at the end, 1 every a doubled, 2 the last letter lost, 3 the
+    letters in another order, 4 one to five blanks, 5 three to ten random
+    letters.  Terms too short for an edit stay.
+    """
+    x, n = F.col(term), F.length(term)
+    op = F.floor(draw(key, 201, mode) * 6).cast("int")
+    at = lambda i: F.concat_ws("-", key.cast("string"), i.cast("string"))
+    letters = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(draw(at(i), 203, mode).alias("u"), i.alias("i"), F.substring(x, i, 1).alias("c")))
+    shuffled = F.array_join(F.transform(F.array_sort(letters), lambda s: s["c"]), "")
+    random_letters = F.array_join(F.transform(F.sequence(F.lit(1), (3 + F.floor(draw(key, 204, mode) * 8)).cast("int")),
+                                              lambda i: F.chr((97 + F.floor(draw(at(i), 205, mode) * 26)).cast("long"))), "")
+    mark = F.element_at(F.array(F.lit("!"), F.lit("??"), F.lit(".")), (F.floor(draw(key, 202, mode) * 3) + 1).cast("int"))
+    messy = (F.when(op == 0, F.concat(x, mark)).when(op == 1, F.replace(x, F.lit("a"), F.lit("aa")))
+             .when(op == 2, F.when(n > 1, F.substring(x, F.lit(1), n - 1)).otherwise(x)).when(op == 3, F.when(n > 2, shuffled).otherwise(x))
+             .when(op == 4, F.repeat(F.lit(" "), (1 + F.floor(draw(key, 204, mode) * 5)).cast("int"))).otherwise(random_letters))
+    return df.select("*", messy.alias("messy"), op.alias("op"))
+
+
 def duplicate_rows(df: DataFrame, rate: float, label: str, key: Column, seed: int, mode: str = "xxhash") -> DataFrame:
     """Rows with draw < rate are copied; copies carry ``label`` (not
     capped).  Rate mode: no global count or sort is needed."""

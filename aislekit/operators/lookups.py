@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from aislekit.functions.pricing import stock_status
 from aislekit.operators.intervals import point_in_interval_join
-from aislekit.operators.sequence import asof_lookup, running_sum
+from aislekit.operators.sequence import asof_lookup, numbered, running_sum
 
 DIGITAL_TYPES = ["Online Only", "Omnichannel"]
 
@@ -188,6 +188,22 @@ def on_sale_through(products: DataFrame, windows: DataFrame, w_start: str, w_end
     return j.select(key, "product_id")
 
 
+def windows_around(outer: DataFrame, o_start: str, o_end: str, inner: DataFrame, i_start: str, i_end: str,
+                   keys: list[str]) -> DataFrame:
+    """Rows of ``outer`` whose window holds the whole window of a row of ``inner`` with equal ``keys``.
+
+    The outer windows are cut to the months in which inner windows start, and
+    meet them there; each pair meets once.
+    """
+    month = lambda c: F.year(c) * 12 + F.month(c)
+    i = inner.where(F.col(i_start).isNotNull()).withColumn("__m", month(i_start))
+    span = i.agg(F.min("__m").alias("__lo"), F.max("__m").alias("__hi"))  # one row
+    o = outer.where(F.col(o_start).isNotNull() & F.col(o_end).isNotNull()).crossJoin(F.broadcast(span))
+    first, last = F.greatest(month(o_start), F.col("__lo")), F.least(month(o_end), F.col("__hi"))
+    o = o.where(first <= last).withColumn("__m", F.explode(F.sequence(first, last))).drop("__lo", "__hi")
+    return o.join(i, ["__m", *keys]).where((F.col(o_start) <= F.col(i_start)) & (F.col(o_end) >= F.col(i_end))).drop("__m")
+
+
 def in_stock_products(probes: DataFrame, snapshots: DataFrame, products: DataFrame) -> DataFrame:
     """(store, product, t) probes whose as-of status is not Out of
     Stock, with the product's category."""
@@ -199,18 +215,30 @@ def name_contains(terms: DataFrame, term: str, names: DataFrame, name: str, key_
     """(term, name row) where the lower-case name contains the
     lower-case term literally; null names never match.
 
-    Candidates meet on the term's first ``key_len`` characters (or the whole
-    term when shorter) against every substring of that length of the name,
-    an equi join; the exact ``contains`` is the residual.
+    An inverted index: the grams of ``key_len`` characters that terms hold (or
+    the whole term when shorter) are counted over the names first, and a term
+    meets names on the rarest of its grams only, so a prefix or a gram that
+    many names share doesn't fan out while the term holds a rarer one.  The
+    exact ``contains`` is the residual.
     """
     t = terms.select(F.col(term).alias("__term")).where(F.col("__term").isNotNull() & (F.col("__term") != "")).distinct()
-    t = t.withColumn("__lt", F.lower("__term")).withColumn("__k", F.substring("__lt", 1, key_len))
+    t = t.withColumn("__lt", F.lower("__term"))
     n = names.where(F.col(name).isNotNull()).withColumn("__ln", F.lower(F.col(name)))
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length("__ln"), F.lit(1))),
-                        lambda i: F.struct(F.substring("__ln", i, key_len).alias("g3"), F.substring("__ln", i, 2).alias("g2"),
-                                           F.substring("__ln", i, 1).alias("g1")))
-    ng = n.select("*", F.explode(F.array_distinct(F.flatten(F.transform(grams, lambda s: F.array(s["g3"], s["g2"], s["g1"]))))).alias("__k"))
-    j = ng.join(t, "__k").where(F.col("__ln").contains(F.col("__lt")))
+
+    def grams(c: str, k: int) -> Column:
+        last = F.length(c) - k + 1
+        return F.when(last >= 1, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substring(c, i, k)))) \
+            .otherwise(F.array().cast("array<string>"))
+
+    tg = t.select("__term", "__lt", F.explode(F.when(F.length("__lt") < key_len, F.array("__lt")).otherwise(grams("__lt", key_len))).alias("__k"))
+    wanted = tg.select("__k").distinct()
+    ng = n.select("*", F.explode(F.flatten(F.array(*[grams("__ln", k) for k in range(1, key_len + 1)]))).alias("__k"))
+    ng = ng.join(wanted, "__k", "left_semi")
+    counts = ng.groupBy("__k").agg(F.count(F.lit(1)).alias("__c"))
+    key = (tg.join(counts, "__k", "left").groupBy("__term", "__lt")
+           .agg(F.min(F.struct(F.coalesce("__c", F.lit(0)).alias("c"), F.col("__k").alias("k"))).alias("__rarest")))
+    key = key.where(F.col("__rarest.c") > 0).select("__term", "__lt", F.col("__rarest.k").alias("__k"))  # a gram no name holds: no match
+    j = ng.join(key, "__k").where(F.col("__ln").contains(F.col("__lt")))
     return j.select(F.col("__term").alias("term"), *names.columns).distinct()
 
 
@@ -249,13 +277,14 @@ def competitor_catalogue(listings: DataFrame, competitor: str = "competitor") ->
 def pick_store(customers: DataFrame, stores: DataFrame, seed: int = 7, rank_key: Column | None = None) -> DataFrame:
     """One store per customer: among retail stores of the customer's
     area, else among all retail stores, the one at position
-    hash(customer, seed) mod n.  Stores are numbered per area, so the pick
-    is an equi join on (area, position): no customer x store pairs.
+    hash(customer, seed) mod n.  Stores are numbered per area, and all of them
+    in key ranges with running totals, so the pick is an equi join on (area,
+    position) or on the position: no customer x store pairs.
     ``rank_key`` replaces the hash (any non-negative integer column)."""
     retail = stores.where(F.col("store_type") != "Online")
     by_area = retail.select("store_id", "area", F.row_number().over(Window.partitionBy("area").orderBy("store_id")).alias("__pos"))
     n_area = by_area.groupBy("area").agg(F.count(F.lit(1)).alias("__n"))
-    allr = retail.select("store_id", F.row_number().over(Window.orderBy("store_id")).alias("__pos"))  # store dimension
+    allr = numbered(retail.select("store_id"), ["store_id"], "__pos")
     n_all = retail.agg(F.count(F.lit(1)).alias("__na"))
     h = rank_key if rank_key is not None else F.abs(F.xxhash64(F.col("customer_id"), F.lit(seed)))
     c = customers.select("customer_id", "area", h.alias("__h")).join(n_area, "area", "left").crossJoin(n_all)  # n_all is one row
@@ -281,6 +310,11 @@ def review_candidates(headers: DataFrame, items: DataFrame, products: DataFrame)
 
 
 def launch_lookup(lifecycles: DataFrame) -> DataFrame:
-    """Launch and discontinuation by product from the last version."""
-    return lifecycles.groupBy("product_id").agg(F.max_by("launch_date", "valid_from").alias("launch_date"),
-                                                F.max_by("discontinuation_date", "valid_from").alias("discontinuation_date"))
+    """Launch and discontinuation by product from the last version.
+
+    Versions that start on the same day are ordered by is_current, then by
+    status.
+    """
+    last = F.struct("valid_from", "is_current", "status")
+    return lifecycles.groupBy("product_id").agg(F.max_by("launch_date", last).alias("launch_date"),
+                                                F.max_by("discontinuation_date", last).alias("discontinuation_date"))

@@ -2,8 +2,8 @@
 
 All statistics are aggregates that Spark computes with partial (map-side)
 aggregation: a table of any size is reduced per partition before the
-shuffle, and the shuffle carries one small row per group.  Nothing is
-collected; the only driver-side work is reading the schema to pick the
+shuffle, and the shuffle carries one small row per group; quantiles are
+selected from value counts in ranges.  Nothing is collected; the only driver-side work is reading the schema to pick the
 numeric columns.
 """
 
@@ -11,10 +11,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aislekit.operators.sequence import running_total_in_ranges
+
 ERR = "error_types"
 
 # Severity keywords, checked in this order; first match wins.
@@ -94,12 +97,39 @@ def _stack(cols: list[str], exprs: dict[str, str], df_agg: DataFrame) -> DataFra
     return df_agg.selectExpr(f"stack({len(cols)}, {args}) AS (column_name, {', '.join(names)})")
 
 
+def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
+    """Linear quantiles by distributed selection -> (column_name, n, prob, value).
+
+    Rows are reduced to counts per (column, value) first; the counts run on in
+    ranges of values, and the values at the two ranks a quantile lies between
+    are picked by a join with the few wanted ranks.  No task holds more than a
+    range of the distinct values.  Columns without a value have no rows.
+    """
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in columns])))
+    counts = long.where(F.col("x").isNotNull()).groupBy("column_name", "x").agg(F.count(F.lit(1)).alias("n"))
+    upto = running_total_in_ranges(counts, ["column_name", "x"], "n", "__to", ["column_name"])
+    sizes = upto.groupBy("column_name").agg(F.sum("n").alias("__n"))
+    place = (F.col("__n") - 1) * F.col("prob")
+    wanted = sizes.select("column_name", "__n", F.explode(F.array(*[F.lit(p) for p in probs])).alias("prob")).select(
+        "column_name", "__n", "prob", place.alias("__at"))
+    ends = F.broadcast(wanted.select("*", F.floor("__at").alias("__lo"), F.ceil("__at").alias("__hi")))  # columns x probs rows
+    met = upto.join(ends, "column_name")
+    holds = lambda k: (F.col(k) >= F.col("__to") - F.col("n")) & (F.col(k) < F.col("__to"))
+    met = met.where(holds("__lo") | holds("__hi"))
+    found = met.groupBy("column_name", "prob").agg(
+        F.max("__n").alias("n"), F.max("__at").alias("__at"), F.max("__lo").alias("__lo"), F.max("__hi").alias("__hi"),
+        F.max(F.when(holds("__lo"), F.col("x"))).alias("a"), F.max(F.when(holds("__hi"), F.col("x"))).alias("b"))
+    value = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(
+        (F.col("__hi") - F.col("__at")) * F.col("a") + (F.col("__at") - F.col("__lo")) * F.col("b"))
+    return found.select("column_name", "n", "prob", value.alias("value"))
+
+
 def numeric_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Q05: mean, median, sample std, min, max (round 2) per numeric column.
 
-    One aggregate over all columns (one scan), then ``stack`` to rows.
-    Columns with no non-null value are skipped.  ``median`` is Spark's exact
-    percentile; its buffer grows with the number of distinct values.
+    One aggregate over all columns (one scan), then ``stack`` to rows; the
+    medians come from ``exact_quantiles``.  Columns with no non-null value are
+    skipped.
     """
     cols = columns if columns is not None else numeric_columns(df)
     if not cols:
@@ -108,39 +138,31 @@ def numeric_profile(df: DataFrame, columns: list[str] | None = None) -> DataFram
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"),
-                 F.median(x).alias(f"{c}__median"), F.stddev_samp(x).alias(f"{c}__std"),
+                 F.stddev_samp(x).alias(f"{c}__std"),
                  F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
     wide = df.agg(*aggs)
-    stats = ["n", "mean", "median", "std", "min", "max"]
-    long = _stack(cols, {s: s for s in stats}, wide)
-    return (long.filter(F.col("n") > 0)
-            .select("column_name", *[F.round(F.col(s), 2).alias(s) for s in stats[1:]]))
+    long = _stack(cols, {s: s for s in ["n", "mean", "std", "min", "max"]}, wide)
+    medians = exact_quantiles(df, cols, [0.5]).select("column_name", F.col("value").alias("median"))
+    return (long.filter(F.col("n") > 0).join(F.broadcast(medians), "column_name")  # a row a column
+            .select("column_name", *[F.round(F.col(s), 2).alias(s) for s in ["mean", "median", "std", "min", "max"]]))
 
 
-def outliers(df: DataFrame, columns: list[str] | None = None, min_values: int = 10,
-             approx: bool = False, accuracy: int = 100000) -> DataFrame:
+def outliers(df: DataFrame, columns: list[str] | None = None, min_values: int = 10) -> DataFrame:
     """Q06: IQR rule (1.5 x IQR around linear Q1/Q3) per numeric column.
 
-    Two scans: one aggregate for the quartiles of every column, then a
-    single counting pass against the broadcast one-row bounds.  ``approx``
-    switches to ``percentile_approx`` whose buffer is fixed-size, for
-    columns with very many distinct values.
+    The quartiles come from ``exact_quantiles``; a single counting pass against
+    the broadcast one-row bounds follows.
     """
     cols = columns if columns is not None else numeric_columns(df)
     if not cols:
         return df.sparkSession.createDataFrame([], "column_name string, outlier_count long, outlier_ratio double")
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        if approx:
-            q = F.percentile_approx(x, [0.25, 0.75], accuracy)
-        else:
-            q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.75)))
-        aggs += [F.count(x).alias(f"{c}__n"), q.alias(f"{c}__q")]
-    bounds = df.agg(*aggs)
+    at = lambda c, p: F.max(F.when((F.col("column_name") == c) & (F.col("prob") == p), F.col("value")))
+    bounds = exact_quantiles(df, cols, [0.25, 0.75]).agg(*[a for c in cols for a in (
+        at(c, 0.25).alias(f"{c}__q1"), at(c, 0.75).alias(f"{c}__q3"),
+        F.coalesce(F.max(F.when(F.col("column_name") == c, F.col("n"))), F.lit(0)).alias(f"{c}__n"))])
     lo_hi = []
     for c in cols:
-        q1, q3 = F.col(f"{c}__q")[0], F.col(f"{c}__q")[1]
+        q1, q3 = F.col(f"{c}__q1"), F.col(f"{c}__q3")
         iqr = q3 - q1
         lo_hi += [(q1 - 1.5 * iqr).alias(f"{c}__lo"), (q3 + 1.5 * iqr).alias(f"{c}__hi"),
                   F.col(f"{c}__n")]
@@ -236,6 +258,53 @@ def profile_dataset(df: DataFrame, dataset: str, columns: list[str] | None = Non
                     numeric_n.cast("long").alias("numeric_columns")))
 
 
+PROFILE_DDL = ("dataset string, status string, detail string, total_rows long, dirty_rows long, dirty_ratio double, health_score double, "
+               "total_error_types long, total_errors long, top_error string, numeric_columns long")
+
+
+def profile_sources(spark: SparkSession, sources: dict, columns: dict[str, list[str]] | None = None) -> DataFrame:
+    """Profiles of several tables, by dirty ratio; a missing table is skipped and a failing one reported.
+
+    ``sources`` maps names to functions that give a DataFrame.  A table whose
+    path doesn't exist has the status 'missing', one that can't be read or
+    profiled 'failed' with the error's first line; neither ends the run.  One
+    row a table reaches the driver.
+    """
+    rows = []
+    for name, source in sources.items():
+        try:
+            r = profile_dataset(source(), name, (columns or {}).get(name)).first().asDict()
+            rows.append({"status": "profiled", "detail": None, **r})
+        except Exception as e:  # noqa: BLE001 - whatever is wrong with one table, the others are profiled
+            missing = isinstance(e, AnalysisException) and e.getCondition() == "PATH_NOT_FOUND"
+            rows.append({"dataset": name, "status": "missing" if missing else "failed", "detail": str(e).strip().split("\n")[0]})
+    names = [c.split()[0] for c in PROFILE_DDL.split(", ")]
+    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], PROFILE_DDL).orderBy(
+        F.desc_nulls_last("dirty_ratio"), "dataset")
+
+
+def text_report(df: DataFrame, dataset: str, columns: list[str] | None = None, top: int = 15) -> DataFrame:
+    """A table's report as ordered lines (section, line, text), each made from an aggregate."""
+    d = with_error_types(df)
+    cols = columns if columns is not None else numeric_columns(d)
+
+    def lines(n: int, part: DataFrame, order: list, text: Column) -> DataFrame:
+        at = Window.orderBy(*order)  # a few lines: labels, columns or severities
+        return part.select(F.lit(n).alias("section"), F.row_number().over(at).alias("line"), text.alias("text"))
+
+    stats = dirty_row_stats(d).withColumn("health", health_score(F.col("dirty_ratio")))
+    parts = [lines(1, stats, ["total_rows"], F.format_string(f"{dataset}: %d rows, %d dirty, %d clean, health %.2f", "total_rows", "dirty_rows", "clean_rows", "health")),
+             lines(2, error_counts(d).orderBy(F.desc("error_count"), "error_type").limit(top), [F.desc("error_count"), "error_type"],
+                   F.format_string("%s: %d", "error_type", "error_count")),
+             lines(3, error_density(d), ["num_errors"], F.format_string("%d errors: %d rows", "num_errors", "row_count")),
+             lines(4, severity_breakdown(d), [F.desc("error_count"), "severity"], F.format_string("%s: %d", "severity", "error_count"))]
+    if cols:
+        parts += [lines(5, numeric_profile(d, cols), ["column_name"],
+                        F.format_string("%s: mean %.2f, median %.2f, std %.2f, min %.2f, max %.2f", "column_name", "mean", "median", "std", "min", "max")),
+                  lines(6, outliers(d, cols), ["column_name"], F.format_string("%s: %d outliers", "column_name", "outlier_count"))]
+    return reduce(DataFrame.union, parts).orderBy("section", "line")
+
+
 def summary_report(profiles: list[DataFrame]) -> DataFrame:
     """The per-table profile rows, by dirty ratio descending."""
     return reduce(DataFrame.unionByName, profiles).orderBy(F.desc("dirty_ratio"), "dataset")

@@ -141,3 +141,12 @@ def detect_transaction_items(df: DataFrame, transactions: DataFrame | None = Non
     rules.append(("missing product ID", F.col("product_id").isNull()))
     out = add_labels(d, rules)
     return out.drop("__orphan") if transactions is not None else out
+
+
+def repeats(df: DataFrame, cols: list[str], out: str) -> DataFrame:
+    """``df`` with ``out``: how many rows hold the same values in ``cols``; a grouped count joined back, nulls equal."""
+    n = df.groupBy(*[F.col(c).alias(f"__r_{c}") for c in cols]).agg(F.count(F.lit(1)).alias(out))
+    same = F.lit(True)
+    for c in cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"__r_{c}"))
+    return df.join(n, same, "left").drop(*[f"__r_{c}" for c in cols])

@@ -70,6 +70,60 @@ def running_sum(df: DataFrame, keys: list[str], order: list[str], col: str, out:
     return d.select(*df.columns, (F.col("__before") + F.col("__in")).alias(out))
 
 
+def running_max(df: DataFrame, keys: list[str], order: list[str], col: str, out: str,
+                bucket: Column | None = None) -> DataFrame:
+    """Add ``out`` = greatest non-null ``col`` over rows of the key up to this row."""
+    b = bucket if bucket is not None else month_bucket(order[0])
+    d = df.withColumn("__bk", b)
+    w = Window.partitionBy(*keys, "__bk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("__in", F.max(col).over(w))
+    tops = d.groupBy(*keys, "__bk").agg(F.max(col).alias("__t"))
+    wb = Window.partitionBy(*keys).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
+    tops = tops.select(*keys, "__bk", F.max("__t").over(wb).alias("__before"))
+    d = _stitch(d, tops, [*keys, "__bk"])
+    return d.select(*df.columns, F.greatest("__before", "__in").alias(out))
+
+
+def range_parts(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` dealt into ranges of ``order``, with ``__part`` ascending along it.
+
+    The ranges are cut by a sample of the rows, so a part holds about the same
+    number of rows whatever the values are; the rows are written once to the
+    shared folder, which freezes the parts.
+    """
+    from aislekit.sources.io import shared_path
+
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).withColumn(
+        "__part", F.spark_partition_id())
+    path = shared_path(spark, "ranges")
+    ranged.write.mode("overwrite").parquet(path)
+    return spark.read.schema(ranged.schema).parquet(path)
+
+
+def running_total_in_ranges(df: DataFrame, order: list[str], weight: str, out: str, keys: list[str] | None = None) -> DataFrame:
+    """Add ``out`` = sum of ``weight`` up to this row in ``order`` (inside ``keys``), with no window over a whole key.
+
+    Rows are summed inside their range; the totals of the ranges before, one
+    row each, shift them.  ``order`` begins with the keys.
+    """
+    keys = keys or []
+    parts = range_parts(df, order)
+    inside = Window.partitionBy(*keys, "__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    totals = parts.groupBy(*keys, "__part").agg(F.sum(weight).alias("__t"))
+    # one row a range; without keys they stand in one task, as many as there are partitions
+    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = totals.select(*keys, "__part", F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__before"))
+    return (parts.withColumn("__in", F.sum(weight).over(inside)).join(F.broadcast(shift), [*keys, "__part"])
+            .select(*df.columns, (F.col("__before") + F.col("__in")).alias(out)))
+
+
+def numbered(df: DataFrame, order: list[str], out: str) -> DataFrame:
+    """Add ``out`` = 1, 2, ... in ``order`` without gaps; ``order`` must tell rows apart."""
+    one = df.withColumn("__w", F.lit(1))
+    return running_total_in_ranges(one, order, "__w", out).drop("__w")
+
+
 def carry_forward(df: DataFrame, keys: list[str], order: list[str], col: str, out: str,
                   bucket: Column | None = None) -> DataFrame:
     """Add ``out`` = last non-null ``col`` at or before this row of the key."""

@@ -61,6 +61,18 @@ def b05(t):
     return B.promotion_conflicts(priced(t)["covers"])
 
 
+@query("b06_viable", VIEWS, chain_sql("SELECT transaction_id, promotion_id, viable FROM disc"))
+def b06(t):
+    """Whether each eligible promotion's discount is viable."""
+    return priced(t)["discounts"].select("transaction_id", "promotion_id", "viable")
+
+
+@query("b07_discount", VIEWS, chain_sql("SELECT transaction_id, promotion_id, discount FROM disc"))
+def b07_alone(t):
+    """Discount of every eligible promotion."""
+    return priced(t)["discounts"].select("transaction_id", "promotion_id", "discount")
+
+
 @query("b06_b07_discounts", VIEWS, chain_sql("SELECT transaction_id, promotion_id, viable, discount FROM disc"))
 def b07(t):
     """Viability and discount of every eligible promotion."""

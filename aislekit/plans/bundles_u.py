@@ -57,7 +57,7 @@ def u02(t):
 
 WIN_SQL = f"""
 WITH pl AS ({LIFECYCLES}),
-lk AS (SELECT product_id, arg_max_null(launch_date, valid_from) AS launch_date, arg_max_null(discontinuation_date, valid_from) AS discontinuation_date FROM pl GROUP BY 1),
+lk AS (SELECT product_id, arg_max_null(launch_date, row(valid_from, is_current, status)) AS launch_date, arg_max_null(discontinuation_date, row(valid_from, is_current, status)) AS discontinuation_date FROM pl GROUP BY 1),
 w AS (SELECT bi.bundle_id, max(lk.launch_date) AS l, min(lk.discontinuation_date) AS d FROM bundle_items bi LEFT JOIN lk USING (product_id) GROUP BY 1)
 SELECT bundle_id, CASE WHEN NOT (l IS NOT NULL AND d IS NOT NULL AND l > d) THEN coalesce(l, DATE '1995-01-01') END AS window_start,
   CASE WHEN NOT (l IS NOT NULL AND d IS NOT NULL AND l > d) THEN least(CAST(coalesce(l, DATE '1995-01-01') + INTERVAL 120 DAY AS DATE),

@@ -25,3 +25,15 @@ def ledger(t):
 def snapshots(t):
     """sparse stock snapshots."""
     return _memo(t, "__snapshots", lambda: I.sparse_changes(ledger(t)))
+
+
+def cut(t, key, fn):
+    """A derived table written once to the shared folder: what reads it plans against a scan, not against its whole history."""
+    from aislekit.sources.io import shared_path
+
+    def write():
+        df = fn()
+        path = shared_path(t.spark, "derived")
+        df.write.mode("overwrite").parquet(path)
+        return t.spark.read.schema(df.schema).parquet(path)
+    return _memo(t, key, write)

@@ -10,6 +10,7 @@ from aislekit.operators import checks as X
 from aislekit.operators import contracts as V
 from aislekit.operators import faults as E
 from aislekit.operators import history as D
+from aislekit.operators import lookups as J
 from aislekit.operators.faults import Step, arith_u_sql
 from aislekit.operators.profile import ERR
 from aislekit.plans.basket_b import priced
@@ -24,7 +25,7 @@ from aislekit.plans.sql_common import LEDGER, SNAPSHOTS
 NOW = f"TIMESTAMP '{X.DEFAULT_NOW}'"
 PRICED = "WITH RECURSIVE " + CHAIN.strip() + "\n"
 
-SCRAPES_SQL = """SELECT l_suppkey % 7 AS competitor, l_partkey AS product_id, l_shipdate + to_minutes(CAST(l_linenumber * 17 AS BIGINT)) AS update_timestamp,
+SCRAPES_SQL = """SELECT l_suppkey AS competitor, l_partkey AS product_id, l_shipdate + to_minutes(CAST(l_linenumber * 17 AS BIGINT)) AS update_timestamp,
   CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 0.01 AS DECIMAL(18,2)) AS scraped_price FROM lineitem"""
 CPH_SQL = """SELECT s.competitor, s.product_id, s.batch_week, s.update_timestamp, s.scraped_price,
   s.scraped_price < p.selling_price * 0.9 AS has_active_promo, round(CAST(s.scraped_price AS DOUBLE) / CAST(p.selling_price AS DOUBLE), 4) AS price_index
@@ -35,7 +36,7 @@ LEFT JOIN products p USING (product_id)"""
 
 def scrapes(t):
     li = t.lineitem
-    return li.select((F.col("l_suppkey") % 7).alias("competitor"), F.col("l_partkey").alias("product_id"),
+    return li.select(F.col("l_suppkey").alias("competitor"), F.col("l_partkey").alias("product_id"),
                      (F.col("l_shipdate") + F.make_interval(mins=(F.col("l_linenumber") * 17).cast("int"))).alias("update_timestamp"),
                      (F.col("l_extendedprice").cast("decimal(18,2)") * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(18,2)").alias("scraped_price"))
 
@@ -69,24 +70,35 @@ T03_STEPS = [
     Step("set", "update_timestamp", 0.02, "future update timestamp", value=lambda u: future_date(u).cast("timestamp_ntz"),
          sql_value=FUTURE_TS_SQL),
     Step("dup", None, 0.04, "duplicate row"),
+    Step("null", "category", 0.03, "missing category"),
+    Step("set", "has_active_promo", 0.05, "promo flag stored as text", value=lambda u: F.when(F.col("has_active_promo") == "true", "Y").otherwise("N"),
+         sql_value="CASE WHEN has_active_promo = 'true' THEN 'Y' ELSE 'N' END"),
 ]
-CPH_RK = "(product_id * 7 + competitor) * 100000 + datediff('day', DATE '1990-01-01', batch_week)"
+CPH_RK = "concat_ws('-', product_id, competitor, datediff('day', DATE '1990-01-01', batch_week))"
 
 
 @query("t03_competitor_price_history_faults", ("products",), None)
 def t03(t):
     """Competitor price history after its seeded fault plan."""
-    d = price_history(t).withColumn("__rk", (F.col("product_id") * 7 + F.col("competitor")) * 100000
-                                    + F.datediff("batch_week", F.lit("1990-01-01").cast("date")))
-    return E.apply_plan(d, T03_STEPS, "__rk", "arith").select("competitor", "product_id", "batch_week", "scraped_price",
-                                                              "update_timestamp", ERR)
+    d = price_history(t).join(t.view("products").select("product_id", "category"), "product_id", "left").withColumn(
+        "has_active_promo", F.col("has_active_promo").cast("string"))
+    d = d.withColumn("__rk", F.concat_ws("-", "product_id", "competitor", F.datediff("batch_week", F.lit("1990-01-01").cast("date"))))
+    return E.apply_plan(d, T03_STEPS, "__rk", "arith").select(*T03_COLUMNS)
 
 
-def _t03_sql():
+T03_COLUMNS = ["competitor", "product_id", "batch_week", "scraped_price", "update_timestamp", "category", "has_active_promo", ERR]
+CPH_B_SQL = f"""SELECT cph.* REPLACE (CAST(has_active_promo AS VARCHAR) AS has_active_promo), p.category, {CPH_RK.replace('product_id', 'cph.product_id')} AS __rk
+FROM cph LEFT JOIN products p ON p.product_id = cph.product_id"""
+
+
+def _t03_ctes():
     ctes, last = E.plan_sql("cph_b", T03_STEPS, "__rk", [])
-    allc = {"scrapes": SCRAPES_SQL, "cph": CPH_SQL, "cph_b": f"SELECT *, {CPH_RK} AS __rk FROM cph", **ctes}
-    return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in allc.items()) + \
-        f"\nSELECT competitor, product_id, batch_week, scraped_price, update_timestamp, error_types FROM {last}"
+    return {"scrapes": SCRAPES_SQL, "cph": CPH_SQL, "cph_b": CPH_B_SQL, **ctes}, last
+
+
+def _t03_sql():
+    ctes, last = _t03_ctes()
+    return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in ctes.items()) + f"\nSELECT {', '.join(T03_COLUMNS)} FROM {last}"
 
 
 from aislekit.plans.registry import QUERIES as _Q, Query as _Qy  # noqa: E402
@@ -118,9 +130,13 @@ def t06(t):
                                                               "stock_status", "stock_band", ERR)
 
 
-def _t06_sql():
+def _t06_ctes():
     ctes, last = E.plan_sql("snap_b", T06_STEPS, "__rk", [])
-    allc = {"ledger": LEDGER, "snaps": SNAPSHOTS, "snaps_w": SNAPS_W_SQL, "snap_b": f"SELECT *, {SNAP_RK} AS __rk FROM snaps_w", **ctes}
+    return {"ledger": LEDGER, "snaps": SNAPSHOTS, "snaps_w": SNAPS_W_SQL, "snap_b": f"SELECT *, {SNAP_RK} AS __rk FROM snaps_w", **ctes}, last
+
+
+def _t06_sql():
+    allc, last = _t06_ctes()
     return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in allc.items()) + \
         f"\nSELECT store_id, product_id, event_timestamp, week_start_date, stock_status, stock_band, error_types FROM {last}"
 
@@ -213,9 +229,7 @@ def j19(t):
     allowed = t.spark.createDataFrame([(k, v) for k, vs in BUNDLE_CAMPAIGN_COMPATIBILITY.items() for v in vs],
                                       "campaign_type string, bundle_type string")
     c = t.view("campaigns").join(F.broadcast(allowed), "campaign_type")  # fixed 10-row table
-    by_year = b.withColumn("__y", F.explode(F.sequence(F.year("window_start"), F.year("window_end"))))
-    cy = c.withColumn("__y", F.year("start_date"))
-    j = cy.join(by_year, ["__y", "bundle_type"]).where((F.col("window_start") <= F.col("start_date")) & (F.col("window_end") >= F.col("end_date")))
+    j = J.windows_around(b, "window_start", "window_end", c, "start_date", "end_date", ["bundle_type"])
     return j.select("campaign_id", "bundle_id").distinct()
 
 

@@ -199,7 +199,7 @@ def j17(t):
 
 
 @query("j18_on_sale_through", ("lifecycle_changes", "campaigns"), """
-WITH p AS (SELECT product_id, arg_max_null(launch_date, valid_from) AS launch_date, arg_max_null(discontinuation_date, valid_from) AS discontinuation_date FROM pl GROUP BY 1)
+WITH p AS (SELECT product_id, arg_max_null(launch_date, row(valid_from, is_current, status)) AS launch_date, arg_max_null(discontinuation_date, row(valid_from, is_current, status)) AS discontinuation_date FROM pl GROUP BY 1)
 SELECT c.campaign_id, p.product_id FROM campaigns c JOIN p ON p.launch_date <= c.start_date
   AND (p.discontinuation_date IS NULL OR p.discontinuation_date >= c.end_date)""", PL)
 def j18(t):
@@ -243,7 +243,7 @@ def j23(t):
     return J.stockouts_by_key(t.view("stockout_events"))
 
 
-LISTINGS_SQL = """SELECT store_id % 7 AS competitor, CASE WHEN product_id % 13 = 0 THEN NULL ELSE product_id END AS product_id,
+LISTINGS_SQL = """SELECT store_id AS competitor, CASE WHEN product_id % 13 = 0 THEN NULL ELSE product_id END AS product_id,
   store_product_name AS product_name, store_brand AS brand FROM store_catalogues"""
 
 
@@ -255,7 +255,7 @@ SELECT competitor, product_name, product_id, brand, product_id IS NULL AS is_exc
   PARTITION BY competitor, product_name ORDER BY product_id NULLS FIRST, brand NULLS FIRST) AS rn FROM a) WHERE rn = 1""", {"listings": LISTINGS_SQL})
 def j25(t):
     """Competitor catalogue without repeated products or names; exclusives flagged."""
-    l = t.view("store_catalogues").select((F.col("store_id") % 7).alias("competitor"),
+    l = t.view("store_catalogues").select(F.col("store_id").alias("competitor"),
                                           F.when(F.col("product_id") % 13 != 0, F.col("product_id")).alias("product_id"),
                                           F.col("store_product_name").alias("product_name"), F.col("store_brand").alias("brand"))
     return J.competitor_catalogue(l).select("competitor", "product_name", "product_id", "brand", "is_exclusive")
@@ -305,7 +305,7 @@ def j30(t):
 
 
 @query("j31_launch_lookup", ("lifecycle_changes",), """
-SELECT product_id, arg_max_null(launch_date, valid_from) AS launch_date, arg_max_null(discontinuation_date, valid_from) AS discontinuation_date FROM pl GROUP BY 1""", PL)
+SELECT product_id, arg_max_null(launch_date, row(valid_from, is_current, status)) AS launch_date, arg_max_null(discontinuation_date, row(valid_from, is_current, status)) AS discontinuation_date FROM pl GROUP BY 1""", PL)
 def j31(t):
     """Launch and discontinuation per product from its last version."""
     return J.launch_lookup(lifecycles(t))

@@ -37,6 +37,11 @@ _MODULES = (
     "aislekit.plans.sources_s",
     "aislekit.plans.extended",
     "aislekit.plans.click_faults_e",
+    "aislekit.plans.contracts_all",
+    "aislekit.plans.cart_k",
+    "aislekit.plans.affinity_b",
+    "aislekit.plans.detect_t",
+    "aislekit.plans.sources_all",
 )
 
 

@@ -12,7 +12,7 @@ SQL = registry.oracle_sql()
 
 # Generated rows (bot / orphan sessions and their composition) are checked by
 # properties in test_operators.py instead of an oracle.
-NO_ORACLE = {"e16_bot_traffic", "e17_orphan_sessions", "t12_clickstreams_faults"}
+NO_ORACLE = {"t12_clickstreams_faults"}
 
 
 def test_every_query_has_an_oracle():
