@@ -11,7 +11,6 @@ smaller weights over sum of larger ones).
 from __future__ import annotations
 
 import hashlib
-import re
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -24,7 +23,6 @@ from pyspark.sql import functions as F
 
 from aislekit.llm._common import small_batches
 
-WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 FIRST = -(1 << 63)
 #: Ids are dealt into ranges of about so many rows, at most MOST_RANGES of them.
 RANGE_ROWS, MOST_RANGES = 8_000, 20_000
@@ -32,11 +30,20 @@ RANGE_ROWS, MOST_RANGES = 8_000, 20_000
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit numbers."""
-    x = x ^ (x >> np.uint64(30))
+    moved = x >> np.uint64(30)
+    x = x ^ moved
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
+    x ^= np.right_shift(x, np.uint64(27), out=moved)
     x *= np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x ^= np.right_shift(x, np.uint64(31), out=moved)
+    return x
+
+
+class Rows(dict):
+    """Places of words; -1 for others."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
 
 
 class Sampler:
@@ -49,10 +56,10 @@ class Sampler:
     #: -ln of 16-bit uniform numbers; the sum of two entries has distribution Gamma(2, 1).
     EXPONENTIAL = (-np.log((np.arange(65536) + 0.5) / 65536)).astype(np.float32)
 
-    def __init__(self, samples: int = 128, cached: int = 40_000):
+    def __init__(self, samples: int = 128, cached: int = 80_000):
         self.samples, self.cached = samples, cached
         self.seeds = mix(np.arange(1, samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        self.row: dict[bytes, int] = {}
+        self.row = Rows()
         self.once: set[bytes] = set()
         self.draws = np.empty((4, 1024, samples), dtype=np.float32)
 
@@ -74,11 +81,13 @@ class Sampler:
         free = self.cached - len(self.row)
         if free <= 0:
             return
-        for k in [k for k, w in enumerate(words) if w in self.once][:free]:
-            at = self.row[words[k]] = len(self.row)
-            if at >= self.draws.shape[1]:
+        again = [k for k, w in enumerate(words) if w in self.once][:free]
+        if again:
+            at = len(self.row)
+            while at + len(again) > self.draws.shape[1]:
                 self.draws = np.concatenate([self.draws, np.empty_like(self.draws)], axis=1)
-            self.draws[:, at] = made[:, k]
+            self.draws[:, at:at + len(again)] = made[:, again]
+            self.row.update(zip((words[k] for k in again), range(at, at + len(again)), strict=True))
         if len(self.once) > 1_000_000:
             self.once.clear()
         self.once.update(words)
@@ -88,11 +97,11 @@ class Sampler:
 
         ``near``: such draws of other texts, looked up before drawing again.
         """
-        counts = Counter(WORD.findall(text.encode().lower()))
+        counts = Counter(text.encode().lower().split())  # the white space of bytes: \x20, \x09-\x0D
         if not counts:
             return np.zeros(self.samples, dtype=np.uint16), ({}, self.draws[:, :0])
         words, n = list(counts), len(counts)
-        rows = np.fromiter(map(self.row.get, words, repeat(-1)), np.int64, n)
+        rows = np.fromiter(map(self.row.__getitem__, words), np.int64, n)
         # where a word's draws are: in the cache, in those of a near text, or in its own
         places = [(np.flatnonzero(rows >= 0), self.draws)]
         left = np.flatnonzero(rows < 0)
@@ -107,21 +116,30 @@ class Sampler:
         made = self.draw(fresh) if fresh else self.draws[:, :0]
         rows[left] = np.arange(len(fresh))
         places.append((left, made))
-        times = np.fromiter(counts.values(), np.float64, n)
-        value, steps = np.empty((n, self.samples), dtype=np.float32), {}
+        times = np.fromiter(counts.values(), np.int64, n)
+        order = np.concatenate([which for which, _ in places])  # words in the order of their places
+        value, own_steps, steps, at = np.empty((n, self.samples), dtype=np.float32), np.full(n, -1), [], 0
         for which, block in places:
             if not len(which):
                 continue
-            value[which] = block[0].take(rows[which], axis=0)
-            more = which[times[which] > 1]
+            mine, here = rows[which], value[at:at + len(which)]
+            block[0].take(mine, axis=0, out=here, mode="clip")
+            more = np.flatnonzero(times[which] > 1)
             if len(more):
-                r, c, b = (block[k].take(rows[more], axis=0) for k in (1, 2, 3))
-                t = np.floor(np.log(times[more]).astype(np.float32)[:, None] / r + b)
-                value[more] = c - r * (t - b + 1)
-                steps.update(zip(more.tolist(), t, strict=True))
-        pick = value.argmin(axis=0).tolist()
-        t = np.fromiter((steps[i][k] if i in steps else 0 for k, i in enumerate(pick)), np.int64, self.samples)
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, map(words.__getitem__, pick)), np.uint64, self.samples)
+                r, c, b = (block[k].take(mine[more], axis=0) for k in (1, 2, 3))
+                t = np.floor(np.log(times[which[more]]).astype(np.float32)[:, None] / r + b)
+                here[more] = c - r * (t - b + 1)
+                own_steps[at + more] = np.arange(len(more)) + sum(map(len, steps))
+                steps.append(t)
+            at += len(which)
+        least, sample = np.nonzero(value == value.min(axis=0))
+        pick = np.empty(self.samples, dtype=np.int64)
+        pick[sample[::-1]] = least[::-1]  # of equal values the first
+        t, stepped = np.zeros(self.samples, dtype=np.int64), np.flatnonzero(own_steps[pick] >= 0)
+        if len(stepped):
+            t[stepped] = np.concatenate(steps)[own_steps[pick[stepped]], stepped]
+        taken, at = np.unique(order[pick], return_inverse=True)
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, map(words.__getitem__, taken.tolist())), np.uint64, len(taken))[at]
         taken = (mix(hashes + mix(t.astype(np.uint64) + np.uint64(1))) % np.uint64(65535)).astype(np.uint16) + np.uint16(1)
         if fresh:
             self.remember(fresh, made)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -9,9 +10,11 @@ import xxhash
 
 from aislekit.llm import fingerprints as P
 
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
 
 def generalised_jaccard(a, b):
-    x, y = (Counter(P.WORD.findall(t.encode().lower())) for t in (a, b))
+    x, y = (Counter(WORD.findall(t.encode().lower())) for t in (a, b))
     words = set(x) | set(y)
     return sum(min(x[w], y[w]) for w in words) / sum(max(x[w], y[w]) for w in words) if words else 1.0
 
