@@ -3,15 +3,28 @@
 from __future__ import annotations
 
 import json
+import struct
 import sys
 import types
 
-import numpy as np
 import public_tokenizers
 import regex
 from tokenizers import Tokenizer
 
 
+class Known(dict):
+    """Ids, packed, of the pre-tokens met so far."""
+
+    def __init__(self, ids):
+        super().__init__()
+        self.ids = ids
+
+    def __missing__(self, pre_token: str) -> bytes:
+        ids = self.ids(pre_token)
+        self[pre_token] = out = struct.pack(f"<{len(ids)}I", *ids)
+        return out
+
+
 class BytePieces:
     """Ids of texts, encoding each different pre-token once while it stays in the cache.
 
@@ -40,7 +53,7 @@ class BytePieces:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in set(plain)]
         self.alphabet = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
-        self.limit, self.known = cache, {}
+        self.limit, self.known = cache, Known(self.ids)
 
     def pre_tokens(self, text: str) -> tuple[list[str], list[str]]:
         """Pre-tokens of a text outside added tokens, and the added tokens in it."""
@@ -53,7 +66,7 @@ class BytePieces:
 
     def ids(self, pre_token: str) -> list[int]:
         """Ids of one pre-token."""
-        word = "".join(map(self.alphabet.__getitem__, pre_token.encode()))
+        word = pre_token.encode().decode("latin-1").translate(self.alphabet)
         return [t.id for t in self.tokenizer.model.tokenize(word)]
 
     def encode(self, text: str) -> bytes:
@@ -61,18 +74,14 @@ class BytePieces:
         known = self.known
         if len(known) > self.limit:
             known.clear()
-        out = []
-        start = 0
-        spans = [(m.start(), m.end()) for m in self.split_added.finditer(text)] if self.split_added else []
-        for a, b in [*spans, (len(text), None)]:
-            for p in self.findall(text[start:a] if spans else text):
-                got = known.get(p)
-                if got is None:
-                    got = known[p] = np.array(self.ids(p), dtype="<u4").tobytes()
-                out.append(got)
-            if b is not None:
-                out.append(np.array([self.added[text[a:b]]], dtype="<u4").tobytes())
-                start = b
+        if self.split_added is None or not self.split_added.search(text):
+            return b"".join(map(known.__getitem__, self.findall(text)))
+        out, start = [], 0
+        for m in self.split_added.finditer(text):
+            out += map(known.__getitem__, self.findall(text[start:m.start()]))
+            out.append(struct.pack("<I", self.added[m[0]]))
+            start = m.end()
+        out += map(known.__getitem__, self.findall(text[start:]))
         return b"".join(out)
 
 

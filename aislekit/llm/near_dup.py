@@ -11,20 +11,22 @@ confirmed on the full sets.
 Documents of equal words are one class and are compared once.  A bucket first
 tests its members against one leader (another one in each band), and links
 contract to components.  Only members of different components are compared
-further: register by register inside tasks, a hot bucket in blocks, so that
-pairs that are not likely never become rows.
+further: register by register inside tasks, a hot bucket in blocks.  Of two
+components only the likeliest pairs become rows; where they are refused and
+there were more, the rest follows in another round.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aislekit.llm._common import Scratch
@@ -40,6 +42,8 @@ MIXER = np.uint64(0x9E3779B97F4A7C15)
 MULTIPLIERS = np.array([xxhash.xxh64_intdigest(f"register {i}") | 1 for i in range(M)], dtype=np.uint64)
 #: Members of a bucket are compared in blocks of about so many.
 BLOCK = 512
+#: So many of the likeliest pairs of two components are confirmed first, and so many times more in each further round.
+FIRST, MORE = 2, 16
 #: So many text keys (about 40 bytes each) may be broadcast to fetch candidates' texts.
 BROADCAST_KEYS = 500_000
 
@@ -202,11 +206,12 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, threshold:
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
 
 
-def bucket_pairs(active: DataFrame, classes: DataFrame, threshold: float, block: int) -> DataFrame:
-    """Likely pairs (a, b) of different components within buckets.
+def bucket_pairs(active: DataFrame, classes: DataFrame, threshold: float, block: int, most: int) -> DataFrame:
+    """Likely pairs of different components within buckets: a, b, lo, hi (their components), estimate, cut.
 
-    ``active``: key, node, component.  Registers are compared inside tasks and
-    only likely pairs become rows.  A bucket is dealt into blocks of about
+    ``active``: key, node, component.  Registers are compared inside tasks; of
+    two components the ``most`` likeliest pairs of a group become rows, and
+    ``cut`` tells that there were more.  A bucket is dealt into blocks of about
     ``block`` members, and every two blocks meet in a group of their own, so
     no task holds more than two blocks of a bucket.
     """
@@ -220,12 +225,12 @@ def bucket_pairs(active: DataFrame, classes: DataFrame, threshold: float, block:
             .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
     least = least_estimate(threshold)
 
-    def pairs(group: list[tuple]) -> list[tuple[int, int]]:
-        """Likely pairs of one group's rows."""
+    def pairs(group: list[tuple]) -> list[tuple]:
+        """The likeliest pairs of one group's rows, for each two components."""
         i, j = group[0][1:3]
         own, node, comp, n = (np.array([r[k] for r in group]) for k in (3, 4, 5, 6))
         regs = np.frombuffer(b"".join(r[7] for r in group), "<u2").reshape(-1, M)
-        out = []
+        of_two: dict[tuple[int, int], list[tuple]] = {}
         for k in range(len(group) - 1):
             to = np.flatnonzero((comp[k + 1:] != comp[k]) & ((own[k + 1:] != own[k]) | (i == j))
                                 & (np.minimum(n[k + 1:], n[k]) >= threshold * np.maximum(n[k + 1:], n[k]))) + k + 1
@@ -235,15 +240,21 @@ def bucket_pairs(active: DataFrame, classes: DataFrame, threshold: float, block:
                 to = to[(regs[to] == mine).mean(1) >= least - 0.1]
             if len(to):
                 mine = np.broadcast_to(regs[k], (len(to), M))
-                good = estimate(mine, regs[to], np.full(len(to), float(n[k])), n[to].astype(float)) >= least
-                out += [(max(node[k], x), min(node[k], x)) for x in node[to[good]].tolist()]
-        return out
+                like = estimate(mine, regs[to], np.full(len(to), float(n[k])), n[to].astype(float))
+                a, c = int(node[k]), int(comp[k])
+                for x, d, e in zip(node[to].tolist(), comp[to].tolist(), like.tolist(), strict=True):
+                    if e >= least:
+                        of_two.setdefault((min(c, d), max(c, d)), []).append((-e, max(a, x), min(a, x)))
+        return [(a, b, lo, hi, -e, len(found) > most) for (lo, hi), found in of_two.items()
+                for e, a, b in heapq.nsmallest(most, found)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, found = [], []
 
         def out() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array([int(p[k]) for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.bool_())
+            made = pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], kind) for k, kind in enumerate(kinds)],
+                                              names=["a", "b", "lo", "hi", "estimate", "cut"])
             found.clear()
             return made
 
@@ -258,7 +269,8 @@ def bucket_pairs(active: DataFrame, classes: DataFrame, threshold: float, block:
             found += pairs(group)
         yield out()
 
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    found = rows.mapInArrow(run, "a long, b long, lo long, hi long, estimate double, cut boolean")
+    return found.groupBy("a", "b", "lo", "hi", "estimate").agg(F.bool_or("cut").alias("cut"))
 
 
 def link_classes(classes: DataFrame, docs: DataFrame, scratch: Scratch, threshold: float, block: int = BLOCK) -> DataFrame:
@@ -274,10 +286,27 @@ def link_classes(classes: DataFrame, docs: DataFrame, scratch: Scratch, threshol
     links = scratch.table(confirmed(scratch.table(likely(stars, classes, threshold), "likely-stars"), classes, docs, threshold),
                           "star-links")
     comp = components(links, scratch, "first")
-    active = buckets.select("key", "node").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rest = scratch.table(bucket_pairs(active, classes, threshold, block).join(stars, ["a", "b"], "left_anti"), "likely-rest")
-    more = scratch.table(confirmed(rest, classes, docs, threshold), "rest-links")
-    return components(links.union(more), scratch, "all")
+    tried, most, step, apart = stars.select("a", "b"), FIRST, 0, None
+    while True:
+        active = buckets.select("key", "node").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        if apart is not None:  # what was cut off lies between these components
+            active = active.join(apart, "component", "left_semi")
+        found = scratch.table(bucket_pairs(active, classes, threshold, block, most), f"found-{step}")
+        likeliest = Window.partitionBy("lo", "hi").orderBy(F.desc("estimate"), "a", "b")
+        ranked = scratch.table(found.withColumn("__at", F.row_number().over(likeliest)), f"ranked-{step}")
+        cut = ranked.where(F.col("cut") | (F.col("__at") > most)).select("lo", "hi").distinct()
+        todo = scratch.table(ranked.where(F.col("__at") <= most).select("a", "b").join(tried, ["a", "b"], "left_anti"), f"todo-{step}")
+        links = links.union(scratch.table(confirmed(todo, classes, docs, threshold), f"links-{step}"))
+        tried = tried.union(todo)
+        comp = components(links, scratch, f"all-{step}")
+        now = lambda c: cut.select(F.col(c).alias("node"), "lo", "hi").join(comp, "node", "left").select(
+            "lo", "hi", F.coalesce("component", "node").alias(f"new_{c}"))
+        left = now("lo").join(now("hi"), ["lo", "hi"]).where("new_lo <> new_hi")
+        apart = scratch.table(left.select(F.explode(F.array("new_lo", "new_hi")).alias("component")).distinct(), f"apart-{step}")
+        scratch.drop(f"found-{step}", f"ranked-{step}")
+        if apart.limit(1).count() == 0:
+            return comp
+        most, step = most * MORE, step + 1
 
 
 def components_of(docs: DataFrame, threshold: float = 0.75, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -321,14 +350,14 @@ def keep_one(docs: DataFrame, threshold: float = 0.75, id_col: str = "doc_id", t
     copies = found.where("__component is not null").groupBy("__id", "__text").agg((F.count(F.lit(1)) > 1).alias("copies"))
     k = scratch.table(kept.alias("k").join(
         copies.alias("c"), F.col("k.__id").eqNullSafe(F.col("c.__id")) & (F.col("k.__text") == F.col("c.__text")), "left")
-        .select(F.col("k.__id").alias("k_id"), F.col("k.__text").alias("k_text"),
-                F.coalesce("c.copies", F.lit(False)).alias("k_copies")), "kept")
-    d = docs.withColumn("__h", F.xxhash64(F.coalesce(text, F.lit(""))))
+        .select(F.col("k.__id").alias("__kept_id"), F.col("k.__text").alias("__kept_text"),
+                F.coalesce("c.copies", F.lit(False)).alias("__kept_copies")), "kept")
+    d = docs.withColumn("__kept_hash", F.xxhash64(F.coalesce(text, F.lit(""))))
     k_all = F.broadcast(k) if k.count() <= BROADCAST_KEYS else k
-    on = F.col(id_col).eqNullSafe(F.col("k_id")) & (F.col("__h") == F.col("k_text"))
-    once = d.join(k_all.where("not k_copies"), on, "left_semi")
-    again = d.join(k_all.where("k_copies"), on, "left_semi").dropDuplicates([id_col, "__h"])
-    return once.union(again).drop("__h")
+    on = F.col(id_col).eqNullSafe(F.col("__kept_id")) & (F.col("__kept_hash") == F.col("__kept_text"))
+    once = d.join(k_all.where("not __kept_copies"), on, "left_semi")
+    again = d.join(k_all.where("__kept_copies"), on, "left_semi").dropDuplicates([id_col, "__kept_hash"])
+    return once.union(again).drop("__kept_hash")
 
 
 def op2_near_dup(docs: DataFrame) -> DataFrame:
