@@ -81,21 +81,6 @@ def test_equals_all_pairs(make_docs, monkeypatch, block):
     assert got == brute(rows)
 
 
-def test_refused_pairs_are_followed_by_the_next_ones(make_docs, monkeypatch):
-    """Components whose likeliest pairs are refused: a link further down the list is still found."""
-    monkeypatch.setattr(N, "FIRST", 1)
-    monkeypatch.setattr(N, "MORE", 2)
-    monkeypatch.setattr(N, "least_estimate", lambda threshold, sigmas=5.0: 0.3)  # many pairs that are not links
-    rng = random.Random(9)
-    base = text(rng, 120)
-    rows = []
-    for _ in range(12):  # groups of near copies, each some distance from the others
-        centre = edited(rng, base, 6)
-        rows += [edited(rng, centre, rng.choice([0, 1, 2])) for _ in range(6)]
-    rows = [(i, " ".join(r)) for i, r in enumerate(rows)]
-    assert Counter(map(tuple, N.op2_near_dup(make_docs(rows)).collect())) == brute(rows)
-
-
 @pytest.mark.parametrize("name", ["k_id", "k_text", "k_copies", "c", "d"])
 def test_keep_one_with_clashing_names(spark, name):
     docs = spark.createDataFrame([(1, "a b c d e f", 5), (2, "a b c d e f", 6), (3, "x y", 7)], f"doc_id long, text string, {name} int")
