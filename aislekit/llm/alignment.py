@@ -50,7 +50,7 @@ MARKS = ",.!"
 class Aligner:
     """Alignments of texts; ``code`` of a pair of ids is a * n_b + b."""
 
-    def __init__(self, path_a: str, path_b: str, ends: bool = False, cache: int = 250_000):
+    def __init__(self, path_a: str, path_b: str, ends: bool = False, cache: int = 300_000):
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         with open(path_a, encoding="utf-8") as f:
@@ -92,6 +92,7 @@ class Aligner:
         name_a, name_b = ([b"%d" % i for i in range(n)] for n in (self.n_a, self.n_b))
         self.names = np.array([x + c for names, ends in ((name_a, b",|"), (name_b, b",;"))
                                for c in (ends[:1], ends[1:]) for x in names], dtype=object)
+        self.marks = set(marks)
         self.split, self.loose = re.compile(cuts).split, re.compile(r"\s ").search
         # what is known of chunks and of words, recent and older; what isn't asked for twice falls out
         self.ends, self.cache, self.gens, self.word_gens = ends, cache, [{}, {}], [{}, {}]
@@ -191,21 +192,26 @@ class Aligner:
 
     def chunks(self, word: str) -> list[str]:
         """Chunks of space + ``word``."""
-        if not self.in_chunks:
+        if word.isalpha() or not self.in_chunks:
             return [" " + word]
+        if word[-1:] in self.marks and word[:-1].isalpha():
+            return [" " + word[:-1], word[-1]]
         out = self.split(" " + word)
         if len(out) > 1 and out[-1].isspace():
             out[-2:] = [out[-2] + out[-1]]
         return out
 
     def learn_all(self, chunks: Iterable[str]) -> dict:
-        """Alignments of all given chunks; short ones are kept."""
+        """Aligns all given chunks; returns what isn't kept, the long ones."""
         young, old, out = self.young, self.old, {}
         together, size = [CARRIER], 0
         for c in chunks:
-            got = young.get(c) or old.get(c)
+            got = young.get(c)
+            if got is not None:
+                continue
+            got = old.get(c)
             if got is not None:
-                out[c] = young[c] = got
+                young[c] = got
             elif self.in_chunks and not c[-1].isspace() and SPACE not in c and len(c) <= KEPT:
                 if not c[0].isspace() and not together[-1][-1].isalpha():
                     together.append(CARRIER)  # a mark follows a letter
@@ -222,8 +228,8 @@ class Aligner:
 
     def joined(self, parts: list[tuple], chunks: list[str]) -> tuple:
         """One alignment of the chunks of a word."""
-        if len(parts) == 1 or () in parts:
-            return parts[0] if len(parts) == 1 else ()
+        if () in parts:
+            return ()
         out = (b";".join([x[0] for x in parts]), b"".join([x[1] for x in parts]), sum([x[2] for x in parts]))
         if self.ends:
             at, ends = 0, []
@@ -240,27 +246,32 @@ class Aligner:
                 gen[:] = [{}, gen[0]]
         self.young, self.old = self.gens
         known, before = self.word_gens
-        cut = [self.words(t) if t else [] for t in texts]
-        met = [list(map(known.get, words)) for words in cut]
-        fresh: dict = {}  # words that aren't kept
+        out, holes = [], []  # holes: a text's list, a place in it, and the word that belongs there
         need: dict[str, list[str]] = {}
-        for words, got in zip(cut, met, strict=True):
+        for t in texts:
+            words = self.words(t) if t else []
+            got = list(map(known.get, words))
+            out.append(got)
             if None in got:
-                for w, x in zip(words, got, strict=True):
-                    if x is None and w not in need and w not in known:
-                        if w in before:
-                            known[w] = before[w]
-                        else:
+                for i in [i for i, x in enumerate(got) if x is None]:
+                    w = words[i]
+                    old = before.get(w)
+                    if old is not None:
+                        got[i] = known[w] = old
+                    else:
+                        holes.append((got, i, w))
+                        if w not in need:
                             need[w] = self.chunks(w)
-        alone = self.learn_all(dict.fromkeys(c for chunks in need.values() for c in chunks))
+        alone, young = self.learn_all(dict.fromkeys(c for chunks in need.values() for c in chunks)), self.young
+        made = {}
         for w, chunks in need.items():
-            (known if len(w) <= KEPT else fresh)[w] = self.joined([alone[c] if c in alone else self.young[c] for c in chunks], chunks)
-        out = []
-        for words, got in zip(cut, met, strict=True):
-            if None in got:
-                got = [x if x is not None else known[w] if w in known else fresh[w] for w, x in zip(words, got, strict=True)]
-            out.append(got if got and () not in got else None)
-        return out
+            parts = [alone[c] if c in alone else young[c] for c in chunks]
+            made[w] = parts[0] if len(parts) == 1 else self.joined(parts, chunks)
+            if len(w) <= KEPT:
+                known[w] = made[w]
+        for got, i, w in holes:
+            got[i] = made[w]
+        return [got if got and () not in got else None for got in out]
 
 
 def aligner(path_a: str, path_b: str, ends: bool = False) -> Aligner:

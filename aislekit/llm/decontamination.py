@@ -10,7 +10,11 @@ containment is at the threshold misses all of its shared shingles' minima
 with a probability of at most ``miss``.
 
 An item and a document that share a minimum are a candidate pair; candidates
-are confirmed on the full shingle sets.
+are confirmed on the full shingle sets, which are sets of 64-bit hashes.
+
+An item of one to four words has no shingle.  A document holds it where its
+words stand consecutively: runs of as many words as there are such items of
+are looked up themselves, word for word.
 
 DataFrame functions only; a document's hashes stay in its row.
 """
@@ -21,6 +25,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aislekit.llm._common import Scratch, words
 
@@ -95,20 +100,52 @@ def candidates(docs: DataFrame, items: DataFrame, threshold: float, miss: float)
     return found.join(own, "__min").select("__doc", "__item").distinct()
 
 
+def short_pairs(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """Pairs (__doc, __item) of items of one to four words that stand in a document, word for word.
+
+    ``rows``: __doc, __text; ``items``: __item, __text.  Documents are only cut
+    for the lengths that such items have.
+    """
+    short = (items.withColumn("__words", words("__text", F.lower)).withColumn("__k", F.size("__words"))
+             .where(F.col("__k").between(1, WORDS - 1)).select("__item", "__k", F.array_join("__words", " ").alias("__run")))
+    lengths = sorted(r[0] for r in short.select("__k").distinct().collect())  # at most four
+    cut = rows.select("__doc", words("__text", F.lower).alias("__words"))
+
+    def runs_of(k: int) -> DataFrame:
+        runs = F.transform(F.sequence(F.lit(1), F.size("__words") - k + 1), lambda i: F.array_join(F.slice("__words", i, k), " "))
+        some = F.when(F.size("__words") >= k, F.array_distinct(runs))
+        return cut.select("__doc", F.lit(k).alias("__k"), F.explode(some).alias("__run"))
+
+    runs = [runs_of(k) for k in lengths]
+    if not runs:
+        kinds = T.StructType([rows.schema["__doc"], items.schema["__item"]])
+        return rows.sparkSession.createDataFrame([], kinds)
+    found = runs[0]
+    for r in runs[1:]:
+        found = found.union(r)
+    if short.count() <= BROADCAST_MINIMA:
+        short = F.broadcast(short)
+    return found.join(short, ["__k", "__run"]).select("__doc", "__item").distinct()
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75, miss: float = 1e-6,
                  id_col: str = "doc_id", text: str = "text", item_col: str = "item_id") -> DataFrame:
     """Pairs: id_col, item_col, n_item (item's shingles), n_shared, containment >= ``threshold``.
 
-    Words are lower-cased and split at white space.  Null and blank texts are in no pair.  An item of fewer than five words
-    matches documents of the same few words only.  Rows that share an id (or
+    Words are lower-cased and split at white space.  Null and blank texts are in
+    no pair.  An item of fewer than five words is one shingle, and in every
+    document that holds its words consecutively.  Rows that share an id (or
     have none) are one document: a pair is there if one of them holds the
     item; n_shared is the most any holds.
     """
     scratch = Scratch(docs.sparkSession, "decontamination")
-    items = benchmark.select(F.col(item_col).alias("__item"), F.col(text).alias("__text"))
-    items = scratch.table(with_shingles(items, "__text"), "items")
-    items = items.where("__shingles is not null").withColumn("__n", F.size("__shingles"))
+    given = benchmark.select(F.col(item_col).alias("__item"), F.col(text).alias("__text"))
+    enough = F.size(words("__text", F.lower)) >= WORDS
+    items = scratch.table(with_shingles(given.withColumn("__enough", enough), "__text"), "items")
+    items = items.where("__enough").withColumn("__n", F.size("__shingles"))
     rows = docs.select(F.col(id_col).alias("__doc"), F.col(text).alias("__text"))
+    few = short_pairs(rows, given).select(F.col("__doc").alias(id_col), F.col("__item").alias(item_col), F.lit(1).cast("long").alias("n_item"),
+                                          F.lit(1).cast("long").alias("n_shared"))
     pairs = scratch.table(candidates(with_shingles(rows, "__text"), items, threshold, miss), "candidates")
     ids = pairs.select("__doc").distinct()
     if ids.count() <= BROADCAST_IDS:
@@ -122,7 +159,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75,
     return (both.select(F.col("p.__doc").alias(id_col), F.col("p.__item").alias(item_col),
                         F.col("b.__n").cast("long").alias("n_item"), shared.cast("long").alias("n_shared"))
             .where(F.col("n_shared") >= threshold * F.col("n_item"))
-            .groupBy(id_col, item_col, "n_item").agg(F.max("n_shared").alias("n_shared"))
+            .groupBy(id_col, item_col, "n_item").agg(F.max("n_shared").alias("n_shared")).union(few)
             .withColumn("containment", F.round(F.col("n_shared") / F.col("n_item"), 6)))
 
 
@@ -145,8 +182,11 @@ WITH w AS (
 ), s AS (
   SELECT DISTINCT kind, id, unnest(CASE WHEN len(words) >= 5
          THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))
-         ELSE [array_to_string(words, ' ')] END) AS shingle
+         WHEN kind = 'b' THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle
   FROM w WHERE len(words) > 0
+  UNION
+  SELECT DISTINCT kind, id, unnest(list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(words[i:i + k - 1], ' '))) AS shingle
+  FROM w, (SELECT DISTINCT len(words) AS k FROM w WHERE kind = 'b' AND len(words) BETWEEN 1 AND 4) WHERE kind = 'd' AND len(words) >= k
 ), items AS (
   SELECT id AS item_id, shingle, count(*) OVER (PARTITION BY id) AS n_item FROM s WHERE kind = 'b'
 )

@@ -8,18 +8,22 @@ import pytest
 from aislekit.llm import decontamination as D
 
 
-def shingles(text):
-    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
-    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+
+
+def shingles(text, k=5):
+    w = words_of(text)
+    return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)}
 
 
 def brute(docs, items, threshold=0.75):
     out = {}
     for i, t in docs:
-        have = shingles(t)
         for j, q in items:
-            want = shingles(q)
-            n = len(want & have)
+            k = min(5, len(words_of(q)))  # an item of fewer words is looked for whole
+            want = shingles(q, k) if k else set()
+            n = len(want & shingles(t, k)) if k else 0
             if want and n >= threshold * len(want):
                 out[(i, j)] = (len(want), max(n, out.get((i, j), (0, 0))[1]))
     return out
@@ -42,12 +46,13 @@ def make_items(spark):
 
 ITEM = " ".join(f"w{i}" for i in range(40))
 ITEMS = [(1, ITEM), (2, "Short Item"), (3, None), (4, ""), (5, " ".join(f"v{i}" for i in range(11))), (6, ITEM.upper()),
-         (None, "an item that has no id at all")]
+         (None, "an item that has no id at all"), (7, "alpha"), (8, "alpha beta gamma delta"), (9, "w0 w1 w2")]
 LONG = " ".join(f"x{i % 7001}y{i}" for i in range(30_000))
 DOCS = [(1, f"{LONG} {ITEM} {LONG}"), (2, "short  item"), (3, "a short item"), (4, None), (5, ""), (6, " \n\t "),
         (7, LONG + " " + " ".join(f"w{i}" for i in range(33)) + " end"), (8, " ".join(f"w{i}" for i in range(31)) + " " + LONG),
         (9, "W0\n" + ITEM[3:]), (9, "again " + ITEM), (None, "so an item that has no id at all"),
-        (10, " ".join(f"v{i}" for i in range(11)) + " " + LONG), (11, ITEM), (11, ITEM)]
+        (10, " ".join(f"v{i}" for i in range(11)) + " " + LONG), (11, ITEM), (11, ITEM),
+        (12, "one two ALPHA beta\tgamma three four five"), (13, "alpha beta gamma deltas"), (14, LONG + " alpha beta gamma delta " + LONG), (15, "alphabet")]
 
 
 @pytest.mark.parametrize("limit", [0, 1_000_000])

@@ -53,6 +53,13 @@ def test_odd_rows_pass_every_stage(spark, sf_dir, make_docs):
     assert corpus_pipeline.pack(spark, docs, sf_dir).where(F.col("piece") == 0).count() == 7
 
 
+def test_contaminated_rows_take_no_other_row_with_them(spark, sf_dir, make_docs):
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first()["text"]
+    rows = [(None, f"before {item} after"), (None, "a clean text without id"), (5, item), (5, "a clean text of the same id"), (6, None)]
+    got = corpus_pipeline.drop_contaminated(spark, make_docs(rows), sf_dir)
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter([rows[1], rows[3], rows[4]])
+
+
 def test_empty_table_passes_every_stage(spark, sf_dir, make_docs):
     docs = make_docs([])
     for _, stage in corpus_pipeline.STAGES[:3]:
