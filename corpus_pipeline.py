@@ -8,7 +8,6 @@ the packed pieces.  An empty table passes through every stage.
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,17 +38,22 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item.
 
-    Rows that share the id of a contaminated one go with it; null texts stay.
+    Rows go by their id and text: one without id takes no other with it, nor
+    does one that shares its id with another text.  Null texts stay.
     """
-    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"), CONTAINED)
-    ids = Scratch(spark, "pipeline").table(found.select(F.col("doc_id").alias("__bad")).distinct(), "contaminated")
-    if ids.count() <= decontamination.BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__bad")), "left_anti")
+    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64(F.coalesce("text", F.lit(""))).cast("string"))
+    keyed = docs.withColumn("__document", key)
+    found = decontamination.contaminated(keyed, table(spark, sf_dir, "benchmark"), CONTAINED, id_col="__document")
+    keys = Scratch(spark, "pipeline").table(found.select(F.col("__document").alias("__bad")).distinct(), "contaminated")
+    if keys.count() <= decontamination.BROADCAST_IDS:
+        keys = F.broadcast(keys)
+    return keyed.join(keys, F.col("__document") == F.col("__bad"), "left_anti").drop("__document")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents in sequences of 2048 tokens; null texts are empty."""
+    import public_tokenizers
+
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
