@@ -13,17 +13,24 @@ from tokenizers import Tokenizer
 
 
 class Known(dict):
-    """Ids, packed, of the pre-tokens met so far."""
+    """Ids, packed, of the pre-tokens met lately; what isn't asked for again falls out."""
 
     def __init__(self, ids):
         super().__init__()
-        self.ids = ids
+        self.ids, self.older = ids, {}
 
     def __missing__(self, pre_token: str) -> bytes:
-        ids = self.ids(pre_token)
-        self[pre_token] = out = struct.pack(f"<{len(ids)}I", *ids)
+        out = self.older.get(pre_token)
+        if out is None:
+            ids = self.ids(pre_token)
+            out = struct.pack(f"<{len(ids)}I", *ids)
+        self[pre_token] = out
         return out
 
+    def age(self) -> None:
+        self.older = dict(self)
+        self.clear()
+
 
 class BytePieces:
     """Ids of texts, encoding each different pre-token once while it stays in the cache.
@@ -73,7 +80,7 @@ class BytePieces:
         """Ids of a text as little-endian unsigned 32-bit numbers."""
         known = self.known
         if len(known) > self.limit:
-            known.clear()
+            known.age()
         if self.split_added is None or not self.split_added.search(text):
             return b"".join(map(known.__getitem__, self.findall(text)))
         out, start = [], 0
