@@ -29,6 +29,11 @@ HEADLINE = [
     "k05_transition_matrix",
     "c06_exposure_funnel",
     "x_all_row_checks",
+    "q05_numeric_profile",     # quantiles by selection in ranges
+    "q06_iqr_outliers",
+    "x_st06_stockout_reflected_in_snapshots",
+    "x_st09_stockout_forces_inventory_to_zero",
+    "j21_name_contains",
 ]
 
 

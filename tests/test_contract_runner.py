@@ -132,3 +132,12 @@ def test_profiles_skip_missing_and_report_failing_tables(spark, tmp_path):
     assert got["good"]["status"] == "profiled" and got["good"]["dirty_ratio"] == 0.5 and got["good"]["top_error"] == "missing x"
     assert got["gone"]["status"] == "missing" and got["gone"]["total_rows"] is None
     assert got["bad"]["status"] == "failed" and "bad block" in got["bad"]["detail"]
+
+
+def test_text_report_lines(spark):
+    df = spark.createDataFrame([(1.0, ["missing x"]), (2.0, ["missing x", "future y"]), (3.0, []), (4.0, None)], "n double, error_types array<string>")
+    got = [(r["section"], r["line"], r["text"]) for r in P.text_report(df, "shops", ["n"]).collect()]
+    assert got[:3] == [(1, 1, "shops: 4 rows, 2 dirty, 2 clean, health 50.00"), (2, 1, "missing x: 2"), (2, 2, "future y: 1")]
+    assert (3, 1, "0 errors: 2 rows") in got and (4, 1, "medium: 2") in got and (4, 2, "high: 1") in got
+    assert got[-1] == (5, 1, "n: mean 2.50, median 2.50, std 1.29, min 1.00, max 4.00")  # too few values for outliers
+    assert [t for *_, t in got] == [r["text"] for r in P.text_report(df.repartition(3), "shops", ["n"]).collect()]
