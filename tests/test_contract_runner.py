@@ -141,3 +141,19 @@ def test_text_report_lines(spark):
     assert (3, 1, "0 errors: 2 rows") in got and (4, 1, "medium: 2") in got and (4, 2, "high: 1") in got
     assert got[-1] == (5, 1, "n: mean 2.50, median 2.50, std 1.29, min 1.00, max 4.00")  # too few values for outliers
     assert [t for *_, t in got] == [r["text"] for r in P.text_report(df.repartition(3), "shops", ["n"]).collect()]
+
+
+def test_queries_on_raw_tables_touch_only_their_own(spark, tables, monkeypatch):
+    from aislekit.plans import contracts_all, sources_all
+    from aislekit.sources.tables import Tables
+
+    asked = []
+    monkeypatch.setattr(contracts_all, "raw_table", lambda t, n, real=contracts_all.raw_table: asked.append(n) or real(t, n))
+    reads = [(sources_all.s01_campaigns, {"campaigns"}), (sources_all.s01_customers, {"customers"}), (contracts_all.v13_raw, {"transactions", "promotions"}),
+             (contracts_all.v08_raw, {"clickstreams", "customers", "stockout_events", "stores"}),
+             (contracts_all.v12_raw, {n for n, t in catalog.TABLES.items() if any(c.pattern for c in t.columns)})]
+    for fn, want in reads:
+        asked.clear()
+        t = Tables(spark, tables.sf_dir)
+        fn(t)
+        assert set(asked) == want and not any(k.startswith("__raw_") and not k.startswith("__raw_view_") for k in t._frames)
