@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aislekit.operators import affinity as A
+from aislekit.operators import basket as B
 from aislekit.operators import checks as X
 from aislekit.operators import lookups as J
 from aislekit.operators import profile as P
@@ -120,3 +121,36 @@ def test_co_affinity(spark):
         around = {seed} | {y for x, y, *_ in want if x == seed}
         assert focus[b] == (seed, len(mine), sum(c in around for _, c in mine))
     assert A.co_affinity(df.limit(0)).collect() == []
+
+
+def _shop(spark):
+    """Carts with a null id, repeated headers and promotions, and a product in every scope."""
+    day = dt.date(2024, 1, 10)
+    lines = [(t, p, "AB"[p % 2], 1 + (t or 0) % 3, 10.5 * p) for t in (1, 2, 3, 4, None) for p in (1, 2, 3, 4) if ((t or 0) + p) % 5]
+    lines = spark.createDataFrame(lines, "transaction_id long, product_id long, category string, quantity long, unit_price double").withColumn(
+        "unit_price", F.col("unit_price").cast("decimal(18,2)"))
+    heads = [(t, t, t % 2, dt.datetime(2024, 1, 10 + t)) for t in (1, 2, 2, 3, 4)] + [(None, 1, 1, dt.datetime(2024, 1, 12))]
+    heads = spark.createDataFrame(heads, "transaction_id long, customer_id long, store_id long, transaction_time timestamp_ntz")
+    promos = [(1, "product", "dollar_discount", "3", 3, None, 3), (1, "product", "dollar_discount", "3", 3, None, 3), (2, "category", "percentage_discount", "A", 10, None, 2),
+              (2, "category", "percentage_discount", "B", 10, None, 2), (3, "bundle", "bundle", "7", 0, None, 4), (4, "cart", "free_shipping", None, 0, 50, 1),
+              (5, "product", "percentage_discount", "2", 20, None, None), (6, None, "percentage_discount", "2", 20, None, 3)]
+    promos = spark.createDataFrame([(*r, day, day + dt.timedelta(40)) for r in promos],
+                                   "promotion_id long, promotion_scope string, promotion_mechanic string, promotion_target_id string, promotion_value int, min_spend int, "
+                                   "priority int, effective_start_date date, effective_end_date date")
+    members = spark.createDataFrame([(7, 1, 1), (7, 2, 1), (8, 4, 9)], "bundle_id long, product_id long, quantity long")
+    prices = spark.createDataFrame([(1, 7, 20, day, day + dt.timedelta(40))],
+                                   "bundle_pricing_id long, bundle_id long, bundle_price int, effective_start_date date, effective_end_date date")
+    where = [spark.createDataFrame([(i, f"r{i % 2}", f"a{i}") for i in range(4)], f"{k} long, region string, area string") for k in ("customer_id", "store_id")]
+    return lines, heads, promos, members, prices, *where
+
+
+def test_priced_stages_stay_with_their_cart(spark):
+    shop = _shop(spark)
+    cut, whole = B.price_baskets(*shop), B.price_baskets(*shop, materialize=False)
+    for name in ("discounts", "covers", "items"):
+        rows = [sorted(map(str, p[name].collect())) for p in (cut, whole)]
+        assert rows[0] and rows[0] == rows[1], name
+    for df in (B.reconcile(cut["transactions"], cut["items"]), B.promotion_conflicts(cut["covers"]), cut["allocation"], cut["transactions"]):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(transaction_id" not in plan
+    assert {r["product_id"] for r in cut["allocation"].where("promotion_id = 3").collect()} <= {1, 2}
