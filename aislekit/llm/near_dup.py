@@ -11,8 +11,9 @@ confirmed on the full sets.
 Documents of equal words are one class and are compared once.  A bucket first
 tests its members against one leader (another one in each band), and links
 contract to components.  Only members of different components are compared
-further: register by register inside tasks, a hot bucket in blocks, so that
-pairs that are not likely never become rows.
+further, a hot bucket in blocks: register by register inside tasks, and the
+members that have likely pairs on their full sets, inside tasks too.  Only links
+that connect components become rows.
 """
 
 from __future__ import annotations
@@ -136,12 +137,16 @@ def sketch(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"__id {kind}, __text long, __class binary, n_shingles long, __sketch binary")
 
 
+def keys_of(sketch: bytes) -> list[int]:
+    """A 64-bit key for each band."""
+    return [xxhash.xxh64_intdigest(sketch[i:i + 2 * ROWS], i) - (1 << 63) for i in range(0, 2 * M, 2 * ROWS)]
+
+
 def band_keys(classes: DataFrame) -> DataFrame:
     """node, keys: a 64-bit key for each band."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [[xxhash.xxh64_intdigest(s[i:i + 2 * ROWS], i) - (1 << 63) for i in range(0, 2 * M, 2 * ROWS)]
-                    for s in batch.column(1).to_pylist()]
+            keys = list(map(keys_of, batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["node", "keys"])
 
     return classes.select("node", "__sketch").mapInArrow(run, "node long, keys array<long>")
@@ -173,15 +178,19 @@ def likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     return both.select("a", "b", "sa", "na", "sb", "nb").mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets reach the threshold."""
-    percent = round(100 * threshold)
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def texts_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, text: the text of each of ``nodes``; where rows repeat, so does the node."""
     keys = nodes.join(classes.select("node", "rep"), "node").select("node", "rep.__id", "rep.__text")
     small = keys.count() <= BROADCAST_KEYS
     k, d = (F.broadcast(keys) if small else keys).alias("k"), docs.toDF("__id", "text", "__text").alias("d")
-    texts = (d.join(k, (F.col("k.__text") == F.col("d.__text")) & F.col("k.__id").eqNullSafe(F.col("d.__id")))
-             .select("k.node", "d.text"))
+    return (d.join(k, (F.col("k.__text") == F.col("d.__text")) & F.col("k.__id").eqNullSafe(F.col("d.__id")))
+            .select("k.node", "d.text"))
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) whose full shingle sets reach the threshold."""
+    percent = round(100 * threshold)
+    texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), classes, docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, last_set = None, set()
@@ -202,61 +211,126 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, threshold:
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
 
 
-def bucket_pairs(active: DataFrame, classes: DataFrame, threshold: float, block: int) -> DataFrame:
-    """Likely pairs (a, b) of different components within buckets.
+def blocks_of(active: DataFrame, block: int) -> DataFrame:
+    """Members of buckets dealt into groups: key, i, j, own, node, component.
 
-    ``active``: key, node, component.  Registers are compared inside tasks and
-    only likely pairs become rows.  A bucket is dealt into blocks of about
-    ``block`` members, and every two blocks meet in a group of their own, so
-    no task holds more than two blocks of a bucket.
+    ``active``: key, node, component.  A bucket is dealt into blocks of
+    about ``block`` members, and every two blocks (i, j) meet in a group of their
+    own, so no task holds more than two blocks of a bucket.
     """
     size = (active.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
             .where("lo <> hi").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
-    dealt = (active.join(size, "key").withColumn("own", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component"))
-    rows = (dealt.join(classes.select("node", "__sketch", "n_shingles"), "node")
-            .select("key", "i", "j", "own", "node", "component", "n_shingles", "__sketch")
-            .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
-    least = least_estimate(threshold)
+    return (active.join(size, "key").withColumn("own", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component"))
+
+
+GROUPED = ["key", "i", "j", "own", "node", "component"]
+
 
-    def pairs(group: list[tuple]) -> list[tuple[int, int]]:
-        """Likely pairs of one group's rows."""
-        i, j = group[0][1:3]
-        own, node, comp, n = (np.array([r[k] for r in group]) for k in (3, 4, 5, 6))
-        regs = np.frombuffer(b"".join(r[7] for r in group), "<u2").reshape(-1, M)
-        out = []
-        for k in range(len(group) - 1):
-            to = np.flatnonzero((comp[k + 1:] != comp[k]) & ((own[k + 1:] != own[k]) | (i == j))
-                                & (np.minimum(n[k + 1:], n[k]) >= threshold * np.maximum(n[k + 1:], n[k]))) + k + 1
+class Group:
+    """Members of two blocks of a bucket (rows: GROUPED, n_shingles, __sketch, ...)."""
+
+    def __init__(self, rows: list[tuple]):
+        self.key, self.i, self.j = rows[0][:3]
+        self.own, self.node, self.comp, self.n = (np.array([r[k] for r in rows]) for k in (3, 4, 5, 6))
+        self.sketches = [r[7] for r in rows]
+        self.regs = np.frombuffer(b"".join(self.sketches), "<u2").reshape(-1, M)
+
+    def likely(self, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
+        """Places (k, others) of pairs that are likely near, of different components as ``comp`` says at the time.
+
+        A pair is found in the first band it shares only.
+        """
+        least = least_estimate(threshold)
+        for k in range(len(self.node) - 1):
+            rest = slice(k + 1, None)
+            to = np.flatnonzero((self.comp[rest] != self.comp[k]) & ((self.own[rest] != self.own[k]) | (self.i == self.j))
+                                & (np.minimum(self.n[rest], self.n[k]) >= threshold * np.maximum(self.n[rest], self.n[k]))) + k + 1
             if len(to):
-                mine = np.broadcast_to(regs[k], (len(to), M))
+                same = self.regs[to] == self.regs[k]
                 # equal registers estimate the similarity too; the likelihood is worked out where they are not far too few
-                to = to[(regs[to] == mine).mean(1) >= least - 0.1]
+                enough = same.mean(1) >= least - 0.1
+                to, same = to[enough], same[enough]
             if len(to):
-                mine = np.broadcast_to(regs[k], (len(to), M))
-                good = estimate(mine, regs[to], np.full(len(to), float(n[k])), n[to].astype(float)) >= least
-                out += [(max(node[k], x), min(node[k], x)) for x in node[to[good]].tolist()]
-        return out
+                first = same.reshape(-1, BANDS, ROWS).all(2).argmax(1)
+                to = to[np.array(keys_of(self.sketches[k]))[first] == self.key]
+            if len(to):
+                mine = np.broadcast_to(self.regs[k], (len(to), M))
+                to = to[estimate(mine, self.regs[to], np.full(len(to), float(self.n[k])), self.n[to].astype(float)) >= least]
+            if len(to):
+                yield k, to
+
+
+def groups_in(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Rows one group (key, i, j) after another, each node once."""
+    group: list[tuple] = []
+    for r in rows:
+        if group and group[0][:3] != r[:3]:
+            yield group
+            group = []
+        if not group or group[-1][4] != r[4]:
+            group.append(r)
+    if group:
+        yield group
+
+
+def by_group(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+
+
+def likely_members(active: DataFrame, classes: DataFrame, threshold: float, block: int) -> DataFrame:
+    """The members of each group that have a likely pair there, with n_shingles and __sketch.  No pair becomes a row."""
+    rows = by_group(blocks_of(active, block).join(classes.select("node", "n_shingles", "__sketch"), "node")
+                    .select(*GROUPED, "n_shingles", "__sketch"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, found = [], []
+        for group in groups_in(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)):
+            near = np.zeros(len(group), bool)
+            for k, to in Group(group).likely(threshold):
+                near[k] = near[to] = True
+            if near.any():
+                kept = zip(*(group[k] for k in np.flatnonzero(near)), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(kept, kinds, strict=True)], names=names)
 
-        def out() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array([int(p[k]) for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
-            found.clear()
-            return made
+    names = [*GROUPED, "n_shingles", "__sketch"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    return rows.mapInArrow(run, "key long, i int, j int, own int, node long, component long, n_shingles long, __sketch binary")
 
-        for batch in batches:
-            for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if group and group[0][:3] != r[:3]:
-                    found += pairs(group)
-                    group = []
-                group.append(r)
-            yield out()
-        if group:
-            found += pairs(group)
-        yield out()
+
+def group_links(members: DataFrame, classes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) that connect the components within each group, found on full shingle sets.
+
+    A group's texts come once each and are compared inside the task.  Links inside
+    what earlier links of the group connect already are left out, so that a group has
+    fewer links than members.
+    """
+    percent = round(100 * threshold)
+    texts = texts_of(members.select("node").distinct(), classes, docs).dropDuplicates(["node"])
+    rows = by_group(members.join(texts, "node").select(*GROUPED, "n_shingles", "__sketch", "text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+
+        def hashed() -> Iterator[tuple]:
+            """Rows with the hashes of their shingles for their text."""
+            for b in batches:
+                for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    yield *r[:-1], shingle_hashes(words_of(r[-1]), known)
+
+        for rows in groups_in(hashed()):
+            group, sets, found = Group(rows), [r[-1] for r in rows], []
+            for k, to in group.likely(threshold):
+                for t in to:
+                    if group.comp[t] == group.comp[k]:
+                        continue
+                    at = np.searchsorted(sets[k], sets[t])
+                    n = np.count_nonzero(sets[k][np.minimum(at, len(sets[k]) - 1)] == sets[t])
+                    if 100 * n >= percent * (len(sets[k]) + len(sets[t]) - n):
+                        found.append((max(group.node[k], group.node[t]), min(group.node[k], group.node[t])))
+                        group.comp[group.comp == group.comp[t]] = group.comp[k]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([int(p[k]) for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return rows.mapInArrow(run, "a long, b long").distinct()
 
@@ -274,8 +348,11 @@ def link_classes(classes: DataFrame, docs: DataFrame, scratch: Scratch, threshol
     links = scratch.table(confirmed(scratch.table(likely(stars, classes, threshold), "likely-stars"), classes, docs, threshold),
                           "star-links")
     comp = components(links, scratch, "first")
-    active = buckets.select("key", "node").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rest = scratch.table(bucket_pairs(active, classes, threshold, block).join(stars, ["a", "b"], "left_anti"), "likely-rest")
+    # a bucket's leader has been compared with all of its members
+    active = (buckets.where("node <> lead").select("key", "node").join(comp, "node", "left")
+              .withColumn("component", F.coalesce("component", "node")))
+    near = scratch.table(likely_members(active, classes, threshold, block), "likely-members")
+    rest = scratch.table(group_links(near, classes, docs, threshold), "group-links")
     more = scratch.table(confirmed(rest, classes, docs, threshold), "rest-links")
     return components(links.union(more), scratch, "all")
 

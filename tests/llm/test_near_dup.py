@@ -81,6 +81,21 @@ def test_equals_all_pairs(make_docs, monkeypatch, block):
     assert got == brute(rows)
 
 
+def test_unlinked_near_copies_make_no_rows_of_pairs(make_docs, monkeypatch):
+    """200 near copies at a similarity of about 0.71 are no links; their 19900 pairs are likely ones."""
+    rng, base, rows = random.Random(5), [f"w{i}" for i in range(2000)], []
+    for i in range(200):
+        words = list(base)
+        for at in rng.sample(range(2, 1998, 5), 35):
+            words[at] = f"new{i}x{at}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000, rows[3][1] + " end"), (1001, rows[7][1] + " end of it")]
+    counts, confirmed = [], N.confirmed
+    monkeypatch.setattr(N, "confirmed", lambda pairs, *a: counts.append(pairs.count()) or confirmed(pairs, *a))
+    assert Counter(map(tuple, N.op2_near_dup(make_docs(rows)).collect())) == brute(rows)
+    assert counts[-1] <= len(rows)
+
+
 @pytest.mark.parametrize("name", ["k_id", "k_text", "k_copies", "c", "d"])
 def test_keep_one_with_clashing_names(spark, name):
     docs = spark.createDataFrame([(1, "a b c d e f", 5), (2, "a b c d e f", 6), (3, "x y", 7)], f"doc_id long, text string, {name} int")
