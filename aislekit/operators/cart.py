@@ -64,17 +64,20 @@ def purchased_rows(placed: DataFrame, key: str = "customer_id") -> DataFrame:
     return buys.join(left, [key, "cart_epoch"]).select("event_id", "product_id", F.col("quantity").cast("long").alias("quantity"))
 
 
-def change_sets(events: DataFrame, contents: DataFrame) -> DataFrame:
+def change_sets(events: DataFrame, contents: DataFrame, places: DataFrame | None = None) -> DataFrame:
     """Products whose count differs from the previous event's cart in the session.
 
     ``events``: event_id, session_id, event_order (1, 2, ...).  -> (session_id,
     event_order, product_id, change); a first event has no previous cart and no rows.
+    Only of ``places`` (session_id, event_order), if given: no other cart is shuffled by place.
     """
-    at = events.select("event_id", "session_id", "event_order")
-    here = contents.join(at, "event_id").select("session_id", "event_order", "product_id", F.col("n").alias("change"))
-    before = here.select("session_id", (F.col("event_order") + 1).alias("event_order"), "product_id", (-F.col("change")).alias("change"))
-    return (here.where(F.col("event_order") > 1).unionByName(before)
-            .groupBy("session_id", "event_order", "product_id").agg(F.sum("change").alias("change")).where("change != 0"))
+    here = events.where(F.col("event_order") > 1).select("event_id", "session_id", "event_order", F.lit(1).alias("__sign"))
+    before = events.select("event_id", "session_id", (F.col("event_order") + 1).alias("event_order"), F.lit(-1).alias("__sign"))
+    met = here.unionByName(before)
+    if places is not None:
+        met = met.join(places, ["session_id", "event_order"], "left_semi")
+    return (contents.join(met, "event_id").groupBy("session_id", "event_order", "product_id")
+            .agg(F.sum(F.col("n") * F.col("__sign")).alias("change")).where("change != 0"))
 
 
 def wrong_cart_changes(events: DataFrame, contents: DataFrame, event_type: str) -> DataFrame:
@@ -85,7 +88,8 @@ def wrong_cart_changes(events: DataFrame, contents: DataFrame, event_type: str)
     step = 1 if event_type == "Add to Cart" else -1
     own = events.where((F.col("event_type") == event_type) & F.col("product_id").isNotNull() & (F.col("event_order") > 1)) \
         .select("event_id", "session_id", "event_order", F.col("product_id").alias("__own"))
-    met = own.join(change_sets(events, contents), ["session_id", "event_order"], "left")
+    places = own.select("session_id", "event_order")
+    met = own.join(change_sets(events, contents, places), ["session_id", "event_order"], "left")
     mine = F.col("product_id") == F.col("__own")
     found = met.groupBy("event_id").agg(F.coalesce(F.sum(F.when(mine, F.col("change"))), F.lit(0)).alias("own_change"),
                                         F.count_if(~mine).alias("other_changes"))

@@ -148,3 +148,12 @@ def test_detector_on_hand_made_sessions(spark):
     assert {i for i, d in got.items() if "bot traffic" in d} == {20, 21, 22, 23}
     assert {i for i, d in got.items() if "orphan session" in d} == {30, 31, 32}
     assert len(got) == len(rows)
+
+
+def test_change_sets_of_some_places(spark, placed):
+    contents, places = C.cart_contents(placed), placed.where("event_id % 3 = 0").select("session_id", "event_order")
+    every = Counter(map(tuple, C.change_sets(placed, contents).collect()))
+    wanted = set(map(tuple, places.collect()))
+    got = Counter(map(tuple, C.change_sets(placed, contents, places).collect()))
+    assert got == Counter({r: n for r, n in every.items() if r[:2] in wanted})
+    assert 0 < len(got) < len(every)
