@@ -9,8 +9,8 @@ candidates whose best estimate is far below the threshold go.  The rest are
 confirmed on the full sets.
 
 Documents of equal words are one class and are compared once.  A bucket first
-tests its members against one leader (another one in each band), and links
-contract to components.  Only members of different components are compared
+tests its members against one leader (another one in each band), a few of a
+member's leaders before the others, and links contract to components.  Only members of different components are compared
 further, a hot bucket in blocks: register by register inside tasks, and the
 members that have likely pairs on their full sets, inside tasks too.  Only links
 that connect components become rows.
@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -335,6 +336,30 @@ def group_links(members: DataFrame, classes: DataFrame, docs: DataFrame, thresho
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
+def star_links(stars: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scratch, threshold: float) -> DataFrame:
+    """Links (a, b) that connect what all confirmed pairs of ``stars`` (a, b: distinct) connect.
+
+    A member of a large group has a pair with a leader in almost every band.  Four
+    pairs a node, dealt by a hash, are confirmed first and connect most of a group;
+    of the others only those between different components are left to confirm.
+    """
+    dealt = stars.withColumn("h", F.xxhash64("a", "b"))
+
+    def ends(mine: str, other: str) -> DataFrame:
+        """Two pairs of each node; aggregates, so that a leader's pairs are not gathered."""
+        of = dealt.groupBy(mine).agg(*(f(F.struct("h", other)).alias(n) for f, n in ((F.min, "x"), (F.max, "y"))))
+        return reduce(DataFrame.union, [of.select(*(mine if c == mine else F.col(f"{n}.{c}").alias(c) for c in ("a", "b")))
+                                        for n in ("x", "y")])
+
+    picked = scratch.table(ends("a", "b").union(ends("b", "a")).distinct(), "picked-stars")
+    links = scratch.table(confirmed(picked, classes, docs, threshold), "picked-links")
+    comp = components(links, scratch, "picked")
+    rest = (stars.join(comp.toDF("a", "of_a"), "a", "left").join(comp.toDF("b", "of_b"), "b", "left")
+            .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b").join(picked, ["a", "b"], "left_anti"))
+    more = confirmed(scratch.table(rest, "rest-stars"), classes, docs, threshold)
+    return links.union(scratch.table(more, "star-links"))
+
+
 def link_classes(classes: DataFrame, docs: DataFrame, scratch: Scratch, threshold: float, block: int = BLOCK) -> DataFrame:
     """Components of linked classes: node, component (only nodes with links)."""
     keys = scratch.table(band_keys(classes.where("__sketch is not null")), "keys")
@@ -345,8 +370,7 @@ def link_classes(classes: DataFrame, docs: DataFrame, scratch: Scratch, threshol
     stars = (buckets.where("node <> lead").select(F.least("node", "lead").alias("b"), F.greatest("node", "lead").alias("a"))
              .distinct())
     stars = scratch.table(stars, "stars")
-    links = scratch.table(confirmed(scratch.table(likely(stars, classes, threshold), "likely-stars"), classes, docs, threshold),
-                          "star-links")
+    links = star_links(scratch.table(likely(stars, classes, threshold), "likely-stars"), classes, docs, scratch, threshold)
     comp = components(links, scratch, "first")
     # a bucket's leader has been compared with all of its members
     active = (buckets.where("node <> lead").select("key", "node").join(comp, "node", "left")

@@ -96,6 +96,17 @@ def test_unlinked_near_copies_make_no_rows_of_pairs(make_docs, monkeypatch):
     assert counts[-1] <= len(rows)
 
 
+def test_a_large_group_confirms_a_few_pairs_a_member(make_docs, monkeypatch):
+    """300 linked near copies share a bucket with other leaders in almost every band; a few pairs each connect them."""
+    rng, base = random.Random(6), [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(edited(rng, base, 1))) for i in range(300)]
+    counts, confirmed = [], N.confirmed
+    monkeypatch.setattr(N, "confirmed", lambda pairs, *a: counts.append(pairs.count()) or confirmed(pairs, *a))
+    got = N.op2_near_dup(make_docs(rows)).collect()
+    assert {r["component_id"] for r in got} == {0} and len(got) == len(rows)
+    assert sum(counts) <= 5 * len(rows)
+
+
 @pytest.mark.parametrize("name", ["k_id", "k_text", "k_copies", "c", "d"])
 def test_keep_one_with_clashing_names(spark, name):
     docs = spark.createDataFrame([(1, "a b c d e f", 5), (2, "a b c d e f", 6), (3, "x y", 7)], f"doc_id long, text string, {name} int")
