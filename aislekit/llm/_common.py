@@ -58,8 +58,17 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` once and return the written rows."""
-        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        """Write ``df`` once and return the written rows.
+
+        The shuffle files of the write are deleted at its end: later steps read the rows.
+        """
+        key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, "true")
+        try:
+            df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        finally:
+            self.spark.conf.set(key, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:

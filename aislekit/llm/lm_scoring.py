@@ -23,12 +23,13 @@ join, and words seen once have no bigrams worth counting.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
-from hashlib import blake2b
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +41,8 @@ SHIFT = 24  # inside a block of texts a bigram is its first id, shifted, and its
 MASK = (1 << SHIFT) - 1
 TEXTS = 256  # texts that are worked on together
 BITS = 27  # a sieve has so many bits of a key as address
-KEPT = 300_000  # a task keeps the keys of so many words
+PLACE = 42  # the bits of a key above these say where to look for it among the held ones
+PARTS = 3  # rarer bigrams meet their counts in so many rounds by their key, so that a part of them is in shuffles at a time
 WORD_BYTES = 64  # longer words are outside a bounded vocabulary
 #: So many target ids may be broadcast to mark documents; beyond, documents are shuffled.
 BROADCAST_IDS = 2_000_000
@@ -51,7 +53,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def key_of(word: bytes) -> int:
-    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little") >> 1
+    return xxhash.xxh64_intdigest(word) >> 1
 
 
 def bigram_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -60,24 +62,6 @@ def bigram_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return (mixed >> np.uint64(1)).astype(np.int64)
 
 
-class Keys(dict):
-    """Keys of words, those seen lately kept."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEPT:
-            self.clear()
-        self[word] = key = key_of(word)
-        return key
-
-
-class Ids(dict):
-    """Ids of words in the order they come."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
-
-
 class Encoder:
     """Bigrams of a block of texts by ids, and the keys of those ids.
 
@@ -85,17 +69,21 @@ class Encoder:
     """
 
     def __init__(self, known: np.ndarray | None):
-        self.known, self.keys = known, Keys()
-
-    def __call__(self, texts: list[str | None]) -> tuple[list[np.ndarray], np.ndarray]:
-        ids, start = Ids({START: 0}), 0
-        rows = [np.fromiter(map(ids.__getitem__, w), np.int64, len(w)) for w in map(words_of, texts)]
-        key = np.fromiter(map(self.keys.__getitem__, ids), np.int64, len(ids))
+        self.known = known
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The number of words of each text, the bigrams of all texts one after another, and the keys."""
+        words = list(map(words_of, texts))
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        key = np.fromiter(map(xxhash.xxh64_intdigest, chain([START], chain.from_iterable(words))), np.uint64, 1 + sizes.sum())
+        key, ids = np.unique((key >> np.uint64(1)).astype(np.int64), return_inverse=True)
         if self.known is not None:
             at = np.minimum(np.searchsorted(self.known, key), len(self.known) - 1)
             key, at = np.unique(np.where(self.known[at] == key, key, key_of(UNKNOWN)), return_inverse=True)
-            start, rows = at[0], [at[w] for w in rows]
-        return [(np.r_[start, w[:-1]] << SHIFT | w) if len(w) else w for w in rows], key
+            ids = at[ids]
+        first, second = ids[:-1].copy(), ids[1:]
+        first[(np.cumsum(sizes) - sizes)[sizes > 0]] = ids[0]
+        return sizes, first << SHIFT | second, key
 
 
 class Head:
@@ -109,7 +97,8 @@ class Head:
         frequent = frequency_class("freq") >= frequency_cut(counts, "freq", most)
         found = counts.where(frequent).select("key", "n_target", "n_background").toArrow()
         order = np.argsort(found.column(0).to_numpy())
-        self.keys = np.r_[found.column(0).to_numpy()[order], np.int64(-1)]  # a last row that nothing matches
+        self.keys = np.r_[found.column(0).to_numpy()[order], np.iinfo(np.int64).max]  # a last row that nothing matches
+        self.start = np.searchsorted(self.keys[:-1], np.arange(1 << 63 - PLACE) << PLACE).astype(np.int32)
         self.counts = [np.r_[found.column(i).to_numpy()[order], 0].astype(np.int64) for i in (1, 2)]
         at = F.shiftright(F.col("key").bitwiseAND((1 << BITS) - 1), 6).alias("at")
         bits = (counts.where(~frequent).groupBy(at)
@@ -117,42 +106,54 @@ class Head:
         self.sieve = np.zeros(1 << BITS - 6, np.int64)
         self.sieve[bits.column(0).to_numpy()] = bits.column(1).to_numpy()
 
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """The place of the first held key that is not smaller; keys are evenly spread, so it is near its start."""
+        at = self.start[key >> PLACE]
+        low = np.flatnonzero(self.keys[at] < key)
+        while len(low):
+            at[low] += 1
+            low = low[self.keys[at[low]] < key[low]]
+        return at
+
     def __call__(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         """Whether each key is held, whether it may be a rarer one, and its counts (0 if not held)."""
-        at = np.searchsorted(self.keys[:-1], key)
-        held = self.keys[at] == key
+        at = self.find(key)
+        held = (self.keys[at] == key) & (at < len(self.keys) - 1)
         passes = self.sieve[(key & ((1 << BITS) - 1)) >> 6] >> (key & 63) & 1 == 1
         return held, ~held & passes, [np.where(held, c[at], 0) for c in self.counts]
 
 
-def word_counts(docs: DataFrame, flush: int = 1_000_000) -> DataFrame:
+def word_counts(docs: DataFrame, flush: int = 2_000_000) -> DataFrame:
     """Words of all texts: key, size (in bytes), n_target, n_background; START once for each text that has words.
 
     ``docs``: __target, __text.  A task sums up what it has seen before it sends.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: tuple[Counter, Counter] = (Counter(), Counter())  # background, target
+        held, n_held = [], 0
 
         def out() -> pa.RecordBatch:
-            words = list(seen[0].keys() | seen[1].keys())
-            made = pa.RecordBatch.from_arrays(
-                [pa.array(map(key_of, words), pa.int64()), pa.array(map(len, words), pa.int64()),
-                 *(pa.array([c.get(k, 0) for k in words], pa.int64()) for c in seen[::-1])],
-                names=["key", "size", "n_target", "n_background"])
-            for c in seen:
-                c.clear()
-            return made
+            key, size, n = (np.concatenate(x) for x in zip(*held, strict=True)) if held else np.zeros((3, 0), np.uint64)
+            held.clear()
+            side = key & one == one
+            key, first, at = np.unique(key >> one, return_index=True, return_inverse=True)
+            sums = [np.bincount(at, weights=n * (side == k), minlength=len(key)).astype(np.int64) for k in (True, False)]
+            return pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(size[first].astype(np.int64)), *map(pa.array, sums)],
+                                              names=["key", "size", "n_target", "n_background"])
 
+        one = np.uint64(1)  # the last bit of a hash gives way to the corpus
         for batch in batches:
             for i in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(i, TEXTS)
-                for target, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    words = words_of(text)
-                    seen[target].update(words)
-                    if words:
-                        seen[target][START] += 1
-                if len(seen[0]) + len(seen[1]) > flush:
+                words = [w and [START, *w] for w in map(words_of, part.column(1).to_pylist())]
+                flat = list(chain.from_iterable(words))
+                side = np.repeat(np.array(part.column(0).to_pylist(), dtype=np.uint64), list(map(len, words)))
+                hashes = np.fromiter(map(xxhash.xxh64_intdigest, flat), np.uint64, len(flat))
+                key, at, n = np.unique(hashes & ~one | side, return_index=True, return_counts=True)
+                held.append((key, np.fromiter((len(flat[k]) for k in at), np.int64, len(at)), n))
+                n_held += len(key)
+                if n_held > flush:
                     yield out()
+                    n_held = 0
         yield out()
 
     sent = docs.mapInArrow(run, "key long, size long, n_target long, n_background long")
@@ -179,9 +180,8 @@ def bigram_counts(docs: DataFrame, shared_words, flush: int = 3_000_000) -> Data
         for batch in batches:
             for i in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(i, TEXTS)
-                grams, key = encode(part.column(1).to_pylist())
-                side = np.repeat(np.array(part.column(0).to_pylist(), dtype=np.int64), [len(g) for g in grams])
-                every = np.concatenate([*grams, side[:0]])
+                n_tokens, every, key = encode(part.column(1).to_pylist())
+                side = np.repeat(np.array(part.column(0).to_pylist(), dtype=np.int64), n_tokens)
                 is_word, may_be_word, _ = head_words(key)
                 again = is_word | may_be_word
                 again = again[every >> SHIFT] & again[every & MASK]
@@ -251,6 +251,10 @@ def score(docs: DataFrame, target_ids: DataFrame, vocabulary: int | None = None,
     shared_pairs = spark.sparkContext.broadcast(Head(pairs, head))
     words, pairs = words.drop("freq", "size"), pairs.drop("freq")
 
+    fields = {"rare": "key:long,own:int,target_word:long,background_word:long",
+              "rare_words": "word:long,pair:long,own:int,own_word:int", "rare_firsts": "key:long,own:int"}
+    rarer = [f"{name}_{k}" for k in range(PARTS) for name in fields]
+
     def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (known, head_words), head_pairs = shared_words.value, shared_pairs.value
         encode = Encoder(known)
@@ -264,10 +268,9 @@ def score(docs: DataFrame, target_ids: DataFrame, vocabulary: int | None = None,
             for i in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(i, TEXTS)
                 target = np.array(part.column(1).to_pylist(), dtype=bool)
-                grams, key = encode(part.column(2).to_pylist())
-                n_tokens = np.array([len(g) for g in grams], dtype=np.int64)
-                doc = np.repeat(np.arange(len(grams)), n_tokens) << 2 * SHIFT
-                every = doc | np.concatenate([*grams, doc[:0]])
+                n_tokens, grams, key = encode(part.column(2).to_pylist())
+                rows = len(n_tokens)
+                every = np.repeat(np.arange(rows), n_tokens) << 2 * SHIFT | grams
                 both, own = np.unique(every, return_counts=True)
                 d, w, pair = both >> 2 * SHIFT, both & MASK, bigram_keys(key[both >> SHIFT & MASK], key[both & MASK])
                 _, of_word = np.unique(d << SHIFT | w, return_inverse=True)
@@ -287,21 +290,23 @@ def score(docs: DataFrame, target_ids: DataFrame, vocabulary: int | None = None,
                     p = (others[k] * scale[k] + 1) / ((totals[k] - mine * n_tokens) * scale[k] + n_words + 1)[d]
                     n = np.maximum(in_pairs[k] - mine[d] * own, 0) * scale[k]
                     h = np.maximum(in_words[k][first_h] - mine[first_d] * own_first, 0) * scale[k]
-                    sums.append((np.bincount(first_d[f], (own_first * np.log(h + strength))[f], len(grams))
-                                 - np.bincount(d[s], (own * np.log(n + strength * p))[s], len(grams))).astype(np.float64))
+                    sums.append((np.bincount(first_d[f], (own_first * np.log(h + strength))[f], rows)
+                                 - np.bincount(d[s], (own * np.log(n + strength * p))[s], rows)).astype(np.float64))
                 small = lambda x: x.astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(n_tokens), *map(pa.array, sums),
-                     lists(d[r], len(grams), key=pair[r], own=small(own[r]), target_word=others[0][r], background_word=others[1][r]),
-                     lists(d[u], len(grams), word=key[w[u]], pair=pair[u], own=small(own[u]), own_word=small(own_word[u])),
-                     lists(first_d[g], len(grams), key=key[first_h[g]], own=small(own_first[g]))],
-                    names=["__id", "__target", "n_tokens", "target_sum", "background_sum", "rare", "rare_words", "rare_firsts"])
+                     *chain.from_iterable(
+                         (lists(d[r], rows, key=pair[r], own=small(own[r]), target_word=others[0][r], background_word=others[1][r]),
+                          lists(d[u], rows, word=key[w[u]], pair=pair[u], own=small(own[u]), own_word=small(own_word[u])),
+                          lists(first_d[g], rows, key=key[first_h[g]], own=small(own_first[g])))
+                         for r, u, g in ((r & (pair % PARTS == k), u & (pair % PARTS == k), g & (key[first_h] % PARTS == k))
+                                         for k in range(PARTS)))],
+                    names=["__id", "__target", "n_tokens", "target_sum", "background_sum", *rarer])
 
     kind = docs.schema["__id"].dataType.simpleString()
     rows = scratch.table(docs.mapInArrow(
         inside, f"__id {kind}, __target boolean, n_tokens long, target_sum double, background_sum double, "
-                "rare array<struct<key:long,own:int,target_word:long,background_word:long>>, "
-                "rare_words array<struct<word:long,pair:long,own:int,own_word:int>>, rare_firsts array<struct<key:long,own:int>>")
+                + ", ".join(f"{name} array<struct<{fields[name.rsplit('_', 1)[0]]}>>" for name in rarer))
         .withColumn("__row", F.monotonically_increasing_id()), "rows")
 
     sides = ("target", F.col("__target")), ("background", ~F.col("__target"))
@@ -319,19 +324,26 @@ def score(docs: DataFrame, target_ids: DataFrame, vocabulary: int | None = None,
     def each(name: str) -> DataFrame:
         return rows.select("__row", "__target", "n_tokens", F.explode(name).alias("r")).select("__row", "__target", "n_tokens", "r.*")
 
-    of_words = each("rare_words").withColumnRenamed("word", "key").join(words, "key", "left").select(
-        "__row", "__target", "n_tokens", F.col("pair").alias("key"), "own",
-        *(rest(k, "own_word").alias(f"{sides[k][0]}_word") for k in (0, 1)))
     more = lambda k, x: (F.col("own") * F.log(x)).alias(f"{sides[k][0]}_more")
-    of_pairs = each("rare").unionByName(of_words).join(pairs, "key", "left").select(
-        "__row", *(more(k, 1 / (rest(k, "own") * scale[k] + smoothed(k))) for k in (0, 1)))
-    of_firsts = each("rare_firsts").join(words, "key", "left").select(
-        "__row", *(more(k, rest(k, "own") * scale[k] + strength) for k in (0, 1)))
-    tail = of_pairs.unionByName(of_firsts).groupBy("__row").agg(
-        F.sum("target_more").alias("target_more"), F.sum("background_more").alias("background_more"))
+    sums = [F.sum(f"{side}_more").alias(f"{side}_more") for side, _ in sides]
+    counts, words = pairs, words.hint("shuffle_hash")
+
+    def tail(part: int) -> DataFrame:
+        """What the rarer words and bigrams of a part add to the sums of the rows."""
+        pairs = counts.where(F.col("key") % PARTS == part).hint("shuffle_hash")
+        of_words = each(f"rare_words_{part}").withColumnRenamed("word", "key").join(words, "key", "left").select(
+            "__row", "__target", "n_tokens", F.col("pair").alias("key"), "own",
+            *(rest(k, "own_word").alias(f"{sides[k][0]}_word") for k in (0, 1)))
+        of_pairs = each(f"rare_{part}").unionByName(of_words).join(pairs, "key", "left").select(
+            "__row", *(more(k, 1 / (rest(k, "own") * scale[k] + smoothed(k))) for k in (0, 1)))
+        of_firsts = each(f"rare_firsts_{part}").join(words, "key", "left").select(
+            "__row", *(more(k, rest(k, "own") * scale[k] + strength) for k in (0, 1)))
+        return scratch.table(of_pairs.unionByName(of_firsts).groupBy("__row").agg(*sums), f"tail-{part}")
+
+    tails = reduce(DataFrame.unionByName, map(tail, range(PARTS))).groupBy("__row").agg(*sums)
     n = F.nullif("n_tokens", F.lit(0))
     loss = lambda x: (F.col(f"{x}_sum") + F.coalesce(f"{x}_more", F.lit(0.0))) / n
-    return (rows.drop("rare", "rare_words", "rare_firsts").join(tail, "__row", "left")
+    return (rows.drop(*rarer).join(tails, "__row", "left")
             .select(F.col("__id").alias(id_col), "n_tokens", loss("target").alias("target_loss"),
                     loss("background").alias("background_loss"))
             .withColumn("score", F.col("target_loss") - F.col("background_loss")))

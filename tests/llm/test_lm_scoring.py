@@ -2,11 +2,15 @@
 
 import math
 import random
+import time
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from aislekit.llm import lm_scoring as L
+from aislekit.llm._common import Scratch
 
 
 def plain(rows, target_ids, known, strength):
@@ -98,6 +102,32 @@ def test_long_words_count_like_any_other(spark, make_docs):
         assert a[:2] == b[:2] and a[2:4] == pytest.approx(b[2:], rel=1e-9)
 
 
+def test_held_keys_are_found_wherever_they_lie():
+    held = np.array([0, 1, 2, 5 << L.PLACE, (5 << L.PLACE) + 1, (1 << 63) - 2])  # three share a place
+    head = L.Head.__new__(L.Head)
+    head.keys = np.r_[held, np.iinfo(np.int64).max]
+    head.start = np.searchsorted(held, np.arange(1 << 63 - L.PLACE) << L.PLACE).astype(np.int32)
+    head.counts, head.sieve = [np.r_[np.arange(1, 7), 0]] * 2, np.zeros(1 << L.BITS - 6, np.int64)
+    asked = np.r_[held, 3, (5 << L.PLACE) - 1, (1 << 63) - 1]
+    found, rarer, counts = head(asked)
+    assert found.tolist() == [True] * 6 + [False] * 3 and not rarer.any() and counts[0].tolist() == [1, 2, 3, 4, 5, 6, 0, 0, 0]
+
+
+def test_written_steps_leave_no_shuffle_files(spark):
+    scratch = Scratch(spark, "test")
+    ids = lambda: set(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+                      .getAllFiles().mkString("\n").split("\n"))
+    before = ids()
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(key)
+    got = scratch.table(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    deadline = time.time() + 20
+    while (left := {f for f in ids() - before if "shuffle" in f}) and time.time() < deadline:
+        time.sleep(0.2)
+    assert not left and spark.conf.get(key) == setting
+    assert sorted(r["count"] for r in got.collect()) == [142] * 1 + [143] * 6
+
+
 def test_target_like_documents_score_lower(spark, make_docs):
     rows = corpus()
     ids = spark.createDataFrame([(i,) for i in range(0, 60, 6)], "target long")
