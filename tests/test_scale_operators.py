@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from aislekit.operators import affinity as A
 from aislekit.operators import basket as B
 from aislekit.operators import checks as X
+from aislekit.operators import inventory as I
 from aislekit.operators import lookups as J
 from aislekit.operators import profile as P
-from aislekit.operators.sequence import numbered, running_max
+from aislekit.operators.sequence import may_be_hot, numbered, running_max
 
 
 @pytest.mark.parametrize("values", [[1.0], [1.0, 2.0], [5.0] * 9, [float(x % 7) for x in range(100)], [x / 3 for x in range(1001)]])
@@ -154,3 +155,20 @@ def test_priced_stages_stay_with_their_cart(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(transaction_id" not in plan
     assert {r["product_id"] for r in cut["allocation"].where("promotion_id = 3").collect()} <= {1, 2}
+
+
+def test_stock_history_without_hot_keys_is_shuffled_once(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice([None, 1, 2]), rng.choice([None, 1, 2, 3]), at and dt.datetime(2024, 1, 1) + dt.timedelta(hours=7 * at), rng.choice([None, -40, -9, -3, 0, 3, 9, 40]))
+            for at in [None, *range(1, 600)]]
+    movements = spark.createDataFrame(rows, "store_id long, product_id long, event_timestamp timestamp_ntz, delta long")
+    assert may_be_hot(movements, ["store_id", "product_id"], most=40) and not may_be_hot(movements, ["store_id", "product_id"], most=600)
+    assert not may_be_hot(movements.limit(0), ["store_id"])
+    made = {}
+    for split in (True, False):
+        led = I.stock_ledger(movements, split=split)
+        snaps = I.sparse_changes(led, split=split)
+        made[split] = [Counter(tuple(r[c] for c in sorted(r.asDict())) for r in d.collect()) for d in (led, snaps, X.ledger_inconsistent(led, split))]
+    assert made[True] == made[False] and len(made[True][0]) > len(made[True][1]) > 0
+    snaps = I.sparse_changes(I.stock_ledger(movements, split=False), split=False)
+    assert snaps._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
