@@ -25,7 +25,7 @@ from aislekit.llm._common import small_batches
 
 FIRST = -(1 << 63)
 #: Ids are dealt into ranges of about so many rows, at most MOST_RANGES of them.
-RANGE_ROWS, MOST_RANGES = 8_000, 20_000
+RANGE_ROWS, MOST_RANGES = 16_000, 20_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -39,13 +39,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class Rows(dict):
-    """Places of words; -1 for others."""
-
-    def __missing__(self, word: bytes) -> int:
-        return -1
-
-
 class Sampler:
     """Fingerprints with ``samples`` samples of 16 bits each.
 
@@ -56,15 +49,15 @@ class Sampler:
     #: -ln of 16-bit uniform numbers; the sum of two entries has distribution Gamma(2, 1).
     EXPONENTIAL = (-np.log((np.arange(65536) + 0.5) / 65536)).astype(np.float32)
 
-    def __init__(self, samples: int = 128, cached: int = 80_000):
+    def __init__(self, samples: int = 128, cached: int = 1 << 17):
         self.samples, self.cached = samples, cached
         self.seeds = mix(np.arange(1, samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        self.row = Rows()
+        self.row: dict[bytes, int] = {}
         self.once: set[bytes] = set()
-        self.draws = np.empty((4, 1024, samples), dtype=np.float32)
+        self.draws, self.hashes = np.empty((4, 1024, samples), dtype=np.float32), np.empty(1024, dtype=np.uint64)
 
-    def draw(self, words: list[bytes]) -> np.ndarray:
-        """Value for weight 1, r, ln c and b of each word: 4 x words x samples."""
+    def draw(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Value for weight 1, r, ln c and b of each word: 4 x words x samples; and the words' hashes."""
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
         x = mix(hashes[:, None] ^ self.seeds)
         part = self.EXPONENTIAL.take(x.view(np.uint16), mode="clip").reshape(len(words), self.samples, 4)
@@ -74,9 +67,9 @@ class Sampler:
         x *= np.uint64(0xD1342543DE82EF95)
         np.multiply((x >> np.uint64(41)).astype(np.uint32), np.float32(2.0 ** -23), out=out[3], casting="unsafe")
         out[0] = out[2] - out[1] * (1 - out[3])  # the logarithm of weight 1 is 0, and so is t
-        return out
+        return out, hashes
 
-    def remember(self, words: list[bytes], made: np.ndarray) -> None:
+    def remember(self, words: list[bytes], made: np.ndarray, hashes: np.ndarray) -> None:
         """Cache the draws of words that were seen before."""
         free = self.cached - len(self.row)
         if free <= 0:
@@ -86,64 +79,77 @@ class Sampler:
             at = len(self.row)
             while at + len(again) > self.draws.shape[1]:
                 self.draws = np.concatenate([self.draws, np.empty_like(self.draws)], axis=1)
-            self.draws[:, at:at + len(again)] = made[:, again]
+                self.hashes = np.concatenate([self.hashes, np.empty_like(self.hashes)])
+            self.draws[:, at:at + len(again)], self.hashes[at:at + len(again)] = made[:, again], hashes[again]
             self.row.update(zip((words[k] for k in again), range(at, at + len(again)), strict=True))
         if len(self.once) > 1_000_000:
             self.once.clear()
         self.once.update(words)
 
-    def sample(self, text: str, near: tuple = ()) -> tuple[np.ndarray, tuple]:
-        """Samples of a text (zeros without words, never zero otherwise) and its draws outside the cache.
+    def sample(self, text: str, near: tuple = ()) -> tuple[np.ndarray, tuple | None]:
+        """Samples of a text (zeros without words, never zero otherwise) and where its words' draws are.
 
-        ``near``: such draws of other texts, looked up before drawing again.
+        Those are the words with their places in the cache (from 0) or, from -2 downwards, in the draws
+        made for this text.  ``near``: such places of other texts, looked up first; then none are returned.
         """
         counts = Counter(text.encode().lower().split())  # the white space of bytes: \x20, \x09-\x0D
         if not counts:
-            return np.zeros(self.samples, dtype=np.uint16), ({}, self.draws[:, :0])
+            return np.zeros(self.samples, dtype=np.uint16), ({}, (self.draws[:, :0], self.hashes[:0]))
         words, n = list(counts), len(counts)
-        rows = np.fromiter(map(self.row.__getitem__, words), np.int64, n)
         # where a word's draws are: in the cache, in those of a near text, or in its own
-        places = [(np.flatnonzero(rows >= 0), self.draws)]
-        left = np.flatnonzero(rows < 0)
+        rows, left, cached, places = np.full(n, -1), np.arange(n), [], []
+
+        def look_up(known: dict) -> np.ndarray:
+            return np.fromiter(map(known.get, map(words.__getitem__, left.tolist()), repeat(-1)), np.int64, len(left))
+
         for known, block in near:
-            if len(left):
-                at = np.fromiter(map(known.get, map(words.__getitem__, left), repeat(-1)), np.int64, len(left))
-                found = left[at >= 0]
-                rows[found] = at[at >= 0]
-                places.append((found, block))
-                left = left[at < 0]
+            at = look_up(known)
+            held, theirs = at >= 0, at < -1
+            cached.append(left[held])
+            places.append((left[theirs], block))
+            rows[left] = np.where(theirs, -2 - at, at)
+            left = left[at == -1]
+        rows[left] = look_up(self.row)
+        cached.append(left[rows[left] >= 0])
+        places.insert(0, (np.sort(np.concatenate(cached)), (self.draws, self.hashes)))
+        left = left[rows[left] < 0]
         fresh = [words[i] for i in left]
-        made = self.draw(fresh) if fresh else self.draws[:, :0]
+        made = self.draw(fresh) if fresh else (self.draws[:, :0], self.hashes[:0])
         rows[left] = np.arange(len(fresh))
         places.append((left, made))
         times = np.fromiter(counts.values(), np.int64, n)
-        order = np.concatenate([which for which, _ in places])  # words in the order of their places
-        value, own_steps, steps, at = np.empty((n, self.samples), dtype=np.float32), np.full(n, -1), [], 0
-        for which, block in places:
+        value, hashes = np.empty((n, self.samples), dtype=np.float32), np.empty(n, dtype=np.uint64)
+        own_steps, steps, at = np.full(n, -1), [], 0  # words in the order of their places
+        for which, (block, hashes_of) in places:
             if not len(which):
                 continue
             mine, here = rows[which], value[at:at + len(which)]
             block[0].take(mine, axis=0, out=here, mode="clip")
+            hashes_of.take(mine, out=hashes[at:at + len(which)], mode="clip")
             more = np.flatnonzero(times[which] > 1)
             if len(more):
                 r, c, b = (block[k].take(mine[more], axis=0) for k in (1, 2, 3))
-                t = np.floor(np.log(times[which[more]]).astype(np.float32)[:, None] / r + b)
-                here[more] = c - r * (t - b + 1)
+                t = np.log(times[which[more]]).astype(np.float32)[:, None] / r
+                t += b
+                np.floor(t, out=t)
+                np.subtract(t, b, out=b)
+                b += 1
+                b *= r
+                here[more] = np.subtract(c, b, out=c)  # c - r * (t - b + 1)
                 own_steps[at + more] = np.arange(len(more)) + sum(map(len, steps))
                 steps.append(t)
             at += len(which)
-        least, sample = np.nonzero(value == value.min(axis=0))
-        pick = np.empty(self.samples, dtype=np.int64)
-        pick[sample[::-1]] = least[::-1]  # of equal values the first
+        pick = (value == value.min(axis=0)).argmax(axis=0)  # of equal values the first
         t, stepped = np.zeros(self.samples, dtype=np.int64), np.flatnonzero(own_steps[pick] >= 0)
         if len(stepped):
             t[stepped] = np.concatenate(steps)[own_steps[pick[stepped]], stepped]
-        taken, at = np.unique(order[pick], return_inverse=True)
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, map(words.__getitem__, taken.tolist())), np.uint64, len(taken))[at]
-        taken = (mix(hashes + mix(t.astype(np.uint64) + np.uint64(1))) % np.uint64(65535)).astype(np.uint16) + np.uint16(1)
+        taken = (mix(hashes[pick] + mix(t.astype(np.uint64) + np.uint64(1))) % np.uint64(65535)).astype(np.uint16) + np.uint16(1)
         if fresh:
-            self.remember(fresh, made)
-        return taken, (dict(zip(fresh, range(len(fresh)), strict=True)), made)
+            self.remember(fresh, *made)
+        if near:
+            return taken, None
+        rows[left] = -2 - rows[left]
+        return taken, (dict(zip(words, rows.tolist(), strict=True)), made)
 
     def fingerprint(self, text: str) -> np.ndarray:
         """Samples of a text."""
@@ -225,16 +231,16 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sa
                                               strict=True):
                     if late and (last is None or last[0] != at):
                         continue  # a second row of the following id
-                    samples_of, rare = sampler.sample(t)
+                    samples_of, held = sampler.sample(t)
                     if last is not None and last[0] == at:
-                        _, was, text_of, own, rare_of = last
+                        _, was, text_of, own, held_of = last
                         changed = edit(text_of, t)
-                        edited, _ = sampler.sample(changed, (rare_of, rare))
+                        edited, _ = sampler.sample(changed, (held_of, held))
                         row = (was, len(text_of), hashlib.sha256(changed.encode()).hexdigest(), as_text(own),
                                as_text(edited), likeness(own, edited), likeness(own, samples_of))
                         for column, x in zip(out, row, strict=True):
                             column.append(x)
-                    last = None if late else (at, ident, t, samples_of, rare)
+                    last = None if late else (at, ident, t, samples_of, held)
                 kinds = [batch.schema.field("__id").type, pa.int64(), pa.string(), pa.string(), pa.string(),
                          pa.float64(), pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -79,3 +80,21 @@ def test_the_cache_changes_nothing():
     for t in texts + texts:
         assert (a.fingerprint(t) == b.fingerprint(t)).all()
     assert len(b.row) == 17
+
+
+def test_words_of_near_texts_are_not_drawn_again():
+    s = P.Sampler(8)
+    for text in ("a b c b", "a b", "a c c"):  # fresh, then partly in the cache
+        sample, held = s.sample(text)
+        drawn, draw = [], s.draw
+        s.draw = lambda words: drawn.extend(words) or draw(words)  # noqa: B023
+        edited, nothing = s.sample(text + " z z", (held,))
+        s.draw = draw
+        assert set(drawn) <= {b"z"} and nothing is None and set(held[0]) == set(text.encode().split())
+        assert (edited == P.Sampler(8, cached=0).fingerprint(text + " z z")).all() and (sample == P.Sampler(8).fingerprint(text)).all()
+
+
+def test_of_equal_values_the_first_word_is_taken():
+    s, plain = P.Sampler(8), P.Sampler(8)
+    s.draw = lambda words: (np.zeros((4, len(words), 8), dtype=np.float32), plain.draw(words)[1])
+    assert (s.fingerprint("x y z") == s.fingerprint("x q")).all() and (s.fingerprint("x y") == plain.fingerprint("x")).all()
