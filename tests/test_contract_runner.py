@@ -71,6 +71,21 @@ def test_counts_and_samples_do_not_depend_on_partitions(frames):
     assert all(len(s) <= R.SLOTS for _, _, s in a.values())
 
 
+def test_rows_are_not_sorted_by_rule(frames):
+    plan = R.run_contracts(frames, SHOP)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" in plan
+
+
+def test_rows_that_break_several_rules(spark, monkeypatch):
+    shops = spark.createDataFrame([(f"s{i}", None if i % 2 else "Kiosk", "0" if i % 3 else "x", "never", "?") for i in range(50)],
+                                  "shop_id string, kind string, size string, opened string, open string")
+    want = rules(R.run_contracts({"shops": shops}, SHOP))
+    assert want["shops", "regex", "shop_id"][:2] == (50, 50) and want["shops", "range", "size"][:2] == (33, 33)
+    assert want["shops", "accepted_values", "kind"][:2] == (25, 25) and want["shops", "date", "opened"][2] == ["s0", "s1", "s12"]
+    monkeypatch.setattr(R, "RULES_AT_ONCE", 2)
+    assert rules(R.run_contracts({"shops": shops}, SHOP)) == want
+
+
 def test_missing_columns_and_parents(frames, spark):
     got = rules(R.run_contracts({**frames, "shops": frames["shops"].drop("size")}, SHOP))
     assert ("shops", "type", "size") not in got
