@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from aislekit.operators import affinity as A
 from aislekit.operators import basket as B
 from aislekit.operators import checks as X
+from aislekit.operators import clickstream as K
+from aislekit.operators import faults as E
 from aislekit.operators import inventory as I
 from aislekit.operators import lookups as J
 from aislekit.operators import profile as P
@@ -172,3 +174,85 @@ def test_stock_history_without_hot_keys_is_shuffled_once(spark):
     assert made[True] == made[False] and len(made[True][0]) > len(made[True][1]) > 0
     snaps = I.sparse_changes(I.stock_ledger(movements, split=False), split=False)
     assert snaps._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+@pytest.mark.parametrize("mode", ["arith", "xxhash"])
+def test_draws_under_a_rate(spark, mode):
+    rates = [-0.5, 0.0, 1e-13, 0.02, 1 / 3, 0.5, 1.0, 1.5]
+    df = spark.range(3000).select(F.when(F.col("id") % 7 > 0, F.col("id")).alias("k"))
+    for i, rate in enumerate(rates):
+        want = E.draw(F.col("k"), i, mode) < rate
+        assert df.where(~want.eqNullSafe(E.drawn_under(F.col("k"), i, rate, mode))).count() == 0
+
+
+def test_copies_come_from_one_pass(spark):
+    df = spark.createDataFrame([(i, ["a"] if i % 2 else ["duplicate row"]) for i in range(500)] + [(None, [])], "id int, error_types array<string>")
+    out = E.duplicate_rows(df, 0.3, "duplicate row", F.col("id"), 3, "arith")
+    drawn = {r["id"] for r in df.where(E.draw(F.col("id"), 3, "arith") < 0.3).collect()}
+    want = Counter((i, tuple(e)) for i, e in map(tuple, df.collect()))
+    want += Counter((i, ("a", "duplicate row") if i % 2 else ("duplicate row",)) for i in drawn)
+    assert Counter((r["id"], tuple(r["error_types"])) for r in out.collect()) == want and drawn
+    assert "Union" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_enriched_clicks_without_hot_keys(spark):
+    rng = random.Random(12)
+    kinds = ["Add to Cart", "Add to Cart", "Product View", "Payment Successful", "Remove from Cart"]
+    rows = []
+    for i in range(400):
+        c, day = rng.choice([None, 1, 2, 3]), rng.randint(1, 60)
+        rows.append((i, c, dt.datetime(2024, 1, 1) + dt.timedelta(days=day, minutes=i), rng.choice(kinds), rng.randint(1, 4), f"{c}_{day}" if c else None))
+    clicks = spark.createDataFrame(rows, "event_id long, customer_id long, event_timestamp timestamp_ntz, event_type string, product_id long, session_id string")
+    products = spark.createDataFrame([(1, "a", "x"), (2, "b", "y y")], "product_id long, product_name string, category string")
+    whole, split = (K.enrich_clickstream(clicks, products, s) for s in (False, True))
+    assert whole.columns == split.columns and whole.dtypes == split.dtypes
+    assert Counter(map(str, whole.collect())) == Counter(map(str, split.collect()))
+    exchanges = [d._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for d in (whole, split)]
+    assert exchanges[0] * 2 < exchanges[1]
+
+
+def test_listings_keep_the_greatest_texts(spark):
+    from aislekit.sources.adapters import ADAPTERS, adapter_frame
+
+    class Some:
+        def __init__(self, frames):
+            self.spark, self.table = spark, frames.__getitem__
+
+    rng = random.Random(13)
+    parts = [(rng.choice([None, 17, 23, 1, 2, 3]), rng.choice([None, "pa", "pb"]), rng.choice([None, "ba", "bb"]), rng.choice(["ta", "tb"]),
+              rng.choice([None, 1.5, 2.25])) for _ in range(12)]
+    lines = [(rng.choice([None, 1, 2]), rng.choice([None, 17, 23, 1, 2, 3, 9])) for _ in range(80)]
+    frames = {"part": spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_retailprice double"),
+              "lineitem": spark.createDataFrame(lines, "l_suppkey long, l_partkey long")}
+    want, got = spark.sql(ADAPTERS["store_catalogues"], **frames), adapter_frame(Some(frames), "store_catalogues")
+    assert got.dtypes == want.dtypes and Counter(got.collect()) == Counter(want.collect())
+
+
+def test_shares_are_summed_without_another_join(spark):
+    rows = [(t, p, l, float(1 + (t * 7 + l) % 5)) for t in range(20) for p in range(3) for l in range(1 + t % 4)]
+    lines = spark.createDataFrame(rows, "transaction_id long, promotion_id long, product_id long, v double").select(
+        "transaction_id", "promotion_id", "product_id", F.col("v").cast("decimal(38,6)").alias("line_total"))
+    promos = lines.groupBy("transaction_id", "promotion_id").agg(F.sum("line_total").alias("elig_subtotal"), F.max("product_id").alias("last_pid")).withColumn(
+        "discount", F.col("promotion_id").cast("decimal(18,2)"))
+    out = B.allocate(promos, lines)
+    sums = {(r["transaction_id"], r["promotion_id"]): r["s"] for r in out.groupBy("transaction_id", "promotion_id").agg(F.sum("allocated").alias("s")).collect()}
+    assert len(sums) == 60 and all(s == p for (_, p), s in sums.items())
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
+def test_carts_meet_promotions_as_given(spark):
+    day = lambda d: dt.datetime(2024, 1, d)
+    lines = spark.createDataFrame([(t, p, f"c{p % 2}", 1 + t % 3, "4.00") for t in range(9) for p in range(4)], "transaction_id long, product_id long, category string, quantity long, p string")
+    lines = lines.withColumn("unit_price", F.col("p").cast("decimal(18,2)"))
+    headers = spark.createDataFrame([(t, day(1 + t)) for t in range(9)], "transaction_id long, transaction_time timestamp_ntz")
+    scopes = [("product", "1"), ("category", "c0"), ("cart", None), ("bundle", "5")]
+    promotions = spark.createDataFrame([(10 * i + j, s, "percentage_discount", k, 5.0, m, 1, day(2), day(7)) for i, (s, k) in enumerate(scopes) for j, m in enumerate([None, 30.0])],
+                                       "promotion_id long, promotion_scope string, promotion_mechanic string, promotion_target_id string, promotion_value double, min_spend double, priority int, "
+                                       "effective_start_date timestamp_ntz, effective_end_date timestamp_ntz")
+    members = spark.createDataFrame([(5, 1, 1), (5, 2, 2)], "bundle_id long, product_id long, quantity long")
+    want = B.eligible_promotions(lines, headers, promotions, members)
+    carts = B._cut(B.timed_carts(lines, headers), True)
+    got = B.eligible_promotions(lines, headers, promotions, members, carts)
+    assert Counter(got.collect()) == Counter(want.collect()) and want.count() == sum((1 + (4 * 4 * (1 + t % 3) >= 30)) * (3 + (t % 3 > 0)) for t in range(1, 7))
+    # a cart's subtotal is not made again for every scope
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("sum(") < want._jdf.queryExecution().optimizedPlan().toString().count("sum(")
